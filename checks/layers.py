@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.observations import TIE_BREAKERS, rank_observations
-from rankhouse.operators.cleaning import replace_newlines
 from rankhouse.plans.layers import Warehouse
 from rankhouse.sources.staging import fresh_path
 from rankhouse.sources.tables import create_database, read_layer
@@ -16,10 +15,6 @@ HOT_KEYWORDS = "red|hot|small"
 _warehouses: dict[tuple[str, str], tuple[Warehouse, set[str]]] = {}
 
 
-def ods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_newlines(rank_observations(spark, sf_dir))
-
-
 def new_warehouse(spark: SparkSession, sf_dir: str, database: str) -> Warehouse:
     from checks.queries import CHECKED_FEATURES
 
@@ -51,6 +46,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_layer(spark, warehouse.table(name))
 
 
+def ods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw layer."""
+    return _table(spark, sf_dir, "ods_rank_facts")
+
+
 def dwd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned layer, bucketed by book."""
     return _table(spark, sf_dir, "dwd_rank_facts")

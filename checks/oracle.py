@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from checks.layers import HOT_KEYWORDS
 from checks.observations import TIE_BREAKERS, duckdb_sql
-from checks.queries import COARSE
+from checks.queries import COARSE, tie_shift
 
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -273,7 +273,11 @@ def oracle(key: str, uses: str, sql: str, doubles: str = "", texts: str = "", ex
     """Register a statement. ``uses`` names the common expressions, ``doubles`` the columns to round, ``texts`` the dates."""
     chain = [f"{name} AS MATERIALIZED ({CTES[name]})" for name in _needed(uses.split())]
     chain += [f"{name} AS ({body})" for name, body in (extra or {}).items()]
-    replaced = [f"round({c}, {COARSE.get(c, 4)}) AS {c}" for c in doubles.split()]
+    replaced = []
+    for c in doubles.split():
+        digits = COARSE.get(c, 4)
+        rounded = f"round(CAST({c} AS DOUBLE) + {tie_shift(digits):.16f}, {digits})"
+        replaced.append(f"CASE WHEN {rounded} = 0 THEN CAST(0 AS DOUBLE) ELSE {rounded} END AS {c}")
     replaced += [f"CAST({c} AS VARCHAR) AS {c}" for c in texts.split()]
     outer = f"SELECT * REPLACE ({', '.join(replaced)}) FROM ({sql}) result" if replaced else sql
     ORACLE[key] = (f"WITH {', '.join(chain)} " if chain else "") + outer
@@ -477,7 +481,7 @@ oracle(
     f"{metric('read_count')} AS read_value, {words('words_num')} AS words_value, CAST(0 AS DOUBLE) AS no_change, "
     "(value - 8) / 8 * 100 AS from_eight, CAST(strptime(date_month || '01', '%Y%m%d') AS DATE) AS month_day "
     f"FROM (SELECT *, {number('score')} AS value, TRY_CAST(rank_date AS DATE) AS day FROM ods)",
-    "capped read_value words_value from_eight",
+    "capped rounded_two rounded_four read_value words_value no_change from_eight",
     "month_day",
 )
 

@@ -38,11 +38,18 @@ COARSE = {
 }
 
 
+def tie_shift(digits: int) -> float:
+    """Added before rounding on both sides, so that no decimal such as 0.66375 sits exactly between two results."""
+    return 0.0123456789 / 10**digits
+
+
 def settle(df: DataFrame) -> DataFrame:
     def settled(field: T.StructField):
         column = F.col(field.name)
         if isinstance(field.dataType, T.DoubleType):
-            column = F.round(column, COARSE.get(field.name, 4))
+            digits = COARSE.get(field.name, 4)
+            rounded = F.round(column + tie_shift(digits), digits)
+            column = F.when(rounded == 0, 0.0).otherwise(rounded)  # no negative zero
         elif isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             column = column.cast("string")
         return column.alias(field.name)

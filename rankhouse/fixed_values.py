@@ -9,7 +9,6 @@ INF = float("inf")
 # --- Fixed values: raw text formats -----------------------------------------------------------------------------
 METRIC_UNITS = {"亿": 100000000.0, "万": 10000.0}
 WORD_UNITS = {"万字": 10000.0, "字": 1.0}
-NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 URL_PATTERN = "^https?://"
 DATE_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 NEWLINE_PATTERN = "[\n\r]"

@@ -6,23 +6,23 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
 
-from rankhouse.fixed_values import METRIC_UNITS, NUMBER_PATTERN, WORD_UNITS
+from rankhouse.fixed_values import METRIC_UNITS, WORD_UNITS
 
 
 def plain_number(text: Column) -> Column:
-    """Double value of a trimmed decimal text. Words, NaN and Java suffixes such as ``9.0d`` give NULL."""
+    """Double value of a trimmed decimal text. Words, NaN and Java suffixes such as ``9.0d`` give NULL: everything the
+    cast accepts beyond decimals ends in a letter, and so do most words, which saves a failing cast."""
     trimmed = F.trim(text)
-    return F.when(trimmed.rlike(NUMBER_PATTERN), trimmed.try_cast("double"))
+    return F.when(F.substring(trimmed, -1, 1) <= "9", trimmed.try_cast("double"))
 
 
 def number_with_unit(text: Column, units: Mapping[str, float], default_unit: float = 1.0) -> Column:
     """Strip the first unit of ``units`` that occurs in the text and scale; unitless text is scaled by ``default_unit``."""
-    scaled = [
-        F.when(F.contains(text, F.lit(unit)), F.struct((plain_number(F.replace(text, F.lit(unit))) * factor).alias("v")))
-        for unit, factor in units.items()
-    ]
-    # A struct is non-NULL even when its value is, so coalesce stops at the first unit present.
-    return F.coalesce(*scaled, F.struct((plain_number(text) * default_unit).alias("v")))["v"]
+    value = plain_number(text) * default_unit if default_unit != 1.0 else plain_number(text)
+    for unit, factor in reversed(units.items()):
+        stripped = plain_number(F.replace(text, F.lit(unit)))
+        value = F.when(F.contains(text, F.lit(unit)), stripped * factor).otherwise(value)
+    return value
 
 
 def metric_number(text: Column, default_unit: float = 1.0) -> Column:

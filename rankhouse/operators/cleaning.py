@@ -93,19 +93,20 @@ def parse_words(df: DataFrame) -> DataFrame:
 
 def fill_numbers(df: DataFrame, columns: Sequence[str] = METRICS, strategy: str = "mean", method: str = "exact") -> DataFrame:
     """NULL becomes the column's mean (or median, or mode); 0 when the column has no value at all."""
-    replacements = fill_values(df, columns, strategy, method)
-    return df.withColumns({c: F.coalesce(F.col(c), value, F.lit(0.0)) for c, value in replacements.items()})
+    rows = df.withColumn("_fill", fill_values(df, columns, strategy, method))
+    return rows.withColumns({c: F.coalesce(F.col(c), F.col("_fill")[c], F.lit(0.0)) for c in columns}).drop("_fill")
 
 
 def cap_outliers(df: DataFrame, columns: Sequence[str] = ("numeric_popularity",), multiplier: float = 3, method: str = "exact") -> DataFrame:
     """Values beyond the quartiles by more than ``multiplier`` interquartile ranges become the median."""
-    capped = {}
+    rows, capped = df, {}
     for name in columns:
-        q = quantiles(df, [name], [0.25, 0.5, 0.75], method).select("quantiles").scalar()
+        rows = rows.withColumn(f"_{name}", quantiles(df, [name], [0.25, 0.5, 0.75], method).select("quantiles").scalar())
+        q = F.col(f"_{name}")
         margin = (q[2] - q[0]) * multiplier
         outside = (F.col(name) < q[0] - margin) | (F.col(name) > q[2] + margin)
         capped[name] = F.when(outside, q[1]).otherwise(F.col(name))
-    return df.withColumns(capped)
+    return rows.withColumns(capped).drop(*(f"_{name}" for name in columns))
 
 
 def fill_labels(df: DataFrame, defaults: Mapping[str, str] = LABEL_DEFAULTS) -> DataFrame:

@@ -10,7 +10,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BANDS = 256
+STRIDE = 16
+BANDS = STRIDE * STRIDE
 
 
 def _matching(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -36,27 +37,41 @@ def with_group_stats(df: DataFrame, groups: Sequence[str], stats: Mapping[str, C
 
 
 def _with_weight_before(distinct: DataFrame, groups: Sequence[str], value: str, weight: str, descending: bool) -> DataFrame:
-    """Add ``before``: the total weight of the group's values ahead of this one. Input: one row per (groups, value).
+    """Add ``before``, the total weight of the group's values ahead of this one, and ``total``, the weight of the whole
+    group. Input: one row per (groups, value).
 
     Values are cut into bands at approximate quantiles of the distinct values, so a window holds about 1/BANDS of them
     and the totals of the bands in front are added. The cut points only balance the work; the sums are exact."""
-    cuts = distinct.agg(F.percentile_approx(value, [i / BANDS for i in range(1, BANDS)], 4 * BANDS)).scalar()
-    ahead = F.filter("_cuts", lambda cut: (cut > F.col(value)) if descending else (cut < F.col(value)))
-    band = F.when(F.col(value).isNull(), BANDS).otherwise(F.size(ahead))
-    banded = distinct.withColumn("_cuts", cuts).withColumn("_band", band).drop("_cuts")
+    found = distinct.agg(F.percentile_approx(value, [i / BANDS for i in range(1, BANDS)], 4 * BANDS).alias("fine"))
+    cuts = found.select(F.struct("fine", F.filter("fine", lambda _, i: (i + 1) % STRIDE == 0).alias("coarse"))).scalar()
+
+    def passed(array: Column) -> Column:
+        return F.size(F.filter(array, lambda cut: (cut > F.col(value)) if descending else (cut < F.col(value))))
+
+    # Find the coarse cut first, then look at its neighbourhood only.
+    if descending:
+        first = STRIDE * (STRIDE - 1 - passed(F.col("_cuts.coarse")))
+        band = BANDS - 1 - first - (STRIDE - 1 - passed(F.slice("_cuts.fine", first + 1, STRIDE - 1)))
+    else:
+        first = STRIDE * passed(F.col("_cuts.coarse"))
+        band = first + passed(F.slice("_cuts.fine", first + 1, STRIDE - 1))
+    band = F.when(F.col(value).isNull(), BANDS).otherwise(band)
+    # One struct key: equal also where fields are NULL, and the join keeps the partitioning of the window.
+    place = F.struct(*groups, band.alias("_band"))
+    banded = distinct.withColumn("_cuts", cuts).withColumn("_place", place).drop("_cuts")
     order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
     ahead_rows = (Window.unboundedPreceding, -1)
-    inside = Window.partitionBy(*groups, "_band").orderBy(order).rowsBetween(*ahead_rows)
+    inside = Window.partitionBy("_place").orderBy(order).rowsBetween(*ahead_rows)
     # At most BANDS + 1 rows per group.
-    across = Window.partitionBy(*groups).orderBy("_band").rowsBetween(*ahead_rows)
+    group = Window.partitionBy(*(F.col("_place")[g] for g in groups))
+    across = group.orderBy(F.col("_place")["_band"]).rowsBetween(*ahead_rows)
     totals = (
-        banded.groupBy(*groups, "_band")
-        .agg(F.sum(weight).alias("_total"))
-        .select(*groups, "_band", F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_offset"))
+        banded.groupBy("_place")
+        .agg(F.sum(weight).alias("_weight"))
+        .select("_place", F.coalesce(F.sum("_weight").over(across), F.lit(0)).alias("_offset"), F.sum("_weight").over(group).alias("total"))
     )
-    local = banded.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-    placed = attach(local, totals, [*groups, "_band"])
-    return placed.withColumn("before", F.col("_inside") + F.col("_offset")).drop("_inside", "_offset", "_band")
+    placed = banded.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0))).join(totals, "_place")
+    return placed.withColumn("before", F.col("_inside") + F.col("_offset")).drop("_inside", "_offset", "_place")
 
 
 def with_dense_rank(df: DataFrame, groups: Sequence[str], value: str, name: str) -> DataFrame:
@@ -72,8 +87,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     so neither a frequent value nor many distinct ones meet in one task."""
     values = df.select(*(F.col(c).cast("double") for c in columns)).unpivot([], list(columns), "metric", "value")
     counts = values.where("value IS NOT NULL").groupBy("metric", "value").agg(F.count("*").alias("weight"))
-    placed = _with_weight_before(counts, ["metric"], "value", "weight", descending=False)
-    sized = with_group_stats(placed, ["metric"], {"n": F.sum("weight")}, of=counts)
+    placed = _with_weight_before(counts, ["metric"], "value", "weight", descending=False).withColumnRenamed("total", "n")
 
     def value_at(index: Column) -> Column:
         here = (F.col("before") <= index) & (index < F.col("before") + F.col("weight"))
@@ -83,7 +97,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     for i, q in enumerate(probabilities):
         position = (F.col("n") - 1) * F.lit(float(q))
         parts += [value_at(F.floor(position)).alias(f"lo{i}"), value_at(F.ceil(position)).alias(f"hi{i}")]
-    ends = sized.groupBy("metric").agg(F.max("n").alias("n"), *parts)
+    ends = placed.groupBy("metric").agg(F.max("n").alias("n"), *parts)
 
     def interpolated(i: int, q: float) -> Column:
         position = (F.col("n") - 1) * F.lit(float(q))
@@ -116,16 +130,14 @@ def mode(df: DataFrame, column: str) -> DataFrame:
     return counts.orderBy(F.desc("_n"), F.asc(column)).limit(1).select(column)
 
 
-def fill_values(df: DataFrame, columns: Sequence[str], strategy: str = "mean", method: str = "exact") -> dict[str, Column]:
-    """The replacement for NULL of each column as a scalar subquery; NULL when the column has no value."""
+def fill_values(df: DataFrame, columns: Sequence[str], strategy: str = "mean", method: str = "exact") -> Column:
+    """Scalar subquery of one struct: what replaces NULL in each column; NULL for a column without any value."""
     if strategy == "mean":
-        row = means(df, columns).select(F.struct(*columns)).scalar()
-        return {c: row[c] for c in columns}
+        return means(df, columns).select(F.struct(*columns)).scalar()
     if strategy == "median":
         middle = quantiles(df, columns, [0.5], method)
-        entries = middle.select(F.struct("metric", F.col("quantiles")[0].alias("v")).alias("e"))
-        by_metric = entries.agg(F.map_from_entries(F.collect_list("e"))).scalar()  # one entry per column
-        return {c: by_metric[c] for c in columns}
+        of = {c: F.max(F.when(F.col("metric") == c, F.col("quantiles")[0])) for c in columns}
+        return middle.agg(F.struct(*(value.alias(c) for c, value in of.items()))).scalar()
     if strategy == "mode":
-        return {c: mode(df, c).scalar() for c in columns}
+        return F.struct(*(mode(df, c).scalar().alias(c) for c in columns))
     raise ValueError("strategy is 'mean', 'median' or 'mode'")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rankhouse.fixed_values import (
     CRAWL_FIRST_MONTH,
@@ -93,14 +93,13 @@ def expected_requests(
         F.sequence(start, F.add_months(start, months - 1), F.expr("interval 1 month")), lambda d: F.date_format(d, "yyyyMM")
     )
 
-    def lists(names: Sequence[str], month_array):
-        return F.transform(F.array(*map(F.lit, names)), lambda n: F.struct(n.alias("rank_name"), month_array.alias("months")))
+    def requests(names: Sequence[str], month_array: Column) -> DataFrame:
+        channel = spark.range(1).select(F.explode(F.array(*map(F.lit, channels))).alias("gender"))
+        listed = channel.select("gender", F.explode(F.array(*map(F.lit, names))).alias("rank_name"))
+        dated = listed.select("*", F.explode(month_array).alias("date_month"))
+        return dated.select("*", F.explode(F.sequence(F.lit(1), F.lit(pages))).alias("page"))
 
-    series = F.concat(lists(monthly, calendar), lists(undated, F.array(F.lit(""))))
-    grid = spark.range(1).select(F.explode(F.array(*map(F.lit, channels))).alias("gender"), series.alias("series"))
-    grid = grid.select("gender", F.explode("series").alias("one"))
-    grid = grid.select("gender", "one.rank_name", F.explode("one.months").alias("date_month"))
-    return grid.select("*", F.explode(F.sequence(F.lit(1), F.lit(pages))).alias("page"))
+    return requests(monthly, calendar).unionByName(requests(undated, F.array(F.lit(""))))
 
 
 def coverage_gaps(expected: DataFrame, observed: DataFrame) -> DataFrame:
