@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rankhouse.sources.tables import spread
+
 # Ties of one book and date, settled in this order on both sides of the comparison.
 TIE_BREAKERS = "popularity read_count score number rank_name status words_num".split()
 
@@ -53,7 +55,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def rank_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem, orders, part = (table(spark, sf_dir, name) for name in ("lineitem", "orders", "part"))
+    lineitem = spread(table(spark, sf_dir, "lineitem"))
+    orders, part = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
     joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(part, F.col("l_partkey") == F.col("p_partkey"))
     return joined.select(*(F.expr(text).alias(name) for name, text in COLUMNS.items()))
 

@@ -510,7 +510,7 @@ def rank_list_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     good = F.to_json(F.struct(F.struct(parts.alias("table_data")).alias("data")))
     body = F.when(F.col("o_orderkey") % 13 == 0, F.lit("<html>busy</html>")).when(F.col("o_orderkey") % 17 == 0, F.lit('{"msg":"rate limited"}')).otherwise(good)
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("date_month"), body.alias("body"))
+    return tables.spread(table(spark, sf_dir, "orders")).select("o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("date_month"), body.alias("body"))
 
 
 @query("x_ranklist_flatten")
@@ -533,12 +533,12 @@ PAGE_PATTERNS = {
 
 @query("x_detail_extract")
 def _(spark, sf_dir):
-    return responses.extract_details(table(spark, sf_dir, "pages"), PAGE_PATTERNS)
+    return responses.extract_details(tables.spread(table(spark, sf_dir, "pages")), PAGE_PATTERNS)
 
 
 def _items(spark, sf_dir):
     """Crawled items: channel, list, month and outcome, in order of arrival."""
-    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = tables.spread(table(spark, sf_dir, "lineitem")).join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     channel = F.when(F.col("l_partkey") % 19 == 0, F.lit("?")).when(F.col("l_partkey") % 2 == 0, F.lit(MALE_CHANNEL)).otherwise(F.lit(FEMALE_CHANNEL))
     lists = F.element_at(F.array(*map(F.lit, ("大热", "新书", "完结", "收藏", "更新"))), (F.col("l_orderkey") % 5 + 1).cast("int"))
     month = F.when(F.col("l_orderkey") % 5 >= 3, F.lit("")).otherwise(F.date_format("o_orderdate", "yyyyMM"))

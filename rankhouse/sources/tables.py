@@ -21,6 +21,12 @@ def read_layer(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of an input with fewer files than cores, dealt out to all cores; an input of many files stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def bucket_count(spark: SparkSession, rows: int) -> int:
     """Buckets for a table of that many rows; at least one per available core."""
     wanted = -(-rows // ROWS_PER_BUCKET)
