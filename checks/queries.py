@@ -48,8 +48,7 @@ def settle(df: DataFrame) -> DataFrame:
         column = F.col(field.name)
         if isinstance(field.dataType, T.DoubleType):
             digits = COARSE.get(field.name, 4)
-            rounded = F.round(column + tie_shift(digits), digits)
-            column = F.when(rounded == 0, 0.0).otherwise(rounded)  # no negative zero
+            column = F.round(column + tie_shift(digits), digits)  # decimal rounding: never a negative zero
         elif isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             column = column.cast("string")
         return column.alias(field.name)
