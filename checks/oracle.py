@@ -843,7 +843,7 @@ oracle(
     "crawled",
     "SELECT gender, rank_name, date_month, CAST(page AS INTEGER) AS page FROM (SELECT g.gender, l.rank_name, l.date_month, p.page FROM "
     "(VALUES ('男生'), ('女生')) g(gender), (SELECT n.rank_name, strftime(m.d, '%Y%m') AS date_month FROM (VALUES ('大热'), ('新书'), ('完结')) "
-    "n(rank_name), (SELECT unnest(generate_series(DATE '1995-01-01', DATE '1997-01-01', INTERVAL 1 MONTH)) AS d) m UNION ALL "
+    "n(rank_name), (SELECT unnest(generate_series(DATE '1994-01-01', DATE '1996-01-01', INTERVAL 1 MONTH)) AS d) m UNION ALL "
     "SELECT rank_name, '' FROM (VALUES ('收藏'), ('更新')) u(rank_name)) l, range(1, 6) p(page)) e WHERE NOT EXISTS (SELECT 1 FROM crawled c "
     "WHERE c.gender = e.gender AND c.rank_name = e.rank_name AND c.date_month = e.date_month AND c.page = e.page)",
 )

@@ -572,7 +572,7 @@ def _(spark, sf_dir):
 
 @query("x_coverage_gaps")
 def _(spark, sf_dir):
-    grid = responses.expected_requests(spark, first_month="199501")
+    grid = responses.expected_requests(spark, first_month="199401")
     return responses.coverage_gaps(grid, _items(spark, sf_dir))
 
 

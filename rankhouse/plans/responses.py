@@ -53,7 +53,7 @@ def extract_details(pages: DataFrame, patterns: Mapping[str, str], body: str = "
 
     def field(pattern: str):
         found = F.trim(F.regexp_extract(body, pattern, 1))
-        text = F.when(F.col(body).rlike(pattern) & (found != ""), found).otherwise(F.lit(NOT_FOUND))
+        text = F.when(found != "", found).otherwise(F.lit(NOT_FOUND))
         return F.when(failed, F.lit(REQUEST_FAILED)).otherwise(text)
 
     fields = [field(pattern).alias(name) for name, pattern in patterns.items()]

@@ -21,10 +21,10 @@ def read_layer(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of an input with fewer files than cores, dealt out to all cores; an input of many files stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer splits than cores, dealt out to all cores; a larger input stays as it is read."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def bucket_count(spark: SparkSession, rows: int) -> int:
