@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+from functools import partial
+from threading import RLock
+
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.observations import TIE_BREAKERS, rank_observations
+from rankhouse.fixed_values import ReasonRules
+from rankhouse.plans.features import FEATURES, author_reason
 from rankhouse.plans.layers import Warehouse
 from rankhouse.sources.staging import fresh_path
 from rankhouse.sources.tables import create_database, read_layer
 
 # Titles of the test tables are English.
 HOT_KEYWORDS = "red|hot|small"
+REASON_RULES = ReasonRules(hot_keywords=HOT_KEYWORDS)
+CHECKED_FEATURES = {**FEATURES, "ads_author_reason": partial(author_reason, rules=REASON_RULES)}
 
+_building = RLock()
 _warehouses: dict[tuple[str, str], tuple[Warehouse, set[str]]] = {}
 
 
 def new_warehouse(spark: SparkSession, sf_dir: str, database: str) -> Warehouse:
-    from checks.queries import CHECKED_FEATURES
-
     return Warehouse(
         spark,
         source=lambda: rank_observations(spark, sf_dir),
@@ -29,19 +35,23 @@ def new_warehouse(spark: SparkSession, sf_dir: str, database: str) -> Warehouse:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    with _building:
+        return _built_table(spark, sf_dir, name)
+
+
+def _built_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _warehouses:
-        _warehouses[key] = new_warehouse(spark, sf_dir, f"rankhouse_{len(_warehouses)}"), set()
-        warehouse = _warehouses[key][0]
+        warehouse = new_warehouse(spark, sf_dir, f"rankhouse_{len(_warehouses)}")
         create_database(spark, warehouse.database, warehouse.location)
+        _warehouses[key] = warehouse, set()
     warehouse, written = _warehouses[key]
     if name not in written:
-        steps = dict(warehouse.ods() + warehouse.dwd() + warehouse.ads())
         if name == "dwd_rank_facts":
-            _table(spark, sf_dir, "ods_rank_facts")
+            _built_table(spark, sf_dir, "ods_rank_facts")
         elif name.startswith("ads_"):
-            _table(spark, sf_dir, "dwd_rank_facts")
-        steps[name]()
+            _built_table(spark, sf_dir, "dwd_rank_facts")
+        dict(warehouse.ods() + warehouse.dwd() + warehouse.ads())[name]()
         written.add(name)
     return read_layer(spark, warehouse.table(name))
 

@@ -7,9 +7,9 @@ from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from checks.layers import HOT_KEYWORDS, ads, dwd, new_warehouse, ods
+from checks.layers import CHECKED_FEATURES, REASON_RULES, ads, dwd, new_warehouse, ods
 from checks.observations import TIE_BREAKERS, rank_observations, table, user_heat
-from rankhouse.fixed_values import FEMALE_CHANNEL, MALE_CHANNEL, SERIALISING, ReasonRules
+from rankhouse.fixed_values import FEMALE_CHANNEL, MALE_CHANNEL, SERIALISING
 from rankhouse.functions.expressions import change, flag, percent_change
 from rankhouse.functions.parsing import metric_number, month_start, plain_number, words_number
 from rankhouse.operators import buckets, cleaning, stats, windows
@@ -21,8 +21,6 @@ from rankhouse.sources.staging import fresh_path, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-REASON_RULES = ReasonRules(hot_keywords=HOT_KEYWORDS)
-CHECKED_FEATURES = {**features.FEATURES, "ads_author_reason": partial(features.author_reason, rules=REASON_RULES)}
 
 # Decimals kept for columns whose values reach 1e7 and more; other doubles keep four.
 COARSE = {

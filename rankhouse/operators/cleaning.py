@@ -29,7 +29,9 @@ def drop_column(df: DataFrame, name: str = "intro") -> DataFrame:
 
 
 def replace_newlines(df: DataFrame, column: str = "title") -> DataFrame:
-    """Each line break becomes one space."""
+    """Each line break becomes one space; a table without the column stays as it is."""
+    if column not in df.columns:
+        return df
     return df.withColumn(column, F.regexp_replace(column, NEWLINE_PATTERN, " "))
 
 

@@ -1,7 +1,6 @@
 import datetime
 
 import pytest
-from conftest import values
 from pyspark.sql import functions as F
 
 from rankhouse.functions.expressions import by_ceiling, by_floor, change, first_true, flag, in_bucket, percent_change, ratio

@@ -5,7 +5,7 @@ from conftest import values
 from pyspark.sql import functions as F, types as T
 
 from rankhouse.plans.features import FEATURES
-from rankhouse.plans.layers import Warehouse, resolve_step, run_layers
+from rankhouse.plans.layers import resolve_step, run_layers
 from rankhouse.schema import as_observations
 from rankhouse.sources import items, jdbc, staging, tables
 from checks.layers import new_warehouse
