@@ -69,12 +69,12 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words (bytes other than space and tab to carriage return; never over a text's end), and
-    the position of each text's first word among them (n + 1)."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words (bytes other than space and tab to carriage return, or than those marked in ``outside``;
+    never over a text's end), and the position of each text's first word among them (n + 1)."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~IS_SPACE[data]
+    inside = ~outside[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     begins = inside.copy()

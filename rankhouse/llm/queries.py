@@ -10,8 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from rankhouse.llm.archive import op2_token_archive
 from rankhouse.llm.bpe import op6_bpe_round_trip
 from rankhouse.llm.common import read_table
+from rankhouse.llm.fingerprints import op4_fingerprints
 from rankhouse.llm.packing import op10_best_fit_packing
+from rankhouse.llm.quality_classifier import op5_quality_classifier
+from rankhouse.llm.quality_rules import op7_quality_rules
 from rankhouse.llm.token_counts import op8_token_counts
+from rankhouse.llm.toxicity import op3_toxicity
 
 
 def _over_documents(operator: Callable, tokenizer: str | None = None, labels: bool = False) -> Callable[[SparkSession, str], DataFrame]:
@@ -28,7 +32,11 @@ def _over_documents(operator: Callable, tokenizer: str | None = None, labels: bo
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_archive": _over_documents(op2_token_archive, "byte_bpe_50k.json"),
+    "op3_toxicity": _over_documents(op3_toxicity, labels=True),
+    "op4_fingerprints": _over_documents(op4_fingerprints),
+    "op5_quality_classifier": _over_documents(op5_quality_classifier, labels=True),
     "op6_bpe_round_trip": _over_documents(op6_bpe_round_trip, "word_bpe_49k.json"),
+    "op7_quality_rules": _over_documents(op7_quality_rules, labels=True),
     "op8_token_counts": _over_documents(op8_token_counts, "piece_bpe_32k.model"),
     "op10_best_fit_packing": _over_documents(op10_best_fit_packing, "byte_bpe_50k.json"),
 }
