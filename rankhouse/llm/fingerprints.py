@@ -2,7 +2,7 @@
 
 Every window of WINDOW bytes is ranked by the entropy of its bytes; the fewer bytes repeat, the less likely the window is to occur
 by chance. In every run of RUN neighbouring windows the rarest (the first of equals) gets a point, and windows with POINTS
-or more are the text's features, together with its rarest window. Hashes of the features, each once, go into a chain of Bloom
+or more are the text's features, together with its rarest window; a short text's features need one point only. Hashes of the features, each once, go into a chain of Bloom
 filters of 2048 bits, FEATURES to a filter, five bits each. Likeness compares the filters of the shorter chain with the best
 match in the other: common bits, less those expected by chance, over the most that could be common.
 
@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from rankhouse.llm.common import SpanHashes, id_text
 
-WINDOW = 64
-RUN = 64
-POINTS = 16
+WINDOW = 32
+RUN = 32  # a power of 2
+POINTS = 8
+SHORT = 8 * WINDOW  # bytes of a text up to which a single point is enough
 FEATURES = 160
 FILTER_BYTES = 256
 _HASHES = 5
@@ -42,7 +43,7 @@ def repetition(data: np.ndarray) -> np.ndarray:
         high = min(low + _STRIP, n)
         x = data[low : high + WINDOW - 1]
         later, earlier = np.zeros(len(x), np.uint8), np.zeros(len(x), np.uint8)
-        for lag in range(1, WINDOW):  # how often a byte occurs among the 63 after it, and before it
+        for lag in range(1, WINDOW):  # how often a byte occurs among the WINDOW - 1 after it, and before it
             same = (x[:-lag] == x[lag:]).view(np.uint8) if lag < len(x) else x[:0]
             later[: len(same)] += same
             earlier[lag : lag + len(same)] += same
@@ -68,7 +69,7 @@ def features(texts: list[bytes]) -> list[np.ndarray]:
     windows = np.maximum(sizes - WINDOW + 1, 0)
     owner = np.repeat(np.arange(len(texts)), windows)
     start = begins[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    # a key is the rank with the place: the smallest is the rarest window, the first of equals. RUN is a power of 2
+    # a key is the rank with the place: the smallest is the rarest window, the first of equals
     best = np.full(n + RUN - 1, np.iinfo(np.int64).max)
     best[start] = key = repetition(data)[start] << 32 | start
     reach = 1
@@ -78,6 +79,8 @@ def features(texts: list[bytes]) -> list[np.ndarray]:
     chosen = best[start] & 0xFFFFFFFF
     points = np.bincount(chosen, minlength=n)
     picked = points >= POINTS
+    few = start[(sizes <= SHORT)[owner]]
+    picked[few] = points[few] > 0
     has = np.flatnonzero(windows)
     if len(has):
         at = np.cumsum(windows)[has] - windows[has]

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rankhouse.llm.common import as_bytes, id_text, slices, stage
 from rankhouse.llm.measures import measure
 
-RISK = 0.02  # good documents that a stratum may lose, by all rules together
+RISK = 0.05  # good documents that a stratum may lose, by all rules together
 DOUBT = 0.05  # probability that this fails somewhere
 STRATA = (150, 600)  # words at which the next stratum begins
 CUTOFFS = tuple(float(x) for x in np.round(np.geomspace(1.0, 0.002, 45), 5))  # loose to strict

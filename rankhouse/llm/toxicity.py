@@ -24,7 +24,7 @@ from rankhouse.llm.common import LOWER, SpanHashes, as_bytes, id_text, slices, w
 from rankhouse.llm.quality_classifier import held_out, labelled_sample
 
 EXAMPLES = 40_000  # labelled documents that are learnt from, at most
-TERMS = 1_024  # terms of the vocabulary, at most
+TERMS = 4_096  # terms of the vocabulary, at most
 LEAST_DOCUMENTS = 5  # that a term of the vocabulary occurs in
 SIGNIFICANCE = 6.0  # standard deviations by which toxic documents have it more often
 NEIGHBOURS = 24
