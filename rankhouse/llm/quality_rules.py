@@ -6,8 +6,8 @@ admitted if the exact (Clopper-Pearson) upper bound of its false rejections, the
 rejects, is at most RISK / number of rules. Cutoffs of a rule and stratum are tested in their fixed order and testing ends at
 the first that fails, which needs no correction within the sequence; over all rules and strata the confidence is corrected
 by Bonferroni. So with probability 1 - DOUBT no stratum loses more than RISK of its good documents to all rules
-together. Of the admitted cutoffs the loosest that still finds nearly all bad documents that any of them finds is used; with too
-few labelled documents nothing is admitted, and only the base rules reject.
+together. Of the admitted cutoffs the one is used that finds most bad documents, less PENALTY times the good ones it loses (the
+loosest of equals); with too few labelled documents nothing is admitted, and only the base rules reject.
 
 Defined results: null text has no words; a document without a label is judged like any other; labels that are null or
 contradict each other for a doc_id are not used; an empty table gives no rows."""
@@ -28,7 +28,7 @@ RISK = 0.05  # good documents that a stratum may lose, by all rules together
 DOUBT = 0.05  # probability that this fails somewhere
 STRATA = (150, 600)  # words at which the next stratum begins
 CUTOFFS = tuple(float(x) for x in np.round(np.geomspace(1.0, 0.002, 45), 5))  # loose to strict
-NEARLY_ALL = 0.99
+PENALTY = 5  # bad documents that must be found for each good one that is lost
 
 _BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _MORE = ["n_upper", "n_letters", "n_shouts", "n_lines", "n_stutters"]
@@ -106,10 +106,10 @@ def choose_cutoffs(counts: dict[tuple[str, int], np.ndarray], risk: float = RISK
             allowed = risk / n_rules
             if good == 0 or good_rejected > allowed * good or upper_bound(int(good_rejected), int(good), doubt / tests) > allowed:
                 break
-            admitted.append((cutoff, bad_rejected))
-        most = max((found for _, found in admitted), default=0)
-        if most:
-            chosen[key] = next(cutoff for cutoff, found in admitted if found >= NEARLY_ALL * most)
+            admitted.append((bad_rejected - PENALTY * good_rejected, cutoff))
+        most = max((gain for gain, _ in admitted), default=0)
+        if most > 0:
+            chosen[key] = next(cutoff for gain, cutoff in admitted if gain == most)
     return chosen
 
 
@@ -123,7 +123,11 @@ def fit(measures: DataFrame, labels: DataFrame) -> dict[tuple[str, int], float]:
     rows = measures.where(~base_failed()).join(known, "doc_id")
     names = list(rules())
     levels = F.array(*map(F.lit, CUTOFFS))
-    bins = [F.size(F.filter(levels, lambda cut, v=value: cut > v)).alias(name) for name, value in rules().items()]
+
+    def unreached(value: Column) -> Column:
+        return F.size(F.filter(levels, lambda cutoff: cutoff > value))
+
+    bins = [unreached(value).alias(name) for name, value in rules().items()]
     binned = rows.select(stratum().alias("stratum"), "good", *bins)
     long = binned.unpivot(["stratum", "good"], names, "rule", "bin").groupBy("stratum", "good", "rule", "bin").count()
     counts = {(rule, s): np.zeros((len(CUTOFFS) + 1, 2), np.int64) for rule in names for s in range(len(STRATA) + 1)}
