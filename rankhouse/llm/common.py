@@ -13,6 +13,7 @@ from rankhouse.sources.staging import fresh_path
 
 #: Text bytes a task holds in numpy arrays at once; a single longer text is held whole.
 SLICE_BYTES = 2 << 20
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,12 +25,23 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def with_row_id(docs: DataFrame) -> DataFrame:
+    """(rid, doc_id, text); equal rows have equal ids."""
+    return id_text(docs).select(F.xxhash64("doc_id", "text").alias("rid"), "doc_id", "text")
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the frame as Parquet to the folder all executors share and read it back: lineage ends here, and a lost
-    executor costs no recomputation."""
-    path = fresh_path(df.sparkSession, f"llm-{label}")
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    executor costs no recomputation. The shuffle files of the write are removed when it ends, not when the driver's garbage
+    happens to be collected."""
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, f"llm-{label}")
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -11,9 +11,11 @@ from rankhouse.llm.archive import op2_token_archive
 from rankhouse.llm.bpe import op6_bpe_round_trip
 from rankhouse.llm.common import read_table
 from rankhouse.llm.fingerprints import op4_fingerprints
+from rankhouse.llm.jaccard_join import op1_jaccard_join
 from rankhouse.llm.packing import op10_best_fit_packing
 from rankhouse.llm.quality_classifier import op5_quality_classifier
 from rankhouse.llm.quality_rules import op7_quality_rules
+from rankhouse.llm.suffix_dedup import op9_suffix_dedup
 from rankhouse.llm.token_counts import op8_token_counts
 from rankhouse.llm.toxicity import op3_toxicity
 
@@ -31,6 +33,7 @@ def _over_documents(operator: Callable, tokenizer: str | None = None, labels: bo
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": _over_documents(op1_jaccard_join),
     "op2_token_archive": _over_documents(op2_token_archive, "byte_bpe_50k.json"),
     "op3_toxicity": _over_documents(op3_toxicity, labels=True),
     "op4_fingerprints": _over_documents(op4_fingerprints),
@@ -38,6 +41,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe_round_trip": _over_documents(op6_bpe_round_trip, "word_bpe_49k.json"),
     "op7_quality_rules": _over_documents(op7_quality_rules, labels=True),
     "op8_token_counts": _over_documents(op8_token_counts, "piece_bpe_32k.model"),
+    "op9_suffix_dedup": _over_documents(op9_suffix_dedup),
     "op10_best_fit_packing": _over_documents(op10_best_fit_packing, "byte_bpe_50k.json"),
 }
 LLM_ORACLE: dict[str, str] = {}
