@@ -334,7 +334,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumn("_rid", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
     has_word = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     kept = keyed.where(has_word).join(keepers, "_rid", "left_semi").dropDuplicates(["_rid"])
-    return kept.union(keyed.where(~has_word)).drop("_rid")
+    return kept.unionByName(keyed.where(~has_word)).select(docs.columns)
 
 
 def op1_jaccard_join(docs: DataFrame) -> DataFrame:
