@@ -27,6 +27,7 @@ EXAMPLES = 40_000  # labelled documents that are learnt from, at most
 TERMS = 4_096  # terms of the vocabulary, at most
 LEAST_DOCUMENTS = 5  # that a term of the vocabulary occurs in
 SIGNIFICANCE = 6.0  # standard deviations by which toxic documents have it more often
+LIFT = 3.0  # times the usual share of toxic documents that those with the term have, at least (or half way to all)
 NEIGHBOURS = 24
 BLOCK = 64
 POWER = 4
@@ -37,17 +38,20 @@ _OUTSIDE = np.ones(256, bool)
 _OUTSIDE[[*range(65, 91), *range(97, 123), *range(0x80, 0x100)]] = False
 
 
-def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (text, term hash) pairs ordered by text, and how often each occurs."""
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, term hash) of every term in the texts."""
     starts, ends, first = word_spans(data, offsets, _OUTSIDE)
-    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    hashes = SpanHashes(LOWER[data]).of(starts, ends)
-    order = np.lexsort((hashes, owner))
-    owner, hashes = owner[order], hashes[order]
+    return np.repeat(np.arange(len(offsets) - 1), np.diff(first)), SpanHashes(LOWER[data]).of(starts, ends)
+
+
+def counted(owner: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (text, term) pairs in order, and how often each occurs."""
+    order = np.lexsort((term, owner))
+    owner, term = owner[order], term[order]
     new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
+    new[1:] = (owner[1:] != owner[:-1]) | (term[1:] != term[:-1])
     at = np.flatnonzero(new)
-    return owner[at], hashes[at], np.diff(np.append(at, len(owner)))
+    return owner[at], term[at], np.diff(np.append(at, len(owner)))
 
 
 class Vocabulary:
@@ -59,10 +63,10 @@ class Vocabulary:
     def vectors(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first, term, weight): each text's terms of the vocabulary ascending, weights of length 1."""
         n = len(offsets) - 1
-        owner, hashes, counts = terms(data, offsets)
+        owner, hashes = words(data, offsets)
         at = np.searchsorted(self.hashes, hashes)
         known = (at < len(self.hashes)) & (self.hashes[np.minimum(at, len(self.hashes) - 1)] == hashes) if len(self.hashes) else np.zeros(len(at), bool)
-        owner, term, counts = owner[known], at[known], counts[known]
+        owner, term, counts = counted(owner[known], at[known])
         weight = (1 + np.log(counts)) * self.idf[term]
         norm = np.sqrt(np.bincount(owner, weight * weight, n))
         return np.searchsorted(owner, np.arange(n + 1)), term, weight / norm[owner]
@@ -84,8 +88,9 @@ class BlockMaxIndex:
             group[1] += 1
             group[2] += int(toxic[i])
             group[3] = min(group[3], ids[i])
-        # neighbours in the order of terms share blocks
-        ordered = sorted(groups.values(), key=lambda g: (term[g[0]].tolist(), weight[g[0]].tolist()))
+        # vectors of the same heaviest terms share blocks, which keeps the bounds tight
+        heaviest = [(term[g[0]][np.argsort(-weight[g[0]], kind="stable")].tolist(), g) for g in groups.values()]
+        ordered = [g for _, g in sorted(heaviest, key=lambda h: (h[0], weight[h[1][0]].tolist()))]
         self.n_terms = n_terms
         self.term = np.concatenate([term[g[0]] for g in ordered]) if ordered else np.zeros(0, np.int64)
         self.weight = np.concatenate([weight[g[0]] for g in ordered]) if ordered else np.zeros(0)
@@ -113,14 +118,20 @@ class BlockMaxIndex:
         query = np.zeros(self.n_terms)
         query[term] = weight
         best, cosine = np.zeros(0, np.int64), np.zeros(0)
-        for block in order.tolist():
-            if len(best) >= k and bound[block] < cosine[-1] - 1e-12:
+        done = 0
+        while done < len(order):  # a few blocks first, then, twice as many a time, those whose bound still reaches the k-th cosine
+            if len(best) >= k and bound[order[done]] < cosine[-1] - 1e-9:
                 break
-            low, high = block * BLOCK, min((block + 1) * BLOCK, len(self.ids))
-            span = slice(self.first[low], self.first[high])
-            scores = np.add.reduceat(query[self.term[span]] * self.weight[span], self.first[low:high] - self.first[low])
+            some = np.sort(order[done : done + 2 * max(2, done)])
+            done += len(some)
+            rows = (some[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
+            rows = rows[rows < len(self.ids)]
+            sizes = self.first[rows + 1] - self.first[rows]
+            ends = np.cumsum(sizes)
+            at = np.arange(int(ends[-1])) + np.repeat(self.first[rows] - (ends - sizes), sizes)
+            scores = np.add.reduceat(query[self.term[at]] * self.weight[at], ends - sizes)
             hit = np.flatnonzero(scores > 0)
-            best, cosine = np.append(best, low + hit), np.append(cosine, scores[hit])
+            best, cosine = np.append(best, rows[hit]), np.append(cosine, scores[hit])
             top = np.lexsort((best, -np.round(cosine, 9)))[:k]
             best, cosine = best[top], cosine[top]
         return best, cosine
@@ -190,7 +201,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, example
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            owner, hashes, _ = terms(*as_bytes(batch.column("text")))
+            owner, hashes, _ = counted(*words(*as_bytes(batch.column("text"))))
             toxic = batch.column("label").to_numpy(zero_copy_only=False)[owner]
             which, at, n = np.unique(hashes, return_inverse=True, return_counts=True)
             yield pa.RecordBatch.from_arrays(
@@ -203,8 +214,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, example
     rate = total["toxic"] / total["n"]
     spread = max((rate * (1 - rate)) ** 0.5, 1e-9)
     surplus = (F.col("toxic") - rate * F.col("n")) / (F.sqrt("n") * spread)
-    counted = rows.mapInArrow(count, "term long, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-    chosen = counted.where((F.col("n") >= LEAST_DOCUMENTS) & (surplus >= SIGNIFICANCE)).orderBy(surplus.desc(), "term").limit(TERMS).collect()
+    found = rows.mapInArrow(count, "term long, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    telling = F.col("toxic") >= min(LIFT * rate, (1 + rate) / 2) * F.col("n")
+    chosen = found.where((F.col("n") >= LEAST_DOCUMENTS) & (surplus >= SIGNIFICANCE) & telling).orderBy(surplus.desc(), "term").limit(TERMS).collect()
     vocabulary = Vocabulary(np.array([r["term"] for r in chosen], np.int64).astype(np.uint64), np.array([r["n"] for r in chosen], float), total["n"])
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
