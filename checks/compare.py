@@ -47,6 +47,7 @@ def multiset(columns: list[str], rows) -> Counter:
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+# For small data: both sides are collected.
 def differences(result: DataFrame, db: duckdb.DuckDBPyConnection, sql: str) -> tuple[int, list]:
     """Row count of the Spark result and what does not match: [] or up to three examples of each side."""
     rows = result.collect()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.observations import TIE_BREAKERS, rank_observations
 from rankhouse.fixed_values import ReasonRules
-from rankhouse.plans.features import FEATURES, author_reason
+from rankhouse.plans.features import FEATURES, OVER_NEWEST, author_reason
 from rankhouse.plans.layers import Warehouse
 from rankhouse.sources.staging import fresh_path
 from rankhouse.sources.tables import create_database, read_layer
@@ -23,7 +23,7 @@ _building = RLock()
 _warehouses: dict[tuple[str, str], tuple[Warehouse, set[str]]] = {}
 
 
-def new_warehouse(spark: SparkSession, sf_dir: str, database: str) -> Warehouse:
+def new_warehouse(spark: SparkSession, sf_dir: str, database: str, **options) -> Warehouse:
     return Warehouse(
         spark,
         source=lambda: rank_observations(spark, sf_dir),
@@ -31,6 +31,7 @@ def new_warehouse(spark: SparkSession, sf_dir: str, database: str) -> Warehouse:
         location=fresh_path(spark, database),
         clean_options={"tie_breakers": TIE_BREAKERS},
         features=CHECKED_FEATURES,
+        **options,
     )
 
 
@@ -49,8 +50,8 @@ def _built_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in written:
         if name == "dwd_rank_facts":
             _built_table(spark, sf_dir, "ods_rank_facts")
-        elif name.startswith("ads_"):
-            _built_table(spark, sf_dir, "dwd_rank_facts")
+        elif name == "dwd_newest_facts" or name.startswith("ads_"):
+            _built_table(spark, sf_dir, "dwd_newest_facts" if name in OVER_NEWEST else "dwd_rank_facts")
         dict(warehouse.ods() + warehouse.dwd() + warehouse.ads())[name]()
         written.add(name)
     return read_layer(spark, warehouse.table(name))
@@ -66,6 +67,11 @@ def dwd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "dwd_rank_facts")
 
 
+def newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest row of every book, narrow and bucketed."""
+    return _table(spark, sf_dir, "dwd_newest_facts")
+
+
 def ads(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A feature table."""
     return _table(spark, sf_dir, name)

@@ -5,8 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankhouse.sources.tables import spread
-
 # Ties of one book and date, settled in this order on both sides of the comparison.
 TIE_BREAKERS = "popularity read_count score number rank_name status words_num".split()
 
@@ -19,7 +17,7 @@ COLUMNS = {
     "category1_name": "case when mod(l_partkey,53)=0 then null else p_type end",
     "category2_name": "'S'||cast(cast(floor(p_size/10) as int) as string)",
     "words_num": "case when mod(l_partkey,4)=0 then cast(p_size*4 as string)||'万字' "
-    "when mod(l_partkey,4)=1 then cast(p_size*40000 as string)||'字' when mod(l_partkey,5)=0 then '未找到' "
+    "when mod(l_partkey,4)=1 then cast(p_size*40000 as string)||'字' when mod(l_partkey,59)=0 then '0x1.8p1' when mod(l_partkey,5)=0 then '未找到' "
     "else cast(p_size*40000 as string) end",
     "image_link": "cast(null as string)",
     "status": "case o_orderstatus when 'F' then '1' when 'O' then '0' end",
@@ -30,14 +28,15 @@ COLUMNS = {
     "date_type": "'月榜'",
     "date_month": "date_format(o_orderdate,'yyyyMM')",
     "rank_date": "case when mod(l_orderkey,113)=0 then 'bad' else cast(cast(o_orderdate as date) as string) end",
-    "score": "case when mod(l_orderkey,11)=0 then '未找到' else cast(5+mod(l_partkey,5) as string)||'.'||"
+    "score": "case when mod(l_orderkey,11)=0 then '未找到' when mod(l_orderkey,59)=0 then '0x1p3' when mod(l_orderkey,61)=0 then '5'||char(10) "
+    "when mod(l_orderkey,67)=0 then ' 7.5 ' when mod(l_orderkey,71)=0 then '9.0d' when mod(l_orderkey,73)=0 then '1e1' else cast(5+mod(l_partkey,5) as string)||'.'||"
     "cast(mod(cast(round(l_discount*100) as int),10) as string) end",
     "read_count": "case when mod(l_orderkey,17)=0 then '获取失败' "
     "when mod(p_size,5)=0 then cast(cast(l_quantity as int) as string) "
     "when mod(p_size,5)=1 then cast(cast(l_quantity*1000 as int) as string) "
     "when mod(p_size,5)=2 then cast(cast(l_quantity as int) as string)||'万' "
     "else cast(cast(l_quantity*20 as int) as string)||'万' end",
-    "popularity": "case when mod(l_orderkey,13)=0 then null "
+    "popularity": "case when mod(l_orderkey,13)=0 then null when mod(l_orderkey,59)=0 then '0x1p3万' when mod(l_orderkey,61)=0 then '3e5' "
     "when mod(p_size,4)=0 then cast(cast(floor(l_extendedprice) as bigint) as string) "
     "when mod(p_size,4)=1 then cast(cast(floor(l_extendedprice/100) as bigint) as string)||'万' "
     "when mod(p_size,4)=2 then cast(cast(floor(l_extendedprice/50) as bigint) as string)||'万' "
@@ -55,7 +54,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def rank_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = spread(table(spark, sf_dir, "lineitem"))
+    lineitem = table(spark, sf_dir, "lineitem")
     orders, part = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
     joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(part, F.col("l_partkey") == F.col("p_partkey"))
     return joined.select(*(F.expr(text).alias(name) for name, text in COLUMNS.items()))

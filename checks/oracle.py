@@ -1,10 +1,11 @@
-"""The same results as plain SQL over the test tables, written independently of the Spark jobs."""
+"""The same results as plain SQL over the test tables, written independently of the Spark jobs. Labels, thresholds and patterns in
+the statements are fixed values of the contract."""
 
 from __future__ import annotations
 
 from checks.layers import HOT_KEYWORDS
 from checks.observations import TIE_BREAKERS, duckdb_sql
-from checks.queries import COARSE, tie_shift
+from checks.queries import PAGE_HTML
 
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -208,12 +209,13 @@ CTES |= {
     "trend": TREND,
     "reason": REASON,
     "decay": DECAY,
+    "attenuation": ATTENUATION,
     "recommendation": RECOMMENDATION,
     "pitfalls": PITFALLS,
     "ltv": ltv("dwd"),
     "paying": PAYING,
     "power": POWER,
-    "crawled": "SELECT 'B' || l_partkey AS book_id, CASE WHEN l_partkey % 19 = 0 THEN '?' WHEN l_partkey % 2 = 0 THEN '男生' ELSE '女生' END AS gender, "
+    "crawled": "SELECT 'B' || l_partkey AS book_id, CASE WHEN l_partkey % 19 = 0 THEN '?' WHEN l_linenumber % 2 = 0 THEN '男生' ELSE '女生' END AS gender, "
     "CASE l_orderkey % 5 WHEN 0 THEN '大热' WHEN 1 THEN '新书' WHEN 2 THEN '完结' WHEN 3 THEN '收藏' ELSE '更新' END AS rank_name, "
     "CASE WHEN l_orderkey % 5 >= 3 THEN '' ELSE strftime(o_orderdate, '%Y%m') END AS date_month, CAST(ceil(l_quantity / 10) AS INTEGER) AS page, "
     "CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS number, l_orderkey % 23 = 0 AS error, l_shipdate AS arrival, l_orderkey AS request, "
@@ -244,6 +246,7 @@ READS = {
     "trend": ["dwd"],
     "reason": ["cur"],
     "decay": ["dwd"],
+    "attenuation": ["decay"],
     "recommendation": ["cur"],
     "pitfalls": ["cur"],
     "ltv": ["dwd"],
@@ -269,16 +272,14 @@ def _needed(names: list[str]) -> list[str]:
     return [name for name in CTES if name in found]
 
 
-def oracle(key: str, uses: str, sql: str, doubles: str = "", texts: str = "", extra: dict[str, str] | None = None) -> None:
-    """Register a statement. ``uses`` names the common expressions, ``doubles`` the columns to round, ``texts`` the dates."""
+def oracle(key: str, uses: str, sql: str, doubles: str = "", extra: dict[str, str] | None = None) -> None:
+    """Register a statement. ``uses`` names the common expressions, ``doubles`` the columns compared in single precision."""
     chain = [f"{name} AS MATERIALIZED ({CTES[name]})" for name in _needed(uses.split())]
     chain += [f"{name} AS ({body})" for name, body in (extra or {}).items()]
     replaced = []
     for c in doubles.split():
-        digits = COARSE.get(c, 4)
-        rounded = f"round(CAST({c} AS DOUBLE) + {tie_shift(digits):.16f}, {digits})"
-        replaced.append(f"CASE WHEN {rounded} = 0 THEN CAST(0 AS DOUBLE) ELSE {rounded} END AS {c}")
-    replaced += [f"CAST({c} AS VARCHAR) AS {c}" for c in texts.split()]
+        single = f"CAST(CAST({c} AS FLOAT) AS DOUBLE)"
+        replaced.append(f"CASE WHEN {single} = 0 THEN CAST(0 AS DOUBLE) ELSE {single} END AS {c}")
     outer = f"SELECT * REPLACE ({', '.join(replaced)}) FROM ({sql}) result" if replaced else sql
     ORACLE[key] = (f"WITH {', '.join(chain)} " if chain else "") + outer
 
@@ -287,7 +288,7 @@ ALL = " ".join(METRICS)
 COLS = ", ".join(METRICS)
 
 # --- sources and sinks ------------------------------------------------------------------------------------------
-oracle("src_layer_table", "dwd", f"SELECT book_id, rank_date, rank_name, {COLS} FROM dwd", ALL, "rank_date")
+oracle("src_layer_table", "dwd", f"SELECT book_id, rank_date, rank_name, {COLS} FROM dwd", ALL)
 oracle("sink_layer_write", "ods", "SELECT book_id, title, rank_date, popularity, count(*) OVER () AS rows_written FROM ods")
 oracle(
     "sink_layer_append",
@@ -304,10 +305,11 @@ oracle("sink_json", "ods", "SELECT book_id, title, author, words_num, status, nu
 _COUNTS = {
     "ods_rank_facts": "ods",
     "dwd_rank_facts": "dwd",
+    "dwd_newest_facts": "cur",
     "ads_platform_heat": "heat",
     "ads_platform_ranking_trend": "trend",
     "ads_author_reason": "reason",
-    "ads_author_attenuation_effect": "ltv",
+    "ads_author_attenuation_effect": "attenuation",
     "ads_user_layered_recommendation": "recommendation",
     "ads_user_avoid_pitfalls": "pitfalls",
     "ads_capital_ltv": "ltv",
@@ -315,10 +317,19 @@ _COUNTS = {
 }
 oracle(
     "layers_run",
-    "ods dwd heat trend reason recommendation pitfalls ltv power",
+    "ods dwd cur heat trend reason attenuation recommendation pitfalls ltv power",
     " UNION ALL ".join(f'SELECT \'{name}\' AS layer, true AS ok, (SELECT count(*) FROM {cte}) AS "rows"' for name, cte in _COUNTS.items()),
 )
 
+oracle(
+    "src_sample",
+    "dwd",
+    "SELECT book_id, rank_date, numeric_popularity FROM dwd WHERE CAST('0x' || substr(md5(coalesce(book_id, '') || '|0'), 1, 13) AS BIGINT) "
+    f"< {int(0.1 * 16**13)}",
+    "numeric_popularity",
+)
+oracle("layers_append", "dwd", f"SELECT book_id, rank_date, rank_name, status, {COLS} FROM dwd", ALL)
+
 # --- cleaning ---------------------------------------------------------------------------------------------------
 oracle("clean_drop_column", "obs", "SELECT book_id, author, rank_date FROM obs")
 oracle("clean_newlines", "ods", "SELECT book_id, title, rank_date FROM ods")
@@ -342,8 +353,8 @@ oracle(
 )
 oracle("clean_score_parse", "ods", f"SELECT book_id, score AS score_text, {number('score')} AS numeric_score FROM ods", "numeric_score")
 oracle("clean_words_parse", "ods", f"SELECT book_id, words_num, {words('words_num')} AS numeric_words FROM ods", "numeric_words")
-oracle("clean_mean_fill", "filled", f"SELECT book_id, rank_date, {COLS} FROM filled", ALL, "rank_date")
-oracle("clean_iqr_cap", "capped", "SELECT book_id, rank_date, numeric_popularity FROM capped", "numeric_popularity", "rank_date")
+oracle("clean_mean_fill", "filled", f"SELECT book_id, rank_date, {COLS} FROM filled", ALL)
+oracle("clean_iqr_cap", "capped", "SELECT book_id, rank_date, numeric_popularity FROM capped", "numeric_popularity")
 oracle(
     "clean_fill_labels",
     "ods",
@@ -358,7 +369,7 @@ oracle(
     f"AS data_quality_score FROM (SELECT book_id, rank_date, {_PARSED} FROM ods)",
     "data_quality_score",
 )
-oracle("clean_all", "dwd", "SELECT * FROM dwd", ALL + " data_quality_score", "rank_date created_at updated_at")
+oracle("clean_all", "dwd", "SELECT * FROM dwd", ALL + " data_quality_score")
 
 # --- aggregates -------------------------------------------------------------------------------------------------
 oracle("agg_global_means", "dwd", "SELECT " + ", ".join(f"avg({m}) AS {m}" for m in METRICS) + " FROM dwd", ALL)
@@ -374,37 +385,33 @@ oracle(
 oracle(
     "agg_feature_groups",
     "dwd",
-    f"SELECT {REASON_KEYS}, count(book_id) AS book_count, avg(numeric_popularity) AS avg_popularity, avg(title_length) AS avg_title_length "
-    f"FROM ({titled('dwd')}) GROUP BY {REASON_KEYS}",
-    "avg_popularity avg_title_length",
+    f"SELECT * EXCLUDE (heat_index) FROM ({REASON.replace(titled('cur'), titled('dwd'))})",
+    "avg_popularity avg_score avg_words avg_intro_length avg_title_length",
 )
 oracle(
     "agg_attenuation",
     "decay",
-    f"SELECT {DECAY_KEYS}, max(peak) AS peak_popularity, min(numeric_popularity) AS lowest_popularity, avg(attenuation_rate) AS avg_attenuation_rate, "
-    f"CAST(max(days_from_peak) AS INTEGER) AS lifecycle_days, max(is_moderate) AS has_moderate_attenuation FROM decay GROUP BY {DECAY_KEYS}",
-    "peak_popularity lowest_popularity avg_attenuation_rate",
+    f"SELECT * EXCLUDE (total_attenuation, attenuation_type, recommended_new_book_days) FROM ({ATTENUATION})",
+    "peak_popularity lowest_popularity avg_attenuation_rate avg_attenuation_speed avg_score",
 )
 _TOTAL_DOUBLES = "total_heat_integral avg_popularity peak_popularity lowest_popularity avg_score avg_read_count total_words"
-oracle("agg_ltv", "dwd", totals("dwd"), _TOTAL_DOUBLES, "first_rank_date latest_rank_date")
+oracle("agg_ltv", "dwd", totals("dwd"), _TOTAL_DOUBLES)
 oracle(
     "agg_purchasing",
-    "paying",
-    f"SELECT {POWER_KEYS}, avg(arpu_indicator) AS avg_arpu, max(arpu_indicator) AS max_arpu, avg(fan_quality_index) AS avg_fan_quality, "
-    f"max(is_payment_rank) AS has_payment_rank, count(*) AS appearance_count FROM paying GROUP BY {POWER_KEYS}",
-    "avg_arpu max_arpu avg_fan_quality",
+    "power",
+    "SELECT * EXCLUDE (fan_value_score, investment_value_level, investment_recommendation) FROM power",
+    "avg_arpu max_arpu avg_fan_quality avg_score avg_read_count avg_popularity",
 )
 
 # --- windows ----------------------------------------------------------------------------------------------------
-oracle("win_dedup_latest", "uniq", "SELECT book_id, rank_date, popularity, score, updated_at FROM uniq", "", "updated_at")
-oracle("win_latest_per_entity", "cur", f"SELECT book_id, rank_date, rank_name, status, {COLS} FROM cur", ALL, "rank_date")
+oracle("win_dedup_latest", "uniq", "SELECT book_id, rank_date, popularity, score, updated_at FROM uniq")
+oracle("win_latest_per_entity", "cur", f"SELECT book_id, rank_date, rank_name, status, {COLS} FROM cur", ALL)
 oracle(
     "win_latest_per_entity_list",
     "dwd",
     "SELECT book_id, rank_name, rank_date, numeric_popularity FROM dwd "
     "QUALIFY row_number() OVER (PARTITION BY book_id, rank_name ORDER BY rank_date DESC) = 1",
     "numeric_popularity",
-    "rank_date",
 )
 for _key, _metric, _name in (
     ("win_lag_popularity", "numeric_popularity", "prev_day_popularity"),
@@ -415,14 +422,12 @@ for _key, _metric, _name in (
         "dwd",
         f"SELECT book_id, rank_date, {_metric}, lag({_metric}) OVER (PARTITION BY book_id ORDER BY rank_date) AS {_name} FROM dwd",
         f"{_metric} {_name}",
-        "rank_date",
     )
 oracle(
     "win_lag_of_lag",
     "momentum",
     "SELECT book_id, rank_date, popularity_diff, prev_popularity_diff, popularity_acceleration FROM momentum",
     "popularity_diff prev_popularity_diff popularity_acceleration",
-    "rank_date",
 )
 oracle(
     "win_category_avg",
@@ -430,14 +435,12 @@ oracle(
     "SELECT book_id, rank_date, category1_name, popularity_growth_rate, avg(popularity_growth_rate) OVER (PARTITION BY category1_name) "
     "AS category_avg_growth_rate FROM momentum",
     "popularity_growth_rate category_avg_growth_rate",
-    "rank_date",
 )
 oracle(
     "win_peak",
     "dwd",
     "SELECT book_id, rank_date, numeric_popularity, max(numeric_popularity) OVER (PARTITION BY book_id) AS peak_popularity FROM dwd",
     "numeric_popularity peak_popularity",
-    "rank_date",
 )
 oracle(
     "win_peak_date",
@@ -445,7 +448,6 @@ oracle(
     "SELECT book_id, rank_date, numeric_popularity, first_value(rank_date) OVER (PARTITION BY book_id ORDER BY numeric_popularity DESC, rank_date) "
     "AS peak_date FROM dwd",
     "numeric_popularity",
-    "rank_date peak_date",
 )
 _CUR = "SELECT book_id, category1_name, category2_name, gender_type, numeric_popularity"
 oracle(
@@ -482,7 +484,6 @@ oracle(
     "(value - 8) / 8 * 100 AS from_eight, CAST(strptime(date_month || '01', '%Y%m%d') AS DATE) AS month_day "
     f"FROM (SELECT *, {number('score')} AS value, TRY_CAST(rank_date AS DATE) AS day FROM ods)",
     "capped rounded_two rounded_four read_value words_value no_change from_eight",
-    "month_day",
 )
 
 # --- feature tables ---------------------------------------------------------------------------------------------
@@ -492,14 +493,12 @@ oracle(
     "heat",
     "SELECT * FROM heat",
     f"{_PRS} prev_day_popularity popularity_diff popularity_growth_rate prev_popularity_diff popularity_acceleration category_avg_growth_rate",
-    "rank_date created_at",
 )
 oracle(
     "ads_platform_ranking_trend",
     "trend",
     "SELECT * FROM trend",
     f"{_PRS} prev_read_count read_count_growth read_count_growth_rate ranking_conversion_rate recommend_weight",
-    "rank_date",
 )
 oracle("ads_author_reason", "reason", "SELECT * FROM reason", "avg_popularity avg_score avg_words avg_intro_length avg_title_length heat_index")
 oracle(
@@ -519,20 +518,18 @@ oracle(
     "pitfalls",
     "SELECT * FROM pitfalls",
     f"{_PRS} heat_score_ratio read_conversion recommendation_weight",
-    "rank_date",
 )
 oracle(
     "ads_capital_ltv",
     "ltv",
     "SELECT * FROM ltv",
     f"{_TOTAL_DOUBLES} daily_avg_heat heat_volatility heat_stability ltv_score",
-    "first_rank_date latest_rank_date",
 )
 _POWER_DOUBLES = "avg_arpu max_arpu avg_fan_quality avg_score avg_read_count avg_popularity fan_value_score"
 oracle("ads_capital_future_purchasing_power", "power", "SELECT * FROM power", _POWER_DOUBLES)
 oracle(
     "ads_all",
-    "heat trend reason recommendation pitfalls ltv power",
+    "heat trend reason attenuation recommendation pitfalls ltv power",
     " UNION ALL ".join(
         f"SELECT '{name}' AS feature, (SELECT count(*) FROM {cte}) AS row_count" for name, cte in _COUNTS.items() if name.startswith("ads_")
     ),
@@ -542,7 +539,6 @@ oracle(
     "paying",
     "SELECT book_id, rank_date, rank_number, fan_quality_index, is_high_arpu, fan_stickiness_level, purchasing_power_rating FROM paying",
     "rank_number fan_quality_index",
-    "rank_date",
 )
 _USER_MOMENTUM = MOMENTUM.replace("FROM dwd", "FROM users")
 oracle(
@@ -550,7 +546,6 @@ oracle(
     "users",
     "SELECT book_id, category1_name, rank_date, popularity_diff, popularity_acceleration, is_new_book, heat_level FROM user_heat",
     "popularity_diff popularity_acceleration",
-    "rank_date",
     {"momentum": _USER_MOMENTUM, "user_heat": HEAT},
 )
 oracle(
@@ -584,8 +579,7 @@ oracle(
 oracle(
     "q_wordcount_vs_heat",
     "ltv",
-    "SELECT total_words AS word_count, avg_popularity AS heat FROM ltv WHERE total_words <> 0 AND avg_popularity <> 0 "
-    "ORDER BY book_id, title, status LIMIT 500",
+    "SELECT total_words AS word_count, avg_popularity AS heat FROM ltv WHERE total_words <> 0 AND avg_popularity <> 0",
     "word_count heat",
 )
 oracle(
@@ -617,7 +611,7 @@ oracle(
 oracle(
     "q_payment_power",
     "power",
-    "SELECT book_id, title, avg_arpu AS arpu, avg_fan_quality AS fan_quality, investment_value_level AS level FROM power ORDER BY book_id, title LIMIT 200",
+    "SELECT book_id, title, avg_arpu AS arpu, avg_fan_quality AS fan_quality, investment_value_level AS level FROM power",
     "arpu fan_quality",
 )
 
@@ -628,7 +622,6 @@ oracle(
     "SELECT book_id, title, category1_name, popularity_diff, popularity_acceleration, rank_date FROM heat "
     "WHERE popularity_growth_rate >= 50 AND rank_date = (SELECT max(rank_date) FROM heat) ORDER BY popularity_acceleration DESC, book_id LIMIT 10",
     "popularity_diff popularity_acceleration",
-    "rank_date",
 )
 oracle(
     "doc_unworthy_report",
@@ -683,8 +676,6 @@ oracle(
     "dwd",
     "SELECT book_id, rank_date, status, CAST(date_diff('day', min(CASE WHEN status = '已完结' THEN rank_date END) OVER (PARTITION BY book_id), "
     "rank_date) AS INTEGER) AS days_since_completion FROM dwd",
-    "",
-    "rank_date",
 )
 oracle(
     "doc_category_avg_heat",
@@ -718,8 +709,11 @@ oracle(
 oracle(
     "doc_words_regression",
     "cur",
-    "SELECT category1_name, count(*) AS book_count, regr_slope(numeric_popularity, numeric_words) AS slope, "
-    "corr(numeric_popularity, numeric_words) AS correlation FROM cur GROUP BY category1_name",
+    "SELECT category1_name, feature, count(*) AS book_count, regr_slope(numeric_popularity, x) AS slope, "
+    "CASE WHEN min(x) < max(x) AND min(numeric_popularity) < max(numeric_popularity) THEN corr(numeric_popularity, x) END AS correlation "
+    "FROM (SELECT category1_name, numeric_popularity, f.feature, CAST(CASE f.feature WHEN 'numeric_words' THEN numeric_words WHEN 'title_length' THEN title_length "
+    f"ELSE has_hot_keywords END AS DOUBLE) AS x FROM ({titled('cur')}) t, (VALUES ('numeric_words'), ('title_length'), ('has_hot_keywords')) f(feature)) "
+    "GROUP BY category1_name, feature",
     "slope correlation",
 )
 oracle(
@@ -770,7 +764,6 @@ oracle(
     "SELECT book_id, rank_date, " + ", ".join(f"coalesce({m}, m_{m}) AS {m}" for m in METRICS) + " FROM num, (SELECT "
     + ", ".join(f"quantile_cont({m}, 0.5) AS m_{m}" for m in METRICS) + " FROM num) middle",
     ALL,
-    "rank_date",
 )
 oracle(
     "fill_strategy_mode",
@@ -781,7 +774,6 @@ oracle(
     )
     + " FROM num",
     ALL,
-    "rank_date",
 )
 
 # --- stored responses -------------------------------------------------------------------------------------------
@@ -817,26 +809,25 @@ oracle(
             ("page_lang", '<html lang="([a-z]+)"'),
             ("page_title", "<title>([^<]*)</title>"),
             ("first_link", '<a href="/([^"]*)"'),
-            ("score", "<em>([0-9.]+)</em>"),
+            ("score", '<em class="score">([^<]*)</em>'),
+            ("read_count", '<em class="read_count">([^<]*)</em>'),
+            ("popularity", '<em class="popularity">([^<]*)</em>'),
         )
     )
-    + ", html IS NULL AS error, CASE WHEN html IS NULL THEN 'no response' ELSE '' END AS error_msg FROM pages",
+    + ", html IS NULL AS error, CASE WHEN html IS NULL THEN 'no response' ELSE '' END AS error_msg FROM "
+    f"(SELECT * REPLACE ({PAGE_HTML.replace('as string', 'as varchar')} AS html) FROM pages)",
 )
 oracle(
     "x_upsert_latest",
     "crawled",
     "SELECT book_id, rank_name, date_month, gender, number, arrival, request FROM crawled WHERE gender <> '?' QUALIFY row_number() OVER "
-    "(PARTITION BY book_id, rank_name, date_month ORDER BY arrival DESC, request, number, response_size, gender) = 1",
-    "",
-    "arrival",
+    "(PARTITION BY gender, book_id, rank_name, date_month ORDER BY arrival DESC, request, number, response_size, page) = 1",
 )
 oracle(
     "x_gender_unify",
     "crawled",
     "SELECT book_id, rank_name, date_month, number, CASE gender WHEN '男生' THEN 'male' ELSE 'female' END AS gender_type, "
     "CASE WHEN date_month = '' THEN NULL ELSE CAST(strptime(date_month || '01', '%Y%m%d') AS DATE) END AS rank_date FROM crawled WHERE gender <> '?'",
-    "",
-    "rank_date",
 )
 oracle(
     "x_coverage_gaps",

@@ -1,4 +1,4 @@
-"""One query per operator. Results are settled for comparison: computed doubles rounded, dates and timestamps as text."""
+"""One query per operator. Results are settled for comparison: doubles keep single precision, other types are native."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from checks.layers import CHECKED_FEATURES, REASON_RULES, ads, dwd, new_warehouse, ods
+from checks.layers import CHECKED_FEATURES, REASON_RULES, ads, dwd, new_warehouse, newest, ods
 from checks.observations import TIE_BREAKERS, rank_observations, table, user_heat
 from rankhouse.fixed_values import FEMALE_CHANNEL, MALE_CHANNEL, SERIALISING
 from rankhouse.functions.expressions import change, flag, percent_change
@@ -22,33 +22,14 @@ from rankhouse.sources.staging import fresh_path, materialize
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# Decimals kept for columns whose values reach 1e7 and more; other doubles keep four.
-COARSE = {
-    name: 1
-    for name in (
-        "numeric_popularity numeric_read_count prev_day_popularity popularity_diff prev_popularity_diff popularity_acceleration "
-        "popularity_growth_rate category_avg_growth_rate prev_read_count read_count_growth read_count_growth_rate "
-        "ranking_conversion_rate avg_popularity peak_popularity lowest_popularity avg_attenuation_rate avg_attenuation_speed "
-        "attenuation_speed prev_popularity total_heat_integral avg_read_count daily_avg_heat category_avg_popularity "
-        "category_avg_heat current_heat previous_heat heat avg_heat growth_rate read_conversion ltv_log_score heat_area "
-        "category_avg keyword_avg q1 median q3 metric popularity read_count group_avg"
-    ).split()
-}
-
-
-def tie_shift(digits: int) -> float:
-    """Added before rounding on both sides, so that no decimal such as 0.66375 sits exactly between two results."""
-    return 0.0123456789 / 10**digits
-
-
 def settle(df: DataFrame) -> DataFrame:
+    """Doubles as they are to 24 binary digits, about seven decimal ones: relative to size, what the order of a sum can change is far
+    below that. Adding zero makes a negative zero a zero. All other types stay."""
+
     def settled(field: T.StructField):
         column = F.col(field.name)
         if isinstance(field.dataType, T.DoubleType):
-            digits = COARSE.get(field.name, 4)
-            column = F.round(column + tie_shift(digits), digits)  # decimal rounding: never a negative zero
-        elif isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            column = column.cast("string")
+            column = column.cast("float").cast("double") + F.lit(0.0)
         return column.alias(field.name)
 
     return df.select(*map(settled, df.schema.fields))
@@ -113,9 +94,22 @@ def _(spark, sf_dir):
     return run_layers(warehouse, ["ods", "dwd", "ads"]).select("layer", "ok", "rows")
 
 
+@query("layers_append")
+def _(spark, sf_dir):
+    """Two loads of the raw layer, the second repeats some months of the first; then the cleaned layer over all of them."""
+    path = fresh_path(spark, "layers_append")
+    warehouse = new_warehouse(spark, sf_dir, f"appended_{path.split('/')[-2]}", append=True)
+    everything = warehouse.source
+    warehouse.source = lambda: everything().where("date_month < '199507'")
+    run_layers(warehouse, ["ods"])
+    warehouse.source = lambda: everything().where("date_month >= '199501'")
+    run_layers(warehouse, ["ods", "dwd"])
+    return tables.read_layer(spark, warehouse.table("dwd_rank_facts")).select("book_id", "rank_date", "rank_name", "status", *METRICS)
+
+
 @query("src_sample")
 def _(spark, sf_dir):
-    """A tenth of the books, with all their rows."""
+    """A tenth of the books, with all their rows; the same ones in any engine."""
     return tables.sample(dwd(spark, sf_dir), 0.1, keys=["book_id"]).select("book_id", "rank_date", "numeric_popularity")
 
 
@@ -206,7 +200,7 @@ def _(spark, sf_dir):
 
 @query("clean_all")
 def _(spark, sf_dir):
-    return cleaning.clean_all(ods(spark, sf_dir), tie_breakers=TIE_BREAKERS, materialize=materialize)
+    return cleaning.clean_all(ods(spark, sf_dir), tie_breakers=TIE_BREAKERS)
 
 
 # --- aggregates -------------------------------------------------------------------------------------------------
@@ -225,20 +219,12 @@ def _(spark, sf_dir):
 @query("agg_feature_groups")
 def _(spark, sf_dir):
     """The feature groups over the whole history instead of the newest rows."""
-    grouped = features.title_features(dwd(spark, sf_dir), REASON_RULES).groupBy(*features.REASON_GROUPS)
-    return grouped.agg(F.count("book_id").alias("book_count"), F.avg("numeric_popularity").alias("avg_popularity"), F.avg("title_length").alias("avg_title_length"))
+    return features.reason_totals(dwd(spark, sf_dir), REASON_RULES)
 
 
 @query("agg_attenuation")
 def _(spark, sf_dir):
-    grouped = features.decay_steps(dwd(spark, sf_dir)).groupBy(*features.ATTENUATION_GROUPS)
-    return grouped.agg(
-        F.max("peak_popularity").alias("peak_popularity"),
-        F.min("numeric_popularity").alias("lowest_popularity"),
-        F.avg("attenuation_rate").alias("avg_attenuation_rate"),
-        F.max("days_from_peak").alias("lifecycle_days"),
-        F.max("is_moderate_attenuation").alias("has_moderate_attenuation"),
-    )
+    return features.attenuation_totals(dwd(spark, sf_dir))
 
 
 @query("agg_ltv")
@@ -248,14 +234,7 @@ def _(spark, sf_dir):
 
 @query("agg_purchasing")
 def _(spark, sf_dir):
-    grouped = features.paying_rows(dwd(spark, sf_dir)).groupBy(*features.PURCHASING_GROUPS)
-    return grouped.agg(
-        F.avg("arpu_indicator").alias("avg_arpu"),
-        F.max("arpu_indicator").alias("max_arpu"),
-        F.avg("fan_quality_index").alias("avg_fan_quality"),
-        F.max("is_payment_rank").alias("has_payment_rank"),
-        F.count("*").alias("appearance_count"),
-    )
+    return features.purchasing_totals(dwd(spark, sf_dir))
 
 
 # --- windows ----------------------------------------------------------------------------------------------------
@@ -366,7 +345,8 @@ def _(spark, sf_dir):
 # --- feature tables ---------------------------------------------------------------------------------------------
 def _register_features():
     for name, feature in CHECKED_FEATURES.items():
-        query(name)(lambda spark, sf_dir, feature=feature: feature(dwd(spark, sf_dir)))
+        layer = newest if name in features.OVER_NEWEST else dwd
+        query(name)(lambda spark, sf_dir, feature=feature, layer=layer: feature(layer(spark, sf_dir)))
 
 
 _register_features()
@@ -458,7 +438,7 @@ _over_dwd("custom_feature_roi", extras.roi)
 _over_dwd("doc_ranking_stability", extras.ranking_stability)
 _over_dwd("doc_days_since_completion", extras.days_since_completion)
 _over_dwd("doc_keyword_lift", partial(extras.keyword_lift, rules=REASON_RULES))
-_over_dwd("doc_words_regression", extras.words_regression)
+_over_dwd("doc_words_regression", partial(extras.words_regression, rules=REASON_RULES))
 _over_dwd("doc_heat_trapezoid", extras.heat_trapezoid)
 _over_dwd("rule_author_levels", buckets.author_levels)
 _over_dwd("rule_heat_levels", lambda df: buckets.heat_levels(df).groupBy("heat_level").agg(F.count("*").alias("row_count")))
@@ -507,36 +487,44 @@ def rank_list_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     good = F.to_json(F.struct(F.struct(parts.alias("table_data")).alias("data")))
     body = F.when(F.col("o_orderkey") % 13 == 0, F.lit("<html>busy</html>")).when(F.col("o_orderkey") % 17 == 0, F.lit('{"msg":"rate limited"}')).otherwise(good)
-    return tables.spread(table(spark, sf_dir, "orders")).select("o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("date_month"), body.alias("body"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("date_month"), body.alias("body"))
 
 
 @query("x_ranklist_flatten")
 def _(spark, sf_dir):
-    return responses.flatten_rank_lists(rank_list_responses(spark, sf_dir))
+    return responses.split_rank_lists(rank_list_responses(spark, sf_dir))[0]
 
 
 @query("x_ranklist_rejects")
 def _(spark, sf_dir):
-    return responses.rejected_rank_lists(rank_list_responses(spark, sf_dir))
+    return responses.split_rank_lists(rank_list_responses(spark, sf_dir))[1]
 
 
 PAGE_PATTERNS = {
     "page_lang": '<html lang="([a-z]+)"',
     "page_title": "<title>([^<]*)</title>",
     "first_link": '<a href="/([^"]*)"',
-    "score": "<em>([0-9.]+)</em>",
+    **responses.DETAIL_PATTERNS,
 }
+#: Pages without an answer, and pages with some of the detail fields: padded, empty or absent.
+PAGE_HTML = (
+    "case when mod(page_id,11)=0 then null else concat(html, case when mod(page_id,3)=0 then '<em class=\"score\"> 8.5 </em>' "
+    "when mod(page_id,3)=1 then '<em class=\"score\">  </em>' else '' end, case when mod(page_id,2)=0 then concat('<em class=\"read_count\">', "
+    "cast(page_id as string), '万</em>') else '' end, case when mod(page_id,5)=0 then '<em class=\"popularity\">3亿</em><em class=\"popularity\">4</em>' "
+    "else '' end) end"
+)
 
 
 @query("x_detail_extract")
 def _(spark, sf_dir):
-    return responses.extract_details(tables.spread(table(spark, sf_dir, "pages")), PAGE_PATTERNS)
+    pages = table(spark, sf_dir, "pages").withColumn("html", F.expr(PAGE_HTML))
+    return responses.extract_details(pages, PAGE_PATTERNS)
 
 
 def _items(spark, sf_dir):
-    """Crawled items: channel, list, month and outcome, in order of arrival."""
-    rows = tables.spread(table(spark, sf_dir, "lineitem")).join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    channel = F.when(F.col("l_partkey") % 19 == 0, F.lit("?")).when(F.col("l_partkey") % 2 == 0, F.lit(MALE_CHANNEL)).otherwise(F.lit(FEMALE_CHANNEL))
+    """Crawled items: channel, list, month and outcome, in order of arrival. Books are listed in both channels."""
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    channel = F.when(F.col("l_partkey") % 19 == 0, F.lit("?")).when(F.col("l_linenumber") % 2 == 0, F.lit(MALE_CHANNEL)).otherwise(F.lit(FEMALE_CHANNEL))
     lists = F.element_at(F.array(*map(F.lit, ("大热", "新书", "完结", "收藏", "更新"))), (F.col("l_orderkey") % 5 + 1).cast("int"))
     month = F.when(F.col("l_orderkey") % 5 >= 3, F.lit("")).otherwise(F.date_format("o_orderdate", "yyyyMM"))
     return rows.select(
@@ -555,9 +543,12 @@ def _items(spark, sf_dir):
 
 @query("x_upsert_latest")
 def _(spark, sf_dir):
+    """A stored table, then a later load merged into the months that it brings."""
     known = responses.known_channels(_items(spark, sf_dir)).drop("error")
-    stored, arrived = known.where("arrival < timestamp'1996-01-01'"), known.where("arrival >= timestamp'1996-01-01'")
-    merged = responses.upsert_latest(stored, arrived, tie_breakers=["request", "number", "response_size", "gender"])
+    path, ties = fresh_path(spark, "x_upsert_latest"), ["request", "number", "response_size", "page"]
+    responses.store_upsert(path, known.where("arrival < timestamp'1996-01-01'"), tie_breakers=ties)
+    responses.store_upsert(path, known.where("arrival >= timestamp'1996-01-01'"), tie_breakers=ties)
+    merged = responses.stored_items(spark, path, known.schema)
     return merged.select("book_id", "rank_name", "date_month", "gender", "number", "arrival", "request")
 
 

@@ -10,6 +10,7 @@ INF = float("inf")
 METRIC_UNITS = {"亿": 100000000.0, "万": 10000.0}
 WORD_UNITS = {"万字": 10000.0, "字": 1.0}
 URL_PATTERN = "^https?://"
+DECIMAL_PATTERN = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 DATE_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 NEWLINE_PATTERN = "[\n\r]"
 INVALID_TITLES = ("0", "1")
@@ -25,7 +26,6 @@ LABEL_DEFAULTS = {
     "gender_type": "unknown",
 }
 NOT_FOUND = "未找到"
-FETCH_FAILED = "获取失败"
 REQUEST_FAILED = "请求失败"
 MALE_CHANNEL = "男生"
 FEMALE_CHANNEL = "女生"
@@ -54,6 +54,8 @@ WORDS_RANGES = (
 ATTENUATION_TYPES = ((20, "稳定型"), (50, "缓慢衰减"), (80, "快速衰减"), (None, "断崖式衰减"))
 
 # --- Fixed values: labels picked by the first true flag ----------------------------------------------------------
+INVESTED_IP_LEVELS = ("S级", "A级")  # of the report on investments
+TOP_INVESTMENT_LEVEL = "S级"
 RISK_LEVELS = ("高风险", "中风险", "低风险", "正常")
 RISK_WEIGHTS = (0.3, 0.5, 0.7, 1.0)
 RISK_ADVICE = ("强烈建议避开，疑似刷榜", "谨慎阅读，评分较低", "注意，热度与实际阅读不符", "可正常阅读")

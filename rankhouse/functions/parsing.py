@@ -6,14 +6,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
 
-from rankhouse.fixed_values import METRIC_UNITS, WORD_UNITS
+from rankhouse.fixed_values import DECIMAL_PATTERN, METRIC_UNITS, WORD_UNITS
 
 
 def plain_number(text: Column) -> Column:
-    """Double value of a trimmed decimal text. Words, NaN and Java suffixes such as ``9.0d`` give NULL: everything the
-    cast accepts beyond decimals ends in a letter, and so do most words, which saves a failing cast."""
+    """Double value of a text that is, but for spaces around it, a decimal number as a whole. Words, NaN, hexadecimal numbers,
+    line breaks and Java suffixes such as ``9.0d`` give NULL; the cast alone would accept some of them."""
     trimmed = F.trim(text)
-    return F.when(F.substring(trimmed, -1, 1) <= "9", trimmed.try_cast("double"))
+    return F.when(trimmed.rlike(DECIMAL_PATTERN), trimmed.try_cast("double"))
 
 
 def number_with_unit(text: Column, units: Mapping[str, float], default_unit: float = 1.0) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from rankhouse.fixed_values import (
     DATE_PATTERN,
@@ -17,10 +17,12 @@ from rankhouse.fixed_values import (
 )
 from rankhouse.functions.expressions import flag
 from rankhouse.functions.parsing import metric_number, plain_number, words_number
-from rankhouse.operators.stats import fill_values, quantiles
+from rankhouse.operators.stats import count_fill_values, count_quantiles, fill_values, quantiles, value_counts
 from rankhouse.operators.windows import latest
 from rankhouse.schema import METRIC_SOURCES, METRICS, NEEDED
+from rankhouse.sources.staging import materialize
 
+QUARTILES = (0.25, 0.5, 0.75)
 SCORED = ("numeric_popularity", "numeric_read_count", "numeric_score")
 
 
@@ -95,20 +97,28 @@ def parse_words(df: DataFrame) -> DataFrame:
 
 def fill_numbers(df: DataFrame, columns: Sequence[str] = METRICS, strategy: str = "mean", method: str = "exact") -> DataFrame:
     """NULL becomes the column's mean (or median, or mode); 0 when the column has no value at all."""
-    rows = df.withColumn("_fill", fill_values(df, columns, strategy, method))
+    return _filled(df, columns, fill_values(df, columns, strategy, method))
+
+
+def _filled(df: DataFrame, columns: Sequence[str], fill: Column) -> DataFrame:
+    rows = df.withColumn("_fill", fill)
     return rows.withColumns({c: F.coalesce(F.col(c), F.col("_fill")[c], F.lit(0.0)) for c in columns}).drop("_fill")
 
 
 def cap_outliers(df: DataFrame, columns: Sequence[str] = ("numeric_popularity",), multiplier: float = 3, method: str = "exact") -> DataFrame:
     """Values beyond the quartiles by more than ``multiplier`` interquartile ranges become the median."""
+    return _capped(df, {name: quantiles(df, [name], QUARTILES, method).select("quantiles").scalar() for name in columns}, multiplier)
+
+
+def _capped(df: DataFrame, quartiles: Mapping[str, Column], multiplier: float) -> DataFrame:
     rows, capped = df, {}
-    for name in columns:
-        rows = rows.withColumn(f"_{name}", quantiles(df, [name], [0.25, 0.5, 0.75], method).select("quantiles").scalar())
+    for name, found in quartiles.items():
+        rows = rows.withColumn(f"_{name}", found)
         q = F.col(f"_{name}")
         margin = (q[2] - q[0]) * multiplier
         outside = (F.col(name) < q[0] - margin) | (F.col(name) > q[2] + margin)
         capped[name] = F.when(outside, q[1]).otherwise(F.col(name))
-    return rows.withColumns(capped).drop(*(f"_{name}" for name in columns))
+    return rows.withColumns(capped).drop(*(f"_{name}" for name in quartiles))
 
 
 def fill_labels(df: DataFrame, defaults: Mapping[str, str] = LABEL_DEFAULTS) -> DataFrame:
@@ -151,18 +161,25 @@ def clean_all(
     fill_strategy: str = "mean",
     capped: Sequence[str] = ("numeric_popularity",),
     iqr_multiplier: float = 3,
-    quantile_method: str = "exact",
     score_before_filling: bool = False,
-    materialize: Callable[[DataFrame], DataFrame] | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] = materialize,
 ) -> DataFrame:
-    """Raw rank facts to cleaned facts. The global means and quartiles need passes of their own over the unique rows;
-    give ``materialize`` (see ``rankhouse.sources.staging``) so that these read a written table, a column or two
-    each, instead of repeating the de-duplication."""
+    """Raw rank facts to cleaned facts. ``stage`` writes the unique rows and then, from one narrow read of them, the value
+    counts of the metrics. Fill values come from the counts; the quartiles come from the counts with what is filled in added to
+    its value. A second read of the unique rows carries everything out."""
     rows = numeric_rows(drop_empty_columns(df), default_unit, tie_breakers)
     if score_before_filling:
         rows = score_quality(rows)
-    if materialize is not None:
-        rows = materialize(rows)
-    filled = fill_numbers(rows, METRICS, fill_strategy, quantile_method)
-    cleaned = fill_labels(cap_outliers(filled, capped, iqr_multiplier, quantile_method))
+    rows = stage(rows, "unique_facts")
+    counts = stage(value_counts(rows, METRICS), "value_counts")
+    fill = count_fill_values(counts, METRICS, fill_strategy)
+
+    def quartiles(name: str) -> Column:
+        own = counts.where(F.col("metric") == name).withColumn("_fill", fill)
+        own = own.select("metric", F.coalesce("value", F.col("_fill")[name], F.lit(0.0)).alias("value"), "weight")
+        summed = own.groupBy("metric", "value").agg(F.sum("weight").alias("weight"))
+        return count_quantiles(summed, QUARTILES).select("quantiles").scalar()
+
+    filled = _filled(rows, METRICS, fill)
+    cleaned = fill_labels(_capped(filled, {name: quartiles(name) for name in capped}, iqr_multiplier))
     return cleaned if score_before_filling else score_quality(cleaned)

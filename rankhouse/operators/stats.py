@@ -6,13 +6,15 @@ sort-merges with skew splitting."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-STRIDE = 16
-BANDS = STRIDE * STRIDE
-CUT_POINTS = ", ".join(f"{i / BANDS}D" for i in range(1, BANDS))  # as text: one expression instead of 255 columns
+def _stride(df: DataFrame, bands: int | None) -> int:
+    """Bands are a square, at least ``bands``, by default the session's shuffle partitions: as many tasks can rank at once."""
+    wanted = bands or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, math.isqrt(max(1, wanted) - 1) + 1)
 
 
 def _matching(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -37,33 +39,36 @@ def with_group_stats(df: DataFrame, groups: Sequence[str], stats: Mapping[str, C
     return attach(df, summary, groups)
 
 
-def _with_weight_before(distinct: DataFrame, groups: Sequence[str], value: str, weight: str, descending: bool) -> DataFrame:
+def _with_weight_before(distinct: DataFrame, groups: Sequence[str], value: str, weight: str, descending: bool, bands: int | None = None) -> DataFrame:
     """Add ``before``, the total weight of the group's values ahead of this one, and ``total``, the weight of the whole
     group. Input: one row per (groups, value).
 
-    Values are cut into bands at approximate quantiles of the distinct values, so a window holds about 1/BANDS of them
-    and the totals of the bands in front are added. The cut points only balance the work; the sums are exact."""
-    found = distinct.agg(F.expr(f"percentile_approx(`{value}`, array({CUT_POINTS}), {4 * BANDS})").alias("fine"))
-    cuts = found.select(F.struct("fine", F.filter("fine", lambda _, i: (i + 1) % STRIDE == 0).alias("coarse"))).scalar()
+    Values are cut into bands at approximate quantiles of the distinct values, so a window holds about one band's share of
+    them and the totals of the bands in front are added. The cut points only balance the work; the sums are exact."""
+    stride = _stride(distinct, bands)
+    bands = stride * stride
+    points = ", ".join(f"{i / bands}D" for i in range(1, bands))  # as text: one expression instead of a column for each
+    found = distinct.agg(F.expr(f"percentile_approx(`{value}`, array({points}), {max(10_000, 4 * bands)})").alias("fine"))
+    cuts = found.select(F.struct("fine", F.filter("fine", lambda _, i: (i + 1) % stride == 0).alias("coarse"))).scalar()
 
     def passed(array: Column) -> Column:
         return F.size(F.filter(array, lambda cut: (cut > F.col(value)) if descending else (cut < F.col(value))))
 
     # Find the coarse cut first, then look at its neighbourhood only.
     if descending:
-        first = STRIDE * (STRIDE - 1 - passed(F.col("_cuts.coarse")))
-        band = BANDS - 1 - first - (STRIDE - 1 - passed(F.slice("_cuts.fine", first + 1, STRIDE - 1)))
+        first = stride * (stride - 1 - passed(F.col("_cuts.coarse")))
+        band = bands - 1 - first - (stride - 1 - passed(F.slice("_cuts.fine", first + 1, stride - 1)))
     else:
-        first = STRIDE * passed(F.col("_cuts.coarse"))
-        band = first + passed(F.slice("_cuts.fine", first + 1, STRIDE - 1))
-    band = F.when(F.col(value).isNull(), BANDS).otherwise(band)
+        first = stride * passed(F.col("_cuts.coarse"))
+        band = first + passed(F.slice("_cuts.fine", first + 1, stride - 1))
+    band = F.when(F.col(value).isNull(), bands).otherwise(band)
     # One struct key: equal also where fields are NULL, and the join keeps the partitioning of the window.
     place = F.struct(*groups, band.alias("_band"))
     banded = distinct.withColumn("_cuts", cuts).withColumn("_place", place).drop("_cuts")
     order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
     ahead_rows = (Window.unboundedPreceding, -1)
     inside = Window.partitionBy("_place").orderBy(order).rowsBetween(*ahead_rows)
-    # At most BANDS + 1 rows per group.
+    # At most a row for each band, and one for NULL, per group.
     group = Window.partitionBy(*(F.col("_place")[g] for g in groups))
     across = group.orderBy(F.col("_place")["_band"]).rowsBetween(*ahead_rows)
     totals = (
@@ -75,20 +80,40 @@ def _with_weight_before(distinct: DataFrame, groups: Sequence[str], value: str,
     return placed.withColumn("before", F.col("_inside") + F.col("_offset")).drop("_inside", "_offset", "_place")
 
 
-def with_dense_rank(df: DataFrame, groups: Sequence[str], value: str, name: str) -> DataFrame:
+def with_dense_rank(df: DataFrame, groups: Sequence[str], value: str, name: str, bands: int | None = None) -> DataFrame:
     """``dense_rank`` by descending value within the groups, for groups of any size: the distinct values are ranked
-    band by band and joined back."""
-    distinct = df.select(*groups, value).distinct().withColumn("_one", F.lit(1))
-    ranked = _with_weight_before(distinct, groups, value, "_one", descending=True)
-    return attach(df, ranked.select(*groups, value, (F.col("before") + 1).cast("int").alias(name)), [*groups, value])
+    band by band and joined back. A value that more rows share than a band's part of them is split: its rows are dealt out
+    over as many parts as there are bands, and its rank is repeated for each. There are fewer such values than bands."""
+    parts = _stride(df, bands) ** 2
+    key = F.xxhash64(*groups, value)
+    counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
+    total = counts.agg(F.sum("_n")).scalar()
+    hot = counts.where(F.col("_n") * parts > total).agg(F.collect_list(key)).scalar()
+    ranked = _with_weight_before(counts.drop("_n"), groups, value, "_one", descending=True, bands=bands)
+    ranked = ranked.select(*groups, value, (F.col("before") + 1).cast("int").alias(name)).withColumn("_hot", hot)
+    copies = F.when(F.array_contains("_hot", key), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    ranked = ranked.withColumn("_part", F.explode(copies)).drop("_hot")
+    own = F.pmod(F.xxhash64(*df.columns), F.lit(parts)).cast("int")
+    rows = df.withColumn("_hot", hot).withColumn("_part", F.when(F.array_contains("_hot", key), own).otherwise(0)).drop("_hot")
+    return attach(rows, ranked, [*groups, value, "_part"]).drop("_part")
+
+
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(metric, value, weight): how often each value of each column occurs, NULL included."""
+    values = df.select(*(F.col(c).cast("double") for c in columns)).unpivot([], list(columns), "metric", "value")
+    return values.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("weight"))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], bands: int | None = None) -> DataFrame:
     """(metric, quantiles array) with linear interpolation, one row per column that has a value. Works on value counts,
     so neither a frequent value nor many distinct ones meet in one task."""
-    values = df.select(*(F.col(c).cast("double") for c in columns)).unpivot([], list(columns), "metric", "value")
-    counts = values.where("value IS NOT NULL").groupBy("metric", "value").agg(F.count("*").alias("weight"))
-    placed = _with_weight_before(counts, ["metric"], "value", "weight", descending=False).withColumnRenamed("total", "n")
+    return count_quantiles(value_counts(df, columns), probabilities, bands)
+
+
+def count_quantiles(counts: DataFrame, probabilities: Sequence[float], bands: int | None = None) -> DataFrame:
+    """The same of value counts; NULL does not count."""
+    counts = counts.where("value IS NOT NULL")
+    placed = _with_weight_before(counts, ["metric"], "value", "weight", descending=False, bands=bands).withColumnRenamed("total", "n")
 
     def value_at(index: Column) -> Column:
         here = (F.col("before") <= index) & (index < F.col("before") + F.col("weight"))
@@ -131,14 +156,31 @@ def mode(df: DataFrame, column: str) -> DataFrame:
     return counts.orderBy(F.desc("_n"), F.asc(column)).limit(1).select(column)
 
 
+def _by_metric(found: DataFrame, columns: Sequence[str], value: Column) -> Column:
+    """(metric, ...) rows as a scalar subquery of one struct with a field for each column."""
+    return found.agg(F.struct(*(F.max(F.when(F.col("metric") == c, value)).alias(c) for c in columns))).scalar()
+
+
 def fill_values(df: DataFrame, columns: Sequence[str], strategy: str = "mean", method: str = "exact") -> Column:
     """Scalar subquery of one struct: what replaces NULL in each column; NULL for a column without any value."""
     if strategy == "mean":
         return means(df, columns).select(F.struct(*columns)).scalar()
     if strategy == "median":
-        middle = quantiles(df, columns, [0.5], method)
-        of = {c: F.max(F.when(F.col("metric") == c, F.col("quantiles")[0])) for c in columns}
-        return middle.agg(F.struct(*(value.alias(c) for c, value in of.items()))).scalar()
+        return _by_metric(quantiles(df, columns, [0.5], method), columns, F.col("quantiles")[0])
     if strategy == "mode":
         return F.struct(*(mode(df, c).scalar().alias(c) for c in columns))
     raise ValueError("strategy is 'mean', 'median' or 'mode'")
+
+
+def count_fill_values(counts: DataFrame, columns: Sequence[str], strategy: str = "mean") -> Column:
+    """The same from value counts, so that no further pass over the rows is needed."""
+    known = counts.where("value IS NOT NULL")
+    if strategy == "mean":
+        mean = F.sum(F.col("value") * F.col("weight")) / F.sum("weight")
+        return _by_metric(known.groupBy("metric").agg(mean.alias("fill")), columns, F.col("fill"))
+    if strategy == "median":
+        return _by_metric(count_quantiles(counts, [0.5]), columns, F.col("quantiles")[0])
+    if strategy == "mode":
+        best = F.max_by("value", F.struct(F.col("weight"), -F.col("value")))
+        return _by_metric(known.groupBy("metric").agg(best.alias("fill")), columns, F.col("fill"))
+    raise ValueError("strategy is 'mean', 'median' or 'mode'")

@@ -8,6 +8,7 @@ from rankhouse.fixed_values import FINISHED, ReasonRules
 from rankhouse.functions.expressions import first_true, flag, ratio
 from rankhouse.functions.parsing import plain_number
 from rankhouse.operators.stats import with_group_stats
+from rankhouse.plans.features import title_features
 from rankhouse.operators.windows import history, latest_per_book, lifetime, previous
 
 
@@ -77,13 +78,16 @@ def keyword_lift(df: DataFrame, rules: ReasonRules = ReasonRules()) -> DataFrame
     return lift.withColumn("keyword_lift", F.when(F.col("category_avg") > 0, F.col("keyword_avg") / F.col("category_avg") - 1))
 
 
-def words_regression(df: DataFrame) -> DataFrame:
-    """Linear fit of heat on words per category, over the newest rows."""
-    rows = latest_per_book(df)
-    fit = rows.groupBy("category1_name").agg(
+def words_regression(df: DataFrame, rules: ReasonRules = ReasonRules()) -> DataFrame:
+    """Linear fit of heat on the words and on each title feature, per category, over the newest rows: a row for each category and
+    feature. A feature that does not vary has neither slope nor correlation."""
+    features = ["numeric_words", "title_length", "has_hot_keywords"]
+    rows = title_features(latest_per_book(df), rules).select("category1_name", "numeric_popularity", *(F.col(f).cast("double") for f in features))
+    long = rows.unpivot(["category1_name", "numeric_popularity"], features, "feature", "x")
+    fit = long.groupBy("category1_name", "feature").agg(
         F.count(F.lit(1)).alias("book_count"),
-        F.regr_slope("numeric_popularity", "numeric_words").alias("slope"),
-        F.corr("numeric_popularity", "numeric_words").alias("correlation"),
+        F.regr_slope("numeric_popularity", "x").alias("slope"),
+        F.when((F.min("x") < F.max("x")) & (F.min("numeric_popularity") < F.max("numeric_popularity")), F.corr("numeric_popularity", "x")).alias("correlation"),
     )
     return fit
 

@@ -47,29 +47,41 @@ from rankhouse.functions.expressions import (
 )
 from rankhouse.functions.parsing import plain_number
 from rankhouse.operators.stats import with_dense_rank, with_group_stats
-from rankhouse.operators.windows import history, is_newest, latest, latest_per_book, lifetime, peak_date, previous
+from rankhouse.operators.windows import history, latest, latest_per_book, lifetime, peak_date, previous
 from rankhouse.schema import METRICS
+from rankhouse.sources.staging import materialize
 
+# Input columns and groups of the feature tables.
 HEAT_INPUT = (
-    "book_id title author category1_name category2_name rank_name rank_date created_at "
-    "numeric_popularity numeric_read_count numeric_score status gender_type"
-).split()
+    "book_id", "title", "author", "category1_name", "category2_name", "rank_name",
+    "rank_date", "created_at", "numeric_popularity", "numeric_read_count", "numeric_score", "status",
+    "gender_type",
+)
 TREND_INPUT = (
-    "book_id title author rank_name category1_name rank_date "
-    "numeric_popularity numeric_read_count numeric_score status gender_type"
-).split()
+    "book_id", "title", "author", "rank_name", "category1_name", "rank_date",
+    "numeric_popularity", "numeric_read_count", "numeric_score", "status", "gender_type",
+)
 RECOMMENDATION_INPUT = (
-    "book_id title author category1_name category2_name gender_type "
-    "numeric_popularity numeric_score numeric_read_count status"
-).split()
+    "book_id", "title", "author", "category1_name", "category2_name", "gender_type",
+    "numeric_popularity", "numeric_score", "numeric_read_count", "status",
+)
 PITFALL_INPUT = (
-    "book_id title author category1_name category2_name rank_name gender_type "
-    "numeric_popularity numeric_score numeric_read_count rank_date"
-).split()
-REASON_GROUPS = "category1_name category2_name words_range status has_hot_keywords is_golden_range".split()
-ATTENUATION_GROUPS = "book_id title author category1_name status gender_type".split()
-LTV_GROUPS = "book_id title author category1_name category2_name status gender_type".split()
-PURCHASING_GROUPS = "book_id title author category1_name gender_type".split()
+    "book_id", "title", "author", "category1_name", "category2_name", "rank_name",
+    "gender_type", "numeric_popularity", "numeric_score", "numeric_read_count", "rank_date",
+)
+REASON_GROUPS = (
+    "category1_name", "category2_name", "words_range", "status", "has_hot_keywords", "is_golden_range",
+)
+ATTENUATION_GROUPS = (
+    "book_id", "title", "author", "category1_name", "status", "gender_type",
+)
+LTV_GROUPS = (
+    "book_id", "title", "author", "category1_name", "category2_name", "status",
+    "gender_type",
+)
+PURCHASING_GROUPS = (
+    "book_id", "title", "author", "category1_name", "gender_type",
+)
 
 
 def _metrics() -> tuple[Column, Column, Column, Column]:
@@ -89,14 +101,22 @@ def heat_momentum(df: DataFrame) -> DataFrame:
     return rows.withColumn("popularity_acceleration", change(F.col("popularity_diff"), F.col("prev_popularity_diff")))
 
 
-def platform_heat(df: DataFrame, rules: HeatRules = HeatRules()) -> DataFrame:
-    """Newest observation per book with its momentum against the whole history of its category."""
-    p, *_ = _metrics()
+def heat_walk(df: DataFrame) -> DataFrame:
+    """One walk over every book's history: per book and category the sum and count of its growth rates, and the newest row."""
     rows = heat_momentum(df.select(*HEAT_INPUT))
-    snapshot = rows.withColumn("_newest", is_newest(history())).where("_newest").drop("_newest")
-    # Only the snapshot joins the category averages; the full history is reduced before any shuffle by category.
-    averages = {"category_avg_growth_rate": F.avg("popularity_growth_rate")}
-    compared = with_group_stats(snapshot, ["category1_name"], averages, of=rows)
+    newest = F.max_by(F.struct(*rows.columns), "rank_date").alias("newest")
+    growth = F.col("popularity_growth_rate")
+    return rows.groupBy("book_id", "category1_name").agg(F.sum(growth).alias("growth"), F.count(growth).alias("steps"), newest)
+
+
+def platform_heat(df: DataFrame, rules: HeatRules = HeatRules(), stage: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
+    """Newest observation per book with its momentum against the whole history of its category. ``stage`` writes the walk,
+    a few rows per book; snapshot and category averages are both read from it."""
+    p, *_ = _metrics()
+    walked = stage(heat_walk(df), "heat_walk")
+    snapshot = walked.groupBy("book_id").agg(F.max_by("newest", F.col("newest.rank_date")).alias("newest")).select("newest.*")
+    averages = {"category_avg_growth_rate": F.try_divide(F.sum("growth"), F.sum("steps"))}
+    compared = with_group_stats(snapshot, ["category1_name"], averages, of=walked)
     age = F.datediff("rank_date", "created_at")
     is_new = age <= rules.new_book_days
     if rules.min_new_book_days is not None:
@@ -154,11 +174,10 @@ def title_features(df: DataFrame, rules: ReasonRules = ReasonRules()) -> DataFra
     )
 
 
-def author_reason(df: DataFrame, rules: ReasonRules = ReasonRules()) -> DataFrame:
-    """Average heat per combination of category, length, status and title features, over the newest rows."""
+def reason_totals(df: DataFrame, rules: ReasonRules = ReasonRules()) -> DataFrame:
+    """Counts and averages per combination of category, length, status and title features."""
     p, _, s, w = _metrics()
-    grouped = title_features(latest_per_book(df), rules).groupBy(*REASON_GROUPS)
-    reasons = grouped.agg(
+    return title_features(df, rules).groupBy(*REASON_GROUPS).agg(
         F.count("book_id").alias("book_count"),
         F.avg(p).alias("avg_popularity"),
         F.avg(s).alias("avg_score"),
@@ -166,7 +185,11 @@ def author_reason(df: DataFrame, rules: ReasonRules = ReasonRules()) -> DataFram
         F.avg("intro_length").alias("avg_intro_length"),
         F.avg("title_length").alias("avg_title_length"),
     )
-    return reasons.withColumn("heat_index", F.col("avg_popularity") / rules.heat_unit)
+
+
+def author_reason(df: DataFrame, rules: ReasonRules = ReasonRules()) -> DataFrame:
+    """Average heat by such features over the newest rows; ``df`` may hold these alone."""
+    return reason_totals(latest_per_book(df), rules).withColumn("heat_index", F.col("avg_popularity") / rules.heat_unit)
 
 
 def decay_steps(df: DataFrame, rules: AttenuationRules = AttenuationRules()) -> DataFrame:
@@ -190,12 +213,10 @@ def decay_steps(df: DataFrame, rules: AttenuationRules = AttenuationRules()) ->
     )
 
 
-def author_attenuation_effect(df: DataFrame, rules: AttenuationRules = AttenuationRules()) -> DataFrame:
-    """How far and how fast a book's heat fell. The peak belongs to the book, the other figures to the group, so a
-    book whose status changed has one row per status."""
+def attenuation_totals(df: DataFrame, rules: AttenuationRules = AttenuationRules()) -> DataFrame:
+    """Extremes and averages of the decay. The peak belongs to the book, the other figures to the group."""
     p, _, s, *_ = _metrics()
-    decay = decay_steps(df, rules).groupBy(*ATTENUATION_GROUPS)
-    effect = decay.agg(
+    return decay_steps(df, rules).groupBy(*ATTENUATION_GROUPS).agg(
         F.max("peak_popularity").alias("peak_popularity"),
         F.min(p).alias("lowest_popularity"),
         F.avg("attenuation_rate").alias("avg_attenuation_rate"),
@@ -204,8 +225,12 @@ def author_attenuation_effect(df: DataFrame, rules: AttenuationRules = Attenuati
         F.avg(s).alias("avg_score"),
         F.max("is_severe_attenuation").alias("has_severe_attenuation"),
     )
+
+
+def author_attenuation_effect(df: DataFrame, rules: AttenuationRules = AttenuationRules()) -> DataFrame:
+    """How far and how fast a book's heat fell; a book whose status changed has one row per status."""
     peak = F.col("peak_popularity")
-    effect = effect.withColumn("total_attenuation", percent(peak - F.col("lowest_popularity"), peak))
+    effect = attenuation_totals(df, rules).withColumn("total_attenuation", percent(peak - F.col("lowest_popularity"), peak))
     return effect.withColumns(
         {
             "attenuation_type": by_ceiling(F.col("total_attenuation"), ATTENUATION_TYPES),
@@ -330,10 +355,10 @@ def paying_rows(df: DataFrame, rules: PurchasingRules = PurchasingRules()) -> Da
     )
 
 
-def capital_future_purchasing_power(df: DataFrame, rules: PurchasingRules = PurchasingRules()) -> DataFrame:
-    """Fan loyalty and spending per book."""
+def purchasing_totals(df: DataFrame, rules: PurchasingRules = PurchasingRules()) -> DataFrame:
+    """Averages, maxima and counts of the spending indicators per book."""
     p, r, s, *_ = _metrics()
-    power = paying_rows(df, rules).groupBy(*PURCHASING_GROUPS).agg(
+    return paying_rows(df, rules).groupBy(*PURCHASING_GROUPS).agg(
         F.avg("arpu_indicator").alias("avg_arpu"),
         F.max("arpu_indicator").alias("max_arpu"),
         F.avg("fan_quality_index").alias("avg_fan_quality"),
@@ -344,6 +369,11 @@ def capital_future_purchasing_power(df: DataFrame, rules: PurchasingRules = Purc
         F.avg(p).alias("avg_popularity"),
         F.count("*").alias("appearance_count"),
     )
+
+
+def capital_future_purchasing_power(df: DataFrame, rules: PurchasingRules = PurchasingRules()) -> DataFrame:
+    """Fan loyalty and spending per book."""
+    power = purchasing_totals(df, rules)
     arpu_weight, quality_weight, score_weight = rules.weights
     quality, score, high = F.col("avg_fan_quality"), F.col("avg_score"), F.col("is_high_arpu_book") == 1
     value = F.col("avg_arpu") / 100 * arpu_weight + quality / 100 * quality_weight + score / 10 * score_weight
@@ -371,6 +401,10 @@ FEATURES: dict[str, Feature] = {
 }
 
 
+#: Features that look at every book's newest row only; a layer of these rows gives the same result as the whole history.
+OVER_NEWEST = frozenset({"ads_author_reason", "ads_user_layered_recommendation", "ads_user_avoid_pitfalls"})
+
+
 def with_feature(name: str, feature: Feature, features: dict[str, Feature] = FEATURES) -> dict[str, Feature]:
     """A registry with one more feature table; names are unique."""
     if name in features:

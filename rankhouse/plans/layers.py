@@ -10,20 +10,30 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from rankhouse.operators.cleaning import clean_all, drop_column, replace_newlines
-from rankhouse.plans.features import FEATURES, Feature
+from rankhouse.plans.features import FEATURES, OVER_NEWEST, Feature
+from rankhouse.schema import METRICS
 from rankhouse.sources import jdbc
-from rankhouse.sources.staging import materialize
-from rankhouse.sources.tables import bucket_count, create_database, read_layer, write_layer
+from rankhouse.operators.windows import latest_per_book
+from rankhouse.sources.staging import Scratch
+from rankhouse.sources.tables import append_layer, create_database, read_layer, write_layer
 
 log = logging.getLogger(__name__)
 
 STEPS = ("ods", "dwd", "ads", "export")
+#: What the features over the newest rows read.
+NEWEST_COLUMNS = (
+    "book_id", "title", "author", "category1_name", "category2_name", "rank_name", "status", "gender_type", "rank_date", *METRICS,
+)
 OUTCOME = "layer string, ok boolean, rows bigint, seconds double, error string"
 
 
 @dataclass
 class Warehouse:
-    """Where the layers live and what runs between them. Without ``connection`` there is nothing to export to."""
+    """Where the layers live and what runs between them. Without ``connection`` there is nothing to export to.
+
+    ``buckets`` is the layout of the cleaned layer (by book; the session's shuffle partitions if not given) and ``connections``
+    bounds what an export opens at once. With ``append`` the raw layer is kept by month under ``location``: a load replaces the
+    months that it brings and leaves the others untouched; the layers behind it are built over all months."""
 
     spark: SparkSession
     source: Callable[[], DataFrame]
@@ -32,6 +42,10 @@ class Warehouse:
     connection: Mapping[str, str] | None = None
     clean_options: Mapping[str, object] = field(default_factory=dict)
     features: Mapping[str, Feature] = field(default_factory=lambda: dict(FEATURES))
+    buckets: int | None = None
+    connections: int = 8
+    append: bool = False
+    month: str = "date_month"
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
@@ -43,28 +57,44 @@ class Warehouse:
     def ods(self) -> list[tuple[str, Callable[[], int]]]:
         def build() -> int:
             create_database(self.spark, self.database, self.location)
-            return self._write(replace_newlines(drop_column(self.source())), "ods_rank_facts")
+            rows = replace_newlines(drop_column(self.source()))
+            if not self.append:
+                return self._write(rows, "ods_rank_facts")
+            if self.location is None:
+                raise ValueError("a raw layer that is appended to needs a location")
+            written = append_layer(rows, f"{self.location}/ods_rank_facts", partition_by=self.month, replace_partitions=True)
+            self.spark.catalog.dropTempView(self._months())
+            self.spark.read.schema(rows.schema).parquet(f"{self.location}/ods_rank_facts").createTempView(self._months())
+            return written
 
         return [("ods_rank_facts", build)]
 
+    def _months(self) -> str:
+        return f"{self.database}_ods_rank_facts"
+
+    def raw(self) -> DataFrame:
+        """The raw layer as it is stored."""
+        return read_layer(self.spark, self._months() if self.append else self.table("ods_rank_facts"))
+
     def dwd(self) -> list[tuple[str, Callable[[], int]]]:
         def build() -> int:
-            raw = read_layer(self.spark, self.table("ods_rank_facts"))
-            staged: list[DataFrame] = []
-
-            def stage(rows: DataFrame) -> DataFrame:
-                staged.append(materialize(rows, "unique_facts"))
-                return staged[0]
+            scratch = Scratch(self.spark)
+            try:
+                cleaned = clean_all(self.raw(), stage=scratch.write, **self.clean_options)
+                return self._write(cleaned, "dwd_rank_facts", bucket_by="book_id", buckets=self.buckets)
+            finally:
+                scratch.remove()
 
-            cleaned = clean_all(raw, materialize=stage, **self.clean_options)
-            buckets = bucket_count(self.spark, staged[0].count())  # answered from the Parquet footers
-            return self._write(cleaned, "dwd_rank_facts", bucket_by="book_id", buckets=buckets)
+        def build_newest() -> int:
+            newest = latest_per_book(read_layer(self.spark, self.table("dwd_rank_facts"))).select(*NEWEST_COLUMNS)
+            return self._write(newest, "dwd_newest_facts", bucket_by="book_id", buckets=self.buckets)
 
-        return [("dwd_rank_facts", build)]
+        return [("dwd_rank_facts", build), ("dwd_newest_facts", build_newest)]
 
     def ads(self) -> list[tuple[str, Callable[[], int]]]:
         def build(name: str, feature: Feature) -> Callable[[], int]:
-            return lambda: self._write(feature(read_layer(self.spark, self.table("dwd_rank_facts"))), name)
+            layer = "dwd_newest_facts" if name in OVER_NEWEST else "dwd_rank_facts"
+            return lambda: self._write(feature(read_layer(self.spark, self.table(layer))), name)
 
         return [(name, build(name, feature)) for name, feature in self.features.items()]
 
@@ -73,8 +103,8 @@ class Warehouse:
             def run() -> int:
                 if self.connection is None:
                     raise ValueError("no connection to export to")
-                jdbc.export_table(read_layer(self.spark, self.table(name)), self.connection, name)
-                return jdbc.read_table(self.spark, self.connection, name).count()
+                jdbc.export_table(read_layer(self.spark, self.table(name)), self.connection, name, partitions=self.connections)
+                return jdbc.row_count(self.spark, self.connection, name)
 
             return run
 
@@ -101,6 +131,6 @@ def run_layers(warehouse: Warehouse, steps: Sequence[str | int] = STEPS) -> Data
                 rows, error = build(), None
             except Exception as failure:  # reported in the result, later tables go on
                 log.exception("layer %s failed", name)
-                rows, error = None, f"{type(failure).__name__}: {failure}"[:500]
+                rows, error = None, f"{type(failure).__name__}: {failure}"
             outcomes.append((name, error is None, rows, time.monotonic() - started, error))
     return warehouse.spark.createDataFrame(outcomes, OUTCOME)

@@ -6,7 +6,7 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rankhouse.fixed_values import ADAPTATIONS, HeatRules, PurchasingRules
+from rankhouse.fixed_values import ADAPTATIONS, INVESTED_IP_LEVELS, TOP_INVESTMENT_LEVEL, HeatRules, PurchasingRules
 
 
 def _rounded(value: str, digits: int) -> Column:
@@ -39,11 +39,15 @@ def category_avg_heat(reason: DataFrame) -> DataFrame:
     return averages.select(F.col("category1_name").alias("category"), _rounded("mean", 2).alias("avg_heat"))
 
 
-def wordcount_vs_heat(ltv: DataFrame, limit: int = 500) -> DataFrame:
-    """Points for a scatter plot: books with both values, in book order."""
+def _first(rows: DataFrame, limit: int | None, *order: str) -> DataFrame:
+    """All rows, or the first by an order that ranks nothing, for a front end that cannot show them all."""
+    return rows if limit is None else rows.orderBy(*order).limit(limit)
+
+
+def wordcount_vs_heat(ltv: DataFrame, limit: int | None = None) -> DataFrame:
+    """Points for a scatter plot: books with both values."""
     points = ltv.where((F.col("total_words") != 0) & (F.col("avg_popularity") != 0))
-    chosen = points.orderBy("book_id", "title", "status").limit(limit)
-    return chosen.select(F.col("total_words").alias("word_count"), F.col("avg_popularity").alias("heat"))
+    return _first(points, limit, "book_id", "title", "status").select(F.col("total_words").alias("word_count"), F.col("avg_popularity").alias("heat"))
 
 
 def status_heat_compare(ltv: DataFrame) -> DataFrame:
@@ -82,8 +86,8 @@ def ip_value_top(ltv: DataFrame, limit: int = 10) -> DataFrame:
     return top.select("book_id", "title", _rounded("ltv_score", 2).alias("ip_value"), "ip_value_level", "total_heat_integral")
 
 
-def payment_power(power: DataFrame, limit: int = 200) -> DataFrame:
-    return power.orderBy("book_id", "title").limit(limit).select(
+def payment_power(power: DataFrame, limit: int | None = None) -> DataFrame:
+    return _first(power, limit, "book_id", "title").select(
         "book_id",
         "title",
         F.col("avg_arpu").alias("arpu"),
@@ -113,7 +117,7 @@ def niche_hits(recommendation: DataFrame, gender: str, category: str, limit: int
     return top.select("book_id", "title", "category1_name", "gender_type", "relative_heat", "numeric_score", "niche_recommendation_score")
 
 
-def ip_investment(ltv: DataFrame, levels: tuple[str, ...] = ("S级", "A级"), suggestion: str = ADAPTATIONS[1], limit: int = 20) -> DataFrame:
+def ip_investment(ltv: DataFrame, levels: tuple[str, ...] = INVESTED_IP_LEVELS, suggestion: str = ADAPTATIONS[1], limit: int = 20) -> DataFrame:
     rows = ltv.where(F.col("ip_value_level").isin(*levels) & F.col("adaptation_suggestion").like(f"%{suggestion}%"))
     top = rows.orderBy(F.desc("ltv_score"), "book_id", "status").limit(limit)
     return top.select(
@@ -121,7 +125,7 @@ def ip_investment(ltv: DataFrame, levels: tuple[str, ...] = ("S级", "A级"), su
     )
 
 
-def high_arpu_fans(power: DataFrame, level: str = "S级", limit: int = 15, rules: PurchasingRules = PurchasingRules()) -> DataFrame:
+def high_arpu_fans(power: DataFrame, level: str = TOP_INVESTMENT_LEVEL, limit: int = 15, rules: PurchasingRules = PurchasingRules()) -> DataFrame:
     rows = power.where((F.col("investment_value_level") == level) & (F.col("avg_arpu") > rules.high_arpu))
     top = rows.orderBy(F.desc("fan_value_score"), "book_id").limit(limit)
     return top.select("book_id", "title", "avg_arpu", "fan_value_score", "investment_value_level", "investment_recommendation")

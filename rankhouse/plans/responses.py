@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rankhouse.fixed_values import (
     CRAWL_FIRST_MONTH,
@@ -20,6 +20,8 @@ from rankhouse.fixed_values import (
 )
 from rankhouse.functions.parsing import month_start
 from rankhouse.operators.windows import latest
+from rankhouse.sources.staging import Scratch, exists, materialize
+from rankhouse.sources.tables import append_layer
 
 # Fields of a list entry; is_over becomes status.
 BOOK_FIELDS = (
@@ -33,20 +35,38 @@ def parse_rank_lists(responses: DataFrame, body: str = "body") -> DataFrame:
     return responses.withColumn("parsed", F.from_json(body, LIST_SCHEMA))
 
 
-def flatten_rank_lists(responses: DataFrame, body: str = "body") -> DataFrame:
-    """One row per listed book with the response's own columns; absent fields become ''."""
-    books = parse_rank_lists(responses, body).select("*", F.explode("parsed.data.table_data").alias("book"))
+def listed_books(parsed: DataFrame, body: str = "body") -> DataFrame:
+    """One row per listed book of parsed responses, with the response's own columns; absent fields become ''."""
+    books = parsed.select("*", F.explode("parsed.data.table_data").alias("book"))
     fields = [F.coalesce(F.col("book")[name], F.lit("")).alias("status" if name == "is_over" else name) for name in BOOK_FIELDS]
-    return books.select(*(c for c in responses.columns if c != body), *fields)
+    return books.select(*(c for c in parsed.columns if c not in (body, "parsed")), *fields)
+
+
+def without_list(parsed: DataFrame, body: str = "body") -> DataFrame:
+    """Parsed responses without a list, with the message they carry."""
+    bad = parsed.where("parsed.data.table_data IS NULL")
+    return bad.select(*(c for c in parsed.columns if c not in (body, "parsed")), F.coalesce("parsed.msg", F.lit("")).alias("reason"))
+
+
+def flatten_rank_lists(responses: DataFrame, body: str = "body") -> DataFrame:
+    return listed_books(parse_rank_lists(responses, body), body)
 
 
 def rejected_rank_lists(responses: DataFrame, body: str = "body") -> DataFrame:
-    """Responses without a list, with the message they carry."""
-    bad = parse_rank_lists(responses, body).where("parsed.data.table_data IS NULL")
-    return bad.select(*(c for c in responses.columns if c != body), F.coalesce("parsed.msg", F.lit("")).alias("reason"))
+    return without_list(parse_rank_lists(responses, body), body)
+
 
+def split_rank_lists(responses: DataFrame, body: str = "body", stage: Callable[[DataFrame, str], DataFrame] = materialize) -> tuple[DataFrame, DataFrame]:
+    """Listed books and rejected responses; every payload is parsed once and the result written by ``stage``."""
+    parsed = stage(parse_rank_lists(responses, body).drop(body), "parsed_lists")
+    return listed_books(parsed, body), without_list(parsed, body)
 
-def extract_details(pages: DataFrame, patterns: Mapping[str, str], body: str = "html") -> DataFrame:
+
+# Fields of a book's page, by the class of their element.
+DETAIL_PATTERNS = {name: f'<em class="{name}">([^<]*)</em>' for name in ("score", "read_count", "popularity")}
+
+
+def extract_details(pages: DataFrame, patterns: Mapping[str, str] = DETAIL_PATTERNS, body: str = "html") -> DataFrame:
     """The first group of each pattern, trimmed; a page without a match says so, a request without a page (NULL body)
     is an error."""
     failed = F.col(body).isNull()
@@ -61,11 +81,45 @@ def extract_details(pages: DataFrame, patterns: Mapping[str, str], body: str = "
     return pages.select(*(c for c in pages.columns if c != body), *fields, failed.alias("error"), message)
 
 
-def upsert_latest(stored: DataFrame, arrived: DataFrame, keys: Sequence[str] = ("book_id", "rank_name", "date_month"), arrival: str = "arrival", tie_breakers: Sequence[str] = ()) -> DataFrame:
-    """Merge new records into a table: per key the one that arrived last wins. Both sides carry ``arrival``."""
+UPSERT_KEYS = ("gender", "book_id", "rank_name", "date_month")
+
+
+def upsert_latest(stored: DataFrame, arrived: DataFrame, keys: Sequence[str] = UPSERT_KEYS, arrival: str = "arrival", tie_breakers: Sequence[str] = ()) -> DataFrame:
+    """Merge new records into a table: per key, which includes the channel, the one that arrived last wins. Both sides
+    carry ``arrival``."""
     return latest(stored.unionByName(arrived), keys, [arrival], tie_breakers)
 
 
+_MONTH = "month"  # the partition of the stored table; NULL and empty months are "undated"
+
+
+def store_upsert(path: str, arrived: DataFrame, keys: Sequence[str] = UPSERT_KEYS, arrival: str = "arrival", tie_breakers: Sequence[str] = (), month: str = "date_month") -> int:
+    """Merge new records into the table stored by month at ``path`` and return the rows written. Only the months that arrived
+    are read and rewritten, because the month is part of the key; the others' files stay as they are. What is stored is
+    merged with what arrived in a written table first, as files cannot be replaced while they are read."""
+    if month not in keys:
+        raise ValueError("the month has to be part of the key")
+    spark = arrived.sparkSession
+    part = F.when(F.coalesce(F.col(month), F.lit("")) == "", F.lit("undated")).otherwise(F.col(month))
+    arrived = arrived.withColumn(_MONTH, part)
+    months = [row[0] for row in arrived.select(_MONTH).distinct().collect()]  # as many as there are months
+    scratch = Scratch(spark)
+    try:
+        merged = arrived
+        if exists(spark, path):
+            merged = stored_items(spark, path, arrived.schema).where(F.col(_MONTH).isin(months)).unionByName(arrived)
+        kept = scratch.write(latest(merged, keys, [arrival], tie_breakers), "upsert")
+        return append_layer(kept, path, partition_by=_MONTH, replace_partitions=True)
+    finally:
+        scratch.remove()
+
+
+def stored_items(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table that ``store_upsert`` keeps; ``schema`` as that of the records, with or without the partition."""
+    fields = [f for f in schema.fields if f.name != _MONTH]
+    return spark.read.schema(T.StructType([*fields, T.StructField(_MONTH, T.StringType())])).parquet(path)
+
+
 def known_channels(items: DataFrame, channels: Mapping[str, str] = GENDER_OF_CHANNEL) -> DataFrame:
     """Drop items of an unknown channel."""
     return items.where(F.col("gender").isin(*channels))

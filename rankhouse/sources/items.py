@@ -1,4 +1,4 @@
-"""Crawled items as JSON files: one object per line, or one array per file."""
+"""Crawled items as JSON files, one object per line."""
 
 from __future__ import annotations
 
@@ -12,8 +12,3 @@ def write_lines(df: DataFrame, path: str) -> None:
 
 def read_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
-
-
-def read_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Files that hold one JSON array of objects each; a file is read by one task."""
-    return spark.read.schema(schema).option("multiLine", "true").json(path)

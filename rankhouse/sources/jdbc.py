@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,11 +33,9 @@ def read_table(spark: SparkSession, connection: Mapping[str, str], table: str, *
     return spark.read.format("jdbc").options(**read_options(connection, table, **split)).load()
 
 
-def key_range(spark: SparkSession, connection: Mapping[str, str], table: str, column: str) -> tuple[int, int]:
-    """Bounds for a partitioned scan, asked of the database as one row."""
-    query = f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) bounds"
-    row = read_table(spark, connection, query).first()
-    return int(row[0] or 0), int(row[1] or 0)
+def row_count(spark: SparkSession, connection: Mapping[str, str], table: str) -> int:
+    """Rows of a table, counted by the database."""
+    return int(read_table(spark, connection, f"(SELECT COUNT(*) AS n FROM {table}) counted").first()[0])
 
 
 def write_options(connection: Mapping[str, str], table: str, *, partitions: int | None = None) -> dict[str, str]:
@@ -48,9 +46,3 @@ def write_options(connection: Mapping[str, str], table: str, *, partitions: int
 def export_table(df: DataFrame, connection: Mapping[str, str], table: str, *, partitions: int | None = None) -> None:
     """Replace the target table. ``partitions`` bounds the simultaneous connections."""
     df.write.format("jdbc").options(**write_options(connection, table, partitions=partitions)).mode("overwrite").save()
-
-
-def export_all(tables: Iterable[tuple[str, DataFrame]], connection: Mapping[str, str], **options) -> None:
-    """Export every (name, frame) under its own name."""
-    for name, df in tables:
-        export_table(df, connection, name, **options)

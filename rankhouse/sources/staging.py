@@ -3,22 +3,17 @@ executors and lets later passes read only the columns they need."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``. Only a local session without one falls back to a fresh temporary folder."""
+    """The session's ``spark.checkpoint.dir``; without it there is no place that all executors are known to reach."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
-    folder = tempfile.mkdtemp(prefix="rankhouse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return configured.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -38,3 +33,36 @@ def materialize(df: DataFrame, label: str = "rows") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Intermediate tables of one run, removed together when it is over."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def write(self, df: DataFrame, label: str = "rows") -> DataFrame:
+        path = fresh_path(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        while self.paths:
+            remove(self.spark, self.paths.pop())
+
+
+def _on_its_store(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, target = _on_its_store(spark, path)
+    return store.exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that ``fresh_path`` named, on whatever file system it lies; False if it was not there."""
+    store, target = _on_its_store(spark, path)
+    return store.delete(target, True)

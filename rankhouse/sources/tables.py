@@ -8,10 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rankhouse.sources.staging import write_counted
 
-ROWS_PER_BUCKET = 5_000_000
-MAX_BUCKETS = 100_000  # the limit of spark.sql.sources.bucketing.maxBuckets
-
-
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     place = "" if location is None else f" LOCATION '{location}'"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
@@ -21,18 +17,6 @@ def read_layer(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Rows of a scan with fewer splits than cores, dealt out to all cores; a larger input stays as it is read."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
-def bucket_count(spark: SparkSession, rows: int) -> int:
-    """Buckets for a table of that many rows; at least one per available core."""
-    wanted = -(-rows // ROWS_PER_BUCKET)
-    return max(spark.sparkContext.defaultParallelism, min(wanted, MAX_BUCKETS))
-
-
 def write_layer(
     df: DataFrame,
     table: str,
@@ -42,9 +26,10 @@ def write_layer(
     buckets: int | None = None,
 ) -> int:
     """Replace a layer table and return its rows. Bucketing by the entity lets every later window, group or join on it
-    read the table without a shuffle; pick it only where an entity's rows are bounded, as after de-duplication."""
+    read the table without a shuffle; pick it only where an entity's rows are bounded, as after de-duplication. The number
+    of ``buckets`` is the caller's choice of layout; the session's shuffle partitions if not given."""
     if bucket_by is not None:
-        buckets = buckets or df.sparkSession.sparkContext.defaultParallelism
+        buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartition(buckets, bucket_by)  # one file per bucket
 
     def write(rows: DataFrame) -> None:
@@ -81,7 +66,10 @@ def verify(target: DataFrame, columns: int = 5) -> DataFrame:
 
 
 def sample(df: DataFrame, fraction: float, keys: Sequence[str] | None = None, seed: int = 0) -> DataFrame:
-    """A development sample. With keys the choice depends on their hash alone: whole entities, the same ones each run."""
+    """A development sample. With keys the choice depends on the md5 of their text alone: whole entities, the same ones
+    each run and in any engine. NULL keys count as empty text; the leading 52 bits decide, so small fractions hold."""
     if keys is None:
         return df.sample(fraction=fraction, seed=seed)
-    return df.where(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(10000)) < int(fraction * 10000))
+    text = F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys), F.lit(str(seed)))
+    place = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint")
+    return df.where(place < int(fraction * 16**13))

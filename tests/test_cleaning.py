@@ -5,7 +5,6 @@ from pyspark.sql import Observation, functions as F
 
 from rankhouse.operators import cleaning
 from rankhouse.schema import METRICS
-from rankhouse.sources.staging import materialize
 
 RAW = (
     "book_id string, title string, author string, category1_name string, category2_name string, words_num string, image_link string, "
@@ -122,7 +121,7 @@ def messy(spark):
 
 
 def test_clean_all(spark):
-    cleaned = cleaning.clean_all(messy(spark), materialize=materialize)
+    cleaned = cleaning.clean_all(messy(spark))
     assert values(cleaned, "book_id", *METRICS, "category1_name", "data_quality_score") == [
         ("b1", 20000.0, 10000.0, 8.0, 100000.0, "c", 1.0),
         ("b2", 30000.0, 10000.0, 8.0, 100000.0, "未知", 1.0),

@@ -31,6 +31,12 @@ METRIC_CASES = {
     "-inf": None,
     "1亿2万": None,
     "9.0d": None,
+    "0x1p3": None,
+    "0x1.8p1": None,
+    "0x1p3万": None,
+    "5\n": None,
+    "5\n万": None,
+    "1e5": 100000.0,
     "9f": None,
     "1 2": None,
     "万": None,

@@ -7,11 +7,12 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from checks.layers import dwd, ods
+from checks.layers import CHECKED_FEATURES, dwd, newest, ods
 from checks.observations import TIE_BREAKERS
 from checks.queries import QUERIES
 from rankhouse.operators import cleaning, stats, windows
 from rankhouse.plans import features
+from rankhouse.sources.staging import materialize
 
 
 def plan(df):
@@ -34,10 +35,42 @@ def test_reason_shuffles_only_partial_aggregates(spark, small):
     assert text.count("Exchange hashpartitioning") == 1 and "partial_avg" in text
 
 
-def test_heat_shuffles_the_history_only_as_partial_aggregates(spark, small):
-    text = plan(features.platform_heat(dwd(spark, small)))
-    assert "partial_avg(popularity_growth_rate" in text
-    assert "Window [avg(" not in text
+def scans(text):
+    return text.count("FileScan parquet")
+
+
+def test_heat_walks_the_history_once_without_a_shuffle(spark, small):
+    walked = []
+
+    def stage(df, label):
+        walked.append(plan(df))
+        return materialize(df, label)
+
+    heat = features.platform_heat(dwd(spark, small), stage=stage)
+    assert len(walked) == 1 and scans(walked[0]) == 1 and "Exchange" not in walked[0]
+    assert len([line for line in walked[0].splitlines() if "Sort [book_id" in line and "rank_date" in line]) == 1
+    assert all("heat_walk" in file for file in heat.inputFiles()) and "Window [avg(" not in plan(heat)
+
+
+def test_three_features_read_the_newest_rows_only(spark, small):
+    """One full scan of the cleaned layer, when the newest rows are written, serves all three."""
+    for name in sorted(features.OVER_NEWEST):
+        files = CHECKED_FEATURES[name](newest(spark, small)).inputFiles()
+        assert files and all("dwd_newest_facts" in file for file in files), name
+    assert scans(plan(windows.latest_per_book(dwd(spark, small)))) == 1
+
+
+def test_cleaning_reads_the_unique_rows_twice(spark, small):
+    staged = []
+
+    def stage(df, label):
+        staged.append((label, plan(df)))
+        return materialize(df, label)
+
+    text = plan(cleaning.clean_all(ods(spark, small), tie_breakers=TIE_BREAKERS, stage=stage))
+    assert [label for label, _ in staged] == ["unique_facts", "value_counts"]
+    assert scans(staged[1][1]) == 1  # the counts
+    assert len([line for line in text.splitlines() if "FileScan parquet" in line and "book_id" in line]) == 1  # the rows themselves
 
 
 def test_duplicates_are_cut_before_the_shuffle(spark, small):
@@ -47,7 +80,7 @@ def test_duplicates_are_cut_before_the_shuffle(spark, small):
 
 
 def test_scans_read_only_what_a_feature_needs(spark, small):
-    text = plan(features.platform_heat(dwd(spark, small)).select("book_id", "popularity_diff"))
+    text = plan(features.heat_momentum(dwd(spark, small)).select("book_id", "popularity_diff"))
     schema = text[text.rindex("ReadSchema") :]
     assert "words" not in schema and "title" not in schema
     pushed = plan(windows.latest_per_book(dwd(spark, small).where("gender_type = 'male'")))
@@ -90,3 +123,23 @@ def test_no_window_holds_a_whole_category(spark, small):
     text = plan(features.user_layered_recommendation(dwd(spark, small)))
     assert "dense_rank" not in text and "Window [avg(" not in text
     assert "_place" in text
+
+
+def test_a_value_that_half_of_the_rows_share_is_split(spark):
+    """The join that brings the ranks back deals such a value out, also without adaptive execution."""
+    rows = spark.range(8000).select("id", F.lit("g").alias("g"), F.when(F.col("id") % 2 == 0, F.lit(7.0)).otherwise(F.col("id").cast("double")).alias("v"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        ranked = stats.with_dense_rank(rows, ["g"], "v", "rank", bands=64)
+        largest = ranked.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        found = values(ranked, "id", "rank")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert largest < 8000 / 10
+    rows.createOrReplaceTempView("half_shared")
+    assert found == values(spark.sql("SELECT id, dense_rank() OVER (PARTITION BY g ORDER BY v DESC) AS rank FROM half_shared"), "id", "rank")

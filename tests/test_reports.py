@@ -65,5 +65,6 @@ def test_lift_and_fit(facts):
     (lift,) = keyword_lift(rows, ReasonRules()).collect()
     assert (lift.book_count, lift.keyword_books, lift.category_avg, lift.keyword_avg) == (4, 2, 250.0, 150.0)
     assert abs(lift.keyword_lift + 0.4) < 1e-12
-    (fit,) = words_regression(rows).collect()
-    assert abs(fit.slope - 10.0) < 1e-9 and abs(fit.correlation - 1.0) < 1e-12
+    fits = {r.feature: r for r in words_regression(rows, ReasonRules()).collect()}
+    assert abs(fits["numeric_words"].slope - 10.0) < 1e-9 and abs(fits["numeric_words"].correlation - 1.0) < 1e-12
+    assert abs(fits["has_hot_keywords"].slope + 200.0) < 1e-9 and fits["title_length"].correlation > -1

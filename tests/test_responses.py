@@ -1,9 +1,11 @@
 import json
 
+import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
 from rankhouse.plans import responses
+from rankhouse.sources.staging import fresh_path
 
 BOOK = {"book_id": "1", "title": "t", "is_over": "1", "number": "5", "unit": "万"}
 
@@ -43,11 +45,34 @@ def test_details(spark):
 
 
 def test_upsert(spark):
-    schema = "book_id string, rank_name string, date_month string, arrival int, score string"
-    stored = spark.createDataFrame([("1", "大热", "202310", 1, "old"), ("2", "大热", "202310", 1, "kept")], schema)
-    arrived = spark.createDataFrame([("1", "大热", "202310", 2, "new"), ("1", "新书", "202310", 2, "added")], schema)
-    merged = responses.upsert_latest(stored, arrived)
-    assert values(merged, "book_id", "rank_name", "score") == [("1", "大热", "new"), ("1", "新书", "added"), ("2", "大热", "kept")]
+    schema = "gender string, book_id string, rank_name string, date_month string, arrival int, score string"
+    stored = spark.createDataFrame([("男生", "1", "大热", "202310", 1, "old"), ("男生", "2", "大热", "202310", 1, "kept")], schema)
+    arrived = [("男生", "1", "大热", "202310", 2, "new"), ("女生", "1", "大热", "202310", 2, "other channel"), ("男生", "1", "新书", "202310", 2, "added")]
+    merged = responses.upsert_latest(stored, spark.createDataFrame(arrived, schema))
+    assert sorted(r.score for r in merged.collect()) == ["added", "kept", "new", "other channel"]
+
+
+def test_stored_upsert_touches_only_the_months_that_arrive(spark):
+    schema = "gender string, book_id string, rank_name string, date_month string, arrival int, score string"
+    path = fresh_path(spark, "upsert_months")
+    first = [("男生", "1", "大热", "202310", 1, "old"), ("男生", "2", "大热", "202311", 1, "untouched"), ("男生", "3", "收藏", "", 1, "undated")]
+    assert responses.store_upsert(path, spark.createDataFrame(first, schema)) == 3
+    names = lambda: {f for f in responses.stored_items(spark, path, frame.schema).where("month <> '202310'").inputFiles() if "202310" not in f}
+    frame = spark.createDataFrame([("男生", "1", "大热", "202310", 2, "new"), ("女生", "1", "大热", "202310", 2, "added")], schema)
+    before = names()
+    assert responses.store_upsert(path, frame) == 2
+    assert names() == before
+    rows = responses.stored_items(spark, path, frame.schema)
+    assert sorted((r.month, r.score) for r in rows.collect()) == [("202310", "added"), ("202310", "new"), ("202311", "untouched"), ("undated", "undated")]
+    with pytest.raises(ValueError):
+        responses.store_upsert(path, frame, keys=["book_id"])
+
+
+def test_lists_are_parsed_once(spark):
+    df = spark.createDataFrame([(1, json.dumps({"data": {"table_data": [BOOK]}})), (2, "x")], "request int, body string")
+    books, rejects = responses.split_rank_lists(df)
+    assert values(books, "request", "book_id") == [(1, "1")] and values(rejects, "request", "reason") == [(2, "")]
+    assert "from_json" not in books._jdf.queryExecution().executedPlan().toString()
 
 
 def test_unify(spark):
