@@ -11,7 +11,8 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for links (a, b) of longs: root is the smallest node that is reachable. Every round takes the smallest label
     among a node and its neighbours and then the label of that label, so rounds grow with the logarithm of the longest
     way; each round's labels are a written table. Minima over neighbours are partial aggregates, so a hub does no harm."""
-    both = stage(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "links")
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))  # the links are computed once
+    both = stage(links.where("a <> b").select(F.explode(ways).alias("way")).select("way.*").distinct(), "links")
     labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("root")), "labels")
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
