@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rankhouse.llm.common import LOWER, SpanHashes, as_bytes, id_text, slices, word_spans
@@ -21,7 +22,8 @@ from rankhouse.llm.measures import measure
 SAMPLE = 12_000  # labelled documents that the model is fitted on, at most
 WORD_FEATURES = 1 << 12
 FACTORS = 4
-EPOCHS = 6
+UPDATES = 1_200  # batches of BATCH documents that the model is fitted with
+BATCH = 64
 _BINS = np.array([0.0, 0.002, 0.01, 0.03, 0.1, 0.2, 0.4, 0.7])
 _LENGTHS = np.array([1, 10, 30, 100, 300, 1000, 3000])
 
@@ -86,13 +88,14 @@ class FactorisationMachine:
         return 1 / (1 + np.exp(-np.clip(self.sums(first, feature, value)[0], -30, 30)))
 
     def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rate: float = 0.1, decay: float = 1e-5) -> None:
-        """Adagrad on the logistic loss, in batches of 64 documents."""
+        """Adagrad on the logistic loss."""
         share = float(np.clip(labels.mean(), 0.01, 0.99))
         self.bias = float(np.log(share / (1 - share)))
         seen_linear, seen_pair = np.full(N_FEATURES, 1e-6), np.full((N_FEATURES, FACTORS), 1e-6)
         draw = np.random.default_rng(11)
-        for _ in range(EPOCHS):
-            for some in np.array_split(draw.permutation(len(rows)), max(1, len(rows) // 64)):
+        batches = max(1, len(rows) // BATCH)
+        for _ in range(-(-UPDATES // batches)):
+            for some in np.array_split(draw.permutation(len(rows)), batches):
                 sizes = np.array([len(rows[i][0]) for i in some])
                 feature, value = (np.concatenate([rows[i][k] for i in some]) for k in (0, 1))
                 margin, total = self.sums(np.cumsum(sizes) - sizes, feature, value)
@@ -145,7 +148,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample:
     found = rows.mapInArrow(run, "doc_id long, label int, feature array<int>, value array<float>").toArrow().sort_by("doc_id")
     model = FactorisationMachine()
     if found.num_rows:
-        pairs = [(np.array(f, np.int64), np.array(v)) for f, v in zip(found["feature"].to_pylist(), found["value"].to_pylist())]
+        lists = [found[name].combine_chunks() for name in ("feature", "value")]
+        cuts = np.cumsum(pc.list_value_length(lists[0]).to_numpy())[:-1]
+        pairs = list(zip(*(np.split(x.flatten().to_numpy(), cuts) for x in lists)))  # views, no objects for each feature
         model.fit(pairs, found["label"].to_numpy().astype(float))
     return model
 
