@@ -21,6 +21,7 @@ members are null."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -95,7 +96,7 @@ def _members(docs: DataFrame, common: np.ndarray) -> DataFrame:
                     batch.column("doc_id"),
                     pa.array(n),
                     pa.array(kind.view(np.int64)),
-                    pa.array([v.tobytes() if v.dtype == np.uint8 else b"2" + v.tobytes() for v in vectors], pa.binary()),
+                    pa.array([_packed(v) for v in vectors], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(key_first), pa.array(keys)),
                 ],
                 names=["rid", "doc_id", "n", "class", "vector", "keys"],
@@ -104,9 +105,13 @@ def _members(docs: DataFrame, common: np.ndarray) -> DataFrame:
     return with_row_id(docs).mapInArrow(run, "rid long, doc_id long, n long, class long, vector binary, keys array<long>")
 
 
+def _packed(vector: np.ndarray) -> bytes:
+    """A count vector for shuffles: most counts are 0 or 1, so it shrinks to about a fifth."""
+    return bytes([vector.itemsize]) + zlib.compress(vector.tobytes(), 1)
+
+
 def _vector(raw: bytes) -> np.ndarray:
-    """A count vector as 32-bit counts; the byte that marks wide ones makes the length odd."""
-    return (np.frombuffer(raw, np.uint16, offset=1) if len(raw) % 2 else np.frombuffer(raw, np.uint8)).astype(np.int32)
+    return np.frombuffer(zlib.decompress(raw[1:]), f"u{raw[0]}").astype(np.int32)
 
 
 def common_shingles(docs: DataFrame) -> np.ndarray:
@@ -237,9 +242,11 @@ def forest(sizes: np.ndarray, vectors: list[np.ndarray], parts: np.ndarray | Non
 def _in_parts(rows: DataFrame, group: str, member: str) -> DataFrame:
     """Rows of a group, once for each pair of parts they take part in: columns ``pair`` (which two parts) and ``part`` (0 or 1; null in
     a pair of a part with itself). A group of at most BLOCK rows has one part."""
-    sizes = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("parts"))
+    large = rows.groupBy(group).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > BLOCK)
+    large = stage(large.select(group, F.ceil(F.col("size") / F.lit(BLOCK)).alias("parts")), "large-groups")
+    rows = rows.join(large, group, "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
     own = F.pmod(F.xxhash64(member), F.col("parts"))
-    rows = rows.join(sizes, group).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     pair = F.least("own", "other") * F.col("parts") + F.greatest("own", "other")
     part = F.when(F.col("own") != F.col("other"), (F.col("own") > F.col("other")).cast("int"))
     return rows.withColumn("pair", pair).withColumn("part", part).drop("own", "other", "parts")
@@ -287,10 +294,10 @@ def _forests(rows: DataFrame, group: str, exact: bool) -> DataFrame:
 def _blocks(members: DataFrame) -> DataFrame:
     """(block, class): the classes that share a blocking key, for keys of at least two classes; equal blocks once."""
     rows = members.where("n > 0").select(F.explode("keys").alias("key"), "class")
-    keys = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key")
+    keys = stage(rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key"), "block-keys")
     rows = stage(rows.join(keys, "key").distinct(), "block-rows")
     same = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("class")).alias("x"), F.sum(F.shiftright(F.xxhash64("class", F.lit(1)), 16)).alias("s"))
-    once = same.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key")
+    once = stage(same.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key"), "blocks")
     return rows.join(once, "key").withColumnRenamed("key", "block")
 
 
@@ -299,7 +306,8 @@ def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = stage(_members(docs, common_shingles(docs)), "members")
     blocks = _blocks(members)
     one = members.where("n > 0").groupBy("class").agg(F.min("rid").alias("rid"))
-    wanted = blocks.join(members.join(one, ["class", "rid"]).dropDuplicates(["class"]).select("class", "n", "vector"), "class")
+    points = members.where("n > 0").select("class", "n", "vector").dropDuplicates(["class"])
+    wanted = stage(blocks.join(points, "class"), "points")
     clusters = components(_forests(wanted, "block", exact=False)).select(F.col("node").alias("class"), F.col("root").alias("cluster"))
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,7 +319,7 @@ def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     chosen = clusters.join(one, "class").join(members.select("rid", "n").dropDuplicates(["rid"]), "rid")
     texts = with_row_id(docs).join(chosen, "rid").dropDuplicates(["class"]).select("cluster", "class", "n", "text")
-    whole = texts.mapInArrow(elements, "cluster long, class long, n long, elements binary")
+    whole = stage(texts.mapInArrow(elements, "cluster long, class long, n long, elements binary"), "clustered-sets")
     return members.select("rid", "doc_id", "n", "class"), components(_forests(whole, "cluster", exact=True)).withColumnRenamed("node", "class")
 
 
