@@ -247,12 +247,12 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     """(rid, spans) of the texts with repeated bytes; spans are (low, high) in bytes and may overlap."""
     rows = rows.select("rid", "text")
     parsed = stage(_parsed(rows), "fragments")
-    twice = parsed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    twice = stage(parsed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "repeated-anchors")
     shared = stage(parsed.join(twice, "anchor", "left_semi"), "shared-fragments")
     kinds = stage(shared.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("rid")), "kinds")
     whole = shared.join(kinds.where("n > 1").select("anchor", "content"), ["anchor", "content"])
     whole = whole.select("rid", "low", (F.col("low") + F.col("more") + LENGTH).alias("high"))
-    several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    several = stage(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "anchors-of-several")
     crowded = F.col("kinds") > INDEX_BYTES // (2 * LENGTH)
     chosen = kinds.join(several, "anchor").select("anchor", "content", "rid", (F.col("n") == 1).alias("once"), crowded.alias("crowded"))
     chosen = shared.join(chosen, ["anchor", "content", "rid"]).dropDuplicates(["anchor", "content"])
