@@ -29,11 +29,12 @@ from rankhouse.llm.common import id_text, slices
 from rankhouse.llm.packing import with_end
 from rankhouse.sources.staging import fresh_path
 
-BLOCK = 4096  # ids in a block
+BLOCK = 2048  # ids in a block
 SEGMENT = 3_000_000  # ids after which a segment is closed, at the end of a document
-_SLOTS = 12  # bits of a block's prediction tables
+_SLOTS = 9  # bits of a block's prediction tables, which stay in the processor's cache
 _SPACE = 24  # bits of the code space of an id: 16 for order 0, times 256 shares
 _NONE = 4  # confidence of an empty slot
+_HALF, _WORD = np.uint64(32), np.uint64(1 << 32)
 SCHEMA = "part int, segment int, n_tokens long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
@@ -48,63 +49,63 @@ def _frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Mixer:
-    """The model of all blocks of a segment, one lane each. ``symbols`` below are positions in the list of ids."""
+    """The model of all blocks of a segment, one lane each; rows 0 and 1 of its arrays are orders 1 and 2. ``symbols`` below are
+    positions in the list of ids."""
 
     def __init__(self, lanes: int, share: np.ndarray):
-        self.lane = np.arange(lanes)
-        self.share = share.astype(np.int64)
-        self.below = np.cumsum(self.share) - self.share
-        self.symbol_at = np.repeat(np.arange(len(share)), share)
-        self.tables = [np.full(lanes << _SLOTS, _NONE, np.int32) for _ in (1, 2)]  # symbol * 8 + confidence
-        self.hits = [np.tile(np.array([16, 64, 128, 192, 0], np.int32), lanes) for _ in (1, 2)]  # 1/256 by confidence
+        self.share = share.astype(np.int32)
+        self.below = (np.cumsum(share) - share).astype(np.int32)
+        self.symbol_at = np.repeat(np.arange(len(share), dtype=np.int32), share)
+        self.table = np.full(2 * lanes << _SLOTS, _NONE, np.int32)  # symbol * 8 + confidence
+        self.hits = np.tile(np.array([16, 64, 128, 192, 0, 0, 0, 0], np.int32), 2 * lanes)  # 1/256 by confidence
+        self.row = np.arange(2 * lanes).reshape(2, lanes)
+        self.slots = self.row << _SLOTS
         self.last = np.zeros(lanes, np.int64)
-        self.slots = [self.lane << _SLOTS, self.lane << _SLOTS]
 
     def predict(self, n: int) -> None:
-        """For the first n lanes: predicted symbols, their widths, the width of a unit of order 0."""
-        lane5 = self.lane[:n] * 5
-        found = [t[s[:n]] for t, s in zip(self.tables, self.slots)]
-        self.confidence = [lane5 + (x & 7) for x in found]
-        self.guess = [x >> 3 for x in found]
-        second = self.hits[1][self.confidence[1]]
-        first = self.hits[0][self.confidence[0]] * (256 - second) >> 8
-        self.unit = (256 - first - second).astype(np.int64)
-        self.width = [first.astype(np.int64) << 16, second.astype(np.int64) << 16]
-        self.found = found
+        """For the first n lanes: guessed symbols, their widths, the width of a unit of order 0."""
+        found = self.table.take(self.slots[:, :n])
+        self.guess, self.sure = found >> 3, found & 7
+        self.confidence = (self.row[:, :n] << 3) + self.sure
+        self.odds = self.hits.take(self.confidence)
+        first = self.odds[0] * (256 - self.odds[1]) >> 8
+        self.unit = 256 - first - self.odds[1]
+        self.width = np.stack([first, self.odds[1]]) << 16
 
     def interval(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        start, size = self.unit * self.below[symbol], self.unit * self.share[symbol]
-        for guess, width in zip(self.guess, self.width):
-            start += width * (guess < symbol)
-            size += width * (guess == symbol)
+        """Start and size of the symbols' intervals; remembers which guesses are right."""
+        self.right = self.guess == symbol
+        start = self.unit * self.below.take(symbol) + (self.width * (self.guess < symbol)).sum(axis=0, dtype=np.int32)
+        size = self.unit * self.share.take(symbol) + (self.width * self.right).sum(axis=0, dtype=np.int32)
         return start, size
 
     def symbol(self, target: np.ndarray) -> np.ndarray:
         """The symbol whose interval holds the target."""
-        rest, chosen = target.copy(), []
-        same = self.guess[0] == self.guess[1]
-        for k in (0, 1):
-            guess, other = self.guess[k], self.guess[1 - k]
-            start = self.unit * self.below[guess] + self.width[1 - k] * (other < guess)
-            end = start + self.unit * self.share[guess] + self.width[k] + self.width[1 - k] * same
-            chosen.append((target >= start) & (target < end))
-            rest -= self.width[k] * (target >= end)
-        symbol = self.symbol_at[np.where(chosen[0] | chosen[1], 0, rest // self.unit)]
-        return np.where(chosen[0], self.guess[0], np.where(chosen[1], self.guess[1], symbol))
+        (one, two), (wide_one, wide_two) = self.guess, self.width
+        start = self.unit * self.below.take(self.guess)
+        start[0] += wide_two * (two < one)
+        start[1] += wide_one * (one < two)
+        end = start + self.unit * self.share.take(self.guess) + self.width
+        same = one == two
+        end[0] += wide_two * same
+        end[1] += wide_one * same
+        past = target >= end
+        inside = (target >= start) & ~past
+        rest = target - (self.width * past).sum(axis=0, dtype=np.int32)
+        rest[inside[0] | inside[1]] = 0
+        return np.where(inside[0], one, np.where(inside[1], two, self.symbol_at.take(rest // self.unit)))
 
     def learn(self, symbol: np.ndarray, n: int) -> None:
-        for table, slots, hits, found, confidence, guess in zip(self.tables, self.slots, self.hits, self.found, self.confidence, self.guess):
-            right = guess == symbol
-            sure = found & 7
-            share = hits[confidence]
-            hits[confidence] = np.where(sure == _NONE, 0, share + ((right * 254 - share) >> 4))
-            kept = np.where(right, np.minimum(sure + 1, 3), sure - 1)
-            fresh = (sure == _NONE) | (~right & (sure == 0))
-            table[slots[:n]] = np.where(fresh, symbol << 3, (guess << 3) | kept)
-        lane = self.lane[:n] << _SLOTS
+        """After ``interval`` of the same symbols."""
+        empty = self.sure == _NONE
+        self.hits[self.confidence] = np.where(empty, 0, self.odds + ((self.right * 254 - self.odds) >> 4))
+        kept = np.where(self.right, np.minimum(self.sure + 1, 3), self.sure - 1)
+        self.table[self.slots[:, :n]] = np.where(empty | (kept < 0), symbol << 3, (self.guess << 3) | kept)
+        symbol = symbol.astype(np.int64)
         one = symbol * 0x9E3779B1 & 0xFFFFFFFF
         two = (one + self.last[:n] * 0x85EBCA6B) * 0xC2B2AE35 & 0xFFFFFFFF
-        self.slots = [lane | one >> 32 - _SLOTS, lane | two >> 32 - _SLOTS]
+        self.slots[0, :n] = self.row[0, :n] << _SLOTS | one >> 32 - _SLOTS
+        self.slots[1, :n] = self.row[1, :n] << _SLOTS | two >> 32 - _SLOTS
         self.last[:n] = symbol
 
 
@@ -123,12 +124,12 @@ def encode(ids: np.ndarray) -> bytes:
         return struct.pack("<QII", 0, 0, 0)
     present, share = _frequencies(ids)
     lanes, reach = _lanes(len(ids))
-    padded = np.zeros(lanes * BLOCK, np.int64)
+    padded = np.zeros(lanes * BLOCK, np.int32)
     padded[: len(ids)] = np.searchsorted(present, ids)
     by_step = np.ascontiguousarray(padded.reshape(lanes, BLOCK).T)
     model = _Mixer(lanes, share)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    words, used = np.zeros((lanes, 256), "<u4"), np.zeros(lanes, np.int64)
+    words, used = np.zeros((lanes, 128), "<u4"), np.zeros(lanes, np.int64)
     for step, n in enumerate(reach.tolist()):
         symbol = by_step[step, :n]
         model.predict(n)
@@ -141,14 +142,15 @@ def encode(ids: np.ndarray) -> bytes:
                 words[lane, at] = 0
                 at -= 1
             words[lane, at] += 1
-        low[:n], span[:n] = moved, unit * size.astype(np.uint64)
-        out = np.flatnonzero(span[:n] < np.uint64(1 << 32))
-        words[out, used[out]] = low[out] >> np.uint64(32)
+        unit *= size.astype(np.uint64)
+        low[:n], span[:n] = moved, unit
+        out = np.flatnonzero(unit < _WORD)
+        words[out, used[out]] = moved[out] >> _HALF
         used[out] += 1
-        low[out] <<= np.uint64(32)
-        span[out] <<= np.uint64(32)
+        low[out] <<= _HALF
+        span[out] <<= _HALF
         model.learn(symbol, n)
-        if step % 64 == 63 and used.max() + 70 > words.shape[1]:
+        if step % 32 == 31 and used.max() + 40 > words.shape[1]:
             words = np.concatenate([words, np.zeros_like(words)], axis=1)
     flat = [row[:k].tobytes() + struct.pack("<II", int(x) >> 32, int(x) & 0xFFFFFFFF) for row, k, x in zip(words, used.tolist(), low)]
     raw = memoryview(np.ascontiguousarray(ids, "<u4").tobytes())
@@ -165,31 +167,31 @@ def decode(payload: bytes) -> np.ndarray:
         return np.zeros(0, "<u4")
     at = struct.calcsize("<QII")
     steps, share = np.frombuffer(zlib.decompress(payload[at : at + size]), "<u4").astype(np.int64).reshape(2, kinds)
-    present = np.cumsum(steps)
+    present = np.cumsum(steps).astype("<u4")
     lanes, reach = _lanes(total)
     sizes, sums = np.frombuffer(payload, "<u4", 2 * lanes, at + size).astype(np.int64).reshape(2, lanes)
-    stream = np.frombuffer(payload[at + size + 8 * lanes :] + bytes(8), "<u4").astype(np.uint64)
+    stream = np.frombuffer(payload[at + size + 8 * lanes :] + bytes(8), "<u4")
     nxt = (np.cumsum(sizes) - sizes) // 4
-    code = stream[nxt] << np.uint64(32) | stream[nxt + 1]
+    code = stream[nxt].astype(np.uint64) << _HALF | stream[nxt + 1]
     nxt += 2
     span = np.full(lanes, (1 << 64) - 1, np.uint64)
     model = _Mixer(lanes, share)
-    out = np.zeros((len(reach), lanes), np.int64)
+    out = np.zeros((len(reach), lanes), np.int32)
     for step, n in enumerate(reach.tolist()):
         model.predict(n)
         unit = span[:n] >> np.uint64(_SPACE)
-        target = np.minimum(code[:n] // unit, np.uint64((1 << _SPACE) - 1)).astype(np.int64)
-        symbol = model.symbol(target)
+        symbol = model.symbol(np.minimum(code[:n] // unit, np.uint64((1 << _SPACE) - 1)).astype(np.int32))
         start, width = model.interval(symbol)
         code[:n] -= unit * start.astype(np.uint64)
-        span[:n] = unit * width.astype(np.uint64)
-        more = np.flatnonzero(span[:n] < np.uint64(1 << 32))
-        code[more] = code[more] << np.uint64(32) | stream[nxt[more]]
-        span[more] <<= np.uint64(32)
+        unit *= width.astype(np.uint64)
+        span[:n] = unit
+        more = np.flatnonzero(unit < _WORD)
+        code[more] = code[more] << _HALF | stream[nxt[more]]
+        span[more] <<= _HALF
         nxt[more] += 1
         out[step, :n] = symbol
         model.learn(symbol, n)
-    ids = np.ascontiguousarray(present[out].T).astype("<u4").reshape(-1)[:total]
+    ids = present.take(np.ascontiguousarray(out.T).reshape(-1)[:total])
     raw = memoryview(ids.tobytes())
     for block, expected in enumerate(sums.tolist()):
         if zlib.crc32(raw[4 * block * BLOCK : 4 * (block + 1) * BLOCK]) != expected:
@@ -220,7 +222,7 @@ def write_archive(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -
         if kept:
             yield close()
 
-    ordered = id_text(docs).repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    ordered = id_text(docs).repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     ordered.mapInArrow(run, SCHEMA).write.option("compression", "none").parquet(path)
 
 
