@@ -68,10 +68,12 @@ N_FEATURES = WORD_FEATURES + 7 * (len(_BINS) + 1) + len(_LENGTHS) + 1 + 6
 
 
 class FactorisationMachine:
-    def __init__(self, bias: float = 0.0, seed: int = 7):
+    """Scores everything 0.5 until it is fitted."""
+
+    def __init__(self, bias: float = 0.0):
         self.bias = bias
         self.linear = np.zeros(N_FEATURES)
-        self.pair = np.random.default_rng(seed).normal(0, 0.01, (N_FEATURES, FACTORS))
+        self.pair = np.zeros((N_FEATURES, FACTORS))
 
     def sums(self, first: np.ndarray, feature: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Margins and the texts' factor sums. ``first``: where each text's features begin; none is empty."""
@@ -93,6 +95,7 @@ class FactorisationMachine:
         self.bias = float(np.log(share / (1 - share)))
         seen_linear, seen_pair = np.full(N_FEATURES, 1e-6), np.full((N_FEATURES, FACTORS), 1e-6)
         draw = np.random.default_rng(11)
+        self.pair = draw.normal(0, 0.01, (N_FEATURES, FACTORS))
         batches = max(1, len(rows) // BATCH)
         for _ in range(-(-UPDATES // batches)):
             for some in np.array_split(draw.permutation(len(rows)), batches):
