@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankhouse.sources.staging import fresh_path
+from rankhouse.sources.staging import fresh_path, remove
 
 #: Text bytes a task holds in numpy arrays at once; a single longer text is held whole.
 SLICE_BYTES = 2 << 20
@@ -30,11 +30,31 @@ def with_row_id(docs: DataFrame) -> DataFrame:
     return id_text(docs).select(F.xxhash64("doc_id", "text").alias("rid"), "doc_id", "text")
 
 
+class Stages:
+    """Written tables that are dropped together once what was made from them is written itself."""
+
+    def __init__(self) -> None:
+        self.written: list[tuple[SparkSession, str]] = []
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        path = fresh_path(df.sparkSession, f"llm-{label}")
+        self.written.append((df.sparkSession, path))
+        return _written(df, path)
+
+    def drop(self) -> None:
+        while self.written:
+            remove(*self.written.pop())
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the frame as Parquet to the folder all executors share and read it back: lineage ends here, and a lost
     executor costs no recomputation. The shuffle files of the write are removed when it ends, not when the driver's garbage
     happens to be collected."""
-    spark, path = df.sparkSession, fresh_path(df.sparkSession, f"llm-{label}")
+    return _written(df, fresh_path(df.sparkSession, f"llm-{label}"))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    spark = df.sparkSession
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:

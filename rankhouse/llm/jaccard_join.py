@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rankhouse.llm.common import LOWER, SpanHashes, as_bytes, id_text, mixed, shingle_hashes, slices, stage, with_row_id, word_spans
+from rankhouse.llm.common import LOWER, SpanHashes, Stages, as_bytes, id_text, mixed, shingle_hashes, slices, stage, with_row_id, word_spans
 from rankhouse.llm.components import components
 
 SHINGLE = 5
@@ -291,24 +291,27 @@ def _forests(rows: DataFrame, group: str, exact: bool) -> DataFrame:
     return dealt.select(group, "pair", "class", "part", "n", content).mapInArrow(run, "a long, b long")
 
 
-def _blocks(members: DataFrame) -> DataFrame:
+def _blocks(members: DataFrame, stages: Stages) -> DataFrame:
     """(block, class): the classes that share a blocking key, for keys of at least two classes; equal blocks once."""
     rows = members.where("n > 0").select(F.explode("keys").alias("key"), "class")
-    keys = stage(rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key"), "block-keys")
-    rows = stage(rows.join(keys, "key").distinct(), "block-rows")
+    keys = stages.write(rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key"), "block-keys")
+    rows = stages.write(rows.join(keys, "key").distinct(), "block-rows")
     same = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("class")).alias("x"), F.sum(F.shiftright(F.xxhash64("class", F.lit(1)), 16)).alias("s"))
-    once = stage(same.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key"), "blocks")
+    once = stages.write(same.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key"), "blocks")
     return rows.join(once, "key").withColumnRenamed("key", "block")
 
 
 def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All documents (rid, doc_id, n, class), and (class, root) of the classes that are linked with another."""
-    members = stage(_members(docs, common_shingles(docs)), "members")
-    blocks = _blocks(members)
+    first, second = Stages(), Stages()
+    wide = first.write(_members(docs, common_shingles(docs)), "members")
+    members = stage(wide.select("rid", "doc_id", "n", "class"), "classes")
+    blocks = _blocks(wide, first)
     one = members.where("n > 0").groupBy("class").agg(F.min("rid").alias("rid"))
-    points = members.where("n > 0").select("class", "n", "vector").dropDuplicates(["class"])
-    wanted = stage(blocks.join(points, "class"), "points")
+    points = wide.where("n > 0").select("class", "n", "vector").dropDuplicates(["class"])
+    wanted = first.write(blocks.join(points, "class"), "points")
     clusters = components(_forests(wanted, "block", exact=False)).select(F.col("node").alias("class"), F.col("root").alias("cluster"))
+    first.drop()  # clusters are a written table
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -319,8 +322,10 @@ def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     chosen = clusters.join(one, "class").join(members.select("rid", "n").dropDuplicates(["rid"]), "rid")
     texts = with_row_id(docs).join(chosen, "rid").dropDuplicates(["class"]).select("cluster", "class", "n", "text")
-    whole = stage(texts.mapInArrow(elements, "cluster long, class long, n long, elements binary"), "clustered-sets")
-    return members.select("rid", "doc_id", "n", "class"), components(_forests(whole, "cluster", exact=True)).withColumnRenamed("node", "class")
+    whole = second.write(texts.mapInArrow(elements, "cluster long, class long, n long, elements binary"), "clustered-sets")
+    roots = components(_forests(whole, "cluster", exact=True)).withColumnRenamed("node", "class")
+    second.drop()
+    return members, roots
 
 
 def linked_documents(docs: DataFrame) -> DataFrame:
