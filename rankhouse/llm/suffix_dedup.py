@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rankhouse.llm.common import SpanHashes, as_bytes, mixed, slices, stage, with_row_id
+from rankhouse.llm.common import SpanHashes, Stages, as_bytes, mixed, slices, stage, with_row_id
 
 LENGTH = 400
 GRAM = 200
@@ -244,21 +244,23 @@ def _counted(found: DataFrame) -> DataFrame:
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
-    """(rid, spans) of the texts with repeated bytes; spans are (low, high) in bytes and may overlap."""
-    rows = rows.select("rid", "text")
-    parsed = stage(_parsed(rows), "fragments")
-    twice = stage(parsed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "repeated-anchors")
-    shared = stage(parsed.join(twice, "anchor", "left_semi"), "shared-fragments")
-    kinds = stage(shared.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("rid")), "kinds")
+    """(rid, spans) of the texts with repeated bytes, written; spans are (low, high) in bytes and may overlap."""
+    rows, stages = rows.select("rid", "text"), Stages()
+    parsed = stages.write(_parsed(rows), "fragments")
+    twice = stages.write(parsed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "repeated-anchors")
+    shared = stages.write(parsed.join(twice, "anchor", "left_semi"), "shared-fragments")
+    kinds = stages.write(shared.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("rid")), "kinds")
     whole = shared.join(kinds.where("n > 1").select("anchor", "content"), ["anchor", "content"])
     whole = whole.select("rid", "low", (F.col("low") + F.col("more") + LENGTH).alias("high"))
-    several = stage(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "anchors-of-several")
+    several = stages.write(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "anchors-of-several")
     crowded = F.col("kinds") > INDEX_BYTES // (2 * LENGTH)
     chosen = kinds.join(several, "anchor").select("anchor", "content", "rid", (F.col("n") == 1).alias("once"), crowded.alias("crowded"))
     chosen = shared.join(chosen, ["anchor", "content", "rid"]).dropDuplicates(["anchor", "content"])
-    found = stage(_fetched(chosen, rows), "fragment-bytes")
+    found = stages.write(_fetched(chosen, rows), "fragment-bytes")
     spans = whole.union(_indexed(found.where("not crowded"))).union(_counted(found.where("crowded")))
-    return spans.groupBy("rid").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+    spans = stage(spans.groupBy("rid").agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans")
+    stages.drop()
+    return spans
 
 
 def _merged(spans: list[dict] | None) -> list[list[int]]:
@@ -279,7 +281,7 @@ def _kept(raw: bytes, spans: list[list[int]]) -> bytes:
 def removal(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans and the sha256 of the bytes that are left."""
     rows = with_row_id(docs)
-    spans = stage(repeated_spans(rows), "spans")
+    spans = repeated_spans(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -311,7 +313,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with all their columns, repeated passages taken out of their texts; n_chars, where there is such a column, follows
     the text. Null texts stay null."""
     rid = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
-    spans = stage(repeated_spans(with_row_id(docs)), "spans")
+    spans = repeated_spans(with_row_id(docs))
     keyed = docs.withColumn("_rid", rid).join(spans.withColumnsRenamed({"rid": "_rid", "spans": "_spans"}), "_rid", "left")
 
     @F.pandas_udf("string")
