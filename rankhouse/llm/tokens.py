@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Pieces in each of a cache's two generations; about 200 bytes each.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 #: Text bytes encoded at once: the larger, the more equal pieces meet.
 SLICE_BYTES = 8 << 20
 
