@@ -1,18 +1,24 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are runs of letters in lower case. From a bounded sample of labelled documents (EXAMPLES) come the vocabulary, the
-terms that toxic documents have significantly more often (at most TERMS of them), their inverse document frequencies, and
-the examples' vectors; equal vectors are one example with several votes. Vectors stand in blocks of BLOCK; for each term the index
-keeps its largest weight in every block that has it. A query adds these maxima up to a bound for each block, scores the blocks in
-the order of their bounds and stops when no remaining bound reaches the NEIGHBOURS-th best cosine, so the neighbours are exact.
-Neighbours vote with a power of their cosine; votes become scores by a monotone fit to the votes that examples get from
-all others. A text without a term of the vocabulary is as near to every example and gets the rate of its like.
-
-Defined results: null and empty texts are such texts; without labels every score is 0.5; labels that are null or contradict each
+Terms are runs of letters in lower case. Every term of a text has a weight: the logarithm of its count times its inverse document
+frequency over all documents. A bounded sample of labelled documents (EXAMPLES) are the examples, with all their terms; equal
+vectors are one example with several votes. Terms that many examples have (COMMON) stand in rows over blocks of BLOCK examples,
+each block with its largest weights; the others have posting lists. A query adds up its posting lists, bounds what the common terms can
+add to each example by its block's largest weights and by the lengths of both common parts, and works out the examples whose
+bound reaches the NEIGHBOURS-th best product, so the neighbours are exact. Terms that no example has change no order but the
+text's length: their frequencies are joined in afterwards.
+Neighbours vote with a power of their cosine. A second index holds the telling terms alone, those that toxic examples have
+significantly more often, with lengths still those of whole texts; its neighbours vote beside the others. A text without a
+telling term starts from the rate of the examples without one. Votes become scores by a monotone fit to the votes that examples
+get from all others.
+
+Defined results: null and empty texts get the rate of the examples without a telling term; without labels every score is 0.5; labels that are null or contradict each
 other for a doc_id are not used; every row gives one row."""
 
 from __future__ import annotations
 
+import copy
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,16 +26,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rankhouse.llm.common import LOWER, SpanHashes, as_bytes, id_text, slices, word_spans
+from rankhouse.llm.common import LOWER, SpanHashes, as_bytes, id_text, slices, stage, word_spans
 from rankhouse.llm.quality_classifier import held_out, labelled_sample
 
 EXAMPLES = 40_000  # labelled documents that are learnt from, at most
-TERMS = 4_096  # terms of the vocabulary, at most
-LEAST_DOCUMENTS = 5  # that a term of the vocabulary occurs in
+LEAST_DOCUMENTS = 5  # that a telling term occurs in
 SIGNIFICANCE = 6.0  # standard deviations by which toxic documents have it more often
 LIFT = 3.0  # times the usual share of toxic documents that those with the term have, at least (or half way to all)
 NEIGHBOURS = 24
 BLOCK = 64
+COMMON = 16  # a term is common if more than one in so many examples has it
 POWER = 4
 PRIOR_VOTES = 0.2
 CALIBRATION = 3_000  # examples that the monotone fit uses, at most
@@ -55,21 +61,45 @@ def counted(owner: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Vocabulary:
+    """The examples' terms with their idf from ``documents``, how many of ``of`` documents have each."""
+
     def __init__(self, hashes: np.ndarray, documents: np.ndarray, of: int):
         order = np.argsort(hashes)
         self.hashes = hashes[order]
         self.idf = np.log((of + 1) / (documents[order] + 1)) + 1
+        self.of = of
 
-    def vectors(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first, term, weight): each text's terms of the vocabulary ascending, weights of length 1."""
+    def weighed(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first, term, weight) of each text's terms of the vocabulary, ascending, and (first, hash, count) of its other terms."""
         n = len(offsets) - 1
-        owner, hashes = words(data, offsets)
+        owner, hashes, counts = counted(*words(data, offsets))
         at = np.searchsorted(self.hashes, hashes)
-        known = (at < len(self.hashes)) & (self.hashes[np.minimum(at, len(self.hashes) - 1)] == hashes) if len(self.hashes) else np.zeros(len(at), bool)
-        owner, term, counts = counted(owner[known], at[known])
-        weight = (1 + np.log(counts)) * self.idf[term]
-        norm = np.sqrt(np.bincount(owner, weight * weight, n))
-        return np.searchsorted(owner, np.arange(n + 1)), term, weight / norm[owner]
+        known = self.hashes[np.minimum(at, len(self.hashes) - 1)] == hashes if len(self.hashes) else np.zeros(len(at), bool)
+        first, other = (np.searchsorted(owner[which], np.arange(n + 1)) for which in (known, ~known))
+        weight = (1 + np.log(counts[known])) * self.idf[at[known]]
+        return first, at[known], weight, other, hashes[~known], counts[~known]
+
+
+def lengths(first: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Sum of the squared weights of each text."""
+    return np.bincount(np.repeat(np.arange(len(first) - 1), np.diff(first)), weight * weight, len(first) - 1)
+
+
+def _name(term: np.ndarray, weight: np.ndarray) -> bytes:
+    return hashlib.blake2b(term.astype(np.int32).tobytes() + weight.astype(np.float32).tobytes(), digest_size=16).digest()
+
+
+def restricted(first: np.ndarray, term: np.ndarray, weight: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The vectors without the terms that ``to`` does not mark."""
+    inside = to[term]
+    return np.concatenate([[0], np.cumsum(inside)])[first], term[inside], weight[inside]
+
+
+def telling_terms(term: np.ndarray, toxic: np.ndarray, n_terms: int, rate: float) -> np.ndarray:
+    """Which terms toxic examples have significantly more often. ``toxic``: for each pair of example and term."""
+    n, of = np.bincount(term, minlength=n_terms), np.bincount(term, toxic, n_terms)
+    surplus = (of - rate * n) / (np.sqrt(np.maximum(n, 1)) * max((rate * (1 - rate)) ** 0.5, 1e-9))
+    return (n >= LEAST_DOCUMENTS) & (surplus >= SIGNIFICANCE) & (of >= min(LIFT * rate, (1 + rate) / 2) * n)
 
 
 class BlockMaxIndex:
@@ -78,93 +108,127 @@ class BlockMaxIndex:
     def __init__(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, toxic: np.ndarray, ids: np.ndarray, n_terms: int):
         groups: dict[bytes, list] = {}
         self.blank = np.zeros(2)  # examples without a term: how many, how many toxic
+        term, weight = term.astype(np.int32), weight.astype(np.float32)
         for i in range(len(first) - 1):
             span = slice(first[i], first[i + 1])
             if first[i] == first[i + 1]:
                 self.blank += (1, toxic[i])
                 continue
-            key = term[span].astype("<i4").tobytes() + np.round(weight[span], 9).tobytes()
-            group = groups.setdefault(key, [span, 0, 0, ids[i]])
+            group = groups.setdefault(_name(term[span], weight[span]), [span, 0, 0, ids[i]])
             group[1] += 1
             group[2] += int(toxic[i])
             group[3] = min(group[3], ids[i])
         # vectors of the same heaviest terms share blocks, which keeps the bounds tight
-        heaviest = [(term[g[0]][np.argsort(-weight[g[0]], kind="stable")].tolist(), g) for g in groups.values()]
-        ordered = [g for _, g in sorted(heaviest, key=lambda h: (h[0], weight[h[1][0]].tolist()))]
+        heaviest = [(term[g[0]][np.argsort(-weight[g[0]], kind="stable")[:8]].tolist(), int(g[3]), g) for g in groups.values()]
+        ordered = [g for _, _, g in sorted(heaviest, key=lambda h: h[:2])]
         self.n_terms = n_terms
-        self.term = np.concatenate([term[g[0]] for g in ordered]) if ordered else np.zeros(0, np.int64)
-        self.weight = np.concatenate([weight[g[0]] for g in ordered]) if ordered else np.zeros(0)
+        self.term = np.concatenate([term[g[0]] for g in ordered]) if ordered else np.zeros(0, np.int32)
+        self.weight = np.concatenate([weight[g[0]] for g in ordered]) if ordered else np.zeros(0, np.float32)
         self.first = np.concatenate([[0], np.cumsum([g[0].stop - g[0].start for g in ordered])]).astype(np.int64)
         self.votes = np.array([g[1] for g in ordered], float)
         self.toxic = np.array([g[2] for g in ordered], float)
         self.ids = np.array([g[3] for g in ordered], np.int64)
-        self.blocks = -(-len(ordered) // BLOCK)
-        owner = np.repeat(np.arange(len(ordered)), np.diff(self.first))
-        key = self.term * max(1, self.blocks) + owner // BLOCK
-        which, at = np.unique(key, return_inverse=True)
-        self.block_max = np.zeros(len(which))
-        np.maximum.at(self.block_max, at, self.weight)
-        self.block_of = which % max(1, self.blocks)
-        self.by_term = np.searchsorted(which // max(1, self.blocks), np.arange(n_terms + 1))
+        place = {id(g): at for at, g in enumerate(ordered)}
+        self.places = {name: place[id(g)] for name, g in groups.items()}
+        self.built = False
+
+    def place(self, term: np.ndarray, weight: np.ndarray) -> int:
+        """Position of an example's vector, -1 if it has none."""
+        return self.places.get(_name(term, weight), -1)
+
+    def _build(self) -> None:
+        """Rows of the common terms and posting lists of the others; made once in each process, not shipped."""
+        n = len(self.ids)
+        documents = np.bincount(self.term, minlength=self.n_terms)
+        common = np.flatnonzero(documents * COMMON > n)
+        self.column = np.full(self.n_terms, -1, np.int32)
+        self.column[common] = np.arange(len(common))
+        owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.first))
+        column = self.column[self.term]
+        dense = column >= 0
+        self.rows = np.zeros((n, len(common)), np.float32)
+        self.rows[owner[dense], column[dense]] = self.weight[dense]
+        self.block_max = np.maximum.reduceat(self.rows, np.arange(0, n, BLOCK), axis=0)
+        self.common_length = np.sqrt(np.einsum("ij,ij->i", self.rows, self.rows, dtype=np.float64))
+        order = np.flatnonzero(~dense)
+        order = order[np.argsort(self.term[order], kind="stable")]
+        self.posting, self.posting_weight = owner[order], self.weight[order]
+        self.by_term = np.concatenate([[0], np.cumsum(np.where(self.column < 0, documents, 0))])
+        self.built = True
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the k nearest, nearest first; equal cosines by position."""
-        bound = np.zeros(self.blocks)
-        for t, w in zip(term.tolist(), weight.tolist()):
-            span = slice(self.by_term[t], self.by_term[t + 1])
-            bound[self.block_of[span]] += w * self.block_max[span]
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        query = np.zeros(self.n_terms)
-        query[term] = weight
-        best, cosine = np.zeros(0, np.int64), np.zeros(0)
-        done = 0
-        while done < len(order):  # a few blocks first, then, twice as many a time, those whose bound still reaches the k-th cosine
-            if len(best) >= k and bound[order[done]] < cosine[-1] - 1e-9:
-                break
-            some = np.sort(order[done : done + 2 * max(2, done)])
-            done += len(some)
-            rows = (some[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
-            rows = rows[rows < len(self.ids)]
-            sizes = self.first[rows + 1] - self.first[rows]
-            ends = np.cumsum(sizes)
-            at = np.arange(int(ends[-1])) + np.repeat(self.first[rows] - (ends - sizes), sizes)
-            scores = np.add.reduceat(query[self.term[at]] * self.weight[at], ends - sizes)
-            hit = np.flatnonzero(scores > 0)
-            best, cosine = np.append(best, rows[hit]), np.append(cosine, scores[hit])
-            top = np.lexsort((best, -np.round(cosine, 9)))[:k]
-            best, cosine = best[top], cosine[top]
-        return best, cosine
+        """Positions and products of the k nearest, nearest first; equal products by position. With weights of length 1 the products
+        are cosines."""
+        if not len(self.ids):
+            return np.zeros(0, np.int64), np.zeros(0)
+        if not self.built:
+            self._build()
+        column = self.column[term]
+        query = np.zeros(self.rows.shape[1])
+        query[column[column >= 0]] = weight[column >= 0]
+        rare, by = term[column < 0], weight[column < 0]
+        start = self.by_term[rare]
+        sizes = self.by_term[rare + 1] - start
+        ends = np.cumsum(sizes)
+        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - sizes), sizes)
+        sums = np.bincount(self.posting[at], np.repeat(by, sizes) * self.posting_weight[at], len(self.ids))
+        single = query.astype(np.float32)
+        most = np.repeat(self.block_max @ single, BLOCK)[: len(self.ids)]
+        bound = sums + np.minimum(most, self.common_length * np.sqrt(query @ query)) * (1 + 1e-5)
+
+        def products(at: np.ndarray) -> np.ndarray:
+            return sums[at] + (self.rows[at] * query).sum(axis=1)
+
+        chosen = np.arange(len(bound))
+        if len(bound) > 2 * k:  # what the best bounds really reach, then all whose bound reaches that too
+            some = np.argpartition(bound, len(bound) - 2 * k)[-2 * k :]
+            reached = np.partition(products(some), k)[k]
+            chosen = np.flatnonzero(bound >= reached * (1 - 1e-6))
+        found = np.concatenate([products(part) for part in np.array_split(chosen, 1 + len(chosen) // 4096)])
+        chosen, found = chosen[found > 0], found[found > 0]
+        top = np.lexsort((chosen, -np.round(found, 9)))[:k]
+        return chosen[top], found[top]
 
 
 class ToxicityModel:
-    """Scores texts; ``raw`` is the share of votes, ``levels`` the monotone map to a score."""
+    """Scores texts; ``share`` is the share of votes, ``levels`` the monotone map to a score."""
 
-    def __init__(self, vocabulary: Vocabulary, index: BlockMaxIndex | None, rate: float):
-        self.vocabulary, self.index, self.rate = vocabulary, index, rate
+    def __init__(self, vocabulary: Vocabulary, index: BlockMaxIndex | None, rate: float, telling: np.ndarray | None = None, telling_index: BlockMaxIndex | None = None):
+        self.vocabulary, self.rate, self.telling = vocabulary, rate, telling
+        self.index, self.telling_index = index, telling_index
         self.levels = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-        n, toxic = index.blank if index else (0, 0)
+        self.frequencies: DataFrame | None = None  # of all terms of all documents; not broadcast
+        n, toxic = telling_index.blank if telling_index else (0, 0)
         self.blank = float((toxic + PRIOR_VOTES * rate) / (n + PRIOR_VOTES))
 
-    def raw(self, term: np.ndarray, weight: np.ndarray, without: int | None = None) -> tuple[float, np.ndarray, np.ndarray]:
-        """Share of votes for toxic, neighbours and their cosines. ``without``: a label (0 or 1) of an example equal to the
-        query, whose own vote is left out."""
-        found, cosine = self.index.nearest(term, weight, NEIGHBOURS)
-        power = np.minimum(cosine, 1.0) ** POWER
-        votes, toxic = self.index.votes[found], self.index.toxic[found]
-        if without is not None and len(found) and cosine[0] > 1 - 1e-9:
-            votes, toxic = votes.copy(), toxic.copy()
-            votes[0] -= 1
-            toxic[0] -= without
-        share = (power @ toxic + PRIOR_VOTES * self.rate) / (power @ votes + PRIOR_VOTES)
-        return float(share), found, cosine
+    def share(self, near: list[tuple[np.ndarray, np.ndarray]], tells: bool, own: tuple[int, int] = (-1, -1), label: int = 0) -> float:
+        """Share of votes for toxic. ``near``: neighbours and cosines in the two indexes; ``tells``: whether the text has a telling term;
+        ``own``: the places of an example whose own vote, ``label``, is left out."""
+        prior = self.rate if tells else self.blank
+        sums = np.array([PRIOR_VOTES * prior, PRIOR_VOTES])
+        for index, (found, cosine), place in zip((self.index, self.telling_index), near, own):
+            power = np.minimum(cosine, 1.0) ** POWER
+            leave = found == place
+            sums += (power @ (index.toxic[found] - label * leave), power @ (index.votes[found] - leave))
+        return float(sums[0] / sums[1])
+
+    def left_out(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+        """The share of votes that each example gets from all others."""
+        tell = restricted(first, term, weight, self.telling)
+        shares = np.zeros(len(first) - 1)
+        for i, near in enumerate(self.near(first, term, weight)):
+            spans = [(v[1][v[0][i] : v[0][i + 1]], v[2][v[0][i] : v[0][i + 1]]) for v in ((first, term, weight), tell)]
+            own = (self.index.place(*spans[0]), self.telling_index.place(*spans[1]))
+            shares[i] = self.share(near, len(spans[1][0]) > 0, own, int(toxic[i]))
+        return shares
 
     def calibrate(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, toxic: np.ndarray) -> None:
         """Pool adjacent violators over the votes that examples get without their own."""
         rows = np.flatnonzero(np.diff(first) > 0)[:CALIBRATION]
         if not len(rows):
             return
-        shares = np.array([self.raw(term[first[i] : first[i + 1]], weight[first[i] : first[i + 1]], int(toxic[i]))[0] for i in rows])
+        cut = first[: rows[-1] + 2]
+        shares = self.left_out(cut, term[: cut[-1]], weight[: cut[-1]], toxic[: len(cut) - 1])[rows]
         order = np.argsort(shares, kind="stable")
         pools: list[list[float]] = []  # sum of labels, count, sum of shares
         for share, label in zip(shares[order].tolist(), toxic[rows][order].tolist()):
@@ -174,83 +238,135 @@ class ToxicityModel:
                 pools[-1] = [a + b for a, b in zip(pools[-1], last)]
         self.levels = (np.array([p[2] / p[1] for p in pools]), np.array([(p[0] + self.rate) / (p[1] + 1) for p in pools]))
 
-    def score(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[list[dict]]]:
-        n = len(offsets) - 1
-        if self.index is None:
-            return np.full(n, 0.5), [[] for _ in range(n)]
-        first, term, weight = self.vocabulary.vectors(data, offsets)
-        known: dict[bytes, tuple[float, list[dict]]] = {}
-        scores, evidence = np.full(n, self.blank), [[] for _ in range(n)]
-        for i in np.flatnonzero(np.diff(first)).tolist():
-            span = slice(first[i], first[i + 1])
-            key = term[span].tobytes() + weight[span].tobytes()
+    def near(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+        """Neighbours of each text, and the products with them, in the two indexes."""
+        known: dict[bytes, list[tuple[np.ndarray, np.ndarray]]] = {}
+        found = []
+        for a, b in zip(first.tolist(), first[1:].tolist()):
+            key = _name(term[a:b], weight[a:b])
             if key not in known:
-                share, found, cosine = self.raw(term[span], weight[span])
-                near = [
-                    {"doc_id": int(self.index.ids[f]), "similarity": float(c), "toxic_share": float(self.index.toxic[f] / self.index.votes[f])}
-                    for f, c in zip(found[:3], cosine[:3])
-                ]
-                known[key] = float(np.interp(share, *self.levels)), near
-            scores[i], evidence[i] = known[key]
-        return np.clip(scores, 0, 1), evidence
+                tell = self.telling[term[a:b]]
+                known[key] = [self.index.nearest(term[a:b], weight[a:b], NEIGHBOURS), self.telling_index.nearest(term[a:b][tell], weight[a:b][tell], NEIGHBOURS)]
+            found.append(known[key])
+        return found
 
+    def score(self, near: list[tuple[np.ndarray, np.ndarray]], tells: bool) -> tuple[float, list[dict]]:
+        found, cosine = near[0]
+        if not len(found):
+            return self.blank, []
+        evidence = [
+            {"doc_id": int(self.index.ids[f]), "similarity": float(c), "toxic_share": float(self.index.toxic[f] / self.index.votes[f])}
+            for f, c in zip(found[:3], np.minimum(cosine[:3], 1.0))
+        ]
+        return float(np.clip(np.interp(self.share(near, tells), *self.levels), 0, 1)), evidence
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, examples: int = EXAMPLES) -> ToxicityModel:
-    """``learn``: which rows of the labels may be learnt from; all if not given."""
-    rows = labelled_sample(docs, labels, "toxic", F.lit(True) if learn is None else learn, examples)
+
+def document_frequencies(docs: DataFrame) -> DataFrame:
+    """(term, n): how many documents have each term, over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            owner, hashes, _ = counted(*words(*as_bytes(batch.column("text"))))
-            toxic = batch.column("label").to_numpy(zero_copy_only=False)[owner]
-            which, at, n = np.unique(hashes, return_inverse=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(which.astype(np.int64)), pa.array(n), pa.array(np.bincount(at, toxic, len(which)).astype(np.int64))], names=["term", "n", "toxic"]
-            )
+            _, hashes, _ = counted(*words(*as_bytes(batch.column("text"))))
+            which, n = np.unique(hashes, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(which.view(np.int64)), pa.array(n)], names=["term", "n"])
+
+    return id_text(docs).select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, examples: int = EXAMPLES) -> ToxicityModel:
+    """``learn``: which rows of the labels may be learnt from; all if not given."""
+    rows = labelled_sample(docs, labels, "toxic", F.lit(True) if learn is None else learn, examples)
 
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")).first()
     if not total["n"]:
         return ToxicityModel(Vocabulary(np.zeros(0, np.uint64), np.zeros(0), 0), None, 0.5)
-    rate = total["toxic"] / total["n"]
-    spread = max((rate * (1 - rate)) ** 0.5, 1e-9)
-    surplus = (F.col("toxic") - rate * F.col("n")) / (F.sqrt("n") * spread)
-    found = rows.mapInArrow(count, "term long, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-    telling = F.col("toxic") >= min(LIFT * rate, (1 + rate) / 2) * F.col("n")
-    chosen = found.where((F.col("n") >= LEAST_DOCUMENTS) & (surplus >= SIGNIFICANCE) & telling).orderBy(surplus.desc(), "term").limit(TERMS).collect()
-    vocabulary = Vocabulary(np.array([r["term"] for r in chosen], np.int64).astype(np.uint64), np.array([r["n"] for r in chosen], float), total["n"])
+    frequencies = stage(document_frequencies(docs), "document-frequencies")
+
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(words(*as_bytes(batch.column("text")))[1]).view(np.int64))], names=["term"])
+
+    rows = stage(rows, "examples")
+    own = frequencies.join(rows.mapInArrow(terms, "term long").distinct(), "term", "left_semi").toArrow()  # the terms of ``examples`` texts
+    vocabulary = Vocabulary(own["term"].to_numpy().view(np.uint64), own["n"].to_numpy().astype(float), docs.count())
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            first, term, weight = vocabulary.vectors(*as_bytes(batch.column("text")))
+            first, term, weight, *_ = shared.value.weighed(*as_bytes(batch.column("text")))
+            weight = weight / np.repeat(np.sqrt(lengths(first, weight)), np.diff(first))
             first = pa.array(first.astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.ListArray.from_arrays(first, pa.array(term.astype(np.int32))), pa.ListArray.from_arrays(first, pa.array(weight))],
-                names=["doc_id", "label", "term", "weight"],
-            )
+            lists = [pa.ListArray.from_arrays(first, pa.array(x)) for x in (term.astype(np.int32), weight.astype(np.float32))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *lists], names=["doc_id", "label", "term", "weight"])
 
-    # at most ``examples`` rows of a few terms each
-    found = rows.mapInArrow(vectors, "doc_id long, label int, term array<int>, weight array<double>").toArrow().sort_by("doc_id")
+    # at most ``examples`` rows
+    found = rows.mapInArrow(vectors, "doc_id long, label int, term array<int>, weight array<float>").toArrow().sort_by("doc_id")
     lists = found["term"].combine_chunks()
     first = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
-    term = lists.flatten().to_numpy().astype(np.int64)
+    term = lists.flatten().to_numpy()
     weight = found["weight"].combine_chunks().flatten().to_numpy()
     toxic, ids = found["label"].to_numpy(), found["doc_id"].to_numpy()
-    model = ToxicityModel(vocabulary, BlockMaxIndex(first, term, weight, toxic, ids, len(vocabulary.hashes)), rate)
+    rate, n_terms = total["toxic"] / total["n"], len(vocabulary.hashes)
+    telling = telling_terms(term, np.repeat(toxic, np.diff(first)), n_terms, rate)
+    alone = BlockMaxIndex(*restricted(first, term, weight, telling), toxic, ids, n_terms)
+    model = ToxicityModel(vocabulary, BlockMaxIndex(first, term, weight, toxic, ids, n_terms), rate, telling, alone)
     model.calibrate(first, term, weight, toxic)
+    model.frequencies = frequencies
     return model
 
 
 def scored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, score and evidence: the nearest examples, their cosines and the share of toxic ones among their equals."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by EXAMPLES and TERMS
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic_share", pa.float64())]))
+    schema = "array<struct<doc_id:long,similarity:double,toxic_share:double>>"
+    if model.index is None:
+        return id_text(docs).select("doc_id", F.lit(0.5).alias("score"), F.array().cast(schema).alias("evidence"))
+    columns = ["found", "product", "found_telling", "product_telling"]
+    plain = copy.copy(model)
+    plain.frequencies = None
+    shared = docs.sparkSession.sparkContext.broadcast(plain)  # bounded by EXAMPLES
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            score, evidence = shared.value.score(*as_bytes(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array(evidence, kind)], names=["doc_id", "score", "evidence"])
+            first, term, weight, other, hashes, counts = shared.value.vocabulary.weighed(*as_bytes(batch.column("text")))
+            near = shared.value.near(first, term, weight)
+            other = pa.array(other.astype(np.int32))
+            lists = []
+            for k in (0, 1):
+                ends = pa.array(np.concatenate([[0], np.cumsum([len(x[k][0]) for x in near])]).astype(np.int32))
+                lists += [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([x[k][j] for x in near]).astype(t))) for j, t in ((0, np.int32), (1, np.float32))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    *lists,
+                    pa.array(np.diff(restricted(first, term, weight, shared.value.telling)[0]) > 0),
+                    pa.array(lengths(first, weight)),
+                    pa.ListArray.from_arrays(other, pa.array(hashes.view(np.int64))),
+                    pa.ListArray.from_arrays(other, pa.array(counts.astype(np.int32))),
+                ],
+                names=["doc_id", *columns, "tells", "square", "other", "times"],
+            )
 
-    kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic_share", pa.float64())]))
-    return id_text(docs).mapInArrow(run, "doc_id long, score double, evidence array<struct<doc_id:long,similarity:double,toxic_share:double>>")
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            square = batch.column("square").to_numpy(zero_copy_only=False)
+            results = []
+            for *near, tells, s in zip(*(batch.column(c) for c in columns), batch.column("tells").to_pylist(), square.tolist()):
+                near = [x.values.to_numpy(zero_copy_only=False) for x in near]
+                length = max(s, 1e-300) ** 0.5
+                results.append(shared.value.score([(near[0], near[1].astype(float) / length), (near[2], near[3].astype(float) / length)], tells))
+            score, evidence = [r[0] for r in results], [r[1] for r in results]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64()), pa.array(evidence, kind)], names=["doc_id", "score", "evidence"])
+
+    kinds = "found array<int>, product array<float>, found_telling array<int>, product_telling array<float>, tells boolean"
+    near = id_text(docs).mapInArrow(look, f"doc_id long, {kinds}, square double, other array<long>, times array<int>")
+    near = stage(near.withColumn("row", F.monotonically_increasing_id()), "near")
+    others = near.select("row", F.explode(F.arrays_zip("other", "times")).alias("o")).select("row", F.col("o.other").alias("term"), F.col("o.times").alias("times"))
+    idf = F.log(F.lit(model.vocabulary.of + 1.0) / (F.coalesce("n", F.lit(0)) + 1)) + 1
+    weight = (1 + F.log("times")) * idf
+    outside = others.join(model.frequencies, "term", "left").groupBy("row").agg(F.sum(weight * weight).alias("outside"))
+    whole = near.join(outside, "row", "left").select("doc_id", *columns, "tells", (F.col("square") + F.coalesce("outside", F.lit(0.0))).alias("square"))
+    return whole.mapInArrow(finish, f"doc_id long, score double, evidence {schema}")
 
 
 def op3_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

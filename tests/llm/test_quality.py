@@ -169,3 +169,23 @@ def test_labels_are_no_inputs(spark, table):
     assert len({(r.score) for r in toxicity.scored(table(texts[:4]), toxicity.fit(table(texts), labels)).collect()}) == 1
     kept = quality_classifier.keep_good(table(texts).withColumn("extra", F.lit(1)), labels)
     assert kept.columns[-1] == "extra" and quality_rules.keep_good(table(texts), labels).columns == table(texts).columns
+
+
+def test_every_term_counts(spark, table):
+    """Rare toxic wording finds its example, and a text's other words lower the cosine."""
+    draw = random.Random(4)
+    clean = [" ".join(f"w{draw.choice('abcdefghij')}{draw.choice('klmnopqrst')}" for _ in range(30)) for _ in range(60)]
+    texts = [*clean, "zorblat quenk mivvit", "zorblat quenk mivvit unseenword", "zorblat " + clean[0]]
+    labels = labels_of(spark, [(i, 1, int(i == 60)) for i in range(61)])
+    rows = {r.doc_id: r for r in toxicity.scored(table(texts), toxicity.fit(table(texts), labels)).collect()}
+    counts = [Counter(re.findall("[a-z]+", t)) for t in texts]
+    documents = Counter(w for c in counts for w in c)
+    weight = lambda c: {w: (1 + math.log(n)) * (math.log((len(texts) + 1) / (documents[w] + 1)) + 1) for w, n in c.items()}
+    length = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    for i in (61, 62):
+        a = weight(counts[i])
+        cosine = {j: sum(a.get(w, 0) * x for w, x in b.items()) / length(a) / length(b) for j, b in enumerate(map(weight, counts[:61]))}
+        best = sorted(cosine, key=lambda j: -cosine[j])[:3]
+        for found, j in zip(rows[i].evidence, best):
+            assert math.isclose(found.similarity, cosine[j], rel_tol=1e-5) and (cosine[j] < 1e-9 or found.doc_id == j)
+    assert rows[61].evidence[0].doc_id == 60 and 0 < rows[62].evidence[0].similarity < 1
