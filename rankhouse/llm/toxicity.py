@@ -17,13 +17,13 @@ other for a doc_id are not used; every row gives one row."""
 
 from __future__ import annotations
 
-import copy
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rankhouse.llm.common import LOWER, SpanHashes, as_bytes, id_text, slices, stage, word_spans
@@ -38,7 +38,6 @@ BLOCK = 64
 COMMON = 16  # a term is common if more than one in so many examples has it
 POWER = 4
 PRIOR_VOTES = 0.2
-CALIBRATION = 3_000  # examples that the monotone fit uses, at most
 
 _OUTSIDE = np.ones(256, bool)
 _OUTSIDE[[*range(65, 91), *range(97, 123), *range(0x80, 0x100)]] = False
@@ -197,7 +196,8 @@ class ToxicityModel:
         self.vocabulary, self.rate, self.telling = vocabulary, rate, telling
         self.index, self.telling_index = index, telling_index
         self.levels = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-        self.frequencies: DataFrame | None = None  # of all terms of all documents; not broadcast
+        self.frequencies: DataFrame | None = None  # of all terms of all documents
+        self.shared: Broadcast | None = None  # this model as it was before the fit of the levels
         n, toxic = telling_index.blank if telling_index else (0, 0)
         self.blank = float((toxic + PRIOR_VOTES * rate) / (n + PRIOR_VOTES))
 
@@ -222,16 +222,13 @@ class ToxicityModel:
             shares[i] = self.share(near, len(spans[1][0]) > 0, own, int(toxic[i]))
         return shares
 
-    def calibrate(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, toxic: np.ndarray) -> None:
+    def calibrate(self, shares: np.ndarray, labels: np.ndarray) -> None:
         """Pool adjacent violators over the votes that examples get without their own."""
-        rows = np.flatnonzero(np.diff(first) > 0)[:CALIBRATION]
-        if not len(rows):
+        if not len(shares):
             return
-        cut = first[: rows[-1] + 2]
-        shares = self.left_out(cut, term[: cut[-1]], weight[: cut[-1]], toxic[: len(cut) - 1])[rows]
-        order = np.argsort(shares, kind="stable")
+        order = np.lexsort((-labels, shares))  # equal shares fall in one pool
         pools: list[list[float]] = []  # sum of labels, count, sum of shares
-        for share, label in zip(shares[order].tolist(), toxic[rows][order].tolist()):
+        for share, label in zip(shares[order].tolist(), labels[order].tolist()):
             pools.append([label, 1, share])
             while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
                 last = pools.pop()
@@ -250,7 +247,7 @@ class ToxicityModel:
             found.append(known[key])
         return found
 
-    def score(self, near: list[tuple[np.ndarray, np.ndarray]], tells: bool) -> tuple[float, list[dict]]:
+    def score(self, near: list[tuple[np.ndarray, np.ndarray]], tells: bool, levels: tuple[np.ndarray, np.ndarray]) -> tuple[float, list[dict]]:
         found, cosine = near[0]
         if not len(found):
             return self.blank, []
@@ -258,7 +255,7 @@ class ToxicityModel:
             {"doc_id": int(self.index.ids[f]), "similarity": float(c), "toxic_share": float(self.index.toxic[f] / self.index.votes[f])}
             for f, c in zip(found[:3], np.minimum(cosine[:3], 1.0))
         ]
-        return float(np.clip(np.interp(self.share(near, tells), *self.levels), 0, 1)), evidence
+        return float(np.clip(np.interp(self.share(near, tells), *levels), 0, 1)), evidence
 
 
 def document_frequencies(docs: DataFrame) -> DataFrame:
@@ -310,8 +307,20 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, example
     telling = telling_terms(term, np.repeat(toxic, np.diff(first)), n_terms, rate)
     alone = BlockMaxIndex(*restricted(first, term, weight, telling), toxic, ids, n_terms)
     model = ToxicityModel(vocabulary, BlockMaxIndex(first, term, weight, toxic, ids, n_terms), rate, telling, alone)
-    model.calibrate(first, term, weight, toxic)
+    model.shared = whole = docs.sparkSession.sparkContext.broadcast(model)  # bounded by EXAMPLES
     model.frequencies = frequencies
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            first, term, weight, *_ = whole.value.vocabulary.weighed(*as_bytes(batch.column("text")))
+            weight = (weight / np.repeat(np.sqrt(lengths(first, weight)), np.diff(first))).astype(np.float32)
+            label = batch.column("label").to_numpy(zero_copy_only=False)
+            some = np.flatnonzero(np.diff(first))
+            yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (whole.value.left_out(first, term, weight, label), label)], names=["share", "label"])
+
+    # two numbers for each example that has a vector
+    votes = rows.select("text", "label").mapInArrow(left_out, "share double, label int").toArrow()
+    model.calibrate(votes["share"].to_numpy(), votes["label"].to_numpy())
     return model
 
 
@@ -322,9 +331,7 @@ def scored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     if model.index is None:
         return id_text(docs).select("doc_id", F.lit(0.5).alias("score"), F.array().cast(schema).alias("evidence"))
     columns = ["found", "product", "found_telling", "product_telling"]
-    plain = copy.copy(model)
-    plain.frequencies = None
-    shared = docs.sparkSession.sparkContext.broadcast(plain)  # bounded by EXAMPLES
+    shared, levels = model.shared, model.levels
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -354,7 +361,7 @@ def scored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             for *near, tells, s in zip(*(batch.column(c) for c in columns), batch.column("tells").to_pylist(), square.tolist()):
                 near = [x.values.to_numpy(zero_copy_only=False) for x in near]
                 length = max(s, 1e-300) ** 0.5
-                results.append(shared.value.score([(near[0], near[1].astype(float) / length), (near[2], near[3].astype(float) / length)], tells))
+                results.append(shared.value.score([(near[0], near[1].astype(float) / length), (near[2], near[3].astype(float) / length)], tells, levels))
             score, evidence = [r[0] for r in results], [r[1] for r in results]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64()), pa.array(evidence, kind)], names=["doc_id", "score", "evidence"])
 

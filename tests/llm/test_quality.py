@@ -189,3 +189,19 @@ def test_every_term_counts(spark, table):
         for found, j in zip(rows[i].evidence, best):
             assert math.isclose(found.similarity, cosine[j], rel_tol=1e-5) and (cosine[j] < 1e-9 or found.doc_id == j)
     assert rows[61].evidence[0].doc_id == 60 and 0 < rows[62].evidence[0].similarity < 1
+
+
+def test_calibration_uses_every_example(spark, table, monkeypatch):
+    """Labels that differ along doc_id: all examples' votes reach the fit, each without its own."""
+    seen, texts = [], [f"even odd{i % 7} t{i % 11}" for i in range(3_400)]
+    monkeypatch.setattr(toxicity.ToxicityModel, "calibrate", lambda self, shares, labels, *_: seen.extend(zip(shares, labels)))
+    toxicity.fit(table(texts), labels_of(spark, [(i, 1, int(i >= 3_200)) for i in range(3_400)]))
+    assert len(seen) == 3_400 and sum(label for _, label in seen) == 200
+
+
+def test_calibrated_beyond_the_first_examples(spark, table):
+    """Only examples of high doc_id are toxic, by one word: their like scores high."""
+    texts = [f"w{i % 7} v{i % 11}" + (" vile" if i >= 3_200 else "") for i in range(3_401)]
+    labels = labels_of(spark, [(i, 1, int(i >= 3_200)) for i in range(3_400)])
+    rows = {r.doc_id: r.score for r in toxicity.scored(table(texts), toxicity.fit(table(texts), labels)).collect()}
+    assert rows[3_400] > 0.7 and max(rows[i] for i in range(3_200)) < 0.3
