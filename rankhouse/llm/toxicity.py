@@ -38,6 +38,7 @@ BLOCK = 64
 COMMON = 16  # a term is common if more than one in so many examples has it
 POWER = 4
 PRIOR_VOTES = 0.2
+QUERIES = 64  # texts that meet the indexes at once
 
 _OUTSIDE = np.ones(256, bool)
 _OUTSIDE[[*range(65, 91), *range(97, 123), *range(0x80, 0x100)]] = False
@@ -158,35 +159,51 @@ class BlockMaxIndex:
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and products of the k nearest, nearest first; equal products by position. With weights of length 1 the products
         are cosines."""
-        if not len(self.ids):
-            return np.zeros(0, np.int64), np.zeros(0)
+        return self.nearest_of_all([(term, weight)], k)[0]
+
+    def nearest_of_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """As nearest, for some queries at once: a block's rows meet all queries that its bound does not rule out in one product."""
+        n = len(self.ids)
+        if not n or not queries:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
         if not self.built:
             self._build()
-        column = self.column[term]
-        query = np.zeros(self.rows.shape[1])
-        query[column[column >= 0]] = weight[column >= 0]
-        rare, by = term[column < 0], weight[column < 0]
-        start = self.by_term[rare]
-        sizes = self.by_term[rare + 1] - start
-        ends = np.cumsum(sizes)
-        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - sizes), sizes)
-        sums = np.bincount(self.posting[at], np.repeat(by, sizes) * self.posting_weight[at], len(self.ids))
-        single = query.astype(np.float32)
-        most = np.repeat(self.block_max @ single, BLOCK)[: len(self.ids)]
-        bound = sums + np.minimum(most, self.common_length * np.sqrt(query @ query)) * (1 + 1e-5)
-
-        def products(at: np.ndarray) -> np.ndarray:
-            return sums[at] + (self.rows[at] * query).sum(axis=1)
-
-        chosen = np.arange(len(bound))
-        if len(bound) > 2 * k:  # what the best bounds really reach, then all whose bound reaches that too
-            some = np.argpartition(bound, len(bound) - 2 * k)[-2 * k :]
-            reached = np.partition(products(some), k)[k]
-            chosen = np.flatnonzero(bound >= reached * (1 - 1e-6))
-        found = np.concatenate([products(part) for part in np.array_split(chosen, 1 + len(chosen) // 4096)])
-        chosen, found = chosen[found > 0], found[found > 0]
-        top = np.lexsort((chosen, -np.round(found, 9)))[:k]
-        return chosen[top], found[top]
+        common, sums = np.zeros((len(queries), self.rows.shape[1])), np.zeros((len(queries), n))
+        for q, (term, weight) in enumerate(queries):
+            column = self.column[term]
+            common[q, column[column >= 0]] = weight[column >= 0]
+            rare, by = term[column < 0], weight[column < 0]
+            start = self.by_term[rare]
+            sizes = self.by_term[rare + 1] - start
+            ends = np.cumsum(sizes)
+            at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - sizes), sizes)
+            sums[q] = np.bincount(self.posting[at], np.repeat(by, sizes) * self.posting_weight[at], n)
+        single = common.astype(np.float32)
+        most, length = single @ self.block_max.T, np.sqrt((common * common).sum(axis=1))
+
+        def products(q: int, at: np.ndarray) -> np.ndarray:
+            return sums[q, at] + self.rows[at] @ common[q]
+
+        starts = np.arange(0, n, BLOCK)
+        need = np.ones((len(queries), len(starts)), bool)
+        for q in range(len(queries) if n > 2 * k else 0):  # what the best bounds really reach, then the blocks whose bound reaches that too
+            bound = sums[q] + np.minimum(np.repeat(most[q], BLOCK)[:n], self.common_length * length[q]) * (1 + 1e-5)
+            some = np.argpartition(bound, n - 2 * k)[-2 * k :]
+            need[q] = np.maximum.reduceat(bound, starts) >= np.partition(products(q, some), k)[k] * (1 - 1e-5)
+        total = np.full((len(queries), n), -1.0)
+        for block, start in enumerate(starts.tolist()):
+            which = np.flatnonzero(need[:, block])
+            if len(which):
+                span = slice(start, start + BLOCK)
+                total[which, span] = sums[which, span] + single[which] @ self.rows[span].T
+        results = []
+        for q in range(len(queries)):  # single precision chose them; the products are worked out again
+            least = np.partition(total[q], n - k)[n - k] * (1 - 1e-5) if n > k else 0.0
+            chosen = np.flatnonzero(total[q] >= max(least, 1e-12))
+            found = products(q, chosen)
+            top = np.lexsort((chosen, -np.round(found, 9)))[:k]
+            results.append((chosen[top], found[top]))
+        return results
 
 
 class ToxicityModel:
@@ -237,15 +254,18 @@ class ToxicityModel:
 
     def near(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray) -> list[list[tuple[np.ndarray, np.ndarray]]]:
         """Neighbours of each text, and the products with them, in the two indexes."""
-        known: dict[bytes, list[tuple[np.ndarray, np.ndarray]]] = {}
-        found = []
+        names, queries = [], {}
         for a, b in zip(first.tolist(), first[1:].tolist()):
-            key = _name(term[a:b], weight[a:b])
-            if key not in known:
-                tell = self.telling[term[a:b]]
-                known[key] = [self.index.nearest(term[a:b], weight[a:b], NEIGHBOURS), self.telling_index.nearest(term[a:b][tell], weight[a:b][tell], NEIGHBOURS)]
-            found.append(known[key])
-        return found
+            names.append(_name(term[a:b], weight[a:b]))
+            queries[names[-1]] = (term[a:b], weight[a:b])
+        known: dict[bytes, list[tuple[np.ndarray, np.ndarray]]] = {}
+        keys = list(queries)
+        for at in range(0, len(keys), QUERIES):
+            some = [queries[key] for key in keys[at : at + QUERIES]]
+            tell = [(t[self.telling[t]], w[self.telling[t]]) for t, w in some]
+            found = zip(self.index.nearest_of_all(some, NEIGHBOURS), self.telling_index.nearest_of_all(tell, NEIGHBOURS))
+            known.update(zip(keys[at : at + QUERIES], map(list, found)))
+        return [known[name] for name in names]
 
     def score(self, near: list[tuple[np.ndarray, np.ndarray]], tells: bool, levels: tuple[np.ndarray, np.ndarray]) -> tuple[float, list[dict]]:
         found, cosine = near[0]
