@@ -92,12 +92,12 @@ def _name(term: np.ndarray, weight: np.ndarray) -> bytes:
 def restricted(first: np.ndarray, term: np.ndarray, weight: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The vectors without the terms that ``to`` does not mark."""
     inside = to[term]
-    return np.concatenate([[0], np.cumsum(inside)])[first], term[inside], weight[inside]
+    return np.concatenate([[0], np.cumsum(inside, dtype=np.int32)])[first], term[inside], weight[inside]
 
 
 def telling_terms(term: np.ndarray, toxic: np.ndarray, n_terms: int, rate: float) -> np.ndarray:
     """Which terms toxic examples have significantly more often. ``toxic``: for each pair of example and term."""
-    n, of = np.bincount(term, minlength=n_terms), np.bincount(term, toxic, n_terms)
+    n, of = np.bincount(term, minlength=n_terms), np.bincount(term[toxic > 0], minlength=n_terms)
     surplus = (of - rate * n) / (np.sqrt(np.maximum(n, 1)) * max((rate * (1 - rate)) ** 0.5, 1e-9))
     return (n >= LEAST_DOCUMENTS) & (surplus >= SIGNIFICANCE) & (of >= min(LIFT * rate, (1 + rate) / 2) * n)
 
@@ -317,12 +317,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, example
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *lists], names=["doc_id", "label", "term", "weight"])
 
     # at most ``examples`` rows
-    found = rows.mapInArrow(vectors, "doc_id long, label int, term array<int>, weight array<float>").toArrow().sort_by("doc_id")
+    found = rows.mapInArrow(vectors, "doc_id long, label int, term array<int>, weight array<float>").toArrow()
     lists = found["term"].combine_chunks()
     first = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
     term = lists.flatten().to_numpy()
     weight = found["weight"].combine_chunks().flatten().to_numpy()
     toxic, ids = found["label"].to_numpy(), found["doc_id"].to_numpy()
+    del found, lists
     rate, n_terms = total["toxic"] / total["n"], len(vocabulary.hashes)
     telling = telling_terms(term, np.repeat(toxic, np.diff(first)), n_terms, rate)
     alone = BlockMaxIndex(*restricted(first, term, weight, telling), toxic, ids, n_terms)
