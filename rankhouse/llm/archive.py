@@ -1,7 +1,7 @@
 """Token archive: ids of documents, written by an adaptive context-mixing range coder and read back.
 
 A segment holds whole documents in ascending doc_id order. Its ids are cut into blocks of BLOCK ids; every block is coded
-from a reset model and carries a checksum, so it can be read alone. The model mixes three predictions of the next id:
+from a reset model and carries a checksum, so it can be read alone, with the segment's head (``decode`` with ``only``). The model mixes three predictions of the next id:
 order 0 (the segment's id frequencies, stored in its head), order 1 and order 2 (the id that followed the last one or the
 last two ids before, in this block). Orders 1 and 2 get the share of the code space that their hits at the same
 confidence have earned so far in the block; order 0 gets the rest. All blocks of a segment are coded side by side, an id of
@@ -160,8 +160,8 @@ def encode(ids: np.ndarray) -> bytes:
     return struct.pack("<QII", len(ids), len(present), len(head)) + head + table + b"".join(flat)
 
 
-def decode(payload: bytes) -> np.ndarray:
-    """The ids of a segment; raises ValueError if a block does not match its checksum."""
+def decode(payload: bytes, only: int | None = None) -> np.ndarray:
+    """The ids of a segment, or of one of its blocks; raises ValueError if a block does not match its checksum."""
     total, kinds, size = struct.unpack_from("<QII", payload)
     if not total:
         return np.zeros(0, "<u4")
@@ -172,6 +172,10 @@ def decode(payload: bytes) -> np.ndarray:
     sizes, sums = np.frombuffer(payload, "<u4", 2 * lanes, at + size).astype(np.int64).reshape(2, lanes)
     stream = np.frombuffer(payload[at + size + 8 * lanes :] + bytes(8), "<u4")
     nxt = (np.cumsum(sizes) - sizes) // 4
+    if only is not None:
+        total = min(BLOCK, total - only * BLOCK)
+        lanes, reach = _lanes(total)
+        nxt, sums = nxt[only : only + 1], sums[only : only + 1]
     code = stream[nxt].astype(np.uint64) << _HALF | stream[nxt + 1]
     nxt += 2
     span = np.full(lanes, (1 << 64) - 1, np.uint64)
@@ -195,7 +199,7 @@ def decode(payload: bytes) -> np.ndarray:
     raw = memoryview(ids.tobytes())
     for block, expected in enumerate(sums.tolist()):
         if zlib.crc32(raw[4 * block * BLOCK : 4 * (block + 1) * BLOCK]) != expected:
-            raise ValueError(f"block {block} does not match its checksum")
+            raise ValueError(f"block {block + (only or 0)} does not match its checksum")
     return ids
 
 

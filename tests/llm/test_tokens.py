@@ -151,3 +151,16 @@ def test_piece_cache_is_bounded():
 def test_empty_table(empty):
     for frame in (op2_token_archive(empty, BYTES), op6_bpe_round_trip(empty, WORDS), op8_token_counts(empty, PIECES), op10_best_fit_packing(empty, BYTES)):
         assert frame.count() == 0
+
+
+def test_single_block_of_a_segment():
+    from rankhouse.llm.archive import BLOCK
+
+    ids = np.random.default_rng(8).integers(0, 300, 3 * BLOCK + 17).astype(np.uint32)
+    payload = encode(ids)
+    for block in range(4):
+        assert np.array_equal(decode(payload, only=block), ids[block * BLOCK : (block + 1) * BLOCK])
+    last = payload[:-12] + bytes([payload[-12] ^ 255]) + payload[-11:]
+    assert np.array_equal(decode(last, only=0), ids[:BLOCK])
+    with pytest.raises(ValueError, match="block 3"):
+        decode(last, only=3)
