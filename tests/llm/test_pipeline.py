@@ -56,4 +56,4 @@ def test_empty_table(spark, small, empty, stage):
 
 def test_registered():
     names = [name for name in driver.queries() if name.startswith("op") or name == "pipeline"]
-    assert {name.split("_")[0] for name in names} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {name.split("_")[0] for name in names} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
