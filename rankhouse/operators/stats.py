@@ -7,10 +7,13 @@ sort-merges with skew splitting."""
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rankhouse.sources.staging import materialize
+
+
 def _stride(df: DataFrame, bands: int | None) -> int:
     """Bands are a square, at least ``bands``, by default the session's shuffle partitions: as many tasks can rank at once."""
     wanted = bands or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -80,22 +83,67 @@ def _with_weight_before(distinct: DataFrame, groups: Sequence[str], value: str,
     return placed.withColumn("before", F.col("_inside") + F.col("_offset")).drop("_inside", "_offset", "_place")
 
 
-def with_dense_rank(df: DataFrame, groups: Sequence[str], value: str, name: str, bands: int | None = None) -> DataFrame:
-    """``dense_rank`` by descending value within the groups, for groups of any size: the distinct values are ranked
-    band by band and joined back. A value that more rows share than a band's part of them is split: its rows are dealt out
-    over as many parts as there are bands, and its rank is repeated for each. There are fewer such values than bands."""
+def with_dense_rank(
+    df: DataFrame, groups: Sequence[str], value: str, name: str, bands: int | None = None, stage: Callable[[DataFrame, str], DataFrame] = materialize
+) -> DataFrame:
+    """``dense_rank`` by descending value within the groups, for groups of any size."""
+    return with_dense_ranks(df, {name: groups}, value, bands=bands, stage=stage)
+
+
+def with_dense_ranks(
+    df: DataFrame,
+    levels: Mapping[str, Sequence[str]],
+    value: str,
+    averages: Mapping[str, str] | None = None,
+    bands: int | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] = materialize,
+) -> DataFrame:
+    """Add a ``dense_rank`` by descending value for each level, rank name -> its groups, coarse to fine: each level's groups include those of the
+    level before. ``averages``: rank name -> name of a column for the average value of that level's group.
+
+    The rows are read twice. First they are counted by level, group and value (grouping sets); the counts are written by ``stage``, and ranks,
+    averages and frequent values all come from them: the distinct values of all levels are ranked together in one pass, band by band. Then the
+    ranks are joined to the rows. A value that more rows share than a band's part of them is split: its rows are dealt out over as many parts as there
+    are bands, and its ranks are repeated for each. There are fewer such values than bands."""
+    names, groups = list(levels), [list(g) for g in levels.values()]
+    finest, averages = groups[-1], averages or {}
+    if any(set(a) - set(b) for a, b in zip(groups, groups[1:])):
+        raise ValueError("each level's groups include those of the level before")
+    counts = df.groupingSets([[*g, value] for g in groups], *finest, value).agg(F.grouping_id().alias("_id"), F.count(F.lit(1)).alias("_n"))
+    numbers = F.create_map(*(F.lit(x) for pair in zip(_grouping_ids(groups, finest), range(len(groups))) for x in pair))
+    counts = stage(counts.select(numbers[F.col("_id")].alias("_level"), *finest, value, "_n", F.lit(1).alias("_one")), "rank_counts")
+
     parts = _stride(df, bands) ** 2
-    key = F.xxhash64(*groups, value)
-    counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = counts.where(F.col("_n") * parts > total).agg(F.collect_list(key)).scalar()
-    ranked = _with_weight_before(counts.drop("_n"), groups, value, "_one", descending=True, bands=bands)
-    ranked = ranked.select(*groups, value, (F.col("before") + 1).cast("int").alias(name)).withColumn("_hot", hot)
+    placed = _with_weight_before(counts, ["_level", *finest], value, "_one", descending=True, bands=bands)
+    placed = placed.select("_level", *finest, value, (F.col("before") + 1).cast("int").alias("_rank"))
+    if len(groups) > 1:  # all levels are ranked in one pass
+        placed = stage(placed, "ranks")
+
+    def ranks(i: int) -> DataFrame:
+        return placed.where(F.col("_level") == i).select(*groups[i], value, F.col("_rank").alias(names[i]))
+
+    found = ranks(len(groups) - 1)
+    for i in reversed(range(len(groups) - 1)):
+        found = attach(found, ranks(i), [*groups[i], value])
+    for name, column in averages.items():
+        i, known = names.index(name), F.col(value).isNotNull()
+        own = counts.where(F.col("_level") == i).groupBy(*groups[i])
+        mean = F.try_divide(F.sum(F.col(value) * F.col("_n")), F.sum(F.when(known, F.col("_n"))))
+        found = attach(found, own.agg(mean.alias(column)), groups[i])
+
+    key = F.xxhash64(*finest, value)
+    fine = counts.where(F.col("_level") == len(groups) - 1)
+    hot = fine.where(F.col("_n") * parts > fine.agg(F.sum("_n")).scalar()).agg(F.collect_list(key)).scalar()
     copies = F.when(F.array_contains("_hot", key), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    ranked = ranked.withColumn("_part", F.explode(copies)).drop("_hot")
+    found = found.withColumn("_hot", hot).withColumn("_part", F.explode(copies)).drop("_hot")
     own = F.pmod(F.xxhash64(*df.columns), F.lit(parts)).cast("int")
     rows = df.withColumn("_hot", hot).withColumn("_part", F.when(F.array_contains("_hot", key), own).otherwise(0)).drop("_hot")
-    return attach(rows, ranked, [*groups, value, "_part"]).drop("_part")
+    return attach(rows, found, [*finest, value, "_part"]).drop("_part")
+
+
+def _grouping_ids(groups: Sequence[Sequence[str]], finest: Sequence[str]) -> list[int]:
+    """What ``grouping_id`` gives for each level: a bit for each column that is not grouped by, the value's always 0."""
+    return [sum(1 << (len(finest) - k) for k, c in enumerate(finest) if c not in g) for g in groups]
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

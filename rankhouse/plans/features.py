@@ -46,7 +46,7 @@ from rankhouse.functions.expressions import (
     ratio,
 )
 from rankhouse.functions.parsing import plain_number
-from rankhouse.operators.stats import with_dense_rank, with_group_stats
+from rankhouse.operators.stats import with_dense_ranks, with_group_stats
 from rankhouse.operators.windows import history, latest, latest_per_book, lifetime, peak_date, previous
 from rankhouse.schema import METRICS
 from rankhouse.sources.staging import materialize
@@ -240,17 +240,20 @@ def author_attenuation_effect(df: DataFrame, rules: AttenuationRules = Attenuati
 
 
 # --- reader -----------------------------------------------------------------------------------------------------
-def heat_ranks(df: DataFrame) -> DataFrame:
-    """Rows with their heat rank inside (category, gender) and (category, subcategory, gender)."""
-    ranked = with_dense_rank(df, ["category1_name", "gender_type"], "numeric_popularity", "category_heat_rank")
-    return with_dense_rank(ranked, ["category1_name", "category2_name", "gender_type"], "numeric_popularity", "subcategory_heat_rank")
-
-
-def user_layered_recommendation(df: DataFrame, rules: RecommendationRules = RecommendationRules()) -> DataFrame:
-    """Books that stand out inside their own category and gender."""
+def heat_ranks(df: DataFrame, stage: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
+    """Rows with their heat rank inside (category, gender) and (category, subcategory, gender), and the category's average."""
+    category = ["category1_name", "gender_type"]
+    levels = {"category_heat_rank": category, "subcategory_heat_rank": ["category1_name", "category2_name", "gender_type"]}
+    return with_dense_ranks(df, levels, "numeric_popularity", averages={"category_heat_rank": "category_avg_popularity"}, stage=stage)
+
+
+def user_layered_recommendation(
+    df: DataFrame, rules: RecommendationRules = RecommendationRules(), stage: Callable[[DataFrame, str], DataFrame] = materialize
+) -> DataFrame:
+    """Books that stand out inside their own category and gender. The newest rows are read twice: for the counts that ``stage`` writes,
+    and when ranks and averages are joined to them."""
     p, _, s, *_ = _metrics()
-    current = latest_per_book(df).select(*RECOMMENDATION_INPUT)
-    ranked = with_group_stats(heat_ranks(current), ["category1_name", "gender_type"], {"category_avg_popularity": F.avg(p)}, of=current)
+    ranked = heat_ranks(latest_per_book(df).select(*RECOMMENDATION_INPUT), stage)
     rank, score = F.col("category_heat_rank"), F.col("niche_recommendation_score")
     kept = ranked.where((rank <= rules.keep_rank) | (s >= rules.keep_score))
     kept = kept.withColumn("relative_heat", ratio(p, F.col("category_avg_popularity")))

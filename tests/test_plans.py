@@ -56,7 +56,8 @@ def test_three_features_read_the_newest_rows_only(spark, small):
     """One full scan of the cleaned layer, when the newest rows are written, serves all three."""
     for name in sorted(features.OVER_NEWEST):
         files = CHECKED_FEATURES[name](newest(spark, small)).inputFiles()
-        assert files and all("dwd_newest_facts" in file for file in files), name
+        layers = {file.split("/")[-2] for file in files} - {"rank_counts", "ranks"}  # these are counts of the newest rows
+        assert layers == {"dwd_newest_facts"}, name
     assert scans(plan(windows.latest_per_book(dwd(spark, small)))) == 1
 
 
@@ -120,11 +121,51 @@ def test_ranks_in_a_hot_category(spark, skewed):
 
 def test_no_window_holds_a_whole_category(spark, small):
     """Every window of the ranking is partitioned by book, by band, or runs over the bands of a group."""
-    text = plan(features.user_layered_recommendation(dwd(spark, small)))
+    staged = []
+
+    def stage(df, label):
+        staged.append(plan(df))
+        return materialize(df, label)
+
+    text = plan(features.user_layered_recommendation(dwd(spark, small), stage=stage)) + "".join(staged)
     assert "dense_rank" not in text and "Window [avg(" not in text
     assert "_place" in text
 
 
+def test_recommendation_reads_the_newest_rows_twice(spark, small):
+    """Once for the counts of both levels, once when ranks and averages are joined; all else comes from the counts."""
+    staged = []
+
+    def stage(df, label):
+        staged.append((label, plan(df)))
+        return materialize(df, label)
+
+    text = plan(features.user_layered_recommendation(newest(spark, small), stage=stage))
+    assert [label for label, _ in staged] == ["rank_counts", "ranks"]
+    reads = [part.count("dwd_newest_facts[") for part in (*(text for _, text in staged), text)]
+    assert reads == [1, 0, 1]
+    assert "Expand" in staged[0][1] and staged[1][1].count("Window [") <= 4  # one pass over the values of both levels
+
+
+def test_ranks_of_several_levels(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice(["x", None, "z"]), rng.choice([None, 7.0, float(rng.randrange(50))])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "i int, g string, h string, v double").repartition(4)
+    ranked = stats.with_dense_ranks(df, {"all": [], "one": ["g"], "two": ["h", "g"]}, "v", averages={"one": "mean", "two": "finer"}, bands=9)
+    df.createOrReplaceTempView("levels_input")
+    expected = spark.sql(
+        "SELECT *, dense_rank() OVER (ORDER BY v DESC NULLS LAST) AS all, dense_rank() OVER (PARTITION BY g ORDER BY v DESC NULLS LAST) AS one, "
+        "dense_rank() OVER (PARTITION BY g, h ORDER BY v DESC NULLS LAST) AS two, avg(v) OVER (PARTITION BY g) AS mean, avg(v) OVER (PARTITION BY g, h) AS finer "
+        "FROM levels_input"
+    )
+    columns = ["i", "g", "h", "v", "all", "one", "two"]
+    assert values(ranked, *columns) == values(expected, *columns)
+    rounded = [F.round(c, 9).alias(c) for c in ("mean", "finer")]
+    assert values(ranked.select("i", *rounded), "i", "mean", "finer") == values(expected.select("i", *rounded), "i", "mean", "finer")
+    with pytest.raises(ValueError):
+        stats.with_dense_ranks(df, {"one": ["g"], "two": ["h"]}, "v")
+
+
 def test_a_value_that_half_of_the_rows_share_is_split(spark):
     """The join that brings the ranks back deals such a value out, also without adaptive execution."""
     rows = spark.range(8000).select("id", F.lit("g").alias("g"), F.when(F.col("id") % 2 == 0, F.lit(7.0)).otherwise(F.col("id").cast("double")).alias("v"))
