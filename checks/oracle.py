@@ -328,6 +328,30 @@ oracle(
     f"< {int(0.1 * 16**13)}",
     "numeric_popularity",
 )
+_RULES = {
+    "no_key": "coalesce(book_id, title, author) IS NOT NULL",
+    "bad_id": "coalesce(NOT regexp_matches(book_id, '^https?://'), false)",
+    "bad_date": "coalesce(regexp_matches(rank_date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') AND TRY_CAST(rank_date AS DATE) IS NOT NULL, false)",
+    "bad_title": "coalesce(title NOT IN ('0', '1'), false)",
+}
+oracle(
+    "layers_removed",
+    "ods valid uniq",
+    "SELECT 'dwd_rank_facts' AS layer, (SELECT count(*) FROM uniq) AS \"rows\", "
+    + ", ".join(
+        f"count(*) FILTER (WHERE {' AND '.join([*(f'({r})' for r in list(_RULES.values())[:i]), f'NOT ({rule})'])}) AS removed_{reason}"
+        for i, (reason, rule) in enumerate(_RULES.items())
+    )
+    + ", (SELECT count(*) FROM valid) - (SELECT count(*) FROM uniq) AS removed_duplicate FROM ods",
+)
+oracle(
+    "ads_from_totals",
+    "ltv attenuation power",
+    "SELECT l.book_id, l.title, l.category2_name, l.status, l.total_heat_integral, l.appearance_count, l.ltv_score, l.ip_type, a.total_attenuation, "
+    "a.avg_attenuation_speed, a.lifecycle_days, a.attenuation_type, p.avg_arpu, p.max_arpu, p.fan_value_score, p.investment_value_level "
+    "FROM ltv l JOIN attenuation a ON l.book_id = a.book_id AND l.title = a.title AND l.status = a.status JOIN power p ON l.book_id = p.book_id AND l.title = p.title",
+    "total_heat_integral ltv_score total_attenuation avg_attenuation_speed avg_arpu max_arpu fan_value_score",
+)
 oracle("layers_append", "dwd", f"SELECT book_id, rank_date, rank_name, status, {COLS} FROM dwd", ALL)
 
 # --- cleaning ---------------------------------------------------------------------------------------------------
@@ -449,6 +473,14 @@ oracle(
     "AS peak_date FROM dwd",
     "numeric_popularity",
 )
+oracle(
+    "win_history_appended",
+    "momentum",
+    "SELECT book_id, rank_date, numeric_popularity, prev_day_popularity, popularity_diff, popularity_growth_rate, prev_popularity_diff, "
+    "popularity_acceleration, max(numeric_popularity) OVER (PARTITION BY book_id) AS peak_popularity, "
+    "first_value(rank_date) OVER (PARTITION BY book_id ORDER BY numeric_popularity DESC, rank_date) AS peak_date FROM momentum",
+    "numeric_popularity prev_day_popularity popularity_diff popularity_growth_rate prev_popularity_diff popularity_acceleration peak_popularity",
+)
 _CUR = "SELECT book_id, category1_name, category2_name, gender_type, numeric_popularity"
 oracle(
     "win_dense_rank",
@@ -817,12 +849,13 @@ oracle(
     + ", html IS NULL AS error, CASE WHEN html IS NULL THEN 'no response' ELSE '' END AS error_msg FROM "
     f"(SELECT * REPLACE ({PAGE_HTML.replace('as string', 'as varchar')} AS html) FROM pages)",
 )
-oracle(
-    "x_upsert_latest",
-    "crawled",
-    "SELECT book_id, rank_name, date_month, gender, number, arrival, request FROM crawled WHERE gender <> '?' QUALIFY row_number() OVER "
-    "(PARTITION BY gender, book_id, rank_name, date_month ORDER BY arrival DESC, request, number, response_size, page) = 1",
-)
+for _key in ("x_upsert_latest", "x_upsert_compacted"):
+    oracle(
+        _key,
+        "crawled",
+        "SELECT book_id, rank_name, date_month, gender, number, arrival, request FROM crawled WHERE gender <> '?' QUALIFY row_number() OVER "
+        "(PARTITION BY gender, book_id, rank_name, date_month ORDER BY arrival DESC, request, number, response_size, page) = 1",
+    )
 oracle(
     "x_gender_unify",
     "crawled",

@@ -14,7 +14,9 @@ from rankhouse.functions.expressions import change, flag, percent_change
 from rankhouse.functions.parsing import metric_number, month_start, plain_number, words_number
 from rankhouse.operators import buckets, cleaning, stats, windows
 from rankhouse.plans import extras, features, reports, responses
+from rankhouse.plans.history import BookHistory
 from rankhouse.plans.layers import run_layers
+from rankhouse.plans.upserts import UpsertStore
 from rankhouse.schema import METRICS, as_observations
 from rankhouse.sources import items, tables
 from rankhouse.sources.staging import fresh_path, materialize
@@ -94,6 +96,26 @@ def _(spark, sf_dir):
     return run_layers(warehouse, ["ods", "dwd", "ads"]).select("layer", "ok", "rows")
 
 
+@query("layers_removed")
+def _(spark, sf_dir):
+    """Rows that each rule of the cleaning removed, as the run of the layers reports them."""
+    path = fresh_path(spark, "layers_removed")
+    warehouse = new_warehouse(spark, sf_dir, f"removed_{path.split('/')[-2]}")
+    outcome = run_layers(warehouse, ["ods", "dwd"]).where("layer = 'dwd_rank_facts'")
+    return outcome.select("layer", "rows", *(c for c in outcome.columns if c.startswith("removed_")))
+
+
+@query("ads_from_totals")
+def _(spark, sf_dir):
+    """The three tables that one pass over the history serves, put together by book and status."""
+    totals = materialize(features.book_totals(dwd(spark, sf_dir)), "book_totals")
+    ltv, decay, power = (features.OVER_TOTALS[name](totals) for name in ("ads_capital_ltv", "ads_author_attenuation_effect", "ads_capital_future_purchasing_power"))
+    ltv = ltv.select("book_id", "title", "category2_name", "status", "total_heat_integral", "appearance_count", "ltv_score", "ip_type")
+    decay = decay.select("book_id", "title", "status", "total_attenuation", "avg_attenuation_speed", "lifecycle_days", "attenuation_type")
+    power = power.select("book_id", "title", "avg_arpu", "max_arpu", "fan_value_score", "investment_value_level")
+    return ltv.join(decay, ["book_id", "title", "status"]).join(power, ["book_id", "title"])
+
+
 @query("layers_append")
 def _(spark, sf_dir):
     """Two loads of the raw layer, the second repeats some months of the first; then the cleaned layer over all of them."""
@@ -104,7 +126,7 @@ def _(spark, sf_dir):
     run_layers(warehouse, ["ods"])
     warehouse.source = lambda: everything().where("date_month >= '199501'")
     run_layers(warehouse, ["ods", "dwd"])
-    return tables.read_layer(spark, warehouse.table("dwd_rank_facts")).select("book_id", "rank_date", "rank_name", "status", *METRICS)
+    return warehouse.layer("dwd_rank_facts").select("book_id", "rank_date", "rank_name", "status", *METRICS)
 
 
 @query("src_sample")
@@ -282,6 +304,19 @@ def _(spark, sf_dir):
     return stats.with_group_stats(rows, ["category1_name"], {"category_avg_growth_rate": F.avg("popularity_growth_rate")})
 
 
+@query("win_history_appended")
+def _(spark, sf_dir):
+    """Lags and peaks of three loads, each from the state that the one before left."""
+    path = fresh_path(spark, "win_history_appended")
+    walked = BookHistory(spark, f"history_{path.split('/')[-2]}", path)
+    rows = dwd(spark, sf_dir).select("book_id", "rank_date", "numeric_popularity")
+    for dates in ("rank_date < '1996-03-15'", "rank_date >= '1996-03-15' AND rank_date < '1998-01-01'", "rank_date >= '1998-01-01'"):
+        walked.append(rows.where(dates))
+    names = {"value": "numeric_popularity", "previous": "prev_day_popularity", "diff": "popularity_diff", "growth_rate": "popularity_growth_rate"}
+    names |= {"previous_diff": "prev_popularity_diff", "acceleration": "popularity_acceleration", "peak": "peak_popularity"}
+    return walked.read().withColumnsRenamed(names)
+
+
 @query("win_peak")
 def _(spark, sf_dir):
     rows = dwd(spark, sf_dir).select("book_id", "rank_date", "numeric_popularity")
@@ -543,13 +578,26 @@ def _items(spark, sf_dir):
 
 @query("x_upsert_latest")
 def _(spark, sf_dir):
-    """A stored table, then a later load merged into the months that it brings."""
+    """A stored table, then a later load of records for old and new keys."""
     known = responses.known_channels(_items(spark, sf_dir)).drop("error")
     path, ties = fresh_path(spark, "x_upsert_latest"), ["request", "number", "response_size", "page"]
-    responses.store_upsert(path, known.where("arrival < timestamp'1996-01-01'"), tie_breakers=ties)
-    responses.store_upsert(path, known.where("arrival >= timestamp'1996-01-01'"), tie_breakers=ties)
-    merged = responses.stored_items(spark, path, known.schema)
-    return merged.select("book_id", "rank_name", "date_month", "gender", "number", "arrival", "request")
+    store = UpsertStore(spark, f"upsert_{path.split('/')[-2]}", path, known.schema, tie_breakers=ties)
+    store.load(known.where("arrival < timestamp'1996-01-01'"))
+    store.load(known.where("arrival >= timestamp'1996-01-01'"))
+    return store.read().select("book_id", "rank_name", "date_month", "gender", "number", "arrival", "request")
+
+
+@query("x_upsert_compacted")
+def _(spark, sf_dir):
+    """The same stored table compacted between two loads, a part of the records loaded twice."""
+    known = responses.known_channels(_items(spark, sf_dir)).drop("error")
+    path, ties = fresh_path(spark, "x_upsert_compacted"), ["request", "number", "response_size", "page"]
+    store = UpsertStore(spark, f"upsert_{path.split('/')[-2]}", path, known.schema, tie_breakers=ties)
+    store.load(known.where("arrival < timestamp'1996-01-01'"))
+    store.load(known.where("arrival < timestamp'1995-06-01'"))
+    store.compact()
+    store.load(known.where("arrival >= timestamp'1996-01-01'"))
+    return store.read().select("book_id", "rank_name", "date_month", "gender", "number", "arrival", "request")
 
 
 @query("x_gender_unify")

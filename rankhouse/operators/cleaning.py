@@ -20,7 +20,7 @@ from rankhouse.functions.parsing import metric_number, plain_number, words_numbe
 from rankhouse.operators.stats import count_fill_values, count_quantiles, fill_values, quantiles, value_counts
 from rankhouse.operators.windows import latest
 from rankhouse.schema import METRIC_SOURCES, METRICS, NEEDED
-from rankhouse.sources.staging import materialize
+from rankhouse.sources.staging import materialize, observed
 
 QUARTILES = (0.25, 0.5, 0.75)
 SCORED = ("numeric_popularity", "numeric_read_count", "numeric_score")
@@ -54,8 +54,7 @@ def keep_any_key(df: DataFrame, keys: Sequence[str] = ("book_id", "title", "auth
 def drop_bad_keys(df: DataFrame, entity: str = "book_id", date: str = "rank_date", removed: Observation | None = None) -> DataFrame:
     """Drop rows whose id is a URL or NULL, or whose date is not a real yyyy-MM-dd date. With ``removed``, the first
     action on the result also reports ``removed_rows``, without a pass of its own."""
-    as_text = F.col(date).cast("string")
-    good = ~F.col(entity).rlike(URL_PATTERN) & as_text.rlike(DATE_PATTERN) & as_text.try_cast("date").isNotNull()
+    good = ~F.col(entity).rlike(URL_PATTERN) & _good_dates(date)
     if removed is not None:
         df = df.observe(removed, F.sum(1 - flag(good)).alias("removed_rows"))
     return df.where(good)
@@ -141,18 +140,85 @@ def score_quality_weighted(df: DataFrame, weights: Mapping[str, float] = QUALITY
     return df.withColumn("data_quality_score", score)
 
 
-def valid_rows(df: DataFrame) -> DataFrame:
+def _good_dates(date: str) -> Column:
+    as_text = F.col(date).cast("string")
+    return as_text.rlike(DATE_PATTERN) & as_text.try_cast("date").isNotNull()
+
+
+def row_rules() -> dict[str, Column]:
+    """The row filters in order, by the reason why a row goes; rows for which one is not true go."""
+    return {
+        "no_key": F.coalesce(*(F.col(k).cast("string") for k in ("book_id", "title", "author"))).isNotNull(),
+        "bad_id": ~F.col("book_id").rlike(URL_PATTERN),
+        "bad_date": _good_dates("rank_date"),
+        "bad_title": ~F.col("title").isin(*INVALID_TITLES),
+    }
+
+
+REASONS = ("no_key", "bad_id", "bad_date", "bad_title", "duplicate")
+
+
+class Removed:
+    """How many rows each rule of the cleaning removes, observed while the rows are written, without a pass of its own. A row counts
+    for the first rule that it fails. Tasks that run again because an executor was lost can count twice."""
+
+    def __init__(self) -> None:
+        self.before, self.after = Observation(), Observation()
+
+    def watch_rules(self, df: DataFrame) -> DataFrame:
+        passed, counts = F.lit(True), []
+        for reason, good in row_rules().items():
+            kept = F.coalesce(good, F.lit(False))
+            counts.append(F.count_if(passed & ~kept).alias(reason))
+            passed = passed & kept
+        return df.observe(self.before, *counts, F.count_if(passed).alias("passed"))
+
+    def watch_unique(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.after, F.count(F.lit(1)).alias("rows"))
+
+    def counts(self) -> dict[str, int]:
+        """By reason, once the rows were written."""
+        found = observed(self.before)
+        unique = observed(self.after).get("rows", 0)
+        return {reason: found.get(reason, 0) for reason in REASONS} | {"duplicate": found.get("passed", 0) - unique}
+
+
+def valid_rows(df: DataFrame, removed: Removed | None = None) -> DataFrame:
     """The row filters and the status labels, in order."""
+    if removed is not None:
+        df = removed.watch_rules(df)
     return df.transform(keep_any_key).transform(drop_bad_keys).transform(decode_status).transform(drop_invalid_titles)
 
 
-def numeric_rows(df: DataFrame, default_unit: float = 1.0, tie_breakers: Sequence[str] | None = None) -> DataFrame:
+def numeric_rows(df: DataFrame, default_unit: float = 1.0, tie_breakers: Sequence[str] | None = None, removed: Removed | None = None) -> DataFrame:
     """Valid, unique rows with parsed metrics and a DATE, before anything is filled."""
-    unique = keep_latest(valid_rows(df), tie_breakers=tie_breakers)
+    unique = keep_latest(valid_rows(df, removed), tie_breakers=tie_breakers)
+    if removed is not None:
+        unique = removed.watch_unique(unique)
     parsed = unique.transform(parse_metrics, default_unit).transform(parse_score).transform(parse_words)
     return parsed.withColumn("rank_date", F.col("rank_date").cast("date"))
 
 
+def corrections(counts: DataFrame, fill_strategy: str = "mean", capped: Sequence[str] = ("numeric_popularity",)) -> tuple[Column, dict[str, Column]]:
+    """Fill values (one struct) and quartiles by capped metric, as scalar subqueries over the value counts of unfilled rows. For the quartiles what is
+    filled in is added to its value."""
+    fill = count_fill_values(counts, METRICS, fill_strategy)
+
+    def quartiles(name: str) -> Column:
+        own = counts.where(F.col("metric") == name).withColumn("_fill", fill)
+        own = own.select("metric", F.coalesce("value", F.col("_fill")[name], F.lit(0.0)).alias("value"), "weight")
+        summed = own.groupBy("metric", "value").agg(F.sum("weight").alias("weight"))
+        return count_quantiles(summed, QUARTILES).select("quantiles").scalar()
+
+    return fill, {name: quartiles(name) for name in capped}
+
+
+def corrected(rows: DataFrame, fill: Column, quartiles: Mapping[str, Column], iqr_multiplier: float = 3, score: bool = True) -> DataFrame:
+    """Unfilled rows with numbers filled and capped, labels filled and, with ``score``, the quality score."""
+    cleaned = fill_labels(_capped(_filled(rows, METRICS, fill), quartiles, iqr_multiplier))
+    return score_quality(cleaned) if score else cleaned
+
+
 def clean_all(
     df: DataFrame,
     *,
@@ -163,23 +229,15 @@ def clean_all(
     iqr_multiplier: float = 3,
     score_before_filling: bool = False,
     stage: Callable[[DataFrame, str], DataFrame] = materialize,
+    removed: Removed | None = None,
 ) -> DataFrame:
     """Raw rank facts to cleaned facts. ``stage`` writes the unique rows and then, from one narrow read of them, the value
     counts of the metrics. Fill values come from the counts; the quartiles come from the counts with what is filled in added to
-    its value. A second read of the unique rows carries everything out."""
-    rows = numeric_rows(drop_empty_columns(df), default_unit, tie_breakers)
+    its value. A second read of the unique rows carries everything out. ``removed`` counts the removed rows while the unique ones are written."""
+    rows = numeric_rows(drop_empty_columns(df), default_unit, tie_breakers, removed)
     if score_before_filling:
         rows = score_quality(rows)
     rows = stage(rows, "unique_facts")
     counts = stage(value_counts(rows, METRICS), "value_counts")
-    fill = count_fill_values(counts, METRICS, fill_strategy)
-
-    def quartiles(name: str) -> Column:
-        own = counts.where(F.col("metric") == name).withColumn("_fill", fill)
-        own = own.select("metric", F.coalesce("value", F.col("_fill")[name], F.lit(0.0)).alias("value"), "weight")
-        summed = own.groupBy("metric", "value").agg(F.sum("weight").alias("weight"))
-        return count_quantiles(summed, QUARTILES).select("quantiles").scalar()
-
-    filled = _filled(rows, METRICS, fill)
-    cleaned = fill_labels(_capped(filled, {name: quartiles(name) for name in capped}, iqr_multiplier))
-    return cleaned if score_before_filling else score_quality(cleaned)
+    fill, quartiles = corrections(counts, fill_strategy, capped)
+    return corrected(rows, fill, quartiles, iqr_multiplier, score=not score_before_filling)

@@ -22,6 +22,12 @@ def latest_per_book(df: DataFrame) -> DataFrame:
     return latest(df, ["book_id"], ["rank_date"])
 
 
+def newest_per_book(df: DataFrame) -> DataFrame:
+    """The same for rows that are unique by book and date. It follows the history upwards, as lags do, so a layer sorted by book and date
+    needs no sort for either."""
+    return df.withColumn("_newest", is_newest(history())).where("_newest").drop("_newest")
+
+
 def history(entity: str = "book_id", date: str = "rank_date") -> WindowSpec:
     """An entity's observations in date order."""
     return Window.partitionBy(entity).orderBy(date)

@@ -47,7 +47,7 @@ from rankhouse.functions.expressions import (
 )
 from rankhouse.functions.parsing import plain_number
 from rankhouse.operators.stats import with_dense_ranks, with_group_stats
-from rankhouse.operators.windows import history, latest, latest_per_book, lifetime, peak_date, previous
+from rankhouse.operators.windows import history, latest, lifetime, newest_per_book, peak_date, previous
 from rankhouse.schema import METRICS
 from rankhouse.sources.staging import materialize
 
@@ -189,7 +189,7 @@ def reason_totals(df: DataFrame, rules: ReasonRules = ReasonRules()) -> DataFram
 
 def author_reason(df: DataFrame, rules: ReasonRules = ReasonRules()) -> DataFrame:
     """Average heat by such features over the newest rows; ``df`` may hold these alone."""
-    return reason_totals(latest_per_book(df), rules).withColumn("heat_index", F.col("avg_popularity") / rules.heat_unit)
+    return reason_totals(newest_per_book(df), rules).withColumn("heat_index", F.col("avg_popularity") / rules.heat_unit)
 
 
 def decay_steps(df: DataFrame, rules: AttenuationRules = AttenuationRules()) -> DataFrame:
@@ -229,8 +229,13 @@ def attenuation_totals(df: DataFrame, rules: AttenuationRules = AttenuationRules
 
 def author_attenuation_effect(df: DataFrame, rules: AttenuationRules = AttenuationRules()) -> DataFrame:
     """How far and how fast a book's heat fell; a book whose status changed has one row per status."""
+    return attenuation_of(attenuation_totals(df, rules), rules)
+
+
+def attenuation_of(totals: DataFrame, rules: AttenuationRules = AttenuationRules()) -> DataFrame:
+    """The same from the totals."""
     peak = F.col("peak_popularity")
-    effect = attenuation_totals(df, rules).withColumn("total_attenuation", percent(peak - F.col("lowest_popularity"), peak))
+    effect = totals.withColumn("total_attenuation", percent(peak - F.col("lowest_popularity"), peak))
     return effect.withColumns(
         {
             "attenuation_type": by_ceiling(F.col("total_attenuation"), ATTENUATION_TYPES),
@@ -253,7 +258,7 @@ def user_layered_recommendation(
     """Books that stand out inside their own category and gender. The newest rows are read twice: for the counts that ``stage`` writes,
     and when ranks and averages are joined to them."""
     p, _, s, *_ = _metrics()
-    ranked = heat_ranks(latest_per_book(df).select(*RECOMMENDATION_INPUT), stage)
+    ranked = heat_ranks(newest_per_book(df).select(*RECOMMENDATION_INPUT), stage)
     rank, score = F.col("category_heat_rank"), F.col("niche_recommendation_score")
     kept = ranked.where((rank <= rules.keep_rank) | (s >= rules.keep_score))
     kept = kept.withColumn("relative_heat", ratio(p, F.col("category_avg_popularity")))
@@ -271,7 +276,7 @@ def user_layered_recommendation(
 def user_avoid_pitfalls(df: DataFrame, rules: PitfallRules = PitfallRules()) -> DataFrame:
     """Newest row per book with warnings about bought heat, low scores and low reading."""
     p, r, s, *_ = _metrics()
-    rows = latest_per_book(df).select(*PITFALL_INPUT)
+    rows = newest_per_book(df).select(*PITFALL_INPUT)
     rows = rows.withColumns({"heat_score_ratio": ratio(p, s) / rules.ratio_unit, "read_conversion": percent(r, p)})
     low_score = (p >= rules.low_score_heat) & (s < rules.low_score)
     boosted = (p >= rules.boost_heat) & (s < rules.boost_score)
@@ -308,8 +313,13 @@ def long_term_totals(df: DataFrame) -> DataFrame:
 
 def capital_ltv(df: DataFrame, rules: LongTermRules = LongTermRules()) -> DataFrame:
     """Accumulated heat, stability and adaptation value per book."""
+    return long_term_of(long_term_totals(df), rules)
+
+
+def long_term_of(totals: DataFrame, rules: LongTermRules = LongTermRules()) -> DataFrame:
+    """The same from the totals."""
     average, integral, days = F.col("avg_popularity"), F.col("total_heat_integral"), F.col("lifecycle_days")
-    totals = long_term_totals(df).withColumn("lifecycle_days", F.datediff("latest_rank_date", "first_rank_date") + 1)
+    totals = totals.withColumn("lifecycle_days", F.datediff("latest_rank_date", "first_rank_date") + 1)
     totals = totals.withColumns(
         {
             "daily_avg_heat": ratio(integral, days, average),
@@ -376,7 +386,11 @@ def purchasing_totals(df: DataFrame, rules: PurchasingRules = PurchasingRules())
 
 def capital_future_purchasing_power(df: DataFrame, rules: PurchasingRules = PurchasingRules()) -> DataFrame:
     """Fan loyalty and spending per book."""
-    power = purchasing_totals(df, rules)
+    return purchasing_power_of(purchasing_totals(df, rules), rules)
+
+
+def purchasing_power_of(power: DataFrame, rules: PurchasingRules = PurchasingRules()) -> DataFrame:
+    """The same from the totals."""
     arpu_weight, quality_weight, score_weight = rules.weights
     quality, score, high = F.col("avg_fan_quality"), F.col("avg_score"), F.col("is_high_arpu_book") == 1
     value = F.col("avg_arpu") / 100 * arpu_weight + quality / 100 * quality_weight + score / 10 * score_weight
@@ -389,6 +403,76 @@ def capital_future_purchasing_power(df: DataFrame, rules: PurchasingRules = Purc
     )
 
 
+# --- one pass for three tables ----------------------------------------------------------------------------------
+def book_totals(df: DataFrame, decay: AttenuationRules = AttenuationRules(), paying: PurchasingRules = PurchasingRules()) -> DataFrame:
+    """One pass over the history: sums, counts and extremes per book, title, categories and status, of which the totals of long-term value,
+    attenuation and purchasing are made. Their groups are these or coarser ones of the same book."""
+    p, r, s, w = _metrics()
+    rows = paying_rows(decay_steps(df, decay), paying)
+    averaged = {"popularity": p, "read_count": r, "score": s, "words": w, "rate": F.col("attenuation_rate"), "speed": F.col("attenuation_speed")}
+    averaged |= {"arpu": F.col("arpu_indicator"), "quality": F.col("fan_quality_index")}
+    sums = [part for name, c in averaged.items() for part in (F.sum(c).alias(f"sum_{name}"), F.count(c).alias(f"n_{name}"))]
+    highest = {"popularity": p, "peak": F.col("peak_popularity"), "days": F.col("days_from_peak"), "severe": F.col("is_severe_attenuation")}
+    highest |= {"arpu": F.col("arpu_indicator"), "payment": F.col("is_payment_rank"), "high_arpu": F.col("is_high_arpu")}
+    extremes = [F.max(c).alias(f"max_{name}") for name, c in highest.items()]
+    dates = [F.min("rank_date").alias("first_rank_date"), F.max("rank_date").alias("latest_rank_date")]
+    return rows.groupBy(*LTV_GROUPS).agg(F.count(F.lit(1)).alias("n"), *sums, *extremes, F.min(p).alias("min_popularity"), *dates)
+
+
+def _mean(name: str) -> Column:
+    """Over the groups that are put together."""
+    return F.try_divide(F.sum(f"sum_{name}"), F.sum(f"n_{name}"))
+
+
+def long_term_from(totals: DataFrame) -> DataFrame:
+    """``long_term_totals`` from the totals of books, row by row."""
+
+    def mean(name: str) -> Column:
+        return F.try_divide(F.col(f"sum_{name}"), F.col(f"n_{name}"))
+
+    return totals.select(
+        *LTV_GROUPS,
+        F.col("sum_popularity").alias("total_heat_integral"),
+        mean("popularity").alias("avg_popularity"),
+        F.col("max_popularity").alias("peak_popularity"),
+        F.col("min_popularity").alias("lowest_popularity"),
+        F.col("n").alias("appearance_count"),
+        "first_rank_date",
+        "latest_rank_date",
+        mean("score").alias("avg_score"),
+        mean("read_count").alias("avg_read_count"),
+        mean("words").alias("total_words"),
+    )
+
+
+def attenuation_from(totals: DataFrame) -> DataFrame:
+    """``attenuation_totals`` from the totals of books."""
+    return totals.groupBy(*ATTENUATION_GROUPS).agg(
+        F.max("max_peak").alias("peak_popularity"),
+        F.min("min_popularity").alias("lowest_popularity"),
+        _mean("rate").alias("avg_attenuation_rate"),
+        _mean("speed").alias("avg_attenuation_speed"),
+        F.max("max_days").alias("lifecycle_days"),
+        _mean("score").alias("avg_score"),
+        F.max("max_severe").alias("has_severe_attenuation"),
+    )
+
+
+def purchasing_from(totals: DataFrame) -> DataFrame:
+    """``purchasing_totals`` from the totals of books."""
+    return totals.groupBy(*PURCHASING_GROUPS).agg(
+        _mean("arpu").alias("avg_arpu"),
+        F.max("max_arpu").alias("max_arpu"),
+        _mean("quality").alias("avg_fan_quality"),
+        F.max("max_payment").alias("has_payment_rank"),
+        F.max("max_high_arpu").alias("is_high_arpu_book"),
+        _mean("score").alias("avg_score"),
+        _mean("read_count").alias("avg_read_count"),
+        _mean("popularity").alias("avg_popularity"),
+        F.sum("n").alias("appearance_count"),
+    )
+
+
 # --- registry ---------------------------------------------------------------------------------------------------
 Feature = Callable[[DataFrame], DataFrame]
 
@@ -404,6 +488,13 @@ FEATURES: dict[str, Feature] = {
 }
 
 
+#: Features that are made of the totals of books, and how.
+OVER_TOTALS: dict[str, Feature] = {
+    "ads_author_attenuation_effect": lambda totals: attenuation_of(attenuation_from(totals)),
+    "ads_capital_ltv": lambda totals: long_term_of(long_term_from(totals)),
+    "ads_capital_future_purchasing_power": lambda totals: purchasing_power_of(purchasing_from(totals)),
+}
+
 #: Features that look at every book's newest row only; a layer of these rows gives the same result as the whole history.
 OVER_NEWEST = frozenset({"ads_author_reason", "ads_user_layered_recommendation", "ads_user_avoid_pitfalls"})
 

@@ -94,17 +94,18 @@ _MONTH = "month"  # the partition of the stored table; NULL and empty months are
 
 
 def store_upsert(path: str, arrived: DataFrame, keys: Sequence[str] = UPSERT_KEYS, arrival: str = "arrival", tie_breakers: Sequence[str] = (), month: str = "date_month") -> int:
-    """Merge new records into the table stored by month at ``path`` and return the rows written. Only the months that arrived
+    """Merge new records into the table stored by month at ``path`` and return the rows written; ``rankhouse.plans.upserts`` has a store that only
+    appends. Only the months that arrived
     are read and rewritten, because the month is part of the key; the others' files stay as they are. What is stored is
     merged with what arrived in a written table first, as files cannot be replaced while they are read."""
     if month not in keys:
         raise ValueError("the month has to be part of the key")
     spark = arrived.sparkSession
     part = F.when(F.coalesce(F.col(month), F.lit("")) == "", F.lit("undated")).otherwise(F.col(month))
-    arrived = arrived.withColumn(_MONTH, part)
-    months = [row[0] for row in arrived.select(_MONTH).distinct().collect()]  # as many as there are months
     scratch = Scratch(spark)
     try:
+        arrived = scratch.write(arrived.withColumn(_MONTH, part), "arrived")
+        months = [row[0] for row in arrived.select(_MONTH).distinct().collect()]  # as many as there are months
         merged = arrived
         if exists(spark, path):
             merged = stored_items(spark, path, arrived.schema).where(F.col(_MONTH).isin(months)).unionByName(arrived)

@@ -24,11 +24,16 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/rankhouse_{uuid.uuid4().hex}/{label}"
 
 
+def observed(seen: Observation) -> dict:
+    """The metrics of a frame that was written; none at all where Spark found that no row can come and left the observation out."""
+    return seen.get if seen._jo.getRow().size() else {}
+
+
 def write_counted(df: DataFrame, write) -> int:
     """Run ``write`` on the frame and return the rows written, counted during the write itself."""
     counted = Observation()
     write(df.observe(counted, F.count(F.lit(1)).alias("rows")))
-    return counted.get["rows"]
+    return observed(counted).get("rows", 0)
 
 
 class Scratch:

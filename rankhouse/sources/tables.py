@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rankhouse.sources.staging import write_counted
 
+
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     place = "" if location is None else f" LOCATION '{location}'"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
@@ -17,6 +18,11 @@ def read_layer(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
+def pass_order(spark: SparkSession) -> None:
+    """From now on scans of this session hand on the order of bucketed tables with one file for each bucket."""
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+
+
 def write_layer(
     df: DataFrame,
     table: str,
@@ -24,10 +30,12 @@ def write_layer(
     path: str | None = None,
     bucket_by: str | None = None,
     buckets: int | None = None,
+    sort_by: Sequence[str] = (),
 ) -> int:
     """Replace a layer table and return its rows. Bucketing by the entity lets every later window, group or join on it
     read the table without a shuffle; pick it only where an entity's rows are bounded, as after de-duplication. The number
-    of ``buckets`` is the caller's choice of layout; the session's shuffle partitions if not given."""
+    of ``buckets`` is the caller's choice of layout; the session's shuffle partitions if not given. Each bucket is one file, sorted by
+    the entity and ``sort_by``; with ``pass_order`` windows in that order need no sort either."""
     if bucket_by is not None:
         buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartition(buckets, bucket_by)  # one file per bucket
@@ -37,7 +45,7 @@ def write_layer(
         if path is not None:
             writer = writer.option("path", path)
         if bucket_by is not None:
-            writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+            writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by, *sort_by)
         writer.saveAsTable(table)
 
     return write_counted(df, write)

@@ -1,6 +1,7 @@
 """What the plans must look like at scale."""
 
 import random
+import re
 from datetime import date, timedelta
 
 import pytest
@@ -9,10 +10,11 @@ from pyspark.sql import functions as F
 
 from checks.layers import CHECKED_FEATURES, dwd, newest, ods
 from checks.observations import TIE_BREAKERS
-from checks.queries import QUERIES
+from checks.queries import QUERIES, settle
 from rankhouse.operators import cleaning, stats, windows
 from rankhouse.plans import features
-from rankhouse.sources.staging import materialize
+from rankhouse.sources.staging import fresh_path, materialize
+from rankhouse.sources.tables import write_layer
 
 
 def plan(df):
@@ -30,6 +32,40 @@ def test_book_features_do_not_shuffle(spark, small, name):
     assert "Exchange" not in plan(features.FEATURES[name](dwd(spark, small)))
 
 
+def sorts(text):
+    return [line.strip() for line in text.splitlines() if re.search(r"^[ :+-]*(\*\(\d+\) )?Sort \[", line)]
+
+
+@pytest.mark.parametrize("name", ["ads_author_attenuation_effect", "ads_user_avoid_pitfalls", "ads_capital_ltv", "ads_capital_future_purchasing_power"])
+def test_book_features_do_not_sort(spark, small, name):
+    """The layer's files are sorted by book and date, and the scan passes this order on."""
+    layer = newest if name in features.OVER_NEWEST else dwd
+    text = plan(features.FEATURES[name](layer(spark, small)))
+    assert not sorts(text) and ("Window [" in text or "HashAggregate" in text)
+
+
+def test_histories_do_not_sort(spark, small):
+    for rows in (features.heat_momentum(dwd(spark, small)), features.reading_growth(dwd(spark, small)), windows.newest_per_book(dwd(spark, small))):
+        text = plan(rows)
+        assert "Window [" in text and not sorts(text) and "Exchange" not in text
+    trend = plan(features.platform_ranking_trend(dwd(spark, small)))
+    assert len(sorts(trend)) == 1 and "rank_name" in sorts(trend)[0]  # for the newest row of each list; none for the history
+
+
+def test_one_scan_gives_the_totals_of_three_features(spark, small):
+    text = plan(features.book_totals(dwd(spark, small)))
+    assert scans(text) == 1 and "Exchange" not in text and not sorts(text)
+    name = f"totals_{fresh_path(spark, 'x').split('/')[-2]}"
+    write_layer(features.book_totals(dwd(spark, small)), name, path=fresh_path(spark, "totals"), bucket_by="book_id")
+    totals = spark.table(name)
+    for feature, over in features.OVER_TOTALS.items():
+        text = plan(over(totals))
+        assert scans(text) == 1 and "Exchange" not in text
+        got, want = over(totals), features.FEATURES[feature](dwd(spark, small))
+        assert got.dtypes == want.dtypes
+        assert values(settle(got), *want.columns) == values(settle(want), *want.columns)
+
+
 def test_reason_shuffles_only_partial_aggregates(spark, small):
     text = plan(features.author_reason(dwd(spark, small)))
     assert text.count("Exchange hashpartitioning") == 1 and "partial_avg" in text
@@ -48,7 +84,7 @@ def test_heat_walks_the_history_once_without_a_shuffle(spark, small):
 
     heat = features.platform_heat(dwd(spark, small), stage=stage)
     assert len(walked) == 1 and scans(walked[0]) == 1 and "Exchange" not in walked[0]
-    assert len([line for line in walked[0].splitlines() if "Sort [book_id" in line and "rank_date" in line]) == 1
+    assert not [line for line in sorts(walked[0]) if "rank_date" in line]  # the files have this order
     assert all("heat_walk" in file for file in heat.inputFiles()) and "Window [avg(" not in plan(heat)
 
 

@@ -1,4 +1,6 @@
 import json
+import os
+import re
 
 import pytest
 from conftest import values
@@ -9,6 +11,7 @@ from rankhouse.plans.layers import resolve_step, run_layers
 from rankhouse.schema import as_observations
 from rankhouse.sources import items, jdbc, staging, tables
 from checks.layers import new_warehouse
+from checks.queries import QUERIES
 
 
 def test_write_layer_replaces_and_counts(spark):
@@ -99,6 +102,46 @@ def test_scratch_is_removed(spark):
     assert not staging.exists(spark, path) and not staging.remove(spark, path)
 
 
+def _shared(spark):
+    """All files in the shared folder."""
+    folder = re.sub("^file:(//)?", "", staging.shared_folder(spark))
+    return {os.path.join(top, name) for top, _, names in os.walk(folder) for name in names}
+
+
+def test_a_run_leaves_nothing_but_its_layers(spark, small):
+    """Unique rows, value counts, ranks, walks and shared totals are gone, and so are the folders made for them."""
+    path = staging.fresh_path(spark, "tidy")
+    warehouse = new_warehouse(spark, small, "tidy_" + path.split("/")[-2])
+    before = _shared(spark)
+    outcome = run_layers(warehouse, ["ods", "dwd", "ads"])
+    layers = {row.layer for row in outcome.collect()}
+    left = {f.split(f"{warehouse.location.split('/')[-1]}/")[1].split("/")[0] for f in _shared(spark) - before}
+    assert left == layers
+    assert not [t.name for t in spark.catalog.listTables(warehouse.database) if t.name.startswith("book_totals")]
+
+
+def test_staged_tables_are_removed_also_after_a_failure(spark):
+    before = _shared(spark)
+    with pytest.raises(ZeroDivisionError):
+        with staging.owned(spark) as outer:
+            staging.materialize(spark.range(3), "outer")
+            with staging.owned(spark):
+                inner = staging.materialize(spark.range(4), "inner")
+                assert inner.count() == 4
+            assert len(_shared(spark) - before) > 0 and len(outer.paths) == 1
+            raise ZeroDivisionError
+    assert _shared(spark) == before
+
+
+def test_features_leave_nothing_when_owned(spark, small):
+    before = _shared(spark)
+    for name in ("ads_platform_heat", "ads_user_layered_recommendation", "clean_all", "x_ranklist_flatten"):
+        with staging.owned(spark):
+            rows = QUERIES[name](spark, small)
+            assert rows.count() > 0
+    assert all("/rankhouse_" in f and "dwd_" in f or "ods_" in f for f in _shared(spark) - before)  # the layers that the queries share
+
+
 def test_jdbc_options():
     """Without a database: only what is handed to Spark's JDBC source."""
     connection = {"url": "jdbc:mysql://host/db", "user": "u", "fetchsize": "50"}
