@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from rankhouse.llm import tokens
 from rankhouse.llm.common import id_text, slices
 from rankhouse.llm.packing import with_end
-from rankhouse.sources.staging import fresh_path
+from rankhouse.sources.staging import staged_path
 
 BLOCK = 2048  # ids in a block
 SEGMENT = 3_000_000  # ids after which a segment is closed, at the end of a document
@@ -265,6 +265,6 @@ def read_archive(spark: SparkSession, path: str, with_ids: bool = False) -> Data
 
 
 def op2_token_archive(docs: DataFrame, tokenizer: str) -> DataFrame:
-    path = fresh_path(docs.sparkSession, "llm-archive")
+    path = staged_path(docs.sparkSession, "llm-archive")
     write_archive(docs, path, tokenizer)
     return read_archive(docs.sparkSession, path)

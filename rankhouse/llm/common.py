@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankhouse.sources.staging import fresh_path, remove
+from rankhouse.sources.staging import remove, staged_path
 
 #: Text bytes a task holds in numpy arrays at once; a single longer text is held whole.
 SLICE_BYTES = 2 << 20
@@ -37,7 +37,7 @@ class Stages:
         self.written: list[tuple[SparkSession, str]] = []
 
     def write(self, df: DataFrame, label: str) -> DataFrame:
-        path = fresh_path(df.sparkSession, f"llm-{label}")
+        path = staged_path(df.sparkSession, f"llm-{label}")
         self.written.append((df.sparkSession, path))
         return _written(df, path)
 
@@ -50,7 +50,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the frame as Parquet to the folder all executors share and read it back: lineage ends here, and a lost
     executor costs no recomputation. The shuffle files of the write are removed when it ends, not when the driver's garbage
     happens to be collected."""
-    return _written(df, fresh_path(df.sparkSession, f"llm-{label}"))
+    return _written(df, staged_path(df.sparkSession, f"llm-{label}"))
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
