@@ -56,7 +56,7 @@ class FragmentBpe:
         size = max(max(spec["vocab"].values()), *added) + 1
         self.token = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.pieces = tokens.PieceCache(self.encode_piece)
-        self.fragments = tokens.PieceCache(self.encode_fragment, tokens.CACHE_PIECES // 4)
+        self.fragments = tokens.PieceCache(self.encode_fragment, tokens.CACHE_PIECES // 4, tokens.CACHE_BYTES // 4)
 
     def cuts(self, word: bytes) -> list[int]:
         """Where a forced boundary stands in the word."""

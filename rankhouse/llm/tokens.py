@@ -10,14 +10,18 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: Pieces in each of a cache's two generations; about 200 bytes each.
-CACHE_PIECES = 200_000
+#: Pieces and bytes in each of a cache's two generations, whichever is reached first.
+CACHE_PIECES, CACHE_BYTES = 200_000, 32 << 20
+#: A piece that takes more bytes with its value is not kept: where words are not spaced, pieces are whole texts and hardly come again.
+KEPT_BYTES = 2_048
+_ENTRY = 104  # bytes of an entry in a dict, at the least favourable time
 #: Text bytes encoded at once: the larger, the more equal pieces meet.
 SLICE_BYTES = 8 << 20
 
@@ -31,20 +35,25 @@ _PATTERN = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[{_DIGITS}]+| ?[
 
 
 class PieceCache(dict):
-    """piece -> value, bounded: when the young generation is full it becomes the old one, which is dropped."""
+    """piece -> value, bounded in entries and bytes: when the young generation is full it becomes the old one, which is dropped."""
 
-    def __init__(self, encode: Callable, most: int = CACHE_PIECES):
+    def __init__(self, encode: Callable, most: int = CACHE_PIECES, most_bytes: int = CACHE_BYTES):
         super().__init__()
-        self.encode, self.most, self.old = encode, most, {}
+        self.encode, self.most, self.most_bytes, self.held, self.old = encode, most, most_bytes, 0, {}
 
     def __missing__(self, piece: str):
         value = self.old.get(piece)
         if value is None:
             value = self.encode(piece)
-        if len(self) >= self.most:
+        size = getsizeof(piece) + getsizeof(value) + _ENTRY
+        if size > KEPT_BYTES:
+            return value
+        if len(self) >= self.most or self.held + size > self.most_bytes:
             self.old = dict(self)
             self.clear()
+            self.held = 0
         self[piece] = value
+        self.held += size
         return value
 
 
@@ -98,7 +107,11 @@ class ByteTokens:
         codes = later.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         first = pc.list_element(pieces, 0).dictionary_encode()
         cache = self.cache
-        values = [cache[" " + p] for p in later.dictionary.to_pylist()]
+        after_space = np.ones(len(codes), bool)
+        after_space[end - counts] = False
+        used = np.zeros(len(later.dictionary), bool)
+        used[codes[after_space]] = True  # a piece that only begins texts has no space before it
+        values = [cache[" " + p] if u else b"" for p, u in zip(later.dictionary.to_pylist(), used.tolist())]
         codes[end - counts] = len(values) + first.indices.to_numpy(zero_copy_only=False)
         values += [cache[p] if p else b"" for p in first.dictionary.to_pylist()]
         ids, n = gathered(values, codes)

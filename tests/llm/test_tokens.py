@@ -1,10 +1,12 @@
 """Token operators against the libraries they stand in for."""
 
 import hashlib
+import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings, strategies as st
@@ -15,7 +17,7 @@ from rankhouse.llm.archive import decode, encode, op2_token_archive, read_archiv
 from rankhouse.llm.bpe import FragmentBpe, op6_bpe_round_trip
 from rankhouse.llm.packing import op10_best_fit_packing, pack, plan, sequences
 from rankhouse.llm.token_counts import op8_token_counts
-from rankhouse.llm.tokens import PieceCache
+from rankhouse.llm.tokens import ByteTokens, PieceCache
 from rankhouse.sources.staging import fresh_path
 
 BYTES, WORDS, PIECES = map(public_tokenizers.path, ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
@@ -148,6 +150,34 @@ def test_piece_cache_is_bounded():
     assert [cache["x" * i] for i in range(20)] == list(range(20)) and len(cache) + len(cache.old) <= 6
 
 
+def test_piece_cache_is_bounded_in_bytes():
+    cache = PieceCache(lambda piece: piece.encode(), most_bytes=50_000)
+    held = lambda: sum(sys.getsizeof(k) + sys.getsizeof(v) for part in (cache, cache.old) for k, v in part.items())
+    for i in range(3_000):
+        piece = chr(0x4E00 + i) * (i % 400)
+        assert cache[piece] == piece.encode() and held() < 100_000
+    assert all(len(k) < 1_024 for k in cache)
+
+
+def test_unspaced_texts(table):
+    """Pieces are whole texts there: exact, encoded once, and not kept."""
+    texts = [chr(0x4E00 + i) * 3 + "的" * (i % 3_000) + "日本語テキスト" * (i % 50) for i in range(120)] + ["ไทย" * 2_000]
+    encoder, calls = ByteTokens(BYTES), []
+    encode = encoder.cache.encode
+    encoder.cache.encode = lambda piece: calls.append(piece) or encode(piece)
+    ids, n = encoder.column(pa.array(texts))
+    tokenizer = Tokenizer.from_file(BYTES)
+    assert np.split(ids, np.cumsum(n)[:-1])[-1].tolist() == tokenizer.encode(texts[-1], add_special_tokens=False).ids
+    assert ids.tolist() == [i for t in texts for i in tokenizer.encode(t, add_special_tokens=False).ids]
+    assert calls == texts  # none with a space in front
+    assert sum(map(len, encoder.cache)) < 60_000
+    model, words = sentencepiece.SentencePieceProcessor(model_file=PIECES), Tokenizer.from_file(WORDS)
+    counted = {r.doc_id: r.n_tokens for r in op8_token_counts(table(texts), PIECES).collect()}
+    round_trip = {r.doc_id: r.n_tokens for r in op6_bpe_round_trip(table(texts), WORDS).collect()}
+    for i, text in enumerate(texts):
+        assert (counted[i], round_trip[i]) == (len(model.encode(text)), len(words.encode(text, add_special_tokens=False).ids))
+
+
 def test_empty_table(empty):
     for frame in (op2_token_archive(empty, BYTES), op6_bpe_round_trip(empty, WORDS), op8_token_counts(empty, PIECES), op10_best_fit_packing(empty, BYTES)):
         assert frame.count() == 0
