@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,13 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def row_text(docs: DataFrame) -> DataFrame:
+    """``row``, all columns, and the text beside it only where it has to be cast: ``slices`` takes it out of the row otherwise, so that it crosses to
+    the worker once."""
+    row = F.struct("*").alias("row")
+    return docs.select(row) if docs.schema["text"].dataType.typeName() == "string" else docs.select(row, F.col("text").cast("string").alias("text"))
+
+
 def with_row_id(docs: DataFrame) -> DataFrame:
     """(rid, doc_id, text); equal rows have equal ids."""
     return id_text(docs).select(F.xxhash64("doc_id", "text").alias("rid"), "doc_id", "text")
@@ -65,10 +73,13 @@ def _written(df: DataFrame, path: str) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds at most ``most`` bytes of the column, or a single row."""
+    """The batches cut so that each holds at most ``most`` bytes of the column, or a single row. A text column that is missing is taken
+    from inside the column ``row``."""
     for batch in batches:
         if not batch.num_rows:
             continue
+        if column not in batch.schema.names:
+            batch = batch.append_column(column, pc.struct_field(batch.column("row"), column))
         size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < batch.num_rows:
@@ -76,6 +87,21 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             stop = max(start + 1, int(np.searchsorted(size, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back()
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+
+    def _trim(_: int) -> int:
+        return 0
+
+
+def give_back() -> None:
+    """Return memory that is free but still held: a worker is used by many stages, and each would keep its largest."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
 
 
 def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rankhouse.llm.common import LOWER, SpanHashes, as_bytes, id_text, slices, word_spans
+from rankhouse.llm.common import LOWER, SpanHashes, as_bytes, id_text, row_text, slices, word_spans
 from rankhouse.llm.measures import measure
 
 SAMPLE = 12_000  # labelled documents that the model is fitted on, at most
@@ -160,10 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample:
 
 def scored(docs: DataFrame, model: FactorisationMachine, whole_rows: bool = False) -> DataFrame:
     """doc_id (or all columns, as ``row``) and score."""
-    if whole_rows:
-        frame = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    else:
-        frame = id_text(docs)
+    frame = row_text(docs) if whole_rows else id_text(docs)
     key = frame.columns[0]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 5 numbers for each of N_FEATURES
 

@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rankhouse.llm.common import SpanHashes, Stages, as_bytes, mixed, slices, stage, with_row_id
+from rankhouse.llm.common import SpanHashes, Stages, as_bytes, give_back, mixed, slices, stage, with_row_id
 
 LENGTH = 400
 GRAM = 200
@@ -111,11 +111,10 @@ class RunLengthIndex:
         symbols = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + len(texts)
         symbols[self.begins + sizes - 1] = np.arange(len(texts))  # every end is a character of its own
         rank = np.unique(symbols, return_inverse=True)[1]
-        ranks, reach = [rank], 1
+        ranks, reach = [rank.astype(np.int32)], 1
         while True:  # prefix doubling; all suffixes differ once the longest string is covered
-            following = np.zeros(n, np.int64)
-            following[:-reach] = rank[reach:] + 1
-            key = rank * (n + 2) + following
+            key = rank * (n + 2)
+            key[:-reach] += rank[reach:] + 1
             order = np.argsort(key)
             key = key[order]
             rank = np.empty(n, np.int64)
@@ -123,17 +122,29 @@ class RunLengthIndex:
             reach *= 2
             if rank[order[-1]] == n - 1 or 2 * reach > n:
                 break
-            ranks.append(rank)
-        self.order, self.ranks, self.n = order, ranks, n
+            ranks.append(rank.astype(np.int32))
+        del key, rank
+        self.n = n
         before = symbols[order - 1]  # the transform; the first suffix has the last character before it
         turn = np.flatnonzero(np.diff(before) != 0) + 1
-        self.run_heads, self.run_tails = np.concatenate([[0], turn]), np.concatenate([turn - 1, [n - 1]])
-
-    def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        heads, tails = np.concatenate([[0], turn]), np.concatenate([turn - 1, [n - 1]])
+        # order and ranks are needed for the samples only; what stays grows with the runs
+        self.runs = before[heads]
+        self.heads, self.tails = (self._sampled(order, ranks, at, step) for at, step in ((heads, -1), (tails, 1)))
+
+    def _sampled(self, order: np.ndarray, ranks: list[np.ndarray], at: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+        """The suffixes at these places of the order, and how much each shares with its neighbour."""
+        other = at + step
+        inside = (other >= 0) & (other < self.n)
+        sample = np.zeros(len(at), np.int64)
+        sample[inside] = self._shared(ranks, order[at[inside]], order[other[inside]])
+        return order[at], sample
+
+    def _shared(self, ranks: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """How many characters the suffixes at a and b have in common, from the ranks of the doublings."""
         a, b, out = a.copy(), b.copy(), np.zeros(len(a), np.int64)
-        for level in range(len(self.ranks) - 1, -1, -1):
-            rank, inside = self.ranks[level], (a < self.n) & (b < self.n)
+        for level in range(len(ranks) - 1, -1, -1):
+            rank, inside = ranks[level], (a < self.n) & (b < self.n)
             same = inside & (rank[np.minimum(a, self.n - 1)] == rank[np.minimum(b, self.n - 1)])
             step = same.astype(np.int64) << level
             out, a, b = out + step, a + step, b + step
@@ -142,12 +153,7 @@ class RunLengthIndex:
     def statistics(self) -> np.ndarray:
         """For every place the length of the longest string that starts there and anywhere else, streamed from the samples."""
         best = np.zeros(self.n, np.int64)
-        for sampled, step in ((self.run_heads, -1), (self.run_tails, 1)):
-            other = sampled + step
-            inside = (other >= 0) & (other < self.n)
-            place = self.order[sampled]
-            sample = np.zeros(len(sampled), np.int64)
-            sample[inside] = self.shared(place[inside], self.order[other[inside]])
+        for place, sample in (self.heads, self.tails):
             line = np.full(self.n, -1, np.int64)
             line[place] = sample
             known = np.flatnonzero(line >= 0)
@@ -214,6 +220,7 @@ def _indexed(found: DataFrame) -> DataFrame:
                 size += len(row[4])
         if pile:
             yield solve()
+        give_back()
 
     dealt = found.select("anchor", "rid", "low", "once", "bytes").repartition("anchor").sortWithinPartitions("anchor")
     return dealt.mapInArrow(run, "rid long, low long, high long")

@@ -79,7 +79,7 @@ def test_matching_statistics(texts, length):
 
 def test_repetitive_text_has_few_runs():
     index = RunLengthIndex([b"abcabcabc" * 40, b"abcabcabc" * 40])
-    assert len(index.run_heads) < index.n / 20
+    assert len(index.runs) < index.n / 20
 
 
 def test_characters_stay_whole(table, rows):
