@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rankhouse.llm.common import as_bytes, id_text, slices, stage
+from rankhouse.llm.common import as_bytes, id_text, row_text, slices, stage
 from rankhouse.llm.measures import measure
 
 RISK = 0.05  # good documents that a stratum may lose, by all rules together
@@ -61,10 +61,7 @@ def base_failed() -> Column:
 def measured(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
     """The measures of every document, after its doc_id or, as ``row``, after all its columns."""
     names = _BASE + _MORE
-    if whole_rows:
-        frame = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    else:
-        frame = id_text(docs)
+    frame = row_text(docs) if whole_rows else id_text(docs)
     key = frame.columns[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,26 +73,46 @@ def measured(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
     return frame.mapInArrow(run, schema)
 
 
+def lower_tail(most: int, of: int, share: float) -> float:
+    """The probability of ``most`` or fewer successes among ``of`` trials: the regularised incomplete beta function by its continued fraction
+    (Lentz). Steps grow with the square root of ``of`` at most."""
+    if most >= of or share <= 0:
+        return 1.0
+    if share >= 1:
+        return 0.0
+    if most + 1 > share * (of + 2):  # the fraction converges fast on the other side of the mean
+        return 1.0 - lower_tail(of - most - 1, of, 1.0 - share)
+    a, b, x, tiny = of - most, most + 1.0, 1.0 - share, 1e-300
+    front = math.exp(math.lgamma(of + 1) - math.lgamma(a) - math.lgamma(b) + a * math.log1p(-share) + b * math.log(share)) / a
+    c, d = 1.0, 1.0 / max(1.0 - (a + b) * x / (a + 1), tiny)
+    value, m = d, 0
+    while True:
+        m += 1
+        for numerator in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d, c = 1.0 + numerator * d, 1.0 + numerator / c
+            d, c = 1.0 / (d if abs(d) > tiny else tiny), c if abs(c) > tiny else tiny
+            value *= c * d
+        if abs(c * d - 1.0) < 1e-14 or m > of:
+            return front * value
+
+
 def upper_bound(rejected: int, of: int, doubt: float) -> float:
     """Exact upper confidence bound of a share: the largest p under which ``rejected`` or fewer of ``of`` has at least the
     probability ``doubt``."""
     if rejected >= of:
         return 1.0
-    logs = [math.lgamma(of + 1) - math.lgamma(k + 1) - math.lgamma(of - k + 1) for k in range(rejected + 1)]
-
-    def tail(p: float) -> float:
-        return math.fsum(math.exp(c + k * math.log(p) + (of - k) * math.log1p(-p)) for k, c in enumerate(logs))
-
     low, high = rejected / of, 1.0
     for _ in range(60):
         middle = (low + high) / 2
-        if middle <= 0 or middle < 1 and tail(middle) > doubt:
-            low = middle
-        else:
-            high = middle
+        low, high = (middle, high) if lower_tail(rejected, of, middle) > doubt else (low, middle)
     return high
 
 
+def exceeds(rejected: int, of: int, doubt: float, allowed: float) -> bool:
+    """Whether that bound is above ``allowed``, without working it out."""
+    return rejected >= of or lower_tail(rejected, of, allowed) > doubt
+
+
 def choose_cutoffs(counts: dict[tuple[str, int], np.ndarray], risk: float = RISK, doubt: float = DOUBT) -> dict[tuple[str, int], float]:
     """counts[rule, stratum][cutoff] = (good rejected, good, bad rejected) -> the cutoffs to use."""
     tests, n_rules = max(1, len(counts)), max(1, len({rule for rule, _ in counts}))
@@ -104,7 +121,7 @@ def choose_cutoffs(counts: dict[tuple[str, int], np.ndarray], risk: float = RISK
         admitted = []
         for cutoff, (good_rejected, good, bad_rejected) in zip(CUTOFFS, table.tolist()):
             allowed = risk / n_rules
-            if good == 0 or good_rejected > allowed * good or upper_bound(int(good_rejected), int(good), doubt / tests) > allowed:
+            if good == 0 or good_rejected > allowed * good or exceeds(int(good_rejected), int(good), doubt / tests, allowed):
                 break
             admitted.append((bad_rejected - PENALTY * good_rejected, cutoff))
         most = max((gain for gain, _ in admitted), default=0)

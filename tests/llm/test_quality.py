@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -15,7 +16,7 @@ from rankhouse.llm import quality_classifier, quality_rules, toxicity
 from rankhouse.llm.common import as_bytes
 from rankhouse.llm.measures import measure
 from rankhouse.llm.quality_classifier import FactorisationMachine, N_FEATURES, held_out, op5_quality_classifier
-from rankhouse.llm.quality_rules import CUTOFFS, choose_cutoffs, judge, op7_quality_rules, upper_bound
+from rankhouse.llm.quality_rules import CUTOFFS, DOUBT, PENALTY, RISK, STRATA, choose_cutoffs, exceeds, judge, lower_tail, op7_quality_rules, upper_bound
 from rankhouse.llm.toxicity import BlockMaxIndex, op3_toxicity
 
 MEDIUM = "/root/testdata/sf0.1"
@@ -71,6 +72,68 @@ def test_upper_bound_is_exact():
     assert upper_bound(5, 5, 0.1) == 1.0
 
 
+def test_tail_is_the_sum_of_its_terms():
+    for most, of, share in ((0, 9, 0.1), (4, 30, 0.1), (4, 30, 0.02), (25, 30, 0.4), (12, 700, 0.008), (3, 900, 0.008), (29, 30, 0.99)):
+        exact = math.fsum(math.comb(of, k) * share**k * (1 - share) ** (of - k) for k in range(most + 1))
+        assert math.isclose(lower_tail(most, of, share), exact, rel_tol=1e-9), (most, of, share)
+    assert lower_tail(5, 5, 0.3) == 1.0 and lower_tail(2, 9, 1.0) == 0.0
+
+
+def test_bounds_of_very_many_labels():
+    """Steps grow with the square root of the labels: a sum over the rejected documents would be 800,000 terms long."""
+    started = time.monotonic()
+    for rejected, above in ((700_000, False), (833_000, True), (0, False)):
+        assert exceeds(rejected, 100_000_000, 0.05 / 18, 0.05 / 6) == above
+    assert time.monotonic() - started < 5
+
+
+def brute_rules(text):
+    """The six measures of the rules in plain Python."""
+    n, _, symbols, same, repeat = brute_measures(text)
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", line)) for line in text.split("\n"))
+    upper = len(re.findall("[A-Z]", text))
+    letters = sum(c.isascii() and c.isalpha() or 0xC0 <= ord(c) <= 0x10FFFF for c in text)
+    stutters = sum(a == b for a, b in zip(words, words[1:]))
+    shares = {"symbols": (symbols, n), "repeats": (repeat, n), "stutters": (stutters, n), "same_lines": (same, lines)}
+    shares |= {"shouts": (text.count("!"), n), "capitals": (upper, letters)}
+    return n, repeat, {name: part / max(whole, 1) for name, (part, whole) in shares.items()}
+
+
+def test_kept_equals_plain_python(spark):
+    """Cutoffs that are admitted, and what they keep, from documents and labels alone."""
+    docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r.doc_id: brute_rules(r.text) for r in docs.collect()}
+    quality = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None}
+    failed = {i: n < 10 or 100 * repeat > 20 * n for i, (n, repeat, _) in texts.items()}
+    stratum = {i: sum(n >= bound for bound in STRATA) for i, (n, _, _) in texts.items()}
+    names, chosen = list(texts[0][2]), {}
+    for rule in names:
+        for s in range(len(STRATA) + 1):
+            own = [i for i in texts if i in quality and not failed[i] and stratum[i] == s]
+            good, best = sum(quality[i] for i in own), 0
+            for cutoff in CUTOFFS:
+                hit = [i for i in own if texts[i][2][rule] >= cutoff]
+                lost = sum(quality[i] for i in hit)
+                allowed = RISK / len(names)
+                tail = math.fsum(math.comb(good, k) * allowed**k * (1 - allowed) ** (good - k) for k in range(lost + 1))
+                if not good or lost > allowed * good or tail > DOUBT / (len(names) * (len(STRATA) + 1)):
+                    break
+                gain = len(hit) - lost - PENALTY * lost
+                if gain > best:
+                    best, chosen[rule, s] = gain, cutoff
+    assert chosen  # some are admitted here
+    expected = {i: not failed[i] and not any(s == stratum[i] and texts[i][2][rule] >= c for (rule, s), c in chosen.items()) for i in texts}
+    assert {r.doc_id: r.kept for r in op7_quality_rules(docs, labels).select("doc_id", "kept").collect()} == expected
+    assert sum(not failed[i] and not expected[i] for i in texts) > 100
+
+
+def test_rules_of_an_empty_table(spark, empty):
+    assert op7_quality_rules(empty, labels_of(spark, [(0, 1, 0)])).count() == 0
+    assert op7_quality_rules(empty, labels_of(spark, [])).count() == 0
+
+
 def test_cutoffs_keep_their_promise():
     draw, broken = np.random.default_rng(2), 0
     for _ in range(60):
