@@ -47,7 +47,7 @@ class Stages:
     def write(self, df: DataFrame, label: str) -> DataFrame:
         path = staged_path(df.sparkSession, f"llm-{label}")
         self.written.append((df.sparkSession, path))
-        return _written(df, path)
+        return written(df, path)
 
     def drop(self) -> None:
         while self.written:
@@ -58,10 +58,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the frame as Parquet to the folder all executors share and read it back: lineage ends here, and a lost
     executor costs no recomputation. The shuffle files of the write are removed when it ends, not when the driver's garbage
     happens to be collected."""
-    return _written(df, staged_path(df.sparkSession, f"llm-{label}"))
+    return written(df, staged_path(df.sparkSession, f"llm-{label}"))
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write the frame as Parquet to ``path`` and read it back."""
     spark = df.sparkSession
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
