@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rankhouse.llm import jaccard_join, packing, quality_classifier, quality_rules, suffix_dedup
-from rankhouse.llm.common import read_table, stage
+from rankhouse.llm.common import read_table, written
+from rankhouse.sources.staging import owned, remove, staged_path
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +52,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written as Parquet to the shared folder and read again by the next."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over the documents, each written as Parquet to the shared folder and read again by the next. What a stage has staged on
+    its way goes when its documents are written, and these when the next stage's are. The last one's rows are read from what it staged."""
+    docs, last = read_table(spark, sf_dir, "documents"), None
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), name)
+        path = staged_path(spark, f"llm-{name}")
+        with owned(spark):
+            docs = written(function(spark, docs, sf_dir), path)
+        if last:
+            remove(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
