@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable
-from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +17,11 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Pieces and bytes in each of a cache's two generations, whichever is reached first.
-CACHE_PIECES, CACHE_BYTES = 200_000, 32 << 20
-#: A piece that takes more bytes with its value is not kept: where words are not spaced, pieces are whole texts and hardly come again.
-KEPT_BYTES = 2_048
-_ENTRY = 104  # bytes of an entry in a dict, at the least favourable time
+CACHE_PIECES, CACHE_BYTES = 200_000, 64 << 20
+#: A piece of more characters is not kept: where words are not spaced, pieces are whole texts and hardly come again.
+KEPT_CHARS = 96
+#: The most bytes of an entry with its string and value: so many, and for each character 4 and its value's 16 (4 ids of 4 bytes).
+_ENTRY, _EACH = 220, 20
 #: Text bytes encoded at once: the larger, the more equal pieces meet.
 SLICE_BYTES = 8 << 20
 
@@ -30,7 +30,8 @@ _SPACES = r"[\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _DIGITS = "0-9²³¹¼-¾"
 _PLAIN = re.compile("[\t\n\r -~¡-ɏ]*")
-_WORD = re.compile(" ?[A-Za-z]+")
+_WORD = re.compile(f" ?[{_LETTERS}]+")
+_TAIL = ".,;:!?"  # fixed value: marks that a word is followed by; the pattern cuts between a letter or digit and these
 _PATTERN = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[{_DIGITS}]+| ?[^\s{_LETTERS}{_DIGITS}]+|\s+(?!\S)|\s+")
 
 
@@ -45,9 +46,9 @@ class PieceCache(dict):
         value = self.old.get(piece)
         if value is None:
             value = self.encode(piece)
-        size = getsizeof(piece) + getsizeof(value) + _ENTRY
-        if size > KEPT_BYTES:
+        if len(piece) > KEPT_CHARS:
             return value
+        size = _ENTRY + _EACH * len(piece)
         if len(self) >= self.most or self.held + size > self.most_bytes:
             self.old = dict(self)
             self.clear()
@@ -87,7 +88,8 @@ class ByteTokens:
 
     def _encode(self, piece: str) -> bytes:
         if _WORD.fullmatch(piece):
-            return array("I", [t.id for t in self.model.tokenize(piece.replace(" ", "Ġ"))]).tobytes()
+            spelled = piece.replace(" ", "Ġ") if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
         if not _PLAIN.fullmatch(piece):
             return self.whole(piece)
         parts = _PATTERN.findall(piece)
@@ -96,6 +98,18 @@ class ByteTokens:
         spelled = piece.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
+    def piece(self, piece: str) -> bytes:
+        """The ids of a piece. Marks after a word and a line break between words are pieces of their own, so that words are met again
+        whatever follows them."""
+        if "\n" in piece:
+            head, _, rest = piece.partition("\n")
+            if head and rest and not head[-1].isspace() and not rest[0].isspace():
+                return self.piece(head) + self.cache["\n"] + self.piece(rest)
+        core = piece.rstrip(_TAIL)
+        if len(core) < len(piece) and core.isascii() and core[-1:].isalnum():
+            return self.cache[core] + self.cache[piece[len(core) :]]
+        return self.cache[piece]
+
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -106,14 +120,14 @@ class ByteTokens:
         later = pc.list_flatten(pieces).dictionary_encode()
         codes = later.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         first = pc.list_element(pieces, 0).dictionary_encode()
-        cache = self.cache
         after_space = np.ones(len(codes), bool)
         after_space[end - counts] = False
         used = np.zeros(len(later.dictionary), bool)
         used[codes[after_space]] = True  # a piece that only begins texts has no space before it
-        values = [cache[" " + p] if u else b"" for p, u in zip(later.dictionary.to_pylist(), used.tolist())]
+        value = self.piece
+        values = [value(" " + p) if u else b"" for p, u in zip(later.dictionary.to_pylist(), used.tolist())]
         codes[end - counts] = len(values) + first.indices.to_numpy(zero_copy_only=False)
-        values += [cache[p] if p else b"" for p in first.dictionary.to_pylist()]
+        values += [value(p) if p else b"" for p in first.dictionary.to_pylist()]
         ids, n = gathered(values, codes)
         return ids, np.add.reduceat(n, end - counts) if len(n) else n
 

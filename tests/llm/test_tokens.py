@@ -156,7 +156,7 @@ def test_piece_cache_is_bounded_in_bytes():
     for i in range(3_000):
         piece = chr(0x4E00 + i) * (i % 400)
         assert cache[piece] == piece.encode() and held() < 100_000
-    assert all(len(k) < 1_024 for k in cache)
+    assert all(len(k) < 100 for k in cache)
 
 
 def test_unspaced_texts(table):
