@@ -10,10 +10,12 @@ A text's set is its distinct five-word shingles as 64-bit hashes. Documents with
    over the points bounds the common shingles of two nodes, and of two points, by the summed minima of their coordinates;
    what cannot reach the overlap that the sizes ask for is cut off. Of the pairs that survive a block passes on a spanning forest.
 3. Components of these forests are clusters: linked classes are in the same one. A cluster's sets are brought together once, each
-   set once, and an R-tree proposes pairs again, which are now verified exactly unless they are connected already.
-4. Components of the verified links are the result.
+   set once, and an R-tree proposes pairs again; every one of them is verified exactly, so that no link between different texts is lost.
+4. Components of the verified links are the result, with the number of links of every document: the documents of all classes that its own is
+   linked with, and its copies. Links are counted where they are verified and not written as pairs; ``class_links`` writes them.
 
-Blocks and clusters of more than BLOCK members are split into pairs of parts of at most BLOCK, which cover all pairs.
+Blocks and clusters of more than BLOCK members, or more than COORDINATES coordinates, are split into pairs of parts of at most that,
+which cover all pairs once. The work in a cluster grows with the number of its links.
 
 Defined results: a text with fewer than five words is one shingle; null texts and texts without words have an empty set and are
 linked with nothing; equal rows are linked like copies; a null doc_id takes part but never names a component unless all its
@@ -28,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rankhouse.llm.common import LOWER, SpanHashes, Stages, as_bytes, id_text, mixed, shingle_hashes, slices, stage, with_row_id, word_spans
+from rankhouse.llm.common import LOWER, SpanHashes, Stages, as_bytes, give_back, id_text, mixed, shingle_hashes, slices, stage, with_row_id, word_spans
 from rankhouse.llm.components import components
 
 SHINGLE = 5
@@ -36,6 +38,7 @@ COMMON_SHINGLES = 65_536  # length of the list of very common shingles, at most
 COMMON_DOCUMENTS = 100  # documents that the summaries must have named for a shingle on it
 SUMMARY = 4_096  # entries of a task's summary
 BLOCK = 2_048
+COORDINATES = 16 << 20  # of the points that a task holds side by side: 64 MB
 PAGE = 16  # points or nodes in a node of the R-tree
 
 
@@ -203,14 +206,9 @@ def _pairs(one: RTree, other: RTree, same: bool, connected: Callable[[int, int],
                     yield x, y
 
 
-def forest(sizes: np.ndarray, vectors: list[np.ndarray], parts: np.ndarray | None, linked: Callable[[int, int], bool] | None) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs that survive the bound and, if given, ``linked``. ``parts``: 0 or 1 for each point, if only pairs
-    between the two parts are asked for."""
-    found = Forest(len(sizes))
-
-    def connected(i: int, j: int) -> bool:
-        return found.root(i) == found.root(j)
-
+def candidates(sizes: np.ndarray, vectors: list[np.ndarray], parts: np.ndarray | None, connected: Callable[[int, int], bool]) -> Iterator[tuple[int, int]]:
+    """Pairs of points that survive the bound, each once, less those that are ``connected`` when their turn comes. ``parts``: 0 or 1 for
+    each point, if only pairs between the two parts are asked for."""
     order = np.argsort(sizes, kind="stable")
     dimensions = np.array([len(vectors[i]) for i in order])
     halves = [None] if parts is None else [0, 1]
@@ -220,7 +218,7 @@ def forest(sizes: np.ndarray, vectors: list[np.ndarray], parts: np.ndarray | Non
             own = order[(dimensions == d) & (True if half is None else parts[order] == half)]
             if len(own):
                 points = np.stack([vectors[i] for i in own])
-                trees[d, half] = (own, points, RTree(points, sizes[own]))
+                trees[d, half] = (own.tolist(), points, RTree(points, sizes[own]))
     for (d, half), (own, points, tree) in trees.items():
         for e in (d, 2 * d):  # sizes that may link differ by a factor of 1.25, so dimensions by 2
             for other_half in halves:
@@ -231,19 +229,49 @@ def forest(sizes: np.ndarray, vectors: list[np.ndarray], parts: np.ndarray | Non
                     other = RTree(more.reshape(len(more), 2, d).sum(axis=1), sizes[others])
                 same = e == d and half == other_half
                 for x, y in _pairs(tree, other, same, lambda x, y: connected(own[x], others[y])):
-                    if linked is None or linked(own[x], others[y]):
-                        found.join(int(own[x]), int(others[y]))
+                    yield own[x], others[y]
+
+
+def forest(sizes: np.ndarray, vectors: list[np.ndarray], parts: np.ndarray | None) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that survive the bound."""
+    found = Forest(len(sizes))
+    for i, j in candidates(sizes, vectors, parts, lambda i, j: found.root(i) == found.root(j)):
+        found.join(i, j)
     return found.links
 
 
+def verified(elements: list[np.ndarray], parts: np.ndarray | None) -> list[tuple[int, int, int]]:
+    """All pairs of sets of a similarity of 0.8 or more, with the number of common elements. The bound proposes; the proposals of a set are counted
+    together, by marking its elements among all."""
+    sizes = np.array([len(e) for e in elements])
+    proposed: dict[int, list[int]] = {}
+    for i, j in candidates(sizes, [count_vector(e).astype(np.int32) for e in elements], parts, lambda i, j: False):
+        proposed.setdefault(i, []).append(j)
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    ids = np.unique(np.concatenate(elements), return_inverse=True)[1]
+    marked, links = np.zeros(int(ids.max(initial=0)) + 1, bool), []
+    for i, others in proposed.items():
+        mine = ids[first[i] : first[i + 1]]
+        marked[mine] = True
+        js = np.array(others)
+        if 2 * sizes[js].sum() > len(ids):
+            common = np.add.reduceat(marked[ids], first[:-1], dtype=np.int64)[js]
+        else:
+            common = np.array([np.count_nonzero(marked[ids[first[j] : first[j + 1]]]) for j in others])
+        marked[mine] = False
+        linked = 9 * common >= 4 * (sizes[i] + sizes[js])
+        links += zip([i] * int(linked.sum()), js[linked].tolist(), common[linked].tolist())
+    return links
+
+
 # ---------------------------------------------------------------- groups
 
 
 def _in_parts(rows: DataFrame, group: str, member: str) -> DataFrame:
     """Rows of a group, once for each pair of parts they take part in: columns ``pair`` (which two parts) and ``part`` (0 or 1; null in
-    a pair of a part with itself). A group of at most BLOCK rows has one part."""
-    large = rows.groupBy(group).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > BLOCK)
-    large = stage(large.select(group, F.ceil(F.col("size") / F.lit(BLOCK)).alias("parts")), "large-groups")
+    a pair of a part with itself). A group of at most BLOCK rows and COORDINATES coordinates has one part."""
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum(F.greatest(2 * F.col("n"), F.lit(64))) / F.lit(COORDINATES)))
+    large = stage(rows.groupBy(group).agg(parts.alias("parts")).where("parts > 1"), "large-groups")
     rows = rows.join(large, group, "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
     own = F.pmod(F.xxhash64(member), F.col("parts"))
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
@@ -252,43 +280,63 @@ def _in_parts(rows: DataFrame, group: str, member: str) -> DataFrame:
     return rows.withColumn("pair", pair).withColumn("part", part).drop("own", "other", "parts")
 
 
-def _forests(rows: DataFrame, group: str, exact: bool) -> DataFrame:
-    """Links (a, b) of the spanning forests of all groups. ``rows``: the group, class, n and vector or, if exact, elements."""
-    content = "elements" if exact else "vector"
-
-    def solve(pile: list[tuple]) -> list[tuple[int, int]]:
-        kinds, parts = [r[2] for r in pile], [r[3] for r in pile]
-        if exact:
-            elements = [np.frombuffer(r[5], np.uint64) for r in pile]
-            vectors = [count_vector(e).astype(np.int32) for e in elements]
-
-            def linked(i: int, j: int) -> bool:
-                a, b = elements[i], elements[j]
-                at = np.searchsorted(b, a)
-                common = int((b[np.minimum(at, len(b) - 1)] == a).sum())
-                return 9 * common >= 4 * (len(a) + len(b))
-        else:
-            vectors, linked = [_vector(r[5]) for r in pile], None
-        between = None if None in parts else np.array(parts)
-        found = forest(np.array([r[4] for r in pile]), vectors, between, linked)
-        return [(kinds[i], kinds[j]) for i, j in found]
+def _solved(rows: DataFrame, group: str, content: list[str], solve: Callable[[list[tuple]], list[tuple]], schema: str) -> DataFrame:
+    """``solve`` over every pair of parts of every group: it takes rows (group, pair, class, part, n, *content) and returns rows of the schema."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(len(names))], names=names)
+
         pile: list[tuple] = []
         for batch in batches:
-            links: list[tuple[int, int]] = []
-            for row in zip(*(batch.column(c).to_pylist() for c in (group, "pair", "class", "part", "n", content))):
+            out: list[tuple] = []
+            for row in zip(*(batch.column(c).to_pylist() for c in columns)):
                 if pile and pile[0][:2] != row[:2]:
-                    links += solve(pile)
+                    out += solve(pile)
                     pile = []
                 pile.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            yield batch_of(out)
         if pile:
-            links = solve(pile)
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            yield batch_of(solve(pile))
+        give_back()
 
+    names, columns = [c.split()[0] for c in schema.split(", ")], [group, "pair", "class", "part", "n", *content]
     dealt = _in_parts(rows, group, "class").repartition(F.col(group), F.col("pair")).sortWithinPartitions(group, "pair", "class")
-    return dealt.select(group, "pair", "class", "part", "n", content).mapInArrow(run, "a long, b long")
+    return dealt.select(*columns).mapInArrow(run, schema)
+
+
+def _between(pile: list[tuple]) -> np.ndarray | None:
+    parts = [r[3] for r in pile]
+    return None if None in parts else np.array(parts)
+
+
+def _forests(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes: the spanning forests of what survives the bound in each block."""
+
+    def solve(pile: list[tuple]) -> list[tuple[int, int]]:
+        found = forest(np.array([r[4] for r in pile]), [_vector(r[5]) for r in pile], _between(pile))
+        return [(pile[i][2], pile[j][2]) for i, j in found]
+
+    return _solved(rows, "block", ["vector"], solve, "a long, b long")
+
+
+def _exact(rows: DataFrame, pairs: bool) -> DataFrame:
+    """All links of each cluster, verified. With ``pairs`` (a, b, common); without, (a, b, links): b is not null in the links that span the
+    components, and null in the number of documents that a class is linked with here."""
+
+    def solve(pile: list[tuple]) -> list[tuple]:
+        links = verified([np.frombuffer(r[5], np.uint64) for r in pile], _between(pile))
+        kinds = [r[2] for r in pile]
+        if pairs:
+            return [(kinds[i], kinds[j], common) for i, j, common in links]
+        spanning, linked = Forest(len(pile)), [0] * len(pile)
+        for i, j, _ in links:
+            spanning.join(i, j)
+            linked[i] += pile[j][6]
+            linked[j] += pile[i][6]
+        return [(kinds[i], kinds[j], None) for i, j in spanning.links] + [(kinds[i], None, n) for i, n in enumerate(linked) if n]
+
+    return _solved(rows, "cluster", ["elements", "copies"], solve, "a long, b long, common long" if pairs else "a long, b long, links long")
 
 
 def _blocks(members: DataFrame, stages: Stages) -> DataFrame:
@@ -301,16 +349,16 @@ def _blocks(members: DataFrame, stages: Stages) -> DataFrame:
     return rows.join(once, "key").withColumnRenamed("key", "block")
 
 
-def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All documents (rid, doc_id, n, class), and (class, root) of the classes that are linked with another."""
-    first, second = Stages(), Stages()
+def _clustered(docs: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
+    """All documents (rid, doc_id, n, class), and the set of each class that may be linked: (cluster, class, n, copies, elements)."""
+    first = Stages()
     wide = first.write(_members(docs, common_shingles(docs)), "members")
     members = stage(wide.select("rid", "doc_id", "n", "class"), "classes")
     blocks = _blocks(wide, first)
-    one = members.where("n > 0").groupBy("class").agg(F.min("rid").alias("rid"))
+    one = members.where("n > 0").groupBy("class").agg(F.min("rid").alias("rid"), F.count(F.lit(1)).alias("copies"))
     points = wide.where("n > 0").select("class", "n", "vector").dropDuplicates(["class"])
     wanted = first.write(blocks.join(points, "class"), "points")
-    clusters = components(_forests(wanted, "block", exact=False)).select(F.col("node").alias("class"), F.col("root").alias("cluster"))
+    clusters = components(_forests(wanted)).select(F.col("node").alias("class"), F.col("root").alias("cluster"))
     first.drop()  # clusters are a written table
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,24 +366,45 @@ def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             owner, hashes = sets(*as_bytes(batch.column("text")))
             first = np.searchsorted(owner, np.arange(batch.num_rows + 1)).tolist()
             raw = [hashes[a:b].tobytes() for a, b in zip(first, first[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("cluster"), batch.column("class"), batch.column("n"), pa.array(raw, pa.binary())], names=["cluster", "class", "n", "elements"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:4]), pa.array(raw, pa.binary())], names=names)
 
+    names = ["cluster", "class", "n", "copies", "elements"]
     chosen = clusters.join(one, "class").join(members.select("rid", "n").dropDuplicates(["rid"]), "rid")
-    texts = with_row_id(docs).join(chosen, "rid").dropDuplicates(["class"]).select("cluster", "class", "n", "text")
-    whole = second.write(texts.mapInArrow(elements, "cluster long, class long, n long, elements binary"), "clustered-sets")
-    roots = components(_forests(whole, "cluster", exact=True)).withColumnRenamed("node", "class")
-    second.drop()
+    texts = with_row_id(docs).join(chosen, "rid").dropDuplicates(["class"]).select("cluster", "class", "n", "copies", "text")
+    whole = texts.mapInArrow(elements, "cluster long, class long, n long, copies long, elements binary")
+    return members, stages.write(whole, "clustered-sets")
+
+
+def class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All documents (rid, doc_id, n, class), and every link between classes once: (a, b, common), two classes and their common shingles."""
+    members, whole = _clustered(docs, stages := Stages())
+    links = stage(_exact(whole, pairs=True), "class-links")
+    stages.drop()
+    return members, links
+
+
+def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All documents (rid, doc_id, n, class), and (class, root, links) of the classes that are linked with another."""
+    members, whole = _clustered(docs, stages := Stages())
+    found = stages.write(_exact(whole, pairs=False), "verified")
+    roots = components(found.where("b IS NOT NULL").select("a", "b")).select(F.col("node").alias("class"), "root")
+    links = found.where("b IS NULL").groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
+    roots = stage(roots.join(links, "class"), "roots")
+    stages.drop()
     return members, roots
 
 
 def linked_documents(docs: DataFrame) -> DataFrame:
-    """rid, doc_id, n_shingles, component_id and root (the component's class, null for an empty set) of every document."""
+    """rid, doc_id, n_shingles, component_id, n_links and root (the component's class, null for an empty set) of every document."""
     members, roots = classes_and_links(docs)
-    rows = members.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    several = members.where("n > 0").groupBy("class").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    known = roots.join(several, "class", "full").select("class", "root", (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"))
+    rows = members.join(known, "class", "left").withColumns({"root": F.coalesce("root", "class"), "n_links": F.coalesce("n_links", F.lit(0))})
     names = rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    filled = rows.where("n > 0").join(names, "root").select("rid", "doc_id", F.col("n").alias("n_shingles"), "component_id", "root")
-    empty = members.where("n = 0").select("rid", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("root"))
-    return filled.union(empty)
+    columns = ["rid", "doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links", "root"]
+    filled = rows.where("n > 0").join(names, "root").select(*columns)
+    empty = members.where("n = 0").withColumns({"component_id": F.col("doc_id"), "n_links": F.lit(0).cast("long"), "root": F.lit(None).cast("long")})
+    return filled.union(empty.select(*columns))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -351,4 +420,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def op1_jaccard_join(docs: DataFrame) -> DataFrame:
-    return linked_documents(docs).select("doc_id", "n_shingles", "component_id")
+    return linked_documents(docs).select("doc_id", "n_shingles", "component_id", "n_links")

@@ -25,16 +25,19 @@ def brute(rows):
             x = parent[x]
         return x
 
+    links = [0] * len(rows)
     for i, a in enumerate(sets):
         for j in range(i):
             common = len(a & sets[j])
             if common and 100 * common >= 80 * (len(a) + len(sets[j]) - common):
                 parent[root(i)] = root(j)
+                links[i] += 1
+                links[j] += 1
     groups = {}
     for i, (name, _) in enumerate(rows):
         groups.setdefault(root(i), []).append(name)
     lowest = {k: min((n for n in v if n is not None), default=None) for k, v in groups.items()}
-    return sorted(((name, len(s), lowest[root(i)]) for i, ((name, _), s) in enumerate(zip(rows, sets))), key=str), len(groups)
+    return sorted(((name, len(s), lowest[root(i)], links[i]) for i, ((name, _), s) in enumerate(zip(rows, sets))), key=str), len(groups)
 
 
 @pytest.fixture(scope="module")
@@ -54,9 +57,42 @@ def rows():
     return rows + [(None, "a b c d e f"), (None, "A b c d e f"), (9000, None), (9001, "  "), (9002, ""), (3, rows[3][1]), (None, "zz zz")]
 
 
-@pytest.mark.parametrize(("block", "common"), [(2048, 100), (7, 3)], ids=["one part", "split, common shingles last"])
-def test_same_components(monkeypatch, table, rows, block, common):
+SIZES = pytest.mark.parametrize(
+    ("block", "common", "coordinates"), [(2048, 100, 16 << 20), (7, 3, 16 << 20), (2048, 100, 2_000)], ids=["one part", "split, common shingles last", "split by width"]
+)
+
+
+@SIZES
+def test_every_link_once(monkeypatch, table, rows, block, common, coordinates):
+    """Pairs of different texts, each in exactly one pair of parts, with the number of common shingles."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "COMMON_DOCUMENTS", common)
+    monkeypatch.setattr(jaccard_join, "COORDINATES", coordinates)
+    draw = random.Random(12)
+    for g in range(3):
+        base = [f"g{g}x{i}" for i in range(90 * (g + 1))]
+        for k in range(20):
+            changed = base[: len(base) - draw.randrange(12)]
+            changed[draw.randrange(60)] = f"y{k}"
+            rows = [*rows, (20_000 + 100 * g + k, " ".join(changed))]
+    members, links = jaccard_join.class_links(table([t for _, t in rows], [i for i, _ in rows]))
+    text = {i: t for i, t in rows if i is not None}
+    one = {r["class"]: frozenset(shingles(text[r.doc_id])) for r in members.where("n > 0 AND doc_id IS NOT NULL").collect()}
+    one |= {r["class"]: frozenset(shingles("a b c d e f" if r.n == 2 else "zz zz")) for r in members.where("doc_id IS NULL").collect()}
+    found = [(frozenset((one[r.a], one[r.b])), r.common) for r in links.collect()]
+    sets = sorted({s for s in one.values()}, key=sorted)
+    expected = set()
+    for i, a in enumerate(sets):
+        for b in sets[:i]:
+            if 9 * len(a & b) >= 4 * (len(a) + len(b)):
+                expected.add((frozenset((a, b)), len(a & b)))
+    assert len(found) == len(set(found)) == len(expected) > 50 and set(found) == expected
+
+
+@SIZES
+def test_same_components(monkeypatch, table, rows, block, common, coordinates):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "COORDINATES", coordinates)
     monkeypatch.setattr(jaccard_join, "COMMON_DOCUMENTS", common)
     docs = table([t for _, t in rows], [i for i, _ in rows])
     expected, groups = brute(rows)
