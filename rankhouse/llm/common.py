@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rankhouse.sources.staging import remove, staged_path
 
 #: Text bytes a task holds in numpy arrays at once; a single longer text is held whole.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

@@ -23,9 +23,9 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from rankhouse.llm.common import SpanHashes, Stages, as_bytes, give_back, mixed, slices, stage, with_row_id
 
@@ -320,17 +320,23 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with all their columns, repeated passages taken out of their texts; n_chars, where there is such a column, follows
     the text. Null texts stay null."""
     rid = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
-    spans = repeated_spans(with_row_id(docs))
-    keyed = docs.withColumn("_rid", rid).join(spans.withColumnsRenamed({"rid": "_rid", "spans": "_spans"}), "_rid", "left")
+    spans = repeated_spans(with_row_id(docs)).withColumnsRenamed({"rid": "_rid", "spans": "_spans"})
+    texts = docs.withColumn("text", F.col("text").cast("string"))
+    rows = texts.withColumn("_rid", rid).join(spans, "_rid", "left").select(F.struct(*docs.columns).alias("row"), "_spans")
 
-    @F.pandas_udf("string")
-    def cut(text: pd.Series, found: pd.Series) -> pd.Series:
-        return pd.Series([t if s is None else whole_characters(t.encode(), _merged(list(s))) for t, s in zip(text, found)])
-
-    keyed = keyed.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text").cast("string")).otherwise(cut(F.col("text").cast("string"), "_spans")))
-    if "n_chars" in docs.columns:
-        keyed = keyed.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return keyed.select(docs.columns)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            columns = dict(zip(docs_columns, batch.column("row").flatten()))
+            found = batch.column("_spans")
+            left = [t if s is None else whole_characters(t.encode(), _merged(s)) for t, s in zip(columns["text"].to_pylist(), found.to_pylist())]
+            columns["text"] = pa.array(left, columns["text"].type)
+            if "n_chars" in columns:
+                size = pc.cast(pc.utf8_length(columns["text"]), columns["n_chars"].type)
+                columns["n_chars"] = pc.if_else(pc.is_valid(found), size, columns["n_chars"])
+            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(list(columns.values()), names=docs_columns)], names=["row"])
+
+    docs_columns = docs.columns
+    return rows.select("row", "_spans").mapInArrow(run, T.StructType([rows.schema["row"]])).select("row.*")
 
 
 def op9_suffix_dedup(docs: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def test_stages(spark, small):
         assert r.doc_id not in left or not (n < 10 or 100 * repeat > 20 * n)
     joined, kept = seen["jaccard_join"]
     found, _ = components([(r.doc_id, r.text) for r in joined])
-    assert sorted(r.doc_id for r in kept) == sorted({lowest for _, n, lowest in found if n} | {i for i, n, _ in found if not n})
+    assert sorted(r.doc_id for r in kept) == sorted({lowest for _, n, lowest, _ in found if n} | {i for i, n, *_ in found if not n})
     whole, cut = seen["suffix_dedup"]
     texts = {r.doc_id: r.text for r in cut}
     expected = {i: size - gone for i, size, gone, _, _ in removals([(r.doc_id, r.text) for r in whole])}
