@@ -32,19 +32,22 @@ from rankhouse.sources.staging import staged_path
 BLOCK = 2048  # ids in a block
 SEGMENT = 3_000_000  # ids after which a segment is closed, at the end of a document
 _SLOTS = 9  # bits of a block's prediction tables, which stay in the processor's cache
-_SPACE = 24  # bits of the code space of an id: 16 for order 0, times 256 shares
+_BITS = 16  # bits of order 0, at least: a segment of more different ids takes as many as these need, up to _MOST_BITS
+_MOST_BITS = 22
+_SHARES = 8  # bits of the shares of the three orders; with those of order 0 they are the code space of an id
 _NONE = 4  # confidence of an empty slot
 _HALF, _WORD = np.uint64(32), np.uint64(1 << 32)
 SCHEMA = "part int, segment int, n_tokens long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
 def _frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids that occur, ascending, and frequencies of at least 1 that add up to 2 ** 16."""
+    """The ids that occur, ascending, and frequencies of at least 1 that add up to a power of two."""
     present, counts = np.unique(ids, return_counts=True)
-    if len(present) > 1 << 16:
-        raise ValueError("more than 65,536 different ids in a segment")
-    share = 1 + counts * ((1 << 16) - len(present)) // counts.sum()
-    share[np.argmax(share)] += (1 << 16) - share.sum()
+    bits = max(_BITS, (len(present) - 1).bit_length())
+    if bits > _MOST_BITS:
+        raise ValueError(f"more than {1 << _MOST_BITS} different ids in a segment")
+    share = 1 + counts * ((1 << bits) - len(present)) // counts.sum()
+    share[np.argmax(share)] += (1 << bits) - share.sum()
     return present, share
 
 
@@ -53,6 +56,8 @@ class _Mixer:
     positions in the list of ids."""
 
     def __init__(self, lanes: int, share: np.ndarray):
+        self.bits = int(share.sum()).bit_length() - 1
+        self.space = np.uint64(self.bits + _SHARES)
         self.share = share.astype(np.int32)
         self.below = (np.cumsum(share) - share).astype(np.int32)
         self.symbol_at = np.repeat(np.arange(len(share), dtype=np.int32), share)
@@ -70,7 +75,7 @@ class _Mixer:
         self.odds = self.hits.take(self.confidence)
         first = self.odds[0] * (256 - self.odds[1]) >> 8
         self.unit = 256 - first - self.odds[1]
-        self.width = np.stack([first, self.odds[1]]) << 16
+        self.width = np.stack([first, self.odds[1]]) << self.bits
 
     def interval(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of the symbols' intervals; remembers which guesses are right."""
@@ -134,7 +139,7 @@ def encode(ids: np.ndarray) -> bytes:
         symbol = by_step[step, :n]
         model.predict(n)
         start, size = model.interval(symbol)
-        unit = span[:n] >> np.uint64(_SPACE)
+        unit = span[:n] >> model.space
         moved = low[:n] + unit * start.astype(np.uint64)
         for lane in np.flatnonzero(moved < low[:n]).tolist():  # a carry runs into the words before
             at = used[lane] - 1
@@ -183,8 +188,8 @@ def decode(payload: bytes, only: int | None = None) -> np.ndarray:
     out = np.zeros((len(reach), lanes), np.int32)
     for step, n in enumerate(reach.tolist()):
         model.predict(n)
-        unit = span[:n] >> np.uint64(_SPACE)
-        symbol = model.symbol(np.minimum(code[:n] // unit, np.uint64((1 << _SPACE) - 1)).astype(np.int32))
+        unit = span[:n] >> model.space
+        symbol = model.symbol(np.minimum(code[:n] // unit, np.uint64((1 << int(model.space)) - 1)).astype(np.int32))
         start, width = model.interval(symbol)
         code[:n] -= unit * start.astype(np.uint64)
         unit *= width.astype(np.uint64)

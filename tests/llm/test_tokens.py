@@ -68,6 +68,14 @@ def test_codec_over_blocks_and_checksum():
         decode(bytes(broken))
 
 
+@pytest.mark.parametrize("kinds", [65_536, 65_537, 300_000])
+def test_codec_of_large_vocabularies(kinds):
+    """As many different ids as a vocabulary may have: the code space follows."""
+    draw = np.random.default_rng(kinds)
+    ids = np.concatenate([draw.permutation(kinds), draw.integers(0, kinds, 9_000), np.full(5_000, 7)]).astype("<u4") * 3
+    assert (decode(encode(ids)) == ids).all()
+
+
 def test_bpe_round_trip(table, hostile_texts):
     tokenizer = Tokenizer.from_file(WORDS)
     rows = {r.doc_id: r for r in op6_bpe_round_trip(table(hostile_texts), WORDS).collect()}
