@@ -70,11 +70,13 @@ def gathered(values: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.nda
     """values[codes] one after another as uint32, and the length of each."""
     lengths = np.fromiter(map(len, values), np.int64, len(values)) >> 2
     flat = np.frombuffer(b"".join(values), "<u4")
-    start = np.cumsum(lengths) - lengths
     n = lengths[codes]
     end = np.cumsum(n)
-    at = np.arange(int(end[-1]) if len(end) else 0) + np.repeat(start[codes] - (end - n), n)
-    return flat[at], n
+    total = int(end[-1]) if len(end) else 0
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    at = np.repeat(((np.cumsum(lengths) - lengths)[codes] - (end - n)).astype(kind), n)
+    at += np.arange(total, dtype=kind)
+    return flat.take(at), n
 
 
 class ByteTokens:
@@ -128,6 +130,7 @@ class ByteTokens:
         values = [value(" " + p) if u else b"" for p, u in zip(later.dictionary.to_pylist(), used.tolist())]
         codes[end - counts] = len(values) + first.indices.to_numpy(zero_copy_only=False)
         values += [value(p) if p else b"" for p in first.dictionary.to_pylist()]
+        del pieces, later, first, after_space
         ids, n = gathered(values, codes)
         return ids, np.add.reduceat(n, end - counts) if len(n) else n
 
