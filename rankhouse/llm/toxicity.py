@@ -30,6 +30,7 @@ from rankhouse.llm.common import LOWER, SpanHashes, as_bytes, id_text, slices, s
 from rankhouse.llm.quality_classifier import held_out, labelled_sample
 
 EXAMPLES = 40_000  # labelled documents that are learnt from, at most
+_SLICE = 2 << 20  # text bytes whose terms are counted at once: fewer slices, fewer passes over the table of terms
 LEAST_DOCUMENTS = 5  # that a telling term occurs in
 SIGNIFICANCE = 6.0  # standard deviations by which toxic documents have it more often
 LIFT = 3.0  # times the usual share of toxic documents that those with the term have, at least (or half way to all)
@@ -282,7 +283,7 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
     """(term, n): how many documents have each term, over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=_SLICE):
             _, hashes, _ = counted(*words(*as_bytes(batch.column("text"))))
             which, n = np.unique(hashes, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(which.view(np.int64)), pa.array(n)], names=["term", "n"])
@@ -300,7 +301,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, example
     frequencies = stage(document_frequencies(docs), "document-frequencies")
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=_SLICE):
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(words(*as_bytes(batch.column("text")))[1]).view(np.int64))], names=["term"])
 
     rows = stage(rows, "examples")
@@ -309,7 +310,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, example
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=_SLICE):
             first, term, weight, *_ = shared.value.weighed(*as_bytes(batch.column("text")))
             weight = weight / np.repeat(np.sqrt(lengths(first, weight)), np.diff(first))
             first = pa.array(first.astype(np.int32))
@@ -332,7 +333,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, example
     model.frequencies = frequencies
 
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=_SLICE):
             first, term, weight, *_ = whole.value.vocabulary.weighed(*as_bytes(batch.column("text")))
             weight = (weight / np.repeat(np.sqrt(lengths(first, weight)), np.diff(first))).astype(np.float32)
             label = batch.column("label").to_numpy(zero_copy_only=False)
@@ -355,7 +356,7 @@ def scored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     shared, levels = model.shared, model.levels
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=_SLICE):
             first, term, weight, other, hashes, counts = shared.value.vocabulary.weighed(*as_bytes(batch.column("text")))
             near = shared.value.near(first, term, weight)
             other = pa.array(other.astype(np.int32))
