@@ -1,19 +1,18 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are runs of letters in lower case. Every term of a text has a weight: the logarithm of its count times its inverse document
-frequency over all documents. A bounded sample of labelled documents (EXAMPLES) are the examples, with all their terms; equal
-vectors are one example with several votes. Terms that many examples have (COMMON) stand in rows over blocks of BLOCK examples,
-each block with its largest weights; the others have posting lists. A query adds up its posting lists, bounds what the common terms can
-add to each example by its block's largest weights and by the lengths of both common parts, and works out the examples whose
-bound reaches the NEIGHBOURS-th best product, so the neighbours are exact. Terms that no example has change no order but the
-text's length: their frequencies are joined in afterwards.
-Neighbours vote with a power of their cosine. A second index holds the telling terms alone, those that toxic examples have
-significantly more often, with lengths still those of whole texts; its neighbours vote beside the others. A text without a
-telling term starts from the rate of the examples without one. Votes become scores by a monotone fit to the votes that examples
-get from all others.
-
-Defined results: null and empty texts get the rate of the examples without a telling term; without labels every score is 0.5; labels that are null or contradict each
-other for a doc_id are not used; every row gives one row."""
+Terms are runs of letters in lower case. Every term of a text has a weight: one plus the logarithm of its count, times its inverse document
+frequency over all documents, times the square of its relevance (how much more often toxic examples have it than clean ones; one for
+terms that at most one toxic example has). A bounded sample of labelled documents (EXAMPLES) are the examples, with all their terms; equal
+vectors are one example with several votes. Examples stand in blocks of BLOCK, similar ones together, and every term has its largest
+weight in each block: as rows for terms that many examples have (COMMON), as posting lists with an entry for each block for the others.
+A query bounds every block by these weights, works out the blocks of the best bounds, and then those whose bound reaches the
+NEIGHBOURS-th best product so far, so the neighbours are exact. Terms that no example has change no order but the text's length:
+their frequencies are joined in afterwards.
+Neighbours vote with a power of their cosine. Votes become scores by a monotone fit to the votes that examples get from all others.
+
+Defined results: null and empty texts, and texts that share no term with any example, get the rate of the examples without a term, or of all
+if there are none; without labels every score is 0.5; labels that are null or contradict each other for a doc_id are not used; equal
+products are ordered by the content of the examples; every row gives one row."""
 
 from __future__ import annotations
 
@@ -30,11 +29,9 @@ from rankhouse.llm.common import LOWER, SpanHashes, as_bytes, id_text, slices, s
 from rankhouse.llm.quality_classifier import held_out, labelled_sample
 
 EXAMPLES = 40_000  # labelled documents that are learnt from, at most
-LEAST_DOCUMENTS = 5  # that a telling term occurs in
-SIGNIFICANCE = 6.0  # standard deviations by which toxic documents have it more often
-LIFT = 3.0  # times the usual share of toxic documents that those with the term have, at least (or half way to all)
 NEIGHBOURS = 24
 BLOCK = 64
+ORDERING = 256  # terms by which examples are dealt to blocks; changes time only
 COMMON = 16  # a term is common if more than one in so many examples has it
 POWER = 4
 PRIOR_VOTES = 0.2
@@ -61,12 +58,14 @@ def counted(owner: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Vocabulary:
-    """The examples' terms with their idf from ``documents``, how many of ``of`` documents have each."""
+    """The examples' terms with a factor each: the idf from ``documents``, how many of ``of`` documents have the term, times the square of
+    its relevance for toxic texts, log2(2 + (toxic - 1) / max(1, clean)), counted over the examples that have it; one toxic example is left
+    out, so that no example makes its own words relevant."""
 
-    def __init__(self, hashes: np.ndarray, documents: np.ndarray, of: int):
+    def __init__(self, hashes: np.ndarray, documents: np.ndarray, of: int, toxic: np.ndarray, clean: np.ndarray):
         order = np.argsort(hashes)
         self.hashes = hashes[order]
-        self.idf = np.log((of + 1) / (documents[order] + 1)) + 1
+        self.factor = ((np.log((of + 1) / (documents + 1)) + 1) * np.log2(2 + np.maximum(toxic - 1, 0) / np.maximum(1, clean)) ** 2)[order]
         self.of = of
 
     def weighed(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -76,7 +75,7 @@ class Vocabulary:
         at = np.searchsorted(self.hashes, hashes)
         known = self.hashes[np.minimum(at, len(self.hashes) - 1)] == hashes if len(self.hashes) else np.zeros(len(at), bool)
         first, other = (np.searchsorted(owner[which], np.arange(n + 1)) for which in (known, ~known))
-        weight = (1 + np.log(counts[known])) * self.idf[at[known]]
+        weight = (1 + np.log(counts[known])) * self.factor[at[known]]
         return first, at[known], weight, other, hashes[~known], counts[~known]
 
 
@@ -89,21 +88,33 @@ def _name(term: np.ndarray, weight: np.ndarray) -> bytes:
     return hashlib.blake2b(term.astype(np.int32).tobytes() + weight.astype(np.float32).tobytes(), digest_size=16).digest()
 
 
-def restricted(first: np.ndarray, term: np.ndarray, weight: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The vectors without the terms that ``to`` does not mark."""
-    inside = to[term]
-    return np.concatenate([[0], np.cumsum(inside, dtype=np.int32)])[first], term[inside], weight[inside]
+def ranges(start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the ranges, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - sizes), sizes)
 
 
-def telling_terms(term: np.ndarray, toxic: np.ndarray, n_terms: int, rate: float) -> np.ndarray:
-    """Which terms toxic examples have significantly more often. ``toxic``: for each pair of example and term."""
-    n, of = np.bincount(term, minlength=n_terms), np.bincount(term[toxic > 0], minlength=n_terms)
-    surplus = (of - rate * n) / (np.sqrt(np.maximum(n, 1)) * max((rate * (1 - rate)) ** 0.5, 1e-9))
-    return (n >= LEAST_DOCUMENTS) & (surplus >= SIGNIFICANCE) & (of >= min(LIFT * rate, (1 + rate) / 2) * n)
+def coherent(rows: np.ndarray, size: int) -> np.ndarray:
+    """An order of the rows in which similar ones share blocks of ``size``: halved along the principal direction until a block is left."""
+    order, spans = np.arange(len(rows)), [(0, len(rows))]
+    while spans:
+        low, high = spans.pop()
+        if high - low <= size:
+            continue
+        part = rows[order[low:high]]
+        part = part - part.mean(axis=0)
+        direction = part[np.argmax(np.einsum("ij,ij->i", part, part))]
+        for _ in range(4):
+            direction = part.T @ (part @ direction)
+            direction /= max(float(np.linalg.norm(direction)), 1e-30)
+        order[low:high] = order[low:high][np.argsort(part @ direction, kind="stable")]
+        middle = low + -(-(high - low) // (2 * size)) * size
+        spans += [(low, middle), (middle, high)]
+    return order
 
 
 class BlockMaxIndex:
-    """Exact nearest distinct vectors."""
+    """Exact nearest distinct vectors, from posting lists cut into blocks of BLOCK examples with each block's largest weight."""
 
     def __init__(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, toxic: np.ndarray, ids: np.ndarray, n_terms: int):
         groups: dict[bytes, list] = {}
@@ -118,27 +129,45 @@ class BlockMaxIndex:
             group[1] += 1
             group[2] += int(toxic[i])
             group[3] = min(group[3], ids[i])
-        # vectors of the same heaviest terms share blocks, which keeps the bounds tight
-        heaviest = [(term[g[0]][np.argsort(-weight[g[0]], kind="stable")[:8]].tolist(), int(g[3]), g) for g in groups.values()]
-        ordered = [g for _, _, g in sorted(heaviest, key=lambda h: h[:2])]
-        self.n_terms = n_terms
+        names = sorted(groups)  # by content: doc_ids order nothing
+        spans = [groups[name][0] for name in names]
+        sizes = np.array([s.stop - s.start for s in spans], np.int64)
+        rank = coherent(self._heavy(spans, sizes, term, weight, n_terms), BLOCK)
+        ordered = [groups[names[r]] for r in rank.tolist()]
+        self.n_terms, self.rank = n_terms, rank.astype(np.int32)
         self.term = np.concatenate([term[g[0]] for g in ordered]) if ordered else np.zeros(0, np.int32)
         self.weight = np.concatenate([weight[g[0]] for g in ordered]) if ordered else np.zeros(0, np.float32)
-        self.first = np.concatenate([[0], np.cumsum([g[0].stop - g[0].start for g in ordered])]).astype(np.int64)
+        self.first = np.concatenate([[0], np.cumsum(sizes[rank])]).astype(np.int64)
         self.votes = np.array([g[1] for g in ordered], float)
         self.toxic = np.array([g[2] for g in ordered], float)
         self.ids = np.array([g[3] for g in ordered], np.int64)
-        place = {id(g): at for at, g in enumerate(ordered)}
-        self.places = {name: place[id(g)] for name, g in groups.items()}
+        self.names = np.array(names, "S16")
+        self.places = np.argsort(rank).astype(np.int32)
         self.built = False
 
+    @staticmethod
+    def _heavy(spans: list[slice], sizes: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> np.ndarray:
+        """The vectors' weights of the ORDERING terms that carry most of all lengths."""
+        at = ranges(np.array([s.start for s in spans], np.int64), sizes)
+        carried = np.bincount(term[at], weight[at].astype(float) ** 2, n_terms)
+        heavy = np.argsort(-carried, kind="stable")[:ORDERING]
+        column = np.full(n_terms, -1, np.int32)
+        column[heavy] = np.arange(len(heavy))
+        owner, column = np.repeat(np.arange(len(spans)), sizes), column[term[at]]
+        rows = np.zeros((len(spans), len(heavy)), np.float32)
+        rows[owner[column >= 0], column[column >= 0]] = weight[at[column >= 0]]
+        return rows
+
     def place(self, term: np.ndarray, weight: np.ndarray) -> int:
         """Position of an example's vector, -1 if it has none."""
-        return self.places.get(_name(term, weight), -1)
+        name = np.array(_name(term, weight), "S16")
+        at = int(np.searchsorted(self.names, name))
+        return int(self.places[at]) if at < len(self.names) and self.names[at] == name else -1
 
     def _build(self) -> None:
-        """Rows of the common terms and posting lists of the others; made once in each process, not shipped."""
+        """Rows of the common terms, posting lists of the others, both by blocks; made once in each process, not shipped."""
         n = len(self.ids)
+        self.blocks = -(-n // BLOCK)
         documents = np.bincount(self.term, minlength=self.n_terms)
         common = np.flatnonzero(documents * COMMON > n)
         self.column = np.full(self.n_terms, -1, np.int32)
@@ -146,98 +175,117 @@ class BlockMaxIndex:
         owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.first))
         column = self.column[self.term]
         dense = column >= 0
-        self.rows = np.zeros((n, len(common)), np.float32)
+        self.rows = np.zeros((self.blocks * BLOCK, len(common)), np.float32)  # the last block is filled up with blanks
         self.rows[owner[dense], column[dense]] = self.weight[dense]
-        self.block_max = np.maximum.reduceat(self.rows, np.arange(0, n, BLOCK), axis=0)
-        self.common_length = np.sqrt(np.einsum("ij,ij->i", self.rows, self.rows, dtype=np.float64))
+        self.block_max = self.rows.reshape(self.blocks, BLOCK, -1).max(axis=1)
+        self.block_length = np.sqrt(np.einsum("ij,ij->i", self.rows, self.rows, dtype=np.float64)).reshape(self.blocks, BLOCK).max(axis=1)
         order = np.flatnonzero(~dense)
         order = order[np.argsort(self.term[order], kind="stable")]
-        self.posting, self.posting_weight = owner[order], self.weight[order]
-        self.by_term = np.concatenate([[0], np.cumsum(np.where(self.column < 0, documents, 0))])
+        term, self.posting, self.posting_weight = self.term[order], owner[order], self.weight[order]
+        block = self.posting // BLOCK
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        entry = np.flatnonzero(new)  # one for each term and block
+        self.entry_posting = np.append(entry, len(term))
+        self.entry_block = block[entry]
+        self.entry_max = np.maximum.reduceat(self.posting_weight, entry) if len(entry) else np.zeros(0, np.float32)
+        self.by_term = np.searchsorted(term[entry], np.arange(self.n_terms + 1))
         self.built = True
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and products of the k nearest, nearest first; equal products by position. With weights of length 1 the products
+        """Positions and products of the k nearest, nearest first; equal products by content. With weights of length 1 the products
         are cosines."""
         return self.nearest_of_all([(term, weight)], k)[0]
 
     def nearest_of_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """As nearest, for some queries at once: a block's rows meet all queries that its bound does not rule out in one product."""
-        n = len(self.ids)
-        if not n or not queries:
+        """As nearest, for some queries at once. The largest weights bound every block; the blocks of the best bounds give a product that
+        the k-th best reaches at least; only blocks whose bound reaches it too are worked out."""
+        if not len(self.ids) or not queries:
             return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
         if not self.built:
             self._build()
-        common, sums = np.zeros((len(queries), self.rows.shape[1])), np.zeros((len(queries), n))
-        for q, (term, weight) in enumerate(queries):
-            column = self.column[term]
-            common[q, column[column >= 0]] = weight[column >= 0]
-            rare, by = term[column < 0], weight[column < 0]
-            start = self.by_term[rare]
-            sizes = self.by_term[rare + 1] - start
-            ends = np.cumsum(sizes)
-            at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - sizes), sizes)
-            sums[q] = np.bincount(self.posting[at], np.repeat(by, sizes) * self.posting_weight[at], n)
+        n, blocks = len(queries), self.blocks
+        of = np.repeat(np.arange(n), [len(t) for t, _ in queries])
+        term, weight = (np.concatenate([q[j] for q in queries]) for j in (0, 1))
+        column = self.column[term]
+        common = np.zeros((n, self.rows.shape[1]))
+        common[of[column >= 0], column[column >= 0]] = weight[column >= 0]
         single = common.astype(np.float32)
-        most, length = single @ self.block_max.T, np.sqrt((common * common).sum(axis=1))
-
-        def products(q: int, at: np.ndarray) -> np.ndarray:
-            return sums[q, at] + self.rows[at] @ common[q]
-
-        starts = np.arange(0, n, BLOCK)
-        need = np.ones((len(queries), len(starts)), bool)
-        for q in range(len(queries) if n > 2 * k else 0):  # what the best bounds really reach, then the blocks whose bound reaches that too
-            bound = sums[q] + np.minimum(np.repeat(most[q], BLOCK)[:n], self.common_length * length[q]) * (1 + 1e-5)
-            some = np.argpartition(bound, n - 2 * k)[-2 * k :]
-            need[q] = np.maximum.reduceat(bound, starts) >= np.partition(products(q, some), k)[k] * (1 - 1e-5)
-        total = np.full((len(queries), n), -1.0)
-        for block, start in enumerate(starts.tolist()):
-            which = np.flatnonzero(need[:, block])
-            if len(which):
-                span = slice(start, start + BLOCK)
-                total[which, span] = sums[which, span] + single[which] @ self.rows[span].T
+        rare = np.flatnonzero(column < 0)
+        sizes = self.by_term[term[rare] + 1] - self.by_term[term[rare]]
+        entry = ranges(self.by_term[term[rare]], sizes)
+        by, cell = np.repeat(weight[rare], sizes), np.repeat(of[rare], sizes) * blocks + self.entry_block[entry]
+        length = np.sqrt((common * common).sum(axis=1))
+        bound = np.minimum(single @ self.block_max.T, length[:, None] * self.block_length) * (1 + 1e-5)
+        bound += np.bincount(cell, by * self.entry_max[entry], n * blocks).reshape(n, blocks)
+
+        def products(need: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """The needed pairs of a query and a block; for each the products by the rare terms and, in single precision, by all."""
+            pairs = np.flatnonzero(need)
+            slot = np.zeros(n * blocks, np.int64)
+            slot[pairs] = np.arange(len(pairs))
+            inside = np.flatnonzero(need.reshape(-1)[cell])
+            start = self.entry_posting[entry[inside]]
+            each = self.entry_posting[entry[inside] + 1] - start
+            at = ranges(start, each)
+            where = np.repeat(slot[cell[inside]] * BLOCK, each) + self.posting[at] % BLOCK
+            exact = np.bincount(where, np.repeat(by[inside], each) * self.posting_weight[at], len(pairs) * BLOCK).reshape(-1, BLOCK)
+            total = exact.astype(np.float32)
+            for block in np.flatnonzero(need.any(axis=0)).tolist():
+                which = np.flatnonzero(need[:, block])
+                total[slot[which * blocks + block]] += single[which] @ self.rows[block * BLOCK : (block + 1) * BLOCK].T
+            return pairs, exact, total
+
+        need = bound > 0
+        some = -(-2 * k // BLOCK) + 1
+        if blocks > some:
+            best = np.zeros_like(need)
+            np.put_along_axis(best, np.argpartition(bound, blocks - some, axis=1)[:, -some:], True, axis=1)
+            reached = np.partition(products(best)[2].reshape(n, -1), some * BLOCK - k, axis=1)[:, some * BLOCK - k]
+            need &= bound >= reached[:, None] * (1 - 1e-5)
+        pairs, exact, total = products(need)
+        cuts = np.searchsorted(pairs, np.arange(n + 1) * blocks)
         results = []
-        for q in range(len(queries)):  # single precision chose them; the products are worked out again
-            least = np.partition(total[q], n - k)[n - k] * (1 - 1e-5) if n > k else 0.0
-            chosen = np.flatnonzero(total[q] >= max(least, 1e-12))
-            found = products(q, chosen)
-            top = np.lexsort((chosen, -np.round(found, 9)))[:k]
+        for q in range(n):  # single precision chose them; the products are worked out again
+            mine = total[cuts[q] : cuts[q + 1]].reshape(-1)
+            least = np.partition(mine, len(mine) - k)[len(mine) - k] * (1 - 1e-5) if len(mine) > k else 0.0
+            at = np.flatnonzero(mine >= max(least, 1e-12))
+            chosen = (pairs[cuts[q] + at // BLOCK] % blocks) * BLOCK + at % BLOCK
+            found = exact[cuts[q] : cuts[q + 1]].reshape(-1)[at] + self.rows[chosen] @ common[q]
+            top = np.lexsort((self.rank[chosen], -np.round(found, 9)))[:k]
             results.append((chosen[top], found[top]))
         return results
 
 
 class ToxicityModel:
-    """Scores texts; ``share`` is the share of votes, ``levels`` the monotone map to a score."""
+    """Scores texts; ``levels`` is the monotone map from the share of votes to a score."""
 
-    def __init__(self, vocabulary: Vocabulary, index: BlockMaxIndex | None, rate: float, telling: np.ndarray | None = None, telling_index: BlockMaxIndex | None = None):
-        self.vocabulary, self.rate, self.telling = vocabulary, rate, telling
-        self.index, self.telling_index = index, telling_index
+    def __init__(self, vocabulary: Vocabulary, index: BlockMaxIndex | None, rate: float):
+        self.vocabulary, self.index, self.rate = vocabulary, index, rate
         self.levels = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-        self.frequencies: DataFrame | None = None  # of all terms of all documents
+        self.frequencies: DataFrame | None = None  # of terms that several documents have
         self.shared: Broadcast | None = None  # this model as it was before the fit of the levels
-        n, toxic = telling_index.blank if telling_index else (0, 0)
+        n, toxic = index.blank if index else (0, 0)
         self.blank = float((toxic + PRIOR_VOTES * rate) / (n + PRIOR_VOTES))
 
-    def share(self, near: list[tuple[np.ndarray, np.ndarray]], tells: bool, own: tuple[int, int] = (-1, -1), label: int = 0) -> float:
-        """Share of votes for toxic. ``near``: neighbours and cosines in the two indexes; ``tells``: whether the text has a telling term;
-        ``own``: the places of an example whose own vote, ``label``, is left out."""
-        prior = self.rate if tells else self.blank
-        sums = np.array([PRIOR_VOTES * prior, PRIOR_VOTES])
-        for index, (found, cosine), place in zip((self.index, self.telling_index), near, own):
-            power = np.minimum(cosine, 1.0) ** POWER
-            leave = found == place
-            sums += (power @ (index.toxic[found] - label * leave), power @ (index.votes[found] - leave))
-        return float(sums[0] / sums[1])
+    def votes(self, near: tuple[np.ndarray, np.ndarray], own: int = -1, label: int = 0) -> tuple[float, float]:
+        """Votes for toxic and all votes of the neighbours, by products; ``own``: the place of an example whose own vote, ``label``, is left out."""
+        found, product = near
+        leave = found == own
+        power = product**POWER
+        return float(power @ (self.index.toxic[found] - label * leave)), float(power @ (self.index.votes[found] - leave))
+
+    def share(self, toxic: np.ndarray, votes: np.ndarray, length: np.ndarray | float) -> np.ndarray:
+        """Share of votes for toxic, beside PRIOR_VOTES of the examples' rate; products over the text's length are cosines."""
+        return (toxic / length**POWER + PRIOR_VOTES * self.rate) / (votes / length**POWER + PRIOR_VOTES)
 
     def left_out(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, toxic: np.ndarray) -> np.ndarray:
         """The share of votes that each example gets from all others."""
-        tell = restricted(first, term, weight, self.telling)
-        shares = np.zeros(len(first) - 1)
+        sums = []
         for i, near in enumerate(self.near(first, term, weight)):
-            spans = [(v[1][v[0][i] : v[0][i + 1]], v[2][v[0][i] : v[0][i + 1]]) for v in ((first, term, weight), tell)]
-            own = (self.index.place(*spans[0]), self.telling_index.place(*spans[1]))
-            shares[i] = self.share(near, len(spans[1][0]) > 0, own, int(toxic[i]))
-        return shares
+            span = slice(first[i], first[i + 1])
+            sums.append(self.votes(near, self.index.place(term[span], weight[span]), int(toxic[i])))
+        return self.share(*np.array(sums).reshape(-1, 2).T, 1.0)
 
     def calibrate(self, shares: np.ndarray, labels: np.ndarray) -> None:
         """Pool adjacent violators over the votes that examples get without their own."""
@@ -252,34 +300,22 @@ class ToxicityModel:
                 pools[-1] = [a + b for a, b in zip(pools[-1], last)]
         self.levels = (np.array([p[2] / p[1] for p in pools]), np.array([(p[0] + self.rate) / (p[1] + 1) for p in pools]))
 
-    def near(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray) -> list[list[tuple[np.ndarray, np.ndarray]]]:
-        """Neighbours of each text, and the products with them, in the two indexes."""
+    def near(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Neighbours of each text, and the products with them."""
         names, queries = [], {}
         for a, b in zip(first.tolist(), first[1:].tolist()):
             names.append(_name(term[a:b], weight[a:b]))
             queries[names[-1]] = (term[a:b], weight[a:b])
-        known: dict[bytes, list[tuple[np.ndarray, np.ndarray]]] = {}
+        known: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
         keys = list(queries)
         for at in range(0, len(keys), QUERIES):
-            some = [queries[key] for key in keys[at : at + QUERIES]]
-            tell = [(t[self.telling[t]], w[self.telling[t]]) for t, w in some]
-            found = zip(self.index.nearest_of_all(some, NEIGHBOURS), self.telling_index.nearest_of_all(tell, NEIGHBOURS))
-            known.update(zip(keys[at : at + QUERIES], map(list, found)))
+            some = keys[at : at + QUERIES]
+            known.update(zip(some, self.index.nearest_of_all([queries[key] for key in some], NEIGHBOURS)))
         return [known[name] for name in names]
 
-    def score(self, near: list[tuple[np.ndarray, np.ndarray]], tells: bool, levels: tuple[np.ndarray, np.ndarray]) -> tuple[float, list[dict]]:
-        found, cosine = near[0]
-        if not len(found):
-            return self.blank, []
-        evidence = [
-            {"doc_id": int(self.index.ids[f]), "similarity": float(c), "toxic_share": float(self.index.toxic[f] / self.index.votes[f])}
-            for f, c in zip(found[:3], np.minimum(cosine[:3], 1.0))
-        ]
-        return float(np.clip(np.interp(self.share(near, tells), *levels), 0, 1)), evidence
-
 
 def document_frequencies(docs: DataFrame) -> DataFrame:
-    """(term, n): how many documents have each term, over all documents."""
+    """(term, n): how many documents have each term, over all documents; terms of a single document are left out, as there n is known."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -287,7 +323,7 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
             which, n = np.unique(hashes, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(which.view(np.int64)), pa.array(n)], names=["term", "n"])
 
-    return id_text(docs).select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return id_text(docs).select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).where("n > 1")
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, examples: int = EXAMPLES) -> ToxicityModel:
@@ -296,16 +332,20 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, example
 
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")).first()
     if not total["n"]:
-        return ToxicityModel(Vocabulary(np.zeros(0, np.uint64), np.zeros(0), 0), None, 0.5)
+        return ToxicityModel(Vocabulary(np.zeros(0, np.uint64), np.zeros(0), 0, np.zeros(0), np.zeros(0)), None, 0.5)
     frequencies = stage(document_frequencies(docs), "document-frequencies")
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(words(*as_bytes(batch.column("text")))[1]).view(np.int64))], names=["term"])
+            owner, hashes, _ = counted(*words(*as_bytes(batch.column("text"))))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch.column("label").take(pa.array(owner))], names=["term", "label"])
 
     rows = stage(rows, "examples")
-    own = frequencies.join(rows.mapInArrow(terms, "term long").distinct(), "term", "left_semi").toArrow()  # the terms of ``examples`` texts
-    vocabulary = Vocabulary(own["term"].to_numpy().view(np.uint64), own["n"].to_numpy().astype(float), docs.count())
+    sides = rows.mapInArrow(terms, "term long, label int").groupBy("term").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
+    own = sides.join(frequencies, "term", "left").select("term", F.coalesce("n", F.lit(1)).alias("n"), "toxic", "clean").toArrow()  # terms of ``examples`` texts
+    counts = [own[name].to_numpy().astype(float) for name in ("n", "toxic", "clean")]
+    vocabulary = Vocabulary(own["term"].to_numpy().view(np.uint64), counts[0], docs.count(), *counts[1:])
+    del own, counts
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,10 +364,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, example
     weight = found["weight"].combine_chunks().flatten().to_numpy()
     toxic, ids = found["label"].to_numpy(), found["doc_id"].to_numpy()
     del found, lists
-    rate, n_terms = total["toxic"] / total["n"], len(vocabulary.hashes)
-    telling = telling_terms(term, np.repeat(toxic, np.diff(first)), n_terms, rate)
-    alone = BlockMaxIndex(*restricted(first, term, weight, telling), toxic, ids, n_terms)
-    model = ToxicityModel(vocabulary, BlockMaxIndex(first, term, weight, toxic, ids, n_terms), rate, telling, alone)
+    model = ToxicityModel(vocabulary, BlockMaxIndex(first, term, weight, toxic, ids, len(vocabulary.hashes)), total["toxic"] / total["n"])
+    del first, term, weight
     model.shared = whole = docs.sparkSession.sparkContext.broadcast(model)  # bounded by EXAMPLES
     model.frequencies = frequencies
 
@@ -347,54 +385,55 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, example
 
 def scored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, score and evidence: the nearest examples, their cosines and the share of toxic ones among their equals."""
-    kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic_share", pa.float64())]))
     schema = "array<struct<doc_id:long,similarity:double,toxic_share:double>>"
     if model.index is None:
         return id_text(docs).select("doc_id", F.lit(0.5).alias("score"), F.array().cast(schema).alias("evidence"))
-    columns = ["found", "product", "found_telling", "product_telling"]
-    shared, levels = model.shared, model.levels
+    kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic_share", pa.float64())]))
+    shared, levels, rate, blank = model.shared, model.levels, model.rate, model.blank
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            first, term, weight, other, hashes, counts = shared.value.vocabulary.weighed(*as_bytes(batch.column("text")))
-            near = shared.value.near(first, term, weight)
+            here = shared.value
+            first, term, weight, other, hashes, counts = here.vocabulary.weighed(*as_bytes(batch.column("text")))
+            near = here.near(first, term, weight)
+            sums = np.array([here.votes(x) for x in near]).reshape(-1, 2)
+            evidence = [
+                [{"doc_id": i, "similarity": p, "toxic_share": s} for i, p, s in zip(here.index.ids[f[:3]].tolist(), p[:3].tolist(), (here.index.toxic[f[:3]] / here.index.votes[f[:3]]).tolist())]
+                for f, p in near
+            ]
             other = pa.array(other.astype(np.int32))
-            lists = []
-            for k in (0, 1):
-                ends = pa.array(np.concatenate([[0], np.cumsum([len(x[k][0]) for x in near])]).astype(np.int32))
-                lists += [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([x[k][j] for x in near]).astype(t))) for j, t in ((0, np.int32), (1, np.float32))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    *lists,
-                    pa.array(np.diff(restricted(first, term, weight, shared.value.telling)[0]) > 0),
+                    pa.array(sums[:, 0]),
+                    pa.array(sums[:, 1]),
+                    pa.array(evidence, kind),
                     pa.array(lengths(first, weight)),
                     pa.ListArray.from_arrays(other, pa.array(hashes.view(np.int64))),
                     pa.ListArray.from_arrays(other, pa.array(counts.astype(np.int32))),
                 ],
-                names=["doc_id", *columns, "tells", "square", "other", "times"],
+                names=["doc_id", "toxic", "votes", "evidence", "square", "other", "times"],
             )
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain = ToxicityModel(Vocabulary(np.zeros(0, np.uint64), np.zeros(0), 0, np.zeros(0), np.zeros(0)), None, rate)
         for batch in batches:
-            square = batch.column("square").to_numpy(zero_copy_only=False)
-            results = []
-            for *near, tells, s in zip(*(batch.column(c) for c in columns), batch.column("tells").to_pylist(), square.tolist()):
-                near = [x.values.to_numpy(zero_copy_only=False) for x in near]
-                length = max(s, 1e-300) ** 0.5
-                results.append(shared.value.score([(near[0], near[1].astype(float) / length), (near[2], near[3].astype(float) / length)], tells, levels))
-            score, evidence = [r[0] for r in results], [r[1] for r in results]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64()), pa.array(evidence, kind)], names=["doc_id", "score", "evidence"])
-
-    kinds = "found array<int>, product array<float>, found_telling array<int>, product_telling array<float>, tells boolean"
-    near = id_text(docs).mapInArrow(look, f"doc_id long, {kinds}, square double, other array<long>, times array<int>")
+            toxic, votes, length = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("toxic", "votes", "length"))
+            score = np.where(votes > 0, np.clip(np.interp(plain.share(toxic, votes, length), *levels), 0, 1), blank)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), batch.column("evidence")], names=["doc_id", "score", "evidence"])
+
+    near = id_text(docs).mapInArrow(look, f"doc_id long, toxic double, votes double, evidence {schema}, square double, other array<long>, times array<int>")
     near = stage(near.withColumn("row", F.monotonically_increasing_id()), "near")
     others = near.select("row", F.explode(F.arrays_zip("other", "times")).alias("o")).select("row", F.col("o.other").alias("term"), F.col("o.times").alias("times"))
-    idf = F.log(F.lit(model.vocabulary.of + 1.0) / (F.coalesce("n", F.lit(0)) + 1)) + 1
+    # a term that stands in a text and not among the frequencies is this document's alone
+    idf = F.log(F.lit(model.vocabulary.of + 1.0) / (F.coalesce("n", F.lit(1)) + 1)) + 1
     weight = (1 + F.log("times")) * idf
     outside = others.join(model.frequencies, "term", "left").groupBy("row").agg(F.sum(weight * weight).alias("outside"))
-    whole = near.join(outside, "row", "left").select("doc_id", *columns, "tells", (F.col("square") + F.coalesce("outside", F.lit(0.0))).alias("square"))
-    return whole.mapInArrow(finish, f"doc_id long, score double, evidence {schema}")
+    length = F.sqrt(F.greatest(F.col("square") + F.coalesce("outside", F.lit(0.0)), F.lit(1e-300)))
+    whole = near.join(outside, "row", "left").withColumn("length", length)
+    cosines = F.transform("evidence", lambda e: e.withField("similarity", F.least(e["similarity"] / F.col("length"), F.lit(1.0))))
+    rows = whole.select("doc_id", "toxic", "votes", "length", cosines.alias("evidence"))
+    return rows.mapInArrow(finish, f"doc_id long, score double, evidence {schema}")
 
 
 def op3_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
