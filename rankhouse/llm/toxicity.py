@@ -35,7 +35,8 @@ ORDERING = 256  # terms by which examples are dealt to blocks; changes time only
 COMMON = 16  # a term is common if more than one in so many examples has it
 POWER = 4
 PRIOR_VOTES = 0.2
-QUERIES = 64  # texts that meet the indexes at once
+QUERIES = 64  # texts that meet the index at once
+SLACK = 1e-4  # beyond what sums of weights of one sign lose in single precision
 
 _OUTSIDE = np.ones(256, bool)
 _OUTSIDE[[*range(65, 91), *range(97, 123), *range(0x80, 0x100)]] = False
@@ -91,7 +92,7 @@ def _name(term: np.ndarray, weight: np.ndarray) -> bytes:
 def ranges(start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All places of the ranges, one range after the other."""
     ends = np.cumsum(sizes)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - sizes), sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32) + np.repeat((start - (ends - sizes)).astype(np.int32), sizes)
 
 
 def coherent(rows: np.ndarray, size: int) -> np.ndarray:
@@ -132,7 +133,7 @@ class BlockMaxIndex:
         names = sorted(groups)  # by content: doc_ids order nothing
         spans = [groups[name][0] for name in names]
         sizes = np.array([s.stop - s.start for s in spans], np.int64)
-        rank = coherent(self._heavy(spans, sizes, term, weight, n_terms), BLOCK)
+        rank = coherent(self._heavy(spans, term, weight, n_terms), BLOCK)
         ordered = [groups[names[r]] for r in rank.tolist()]
         self.n_terms, self.rank = n_terms, rank.astype(np.int32)
         self.term = np.concatenate([term[g[0]] for g in ordered]) if ordered else np.zeros(0, np.int32)
@@ -143,19 +144,24 @@ class BlockMaxIndex:
         self.ids = np.array([g[3] for g in ordered], np.int64)
         self.names = np.array(names, "S16")
         self.places = np.argsort(rank).astype(np.int32)
-        self.built = False
+        self._build()
+
+    def __getstate__(self) -> dict:
+        """Workers get the blocks, not the vectors they were made of."""
+        return {name: value for name, value in self.__dict__.items() if name not in ("first", "term", "weight")}
 
     @staticmethod
-    def _heavy(spans: list[slice], sizes: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> np.ndarray:
+    def _heavy(spans: list[slice], term: np.ndarray, weight: np.ndarray, n_terms: int) -> np.ndarray:
         """The vectors' weights of the ORDERING terms that carry most of all lengths."""
-        at = ranges(np.array([s.start for s in spans], np.int64), sizes)
-        carried = np.bincount(term[at], weight[at].astype(float) ** 2, n_terms)
-        heavy = np.argsort(-carried, kind="stable")[:ORDERING]
+        carried, rows = np.zeros(n_terms), np.zeros((len(spans), min(ORDERING, n_terms)), np.float32)
+        for span in spans:
+            carried[term[span]] += weight[span] ** 2
         column = np.full(n_terms, -1, np.int32)
+        heavy = np.argsort(-carried, kind="stable")[:ORDERING]
         column[heavy] = np.arange(len(heavy))
-        owner, column = np.repeat(np.arange(len(spans)), sizes), column[term[at]]
-        rows = np.zeros((len(spans), len(heavy)), np.float32)
-        rows[owner[column >= 0], column[column >= 0]] = weight[at[column >= 0]]
+        for row, span in zip(rows, spans):
+            at = column[term[span]]
+            row[at[at >= 0]] = weight[span][at >= 0]
         return rows
 
     def place(self, term: np.ndarray, weight: np.ndarray) -> int:
@@ -165,32 +171,34 @@ class BlockMaxIndex:
         return int(self.places[at]) if at < len(self.names) and self.names[at] == name else -1
 
     def _build(self) -> None:
-        """Rows of the common terms, posting lists of the others, both by blocks; made once in each process, not shipped."""
+        """Rows of the common terms, posting lists of the others, both by blocks."""
         n = len(self.ids)
         self.blocks = -(-n // BLOCK)
         documents = np.bincount(self.term, minlength=self.n_terms)
         common = np.flatnonzero(documents * COMMON > n)
         self.column = np.full(self.n_terms, -1, np.int32)
         self.column[common] = np.arange(len(common))
-        owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.first))
-        column = self.column[self.term]
-        dense = column >= 0
         self.rows = np.zeros((self.blocks * BLOCK, len(common)), np.float32)  # the last block is filled up with blanks
-        self.rows[owner[dense], column[dense]] = self.weight[dense]
+        for i in range(n):
+            span = slice(self.first[i], self.first[i + 1])
+            column = self.column[self.term[span]]
+            self.rows[i, column[column >= 0]] = self.weight[span][column >= 0]
         self.block_max = self.rows.reshape(self.blocks, BLOCK, -1).max(axis=1)
         self.block_length = np.sqrt(np.einsum("ij,ij->i", self.rows, self.rows, dtype=np.float64)).reshape(self.blocks, BLOCK).max(axis=1)
-        order = np.flatnonzero(~dense)
+        order = np.flatnonzero(self.column[self.term] < 0)
         order = order[np.argsort(self.term[order], kind="stable")]
-        term, self.posting, self.posting_weight = self.term[order], owner[order], self.weight[order]
-        block = self.posting // BLOCK
+        term, self.posting_weight = self.term[order], self.weight[order]
+        posting = (np.searchsorted(self.first, order, side="right") - 1).astype(np.int32)
+        del order
+        self.posting = (posting % BLOCK).astype(np.uint8)  # place in the block
+        block = posting // BLOCK
         new = np.ones(len(term), bool)
         new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
         entry = np.flatnonzero(new)  # one for each term and block
-        self.entry_posting = np.append(entry, len(term))
+        self.entry_posting = np.append(entry, len(term)).astype(np.int32)
         self.entry_block = block[entry]
         self.entry_max = np.maximum.reduceat(self.posting_weight, entry) if len(entry) else np.zeros(0, np.float32)
-        self.by_term = np.searchsorted(term[entry], np.arange(self.n_terms + 1))
-        self.built = True
+        self.by_term = np.searchsorted(term[entry], np.arange(self.n_terms + 1)).astype(np.int32)
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and products of the k nearest, nearest first; equal products by content. With weights of length 1 the products
@@ -202,57 +210,67 @@ class BlockMaxIndex:
         the k-th best reaches at least; only blocks whose bound reaches it too are worked out."""
         if not len(self.ids) or not queries:
             return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
-        if not self.built:
-            self._build()
         n, blocks = len(queries), self.blocks
-        of = np.repeat(np.arange(n), [len(t) for t, _ in queries])
-        term, weight = (np.concatenate([q[j] for q in queries]) for j in (0, 1))
-        column = self.column[term]
         common = np.zeros((n, self.rows.shape[1]))
-        common[of[column >= 0], column[column >= 0]] = weight[column >= 0]
+        by_rare = np.zeros((n, blocks))  # bounds of what the rare terms add
+        listed = []  # for each query its entries in the posting lists, their blocks and the query's weights
+        for q, (term, weight) in enumerate(queries):
+            column = self.column[term]
+            common[q, column[column >= 0]] = weight[column >= 0]
+            rare = term[column < 0]
+            start = self.by_term[rare]
+            sizes = self.by_term[rare + 1] - start
+            entry = ranges(start, sizes)
+            listed.append((entry, self.entry_block[entry], np.repeat(weight[column < 0].astype(np.float32), sizes)))
+            by_rare[q] = np.bincount(listed[q][1], listed[q][2] * self.entry_max[entry], blocks)
         single = common.astype(np.float32)
-        rare = np.flatnonzero(column < 0)
-        sizes = self.by_term[term[rare] + 1] - self.by_term[term[rare]]
-        entry = ranges(self.by_term[term[rare]], sizes)
-        by, cell = np.repeat(weight[rare], sizes), np.repeat(of[rare], sizes) * blocks + self.entry_block[entry]
         length = np.sqrt((common * common).sum(axis=1))
-        bound = np.minimum(single @ self.block_max.T, length[:, None] * self.block_length) * (1 + 1e-5)
-        bound += np.bincount(cell, by * self.entry_max[entry], n * blocks).reshape(n, blocks)
-
-        def products(need: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            """The needed pairs of a query and a block; for each the products by the rare terms and, in single precision, by all."""
-            pairs = np.flatnonzero(need)
-            slot = np.zeros(n * blocks, np.int64)
-            slot[pairs] = np.arange(len(pairs))
-            inside = np.flatnonzero(need.reshape(-1)[cell])
-            start = self.entry_posting[entry[inside]]
-            each = self.entry_posting[entry[inside] + 1] - start
-            at = ranges(start, each)
-            where = np.repeat(slot[cell[inside]] * BLOCK, each) + self.posting[at] % BLOCK
-            exact = np.bincount(where, np.repeat(by[inside], each) * self.posting_weight[at], len(pairs) * BLOCK).reshape(-1, BLOCK)
-            total = exact.astype(np.float32)
+        bound = by_rare + np.minimum(single @ self.block_max.T, length[:, None] * self.block_length)
+
+        def products(need: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """The needed pairs of a query and a block that can reach the query's floor; for each the products by the rare terms and, in
+            single precision, by all. The common terms come first: their products replace their bound before any posting is read."""
+            pairs, slots = np.flatnonzero(need), np.zeros(need.shape, np.int32)
+            slots.reshape(-1)[pairs] = np.arange(len(pairs))
+            total = np.empty((len(pairs), BLOCK), np.float32)
             for block in np.flatnonzero(need.any(axis=0)).tolist():
                 which = np.flatnonzero(need[:, block])
-                total[slot[which * blocks + block]] += single[which] @ self.rows[block * BLOCK : (block + 1) * BLOCK].T
-            return pairs, exact, total
-
-        need = bound > 0
+                total[slots[which, block]] = single[which] @ self.rows[block * BLOCK : (block + 1) * BLOCK].T
+            kept = total.max(axis=1) + by_rare.reshape(-1)[pairs] >= floor[pairs // blocks]
+            pairs, total = pairs[kept], total[kept]
+            need = np.zeros_like(need)
+            need.reshape(-1)[pairs] = True
+            slots.reshape(-1)[pairs] = np.arange(len(pairs))
+            cuts = np.searchsorted(pairs, np.arange(n + 1) * blocks)
+            exact = np.empty((len(pairs), BLOCK))
+            for q, (entry, block, by) in enumerate(listed):
+                inside = np.flatnonzero(need[q][block])
+                start = self.entry_posting[entry[inside]]
+                each = self.entry_posting[entry[inside] + 1] - start
+                at = ranges(start, each)
+                where = np.repeat((slots[q, block[inside]] - cuts[q]) * np.int32(BLOCK), each) + self.posting[at]
+                value = np.repeat(by[inside], each) * self.posting_weight[at]
+                exact[cuts[q] : cuts[q + 1]] = np.bincount(where, value, (cuts[q + 1] - cuts[q]) * BLOCK).reshape(-1, BLOCK)
+            return pairs, exact, total + exact.astype(np.float32)
+
+        need, floor = bound > 0, np.zeros(n)
         some = -(-2 * k // BLOCK) + 1
         if blocks > some:
             best = np.zeros_like(need)
             np.put_along_axis(best, np.argpartition(bound, blocks - some, axis=1)[:, -some:], True, axis=1)
-            reached = np.partition(products(best)[2].reshape(n, -1), some * BLOCK - k, axis=1)[:, some * BLOCK - k]
-            need &= bound >= reached[:, None] * (1 - 1e-5)
-        pairs, exact, total = products(need)
+            reached = products(best, floor)[2].reshape(n, -1)
+            floor = np.partition(reached, some * BLOCK - k, axis=1)[:, some * BLOCK - k] * (1 - SLACK)
+            need &= bound >= floor[:, None]
+        pairs, exact, total = products(need, floor)
         cuts = np.searchsorted(pairs, np.arange(n + 1) * blocks)
         results = []
-        for q in range(n):  # single precision chose them; the products are worked out again
+        for q in range(n):  # single precision chose them; the products of the common terms are worked out again
             mine = total[cuts[q] : cuts[q + 1]].reshape(-1)
-            least = np.partition(mine, len(mine) - k)[len(mine) - k] * (1 - 1e-5) if len(mine) > k else 0.0
+            least = np.partition(mine, len(mine) - k)[len(mine) - k] * (1 - SLACK) if len(mine) > k else 0.0
             at = np.flatnonzero(mine >= max(least, 1e-12))
             chosen = (pairs[cuts[q] + at // BLOCK] % blocks) * BLOCK + at % BLOCK
             found = exact[cuts[q] : cuts[q + 1]].reshape(-1)[at] + self.rows[chosen] @ common[q]
-            top = np.lexsort((self.rank[chosen], -np.round(found, 9)))[:k]
+            top = np.lexsort((self.rank[chosen], -np.round(found, 6)))[:k]
             results.append((chosen[top], found[top]))
         return results
 
