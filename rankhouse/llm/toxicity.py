@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rankhouse.llm.common import LOWER, SpanHashes, as_bytes, id_text, slices, stage, word_spans
+from rankhouse.llm.common import LOWER, SpanHashes, as_bytes, give_back, id_text, slices, stage, word_spans
 from rankhouse.llm.quality_classifier import held_out, labelled_sample
 
 EXAMPLES = 40_000  # labelled documents that are learnt from, at most
@@ -120,7 +120,7 @@ class BlockMaxIndex:
     def __init__(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, toxic: np.ndarray, ids: np.ndarray, n_terms: int):
         groups: dict[bytes, list] = {}
         self.blank = np.zeros(2)  # examples without a term: how many, how many toxic
-        term, weight = term.astype(np.int32), weight.astype(np.float32)
+        term, weight = term.astype(np.int32, copy=False), weight.astype(np.float32, copy=False)
         for i in range(len(first) - 1):
             span = slice(first[i], first[i + 1])
             if first[i] == first[i + 1]:
@@ -185,10 +185,10 @@ class BlockMaxIndex:
             self.rows[i, column[column >= 0]] = self.weight[span][column >= 0]
         self.block_max = self.rows.reshape(self.blocks, BLOCK, -1).max(axis=1)
         self.block_length = np.sqrt(np.einsum("ij,ij->i", self.rows, self.rows, dtype=np.float64)).reshape(self.blocks, BLOCK).max(axis=1)
-        order = np.flatnonzero(self.column[self.term] < 0)
+        order = np.flatnonzero(self.column[self.term] < 0).astype(np.int32)
         order = order[np.argsort(self.term[order], kind="stable")]
         term, self.posting_weight = self.term[order], self.weight[order]
-        posting = (np.searchsorted(self.first, order, side="right") - 1).astype(np.int32)
+        posting = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.first))[order]
         del order
         self.posting = (posting % BLOCK).astype(np.uint8)  # place in the block
         block = posting // BLOCK
@@ -364,6 +364,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, example
     counts = [own[name].to_numpy().astype(float) for name in ("n", "toxic", "clean")]
     vocabulary = Vocabulary(own["term"].to_numpy().view(np.uint64), counts[0], docs.count(), *counts[1:])
     del own, counts
+    give_back()
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -382,8 +383,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, example
     weight = found["weight"].combine_chunks().flatten().to_numpy()
     toxic, ids = found["label"].to_numpy(), found["doc_id"].to_numpy()
     del found, lists
+    give_back()
     model = ToxicityModel(vocabulary, BlockMaxIndex(first, term, weight, toxic, ids, len(vocabulary.hashes)), total["toxic"] / total["n"])
     del first, term, weight
+    give_back()
     model.shared = whole = docs.sparkSession.sparkContext.broadcast(model)  # bounded by EXAMPLES
     model.frequencies = frequencies
 
