@@ -21,7 +21,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -371,18 +370,21 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, example
         for batch in slices(batches):
             first, term, weight, *_ = shared.value.weighed(*as_bytes(batch.column("text")))
             weight = weight / np.repeat(np.sqrt(lengths(first, weight)), np.diff(first))
-            first = pa.array(first.astype(np.int32))
-            lists = [pa.ListArray.from_arrays(first, pa.array(x)) for x in (term.astype(np.int32), weight.astype(np.float32))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *lists], names=["doc_id", "label", "term", "weight"])
-
-    # at most ``examples`` rows
-    found = rows.mapInArrow(vectors, "doc_id long, label int, term array<int>, weight array<float>").toArrow()
-    lists = found["term"].combine_chunks()
-    first = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
-    term = lists.flatten().to_numpy()
-    weight = found["weight"].combine_chunks().flatten().to_numpy()
-    toxic, ids = found["label"].to_numpy(), found["doc_id"].to_numpy()
-    del found, lists
+            packed = [[x[i:j].tobytes() for i, j in zip(first, first[1:])] for x in (term.astype(np.int32), weight.astype(np.float32))]
+            columns = [batch.column("doc_id"), batch.column("label"), *(pa.array(x, pa.binary()) for x in packed)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "term", "weight"])
+
+    # at most ``examples`` rows, one partition at a time
+    ids, toxic, terms_of, weights_of = columns = [], [], [], []
+    for row in rows.mapInArrow(vectors, "doc_id long, label int, term binary, weight binary").toLocalIterator():
+        for column, value in zip(columns, row):
+            column.append(value)
+    ids, toxic = np.array(ids, np.int64), np.array(toxic)
+    first = np.concatenate([[0], np.cumsum([len(t) // 4 for t in terms_of])]).astype(np.int64)
+    term = np.frombuffer(bytearray().join(terms_of), np.int32)
+    terms_of.clear()
+    weight = np.frombuffer(bytearray().join(weights_of), np.float32)
+    weights_of.clear()
     give_back()
     model = ToxicityModel(vocabulary, BlockMaxIndex(first, term, weight, toxic, ids, len(vocabulary.hashes)), total["toxic"] / total["n"])
     del first, term, weight
