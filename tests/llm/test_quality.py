@@ -226,6 +226,33 @@ def test_nearest_is_exact():
         assert np.allclose(cosine, expected[expected > 0][: len(cosine)]) and len(cosine) == min(10, (dense @ query > 0).sum())
 
 
+def test_nearest_is_exact_over_posting_lists():
+    """Many blocks, common and rare terms, weights that differ widely, several queries at once; ties do not depend on doc_ids."""
+    draw, n, n_terms = np.random.default_rng(8), 1_500, 4_000
+    share = 1 / np.arange(1, n_terms + 1)
+    sizes = draw.integers(1, 60, n)
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    term = np.concatenate([np.sort(draw.choice(n_terms, s, replace=False, p=share / share.sum())) for s in sizes])
+    weight = draw.random(len(term)) ** 4 * 50 + 0.1
+    weight /= np.repeat(np.sqrt(np.add.reduceat(weight * weight, first[:-1])), sizes)
+    toxic, ids = draw.integers(0, 2, n), np.arange(n)
+    index = BlockMaxIndex(first, term, weight, toxic, ids, n_terms)
+    assert index.blocks > 20 and 0 < index.rows.shape[1] < n_terms / 10 and len(index.posting)
+    dense = np.zeros((len(index.ids), n_terms))
+    for i in range(len(index.ids)):
+        span = slice(index.first[i], index.first[i + 1])
+        dense[i, index.term[span]] = index.weight[span]
+    queries = [(term[a:b], weight[a:b]) for a, b in zip(first[:150], first[1:151])]
+    found = index.nearest_of_all(queries, 24)
+    for (t, w), (at, product) in zip(queries, found):
+        every = dense[:, t] @ w
+        expected = np.sort(every)[::-1][:24]
+        assert np.allclose(product, expected[expected > 1e-12], rtol=1e-5) and np.allclose(product, every[at], rtol=1e-5)
+    turned = BlockMaxIndex(first, term, weight, toxic, ids[::-1], n_terms)  # other doc_ids, the same neighbours
+    for (at, _), (other, _) in zip(found, turned.nearest_of_all(queries, 24)):
+        assert (at == other).all()  # positions; equal vectors are one example, known by its lowest doc_id
+
+
 def test_labels_are_no_inputs(spark, table):
     texts = ["one two three four five six seven eight nine ten"] * 4 + ["you idiot loser moron"] * 4
     labels = labels_of(spark, [(i, 1, int(i > 3)) for i in range(8)])
