@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rankhouse.operators.windows import parts_for
+
 # Ties of one book and date, settled in this order on both sides of the comparison.
 TIE_BREAKERS = "popularity read_count score number rank_name status words_num".split()
 
@@ -53,9 +55,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, parts: int, key: str) -> DataFrame:
+    """The side of a join, dealt into more parts than the session's where the other side needs them; Spark deals that one alike."""
+    return df if parts <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(parts, key)
+
+
 def rank_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem")
-    orders, part = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
+    parts = parts_for(spark, lineitem.count())
+    orders, part = (dealt(table(spark, sf_dir, name), parts, key) for name, key in (("orders", "o_orderkey"), ("part", "p_partkey")))
     joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(part, F.col("l_partkey") == F.col("p_partkey"))
     return joined.select(*(F.expr(text).alias(name) for name, text in COLUMNS.items()))
 

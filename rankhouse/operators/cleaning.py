@@ -18,7 +18,7 @@ from rankhouse.fixed_values import (
 from rankhouse.functions.expressions import flag
 from rankhouse.functions.parsing import metric_number, plain_number, words_number
 from rankhouse.operators.stats import count_fill_values, count_quantiles, fill_values, quantiles, value_counts
-from rankhouse.operators.windows import latest
+from rankhouse.operators.windows import crowds, latest, latest_by_entity, parts_for
 from rankhouse.schema import METRIC_SOURCES, METRICS, NEEDED
 from rankhouse.sources.staging import materialize, observed
 
@@ -70,13 +70,20 @@ def drop_invalid_titles(df: DataFrame, invalid: Sequence[str] = INVALID_TITLES)
     return df.where(~F.col("title").isin(*invalid))
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str] = ("book_id", "rank_date"), tie_breakers: Sequence[str] | None = None) -> DataFrame:
+def keep_latest(
+    df: DataFrame,
+    keys: Sequence[str] = ("book_id", "rank_date"),
+    tie_breakers: Sequence[str] | None = None,
+    dealt: tuple[int, Sequence[int], Column | None] | None = None,
+) -> DataFrame:
     """One row per key, the last updated one. Default tie break: all other columns by name, so the choice never
-    depends on the order of the input."""
+    depends on the order of the input. With ``dealt``, the parts, crowded codes and place of ``latest_by_entity``, the rows come dealt so."""
     newest = ("updated_at", "created_at")
     if tie_breakers is None:
         tie_breakers = sorted(set(df.columns) - set(keys) - set(newest))
-    return latest(df, keys, newest, tie_breakers)
+    if dealt is None:
+        return latest(df, keys, newest, tie_breakers)
+    return latest_by_entity(df, keys[0], keys, newest, tie_breakers, *dealt)
 
 
 def parse_metrics(df: DataFrame, default_unit: float = 1.0) -> DataFrame:
@@ -166,12 +173,10 @@ class Removed:
         self.before, self.after = Observation(), Observation()
 
     def watch_rules(self, df: DataFrame) -> DataFrame:
-        passed, counts = F.lit(True), []
-        for reason, good in row_rules().items():
-            kept = F.coalesce(good, F.lit(False))
-            counts.append(F.count_if(passed & ~kept).alias(reason))
-            passed = passed & kept
-        return df.observe(self.before, *counts, F.count_if(passed).alias("passed"))
+        """With the first rule that a row fails as ``_fails``, which is tested once."""
+        fails = F.coalesce(*(F.when(~F.coalesce(good, F.lit(False)), F.lit(reason)) for reason, good in row_rules().items()))
+        counts = [F.count_if(F.col("_fails") == reason).alias(reason) for reason in row_rules()]
+        return df.withColumn("_fails", fails).observe(self.before, *counts, F.count_if(F.col("_fails").isNull()).alias("passed"))
 
     def watch_unique(self, df: DataFrame) -> DataFrame:
         return df.observe(self.after, F.count(F.lit(1)).alias("rows"))
@@ -186,13 +191,23 @@ class Removed:
 def valid_rows(df: DataFrame, removed: Removed | None = None) -> DataFrame:
     """The row filters and the status labels, in order."""
     if removed is not None:
-        df = removed.watch_rules(df)
+        return removed.watch_rules(df).where("_fails IS NULL").drop("_fails").transform(decode_status)
     return df.transform(keep_any_key).transform(drop_bad_keys).transform(decode_status).transform(drop_invalid_titles)
 
 
-def numeric_rows(df: DataFrame, default_unit: float = 1.0, tie_breakers: Sequence[str] | None = None, removed: Removed | None = None) -> DataFrame:
-    """Valid, unique rows with parsed metrics and a DATE, before anything is filled."""
-    unique = keep_latest(valid_rows(df, removed), tie_breakers=tie_breakers)
+def numeric_rows(
+    df: DataFrame,
+    default_unit: float = 1.0,
+    tie_breakers: Sequence[str] | None = None,
+    removed: Removed | None = None,
+    parts: int | None = None,
+    place: Column | None = None,
+) -> DataFrame:
+    """Valid, unique rows with parsed metrics and a DATE, before anything is filled, dealt by book (or ``place``) into ``parts`` (default: as
+    many as the rows need). One narrow read of the book ids counts the rows first."""
+    rows, crowded = crowds(df, "book_id")
+    dealt = (parts or parts_for(df.sparkSession, rows), crowded, place)
+    unique = keep_latest(valid_rows(df, removed), tie_breakers=tie_breakers, dealt=dealt)
     if removed is not None:
         unique = removed.watch_unique(unique)
     parsed = unique.transform(parse_metrics, default_unit).transform(parse_score).transform(parse_words)
@@ -230,11 +245,12 @@ def clean_all(
     score_before_filling: bool = False,
     stage: Callable[[DataFrame, str], DataFrame] = materialize,
     removed: Removed | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Raw rank facts to cleaned facts. ``stage`` writes the unique rows and then, from one narrow read of them, the value
     counts of the metrics. Fill values come from the counts; the quartiles come from the counts with what is filled in added to
     its value. A second read of the unique rows carries everything out. ``removed`` counts the removed rows while the unique ones are written."""
-    rows = numeric_rows(drop_empty_columns(df), default_unit, tie_breakers, removed)
+    rows = numeric_rows(drop_empty_columns(df), default_unit, tie_breakers, removed, parts)
     if score_before_filling:
         rows = score_quality(rows)
     rows = stage(rows, "unique_facts")

@@ -8,7 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
+
+ROWS_AT_ONCE = 400_000  # rows that a task is to sort: wide ones take some 600 bytes each in memory
+_CODES = 1 << 14  # entities are counted by a hash code, so that each task sends a bounded number of counts
+
+
+def parts_for(spark: SparkSession, rows: int) -> int:
+    """Into how many parts so many rows are dealt: the session's shuffle partitions, more where these would not be sorted in memory."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_AT_ONCE))
 
 
 def latest(df: DataFrame, keys: Sequence[str], newest: Sequence[str], tie_breakers: Sequence[str] = ()) -> DataFrame:
@@ -18,6 +26,40 @@ def latest(df: DataFrame, keys: Sequence[str], newest: Sequence[str], tie_breake
     return df.withColumn("_position", position).where("_position = 1").drop("_position")
 
 
+def crowds(df: DataFrame, entity: str, at_once: int = ROWS_AT_ONCE) -> tuple[int, list[int]]:
+    """The number of rows, and the hash codes of entities that have more of them than a task is to hold (fewer codes than rows / ``at_once``)."""
+    codes = df.groupBy(_code(entity).alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    many = F.collect_list(F.when(F.col("n") > at_once, F.struct("code", "n"))).alias("many")
+    found = codes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), many).first()
+    usual = found["rows"] / _CODES
+    return found["rows"], sorted(code["code"] for code in found["many"] if code["n"] > 8 * usual)
+
+
+def _code(entity: str) -> Column:
+    return F.pmod(F.xxhash64(entity), F.lit(_CODES))
+
+
+def latest_by_entity(
+    df: DataFrame,
+    entity: str,
+    keys: Sequence[str],
+    newest: Sequence[str],
+    tie_breakers: Sequence[str],
+    parts: int,
+    crowded: Sequence[int] = (),
+    place: Column | None = None,
+) -> DataFrame:
+    """``latest`` for keys that contain the entity; the result stays dealt by the entity into ``parts``, so rows are shuffled once and sorted
+    once, in pieces that fit. Rows of ``crowded`` codes are first cut down to one for each key and task. Rows can be dealt by another
+    ``place`` that follows from the keys."""
+    if crowded:
+        many = _code(entity).isin(*crowded)
+        df = df.where(~many).unionByName(latest(df.where(many), keys, newest, tie_breakers))
+    if place is None:
+        return latest(df.repartition(parts, entity), keys, newest, tie_breakers)
+    return latest(df.withColumn("_place", place).repartition(parts, "_place"), ["_place", *keys], newest, tie_breakers).drop("_place")
+
+
 def latest_per_book(df: DataFrame) -> DataFrame:
     return latest(df, ["book_id"], ["rank_date"])
 

@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rankhouse.operators.cleaning import REASONS, Removed, clean_all, drop_column, replace_newlines
-from rankhouse.operators.windows import newest_per_book
+from rankhouse.operators.windows import newest_per_book, parts_for
 from rankhouse.plans.features import FEATURES, OVER_NEWEST, OVER_TOTALS, Feature, book_totals
 from rankhouse.plans.monthly import MonthlyFacts, MonthlyRaw
 from rankhouse.schema import METRICS
 from rankhouse.sources import jdbc
-from rankhouse.sources.staging import Scratch, owned
+from rankhouse.sources.staging import Scratch, materialize, owned
 from rankhouse.sources.tables import create_database, pass_order, read_layer, write_layer
 
 log = logging.getLogger(__name__)
@@ -65,8 +66,25 @@ class Warehouse:
     def _write(self, df: DataFrame, name: str, **options) -> int:
         return write_layer(df, self.table(name), path=self._path(name), **options)
 
-    def _by_book(self, df: DataFrame, name: str) -> int:
-        return self._write(df, name, bucket_by="book_id", buckets=self.buckets, sort_by=["rank_date"])
+    def _parts(self) -> int:
+        """The buckets of tables by book; counting a stored layer reads no column of it."""
+        return self.buckets or parts_for(self.spark, self.raw().count())
+
+    def _by_book(self, df: DataFrame, name: str, buckets: int, **options) -> int:
+        return self._write(df, name, bucket_by="book_id", buckets=buckets, sort_by=["rank_date"], **options)
+
+    def _stage_by_book(self, scratch: Scratch, buckets: int) -> Callable[[DataFrame, str], DataFrame]:
+        """Staging that keeps the unique rows in the buckets they are dealt into, so that they are not shuffled again."""
+
+        def stage(rows: DataFrame, label: str) -> DataFrame:
+            if label != "unique_facts":
+                return materialize(rows, label)
+            name = self.table(f"{label}_{uuid.uuid4().hex}")
+            scratch.then(lambda: self.spark.sql(f"DROP TABLE IF EXISTS {name}"))
+            write_layer(rows, name, path=scratch.path(label), bucket_by="book_id", buckets=buckets, sort_by=["rank_date"], placed=True)
+            return read_layer(self.spark, name)
+
+        return stage
 
     def _raw_months(self) -> MonthlyRaw:
         return MonthlyRaw(self.spark, self._path("ods_rank_facts"), self.month)
@@ -100,14 +118,16 @@ class Warehouse:
                 cleaned = self._cleaned_months()
                 self.removed = cleaned.follow(self._raw_months())
                 return cleaned.rows()
-            removed = Removed()
-            with owned(self.spark):
-                rows = self._by_book(clean_all(self.raw(), removed=removed, **self.clean_options), "dwd_rank_facts")
+            removed, buckets = Removed(), self._parts()
+            with owned(self.spark) as scratch:
+                options = {"stage": self._stage_by_book(scratch, buckets), **self.clean_options}
+                facts = clean_all(self.raw(), removed=removed, parts=buckets, **options)
+                rows = self._by_book(facts, "dwd_rank_facts", buckets, placed="stage" not in self.clean_options)
             self.removed = removed.counts()
             return rows
 
         def build_newest() -> int:
-            return self._by_book(newest_per_book(self.layer("dwd_rank_facts")).select(*NEWEST_COLUMNS), "dwd_newest_facts")
+            return self._by_book(newest_per_book(self.layer("dwd_rank_facts")).select(*NEWEST_COLUMNS), "dwd_newest_facts", self._parts())
 
         return [("dwd_rank_facts", build), ("dwd_newest_facts", build_newest)]
 
@@ -119,7 +139,7 @@ class Warehouse:
         if not self.spark.catalog.tableExists(self.table(name)):
             self.run.then(lambda: self.spark.sql(f"DROP TABLE IF EXISTS {self.table(name)}"))
             totals = book_totals(self.layer("dwd_rank_facts"))
-            write_layer(totals, self.table(name), path=self.run.path("book_totals"), bucket_by="book_id", buckets=self.buckets)
+            write_layer(totals, self.table(name), path=self.run.path("book_totals"), bucket_by="book_id", buckets=self._parts())
         return read_layer(self.spark, self.table(name))
 
     def ads(self) -> list[tuple[str, Callable[[], int]]]:

@@ -123,7 +123,9 @@ class MonthlyFacts:
         """Clean the rows of these months and replace what is stored of them."""
         removed, written = Removed(), Observation()
         arrived = raw.where(F.col(MONTH).isin(*months))
-        rows = numeric_rows(arrived, self._option("default_unit", 1.0), self._option("tie_breakers", None), removed)
+        # the files of a month and bucket come from one task, which holds few of them; a row's month follows from its date
+        place = F.struct(MONTH, F.pmod(F.hash("book_id"), F.lit(self._layout())))
+        rows = numeric_rows(arrived, self._option("default_unit", 1.0), self._option("tie_breakers", None), removed, place=place)
         if self._option("score_before_filling", False):
             rows = score_quality(rows)
         self._write(rows.select(*(c for c in rows.columns if c != MONTH), MONTH).observe(written, F.collect_set(MONTH).alias("months")))
@@ -153,7 +155,6 @@ class MonthlyFacts:
 
     def _write(self, rows: DataFrame) -> None:
         buckets = self._layout()
-        rows = rows.repartition(buckets, "book_id")
         if self._known():
             key = "spark.sql.sources.partitionOverwriteMode"
             before = self.spark.conf.get(key)

@@ -31,24 +31,35 @@ def write_layer(
     bucket_by: str | None = None,
     buckets: int | None = None,
     sort_by: Sequence[str] = (),
+    placed: bool = False,
 ) -> int:
     """Replace a layer table and return its rows. Bucketing by the entity lets every later window, group or join on it
     read the table without a shuffle; pick it only where an entity's rows are bounded, as after de-duplication. The number
     of ``buckets`` is the caller's choice of layout; the session's shuffle partitions if not given. Each bucket is one file, sorted by
-    the entity and ``sort_by``; with ``pass_order`` windows in that order need no sort either."""
+    the entity and ``sort_by``; with ``pass_order`` windows in that order need no sort either. Rows that are ``placed`` come dealt by the
+    entity into as many parts already, by ``repartition`` or from a table with these buckets, and are not shuffled again."""
     if bucket_by is not None:
         buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartition(buckets, bucket_by)  # one file per bucket
+        if not placed:
+            df = df.repartition(buckets, bucket_by)  # one file per bucket
 
     def write(rows: DataFrame) -> None:
-        writer = rows.write.mode("overwrite").format("parquet")
+        writer = rows.write.mode("overwrite").format("parquet").option("compression", "zstd")
         if path is not None:
             writer = writer.option("path", path)
         if bucket_by is not None:
             writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by, *sort_by)
         writer.saveAsTable(table)
 
-    return write_counted(df, write)
+    if not placed:
+        return write_counted(df, write)
+    spark, key = df.sparkSession, "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")  # else Spark reads a table by files where no join or window asks for its buckets
+    try:
+        return write_counted(df, write)
+    finally:
+        spark.conf.set(key, before)
 
 
 def append_layer(df: DataFrame, path: str, *, partition_by: str = "date_month", replace_partitions: bool = False) -> int:
