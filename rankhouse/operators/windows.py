@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
-ROWS_AT_ONCE = 400_000  # rows that a task is to sort: wide ones take some 600 bytes each in memory
+ROWS_AT_ONCE = 200_000  # rows that a task is to sort: wide ones take some 600 bytes each in memory
 _CODES = 1 << 14  # entities are counted by a hash code, so that each task sends a bounded number of counts
 
 
