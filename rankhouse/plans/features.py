@@ -47,7 +47,7 @@ from rankhouse.functions.expressions import (
 )
 from rankhouse.functions.parsing import plain_number
 from rankhouse.operators.stats import with_dense_ranks, with_group_stats
-from rankhouse.operators.windows import history, latest, lifetime, newest_per_book, peak_date, previous
+from rankhouse.operators.windows import history, is_newest, latest, lifetime, newest_per_book, peak_date, previous
 from rankhouse.schema import METRICS
 from rankhouse.sources.staging import materialize
 
@@ -102,11 +102,13 @@ def heat_momentum(df: DataFrame) -> DataFrame:
 
 
 def heat_walk(df: DataFrame) -> DataFrame:
-    """One walk over every book's history: per book and category the sum and count of its growth rates, and the newest row."""
+    """One walk over every book's history: per book and category the sum and count of its growth rates, and, in one category of each book, its newest
+    row. Only this one is carried whole to the grouping."""
     rows = heat_momentum(df.select(*HEAT_INPUT))
-    newest = F.max_by(F.struct(*rows.columns), "rank_date").alias("newest")
-    growth = F.col("popularity_growth_rate")
-    return rows.groupBy("book_id", "category1_name").agg(F.sum(growth).alias("growth"), F.count(growth).alias("steps"), newest)
+    newest = F.when(is_newest(history()), F.struct(*rows.columns)).alias("newest")
+    steps = rows.select("book_id", "category1_name", F.col("popularity_growth_rate").alias("growth"), newest)
+    last = F.max_by("newest", F.col("newest.rank_date")).alias("newest")
+    return steps.groupBy("book_id", "category1_name").agg(F.sum("growth").alias("growth"), F.count("growth").alias("steps"), last)
 
 
 def platform_heat(df: DataFrame, rules: HeatRules = HeatRules(), stage: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:

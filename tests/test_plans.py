@@ -88,6 +88,19 @@ def test_heat_walks_the_history_once_without_a_shuffle(spark, small):
     assert all("heat_walk" in file for file in heat.inputFiles()) and "Window [avg(" not in plan(heat)
 
 
+def test_heat_walk_carries_only_newest_rows_whole(spark, facts):
+    days = [date(2024, 1, 1) + timedelta(days=i) for i in range(6)]
+    changed = [{"rank_date": d, "category1_name": None if i > 3 else "xy"[i % 2], "numeric_popularity": 100.0 * (i + 1)} for i, d in enumerate(days)]
+    rows = facts(*changed, {"book_id": "b2", "rank_date": days[2]})
+    walked = features.heat_walk(rows)
+    found = {(r["book_id"], r["category1_name"]): r for r in walked.collect()}
+    assert {key: r["steps"] for key, r in found.items()} == {("b1", "x"): 2, ("b1", "y"): 2, ("b1", None): 2, ("b2", "c"): 1}
+    newest = {key: r["newest"]["rank_date"] for key, r in found.items() if r["newest"] is not None}
+    assert newest == {("b1", None): days[5], ("b2", "c"): days[2]}
+    assert found["b1", "x"]["growth"] == 50.0 and round(found["b1", None]["growth"], 9) == 45.0
+    assert sorted(r["book_id"] for r in features.platform_heat(rows).collect()) == ["b1", "b2"]
+
+
 def test_three_features_read_the_newest_rows_only(spark, small):
     """One full scan of the cleaned layer, when the newest rows are written, serves all three."""
     for name in sorted(features.OVER_NEWEST):
