@@ -74,14 +74,15 @@ class Warehouse:
         return self._write(df, name, bucket_by="book_id", buckets=buckets, sort_by=["rank_date"], **options)
 
     def _stage_by_book(self, scratch: Scratch, buckets: int) -> Callable[[DataFrame, str], DataFrame]:
-        """Staging that keeps the unique rows in the buckets they are dealt into, so that they are not shuffled again."""
+        """Staging that keeps the unique rows in the buckets they are dealt into, so that they are not shuffled again. Only the layer made of them is
+        sorted within its buckets."""
 
         def stage(rows: DataFrame, label: str) -> DataFrame:
             if label != "unique_facts":
                 return materialize(rows, label)
             name = self.table(f"{label}_{uuid.uuid4().hex}")
             scratch.then(lambda: self.spark.sql(f"DROP TABLE IF EXISTS {name}"))
-            write_layer(rows, name, path=scratch.path(label), bucket_by="book_id", buckets=buckets, sort_by=["rank_date"], placed=True)
+            write_layer(rows, name, path=scratch.path(label), bucket_by="book_id", buckets=buckets, sort_by=None, placed=True)
             return read_layer(self.spark, name)
 
         return stage

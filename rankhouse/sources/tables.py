@@ -30,14 +30,15 @@ def write_layer(
     path: str | None = None,
     bucket_by: str | None = None,
     buckets: int | None = None,
-    sort_by: Sequence[str] = (),
+    sort_by: Sequence[str] | None = (),
     placed: bool = False,
 ) -> int:
     """Replace a layer table and return its rows. Bucketing by the entity lets every later window, group or join on it
     read the table without a shuffle; pick it only where an entity's rows are bounded, as after de-duplication. The number
     of ``buckets`` is the caller's choice of layout; the session's shuffle partitions if not given. Each bucket is one file, sorted by
     the entity and ``sort_by``; with ``pass_order`` windows in that order need no sort either. Rows that are ``placed`` come dealt by the
-    entity into as many parts already, by ``repartition`` or from a table with these buckets, and are not shuffled again."""
+    entity into as many parts already, by ``repartition`` or from a table with these buckets, and are not shuffled again. With ``sort_by`` None the
+    rows of a bucket stay in the order they come in; placed ones are then written as they come, without the sort by bucket."""
     if bucket_by is not None:
         buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         if not placed:
@@ -48,18 +49,25 @@ def write_layer(
         if path is not None:
             writer = writer.option("path", path)
         if bucket_by is not None:
-            writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by, *sort_by)
+            writer = writer.bucketBy(buckets, bucket_by)
+            writer = writer if sort_by is None else writer.sortBy(bucket_by, *sort_by)
         writer.saveAsTable(table)
 
     if not placed:
         return write_counted(df, write)
-    spark, key = df.sparkSession, "spark.sql.sources.bucketing.autoBucketedScan.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")  # else Spark reads a table by files where no join or window asks for its buckets
+    spark = df.sparkSession
+    # Else Spark reads a table by files where no join or window asks for its buckets.
+    wanted = {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
+    if sort_by is None:
+        wanted["spark.sql.maxConcurrentOutputFileWriters"] = "1"  # a task holds one bucket, so one open file is enough
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         return write_counted(df, write)
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def append_layer(df: DataFrame, path: str, *, partition_by: str = "date_month", replace_partitions: bool = False) -> int:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rankhouse.operators import cleaning, windows
 from rankhouse.plans.layers import Warehouse, run_layers
-from rankhouse.sources.staging import fresh_path, materialize
+from rankhouse.sources.staging import fresh_path, materialize, owned
 from rankhouse.sources.tables import pass_order, read_layer, write_layer
 
 
@@ -87,3 +87,26 @@ def test_layers_by_book_and_by_month_hold_the_newest_rows(spark):
         results.append(sorted((r["book_id"], str(r["rank_date"]), r["popularity"], r["numeric_popularity"]) for r in facts.collect()))
         assert [t.name for t in spark.catalog.listTables(name) if t.name.startswith("unique_")] == []
     assert results[0] == results[1] and len(results[0]) == 20
+
+
+def test_unique_rows_are_staged_as_they_come(spark):
+    """Only the cleaned layer is sorted within its buckets; before, the staged rows were sorted whole once more."""
+    name = f"staged_{uuid.uuid4().hex}"
+    warehouse = Warehouse(spark, lambda: raw(spark), name, fresh_path(spark, name), buckets=3)
+    run_layers(warehouse, ["ods"])
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    with owned(spark) as scratch:
+        rows = cleaning.numeric_rows(warehouse.raw(), parts=3).sortWithinPartitions(F.desc("popularity"))
+        staged = warehouse._stage_by_book(scratch, 3)(rows, "unique_facts")
+        table = next(t.name for t in spark.catalog.listTables(name) if t.name.startswith("unique_facts"))
+        told = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE EXTENDED {name}.{table}").collect()}
+        assert told["Num Buckets"] == "3" and told.get("Sort Columns", "[]") == "[]"
+        ordered = staged.select(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i"), "popularity").orderBy("i").collect()
+        by_file = {}
+        for row in ordered:
+            by_file.setdefault(row["f"], []).append(row["popularity"])
+        assert sum(map(len, by_file.values())) == 20 and all(texts == sorted(texts, reverse=True) for texts in by_file.values())
+        codes = {f.rsplit("_", 1)[-1].split(".")[0] for f in by_file}
+        assert len(codes) == len(by_file)  # one file for each bucket that has rows
+    assert spark.conf.get(key) == before
