@@ -204,6 +204,18 @@ def mode(df: DataFrame, column: str) -> DataFrame:
     return counts.orderBy(F.desc("_n"), F.asc(column)).limit(1).select(column)
 
 
+def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The ``mode`` of every column in one row, from one pass over the rows; NULL for a column without any value."""
+    counts = df.groupingSets([[c] for c in columns], *columns).agg(F.grouping_id().alias("_id"), F.count(F.lit(1)).alias("_n"))
+
+    def best(k: int, c: str) -> Column:
+        others = (1 << len(columns)) - 1 - (1 << (len(columns) - 1 - k))  # grouping_id has a bit for each column that is not grouped by
+        own = (F.col("_id") == others) & F.col(c).isNotNull()
+        return F.min_by(c, F.when(own, F.struct(-F.col("_n"), F.col(c)))).alias(c)
+
+    return counts.agg(*(best(k, c) for k, c in enumerate(columns)))
+
+
 def _by_metric(found: DataFrame, columns: Sequence[str], value: Column) -> Column:
     """(metric, ...) rows as a scalar subquery of one struct with a field for each column."""
     return found.agg(F.struct(*(F.max(F.when(F.col("metric") == c, value)).alias(c) for c in columns))).scalar()
@@ -216,7 +228,7 @@ def fill_values(df: DataFrame, columns: Sequence[str], strategy: str = "mean", m
     if strategy == "median":
         return _by_metric(quantiles(df, columns, [0.5], method), columns, F.col("quantiles")[0])
     if strategy == "mode":
-        return F.struct(*(mode(df, c).scalar().alias(c) for c in columns))
+        return modes(df, columns).select(F.struct(*columns)).scalar()
     raise ValueError("strategy is 'mean', 'median' or 'mode'")
 
 

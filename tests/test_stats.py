@@ -61,6 +61,21 @@ def test_mode_prefers_the_smaller_of_equals(spark):
     assert stats.mode(df, "v").first().v == 1.0
 
 
+def test_modes_of_all_columns_from_one_pass(spark):
+    rng, nan = random.Random(3), float("nan")
+    data = [(rng.choice([None, nan, -0.0, 0.0, 1.5, 7.0]), rng.randint(-2, 2), None, rng.choice("xy") * (i % 3)) for i in range(400)]
+    df = spark.createDataFrame(data, "a double, b int, c double, d string").repartition(5)
+    found, columns = stats.modes(df, df.columns), df.columns
+    assert found.columns == columns and [f.dataType for f in found.schema] == [f.dataType for f in df.schema]
+    one = [stats.mode(df, c).first() for c in columns]
+    assert repr(list(found.first())) == repr([row and row[0] for row in one])
+    ties = spark.createDataFrame([(nan, 2), (nan, 1), (4.0, 1), (4.0, 2), (None, None), (None, None), (None, None)], "a double, b int")
+    assert tuple(stats.modes(ties, ["a", "b"]).first()) == (4.0, 1)
+    assert tuple(stats.modes(ties.where("b > 9"), ["a", "b"]).first()) == (None, None)
+    plan = df.select(stats.fill_values(df, columns, "mode"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("scalar-subquery#") >= 1 and plan.count("Aggregate [") == 2  # before, a pass for each column
+
+
 SERIES = [("b", "2024-01-01", 5.0), ("b", "2024-01-03", 9.0), ("b", "2024-01-10", 9.0), ("c", "2024-01-02", 1.0)]
 
 
