@@ -204,8 +204,8 @@ def numeric_rows(
     place: Column | None = None,
 ) -> DataFrame:
     """Valid, unique rows with parsed metrics and a DATE, before anything is filled, dealt by book (or ``place``) into ``parts`` (default: as
-    many as the rows need). One narrow read of the book ids counts the rows first."""
-    rows, crowded = crowds(df, "book_id")
+    many as the rows need). One narrow read of the book ids counts the rows first; those whose id is bad are never dealt, so they make no crowd."""
+    rows, crowded = crowds(df.where(row_rules()["bad_id"]), "book_id")
     dealt = (parts or parts_for(df.sparkSession, rows), crowded, place)
     unique = keep_latest(valid_rows(df, removed), tie_breakers=tie_breakers, dealt=dealt)
     if removed is not None:

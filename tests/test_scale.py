@@ -57,6 +57,19 @@ def test_rows_stay_dealt_by_book_after_the_newest_are_kept(spark):
     assert text.count("Exchange hashpartitioning") == 1 and ", 6), REPARTITION_BY_NUM" in text
 
 
+def test_ids_that_are_removed_make_no_crowd(spark):
+    """Rows without a usable id go before any are dealt: however many there are, the raw rows are read and tested once."""
+    good = raw(spark)
+    many = spark.range(2 * windows.ROWS_AT_ONCE + 2)
+    bad = F.when(F.col("id") % 2 == 0, "http://bad/1")  # else NULL
+    rows = good.unionByName(many.select(*((bad if c == "book_id" else F.lit(None).cast(good.schema[c].dataType)).alias(c) for c in good.columns)))
+    rows = materialize(rows)
+    assert len(windows.crowds(rows, "book_id")[1]) == 2
+    kept = cleaning.numeric_rows(rows, parts=6)
+    assert "Union" not in plan(kept) and plan(kept).count("Scan parquet") == 1
+    assert sorted(kept.collect(), key=str) == sorted(cleaning.numeric_rows(materialize(good), parts=6).collect(), key=str)
+
+
 def test_placed_rows_are_written_by_bucket_without_a_shuffle(spark):
     pass_order(spark)
     name, other = (f"placed_{uuid.uuid4().hex}" for _ in range(2))
