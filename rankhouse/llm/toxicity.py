@@ -17,7 +17,9 @@ products are ordered by the content of the examples; every row gives one row."""
 from __future__ import annotations
 
 import hashlib
+import tempfile
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,7 @@ COMMON = 16  # a term is common if more than one in so many examples has it
 POWER = 4
 PRIOR_VOTES = 0.2
 QUERIES = 64  # texts that meet the index at once
+PIECE = 1 << 18  # postings that are sorted at once; a term with more has a piece of its own
 SLACK = 1e-4  # beyond what sums of weights of one sign lose in single precision
 
 _OUTSIDE = np.ones(256, bool)
@@ -102,7 +105,7 @@ def coherent(rows: np.ndarray, size: int) -> np.ndarray:
         if high - low <= size:
             continue
         part = rows[order[low:high]]
-        part = part - part.mean(axis=0)
+        part -= part.mean(axis=0)
         direction = part[np.argmax(np.einsum("ij,ij->i", part, part))]
         for _ in range(4):
             direction = part.T @ (part @ direction)
@@ -130,24 +133,34 @@ class BlockMaxIndex:
             group[2] += int(toxic[i])
             group[3] = min(group[3], ids[i])
         names = sorted(groups)  # by content: doc_ids order nothing
-        spans = [groups[name][0] for name in names]
-        sizes = np.array([s.stop - s.start for s in spans], np.int64)
-        rank = coherent(self._heavy(spans, term, weight, n_terms), BLOCK)
+        rank = coherent(self._heavy([groups[name][0] for name in names], term, weight, n_terms), BLOCK)
         ordered = [groups[names[r]] for r in rank.tolist()]
         self.n_terms, self.rank = n_terms, rank.astype(np.int32)
-        self.term = np.concatenate([term[g[0]] for g in ordered]) if ordered else np.zeros(0, np.int32)
-        self.weight = np.concatenate([weight[g[0]] for g in ordered]) if ordered else np.zeros(0, np.float32)
-        self.first = np.concatenate([[0], np.cumsum(sizes[rank])]).astype(np.int64)
         self.votes = np.array([g[1] for g in ordered], float)
         self.toxic = np.array([g[2] for g in ordered], float)
         self.ids = np.array([g[3] for g in ordered], np.int64)
         self.names = np.array(names, "S16")
         self.places = np.argsort(rank).astype(np.int32)
-        self._build()
+        self.given: tuple | None = ([g[0] for g in ordered], term, weight)
+        del groups, names, ordered
+        give_back()
+        self._build(*self.given)
 
     def __getstate__(self) -> dict:
         """Workers get the blocks, not the vectors they were made of."""
-        return {name: value for name, value in self.__dict__.items() if name not in ("first", "term", "weight")}
+        return {name: value for name, value in self.__dict__.items() if name != "given"}
+
+    @property
+    def first(self) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum([span.stop - span.start for span in self.given[0]])]).astype(np.int64)
+
+    @property
+    def term(self) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.int32), *(self.given[1][span] for span in self.given[0])])
+
+    @property
+    def weight(self) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.float32), *(self.given[2][span] for span in self.given[0])])
 
     @staticmethod
     def _heavy(spans: list[slice], term: np.ndarray, weight: np.ndarray, n_terms: int) -> np.ndarray:
@@ -169,35 +182,69 @@ class BlockMaxIndex:
         at = int(np.searchsorted(self.names, name))
         return int(self.places[at]) if at < len(self.names) and self.names[at] == name else -1
 
-    def _build(self) -> None:
-        """Rows of the common terms, posting lists of the others, both by blocks."""
+    def _build(self, spans: list[slice], term: np.ndarray, weight: np.ndarray) -> None:
+        """Rows of the common terms, posting lists of the others, both by blocks. ``spans``: the examples' vectors, in the index's order. Postings
+        are sorted for a range of terms at a time, straight from the vectors, so that only what the index keeps is held whole."""
         n = len(self.ids)
         self.blocks = -(-n // BLOCK)
-        documents = np.bincount(self.term, minlength=self.n_terms)
+        documents = np.zeros(self.n_terms, np.int64)
+        for span in spans:
+            documents[term[span]] += 1  # a vector has a term once
         common = np.flatnonzero(documents * COMMON > n)
         self.column = np.full(self.n_terms, -1, np.int32)
         self.column[common] = np.arange(len(common))
         self.rows = np.zeros((self.blocks * BLOCK, len(common)), np.float32)  # the last block is filled up with blanks
-        for i in range(n):
-            span = slice(self.first[i], self.first[i + 1])
-            column = self.column[self.term[span]]
-            self.rows[i, column[column >= 0]] = self.weight[span][column >= 0]
+        for i, span in enumerate(spans):
+            column = self.column[term[span]]
+            self.rows[i, column[column >= 0]] = weight[span][column >= 0]
         self.block_max = self.rows.reshape(self.blocks, BLOCK, -1).max(axis=1)
         self.block_length = np.sqrt(np.einsum("ij,ij->i", self.rows, self.rows, dtype=np.float64)).reshape(self.blocks, BLOCK).max(axis=1)
-        order = np.flatnonzero(self.column[self.term] < 0).astype(np.int32)
-        order = order[np.argsort(self.term[order], kind="stable")]
-        term, self.posting_weight = self.term[order], self.weight[order]
-        posting = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.first))[order]
-        del order
-        self.posting = (posting % BLOCK).astype(np.uint8)  # place in the block
-        block = posting // BLOCK
-        new = np.ones(len(term), bool)
-        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
-        entry = np.flatnonzero(new)  # one for each term and block
-        self.entry_posting = np.append(entry, len(term)).astype(np.int32)
-        self.entry_block = block[entry]
-        self.entry_max = np.maximum.reduceat(self.posting_weight, entry) if len(entry) else np.zeros(0, np.float32)
-        self.by_term = np.searchsorted(term[entry], np.arange(self.n_terms + 1)).astype(np.int32)
+        documents[common] = 0
+        ends = np.cumsum(documents)
+        total = int(ends[-1]) if len(ends) else 0
+        self.posting, self.posting_weight = np.empty(total, np.uint8), np.empty(total, np.float32)  # place in the block
+        start = np.fromiter((span.start for span in spans), np.int64, n)
+        by_start = np.argsort(start)
+        start, stop = start[by_start], np.fromiter((span.stop for span in spans), np.int64, n)[by_start]
+        heads, blocks, most, entries = [], [], [], np.zeros(self.n_terms + 1, np.int64)  # of the entries, one for each term and block
+        low = done = 0
+        while done < total:
+            high = max(int(np.searchsorted(ends, done + PIECE, side="right")), int(np.searchsorted(ends, done, side="right")) + 1)
+            at, owner = self._between(term, low, high, start, stop)
+            here, place = term[at], by_start[owner]
+            rare = self.column[here] < 0
+            at, here, place = at[rare], here[rare], place[rare]
+            order = np.argsort((here - low).astype(np.int64) * n + place)
+            here, place = here[order], place[order]
+            self.posting[done : done + len(at)] = place % BLOCK
+            self.posting_weight[done : done + len(at)] = weight[at[order]]
+            block = (place // BLOCK).astype(np.int32)
+            new = np.ones(len(at), bool)
+            new[1:] = (here[1:] != here[:-1]) | (block[1:] != block[:-1])
+            entry = np.flatnonzero(new)
+            heads.append((entry + done).astype(np.int32))
+            blocks.append(block[entry])
+            most.append(np.maximum.reduceat(self.posting_weight[done : done + len(at)], entry))
+            entries[low + 1 : high + 1] = np.bincount(here[entry] - low, minlength=high - low)
+            low, done = high, done + len(at)
+        self.entry_posting = np.concatenate([*heads, [total]], dtype=np.int32)
+        heads.clear()
+        self.entry_block = np.concatenate([np.zeros(0, np.int32), *blocks])
+        blocks.clear()
+        self.entry_max = np.concatenate([np.zeros(0, np.float32), *most])
+        self.by_term = np.cumsum(entries).astype(np.int32)
+
+    @staticmethod
+    def _between(term: np.ndarray, low: int, high: int, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the terms from low to below high that lie in one of the ascending spans, and which span each lies in."""
+        found = []
+        for a in range(0, len(term), 4 * PIECE):
+            part = term[a : a + 4 * PIECE]
+            found.append(np.flatnonzero((part >= low) & (part < high)) + a)
+        at = np.concatenate(found)
+        owner = np.searchsorted(start, at, side="right") - 1
+        inside = (owner >= 0) & (at < stop[owner])
+        return at[inside], owner[inside]
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and products of the k nearest, nearest first; equal products by content. With weights of length 1 the products
@@ -343,6 +390,12 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
     return id_text(docs).select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).where("n > 1")
 
 
+def _mapped(file: BinaryIO, kind: type) -> np.ndarray:
+    """The file's values, read as they are needed."""
+    file.flush()
+    return np.memmap(file, kind, "r") if file.tell() else np.zeros(0, kind)
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, examples: int = EXAMPLES) -> ToxicityModel:
     """``learn``: which rows of the labels may be learnt from; all if not given."""
     rows = labelled_sample(docs, labels, "toxic", F.lit(True) if learn is None else learn, examples)
@@ -374,20 +427,21 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, example
             columns = [batch.column("doc_id"), batch.column("label"), *(pa.array(x, pa.binary()) for x in packed)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "term", "weight"])
 
-    # at most ``examples`` rows, one partition at a time
-    ids, toxic, terms_of, weights_of = columns = [], [], [], []
-    for row in rows.mapInArrow(vectors, "doc_id long, label int, term binary, weight binary").toLocalIterator():
-        for column, value in zip(columns, row):
-            column.append(value)
-    ids, toxic = np.array(ids, np.int64), np.array(toxic)
-    first = np.concatenate([[0], np.cumsum([len(t) // 4 for t in terms_of])]).astype(np.int64)
-    term = np.frombuffer(bytearray().join(terms_of), np.int32)
-    terms_of.clear()
-    weight = np.frombuffer(bytearray().join(weights_of), np.float32)
-    weights_of.clear()
-    give_back()
-    model = ToxicityModel(vocabulary, BlockMaxIndex(first, term, weight, toxic, ids, len(vocabulary.hashes)), total["toxic"] / total["n"])
-    del first, term, weight
+    # at most ``examples`` rows, one partition at a time; their vectors lie in files, of which memory holds what is just looked at
+    ids, toxic, sizes = [], [], []
+    with tempfile.TemporaryFile() as term_file, tempfile.TemporaryFile() as weight_file:
+        for row in rows.mapInArrow(vectors, "doc_id long, label int, term binary, weight binary").toLocalIterator():
+            ids.append(row["doc_id"])
+            toxic.append(row["label"])
+            sizes.append(len(row["term"]) // 4)
+            term_file.write(row["term"])
+            weight_file.write(row["weight"])
+        first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        give_back()
+        index = BlockMaxIndex(first, _mapped(term_file, np.int32), _mapped(weight_file, np.float32), np.array(toxic), np.array(ids, np.int64), len(vocabulary.hashes))
+        index.given = None  # the files go
+    model = ToxicityModel(vocabulary, index, total["toxic"] / total["n"])
+    del first, ids, toxic, sizes
     give_back()
     model.shared = whole = docs.sparkSession.sparkContext.broadcast(model)  # bounded by EXAMPLES
     model.frequencies = frequencies

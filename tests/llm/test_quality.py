@@ -4,6 +4,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -253,6 +254,30 @@ def test_nearest_is_exact_over_posting_lists():
         assert (at == other).all()  # positions; equal vectors are one example, known by its lowest doc_id
 
 
+def test_index_is_built_in_little_memory(monkeypatch):
+    """The driver builds the index: beside the vectors it holds little more than what it keeps. Pieces of any size give the same index."""
+    draw, n, each, n_terms = np.random.default_rng(9), 3_000, 200, 60_000
+    term = np.concatenate([np.sort(draw.choice(n_terms, each, replace=False)) for _ in range(n)]).astype(np.int32)
+    weight = draw.random(n * each).astype(np.float32)
+    weight[:each], term[:each] = weight[each : 2 * each], term[each : 2 * each]  # two examples with one vector
+    first, toxic = np.arange(n + 1) * each, draw.integers(0, 2, n)
+    monkeypatch.setattr(toxicity, "PIECE", 20_000, raising=False)
+    tracemalloc.start()
+    index = BlockMaxIndex(first, term, weight, toxic, np.arange(n), n_terms)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * len(term), peak / len(term)
+    # every posting: the term's examples in the index's order, and its entries' largest weights
+    assert len(index.ids) == n - 1 and index.votes.sum() == n and len(index.posting) == (n - 1) * each
+    owner = np.repeat(np.arange(n - 1), np.diff(index.first))
+    order = np.lexsort((owner, index.term))
+    block = np.repeat(index.entry_block, np.diff(index.entry_posting))
+    assert (block * toxicity.BLOCK + index.posting == owner[order]).all() and (index.posting_weight == index.weight[order]).all()
+    assert (index.entry_max == np.maximum.reduceat(index.weight[order], index.entry_posting[:-1])).all()
+    by_entry = np.repeat(np.arange(n_terms), np.diff(index.by_term))
+    assert (np.repeat(by_entry, np.diff(index.entry_posting)) == index.term[order]).all()
+
+
 def test_labels_are_no_inputs(spark, table):
     texts = ["one two three four five six seven eight nine ten"] * 4 + ["you idiot loser moron"] * 4
     labels = labels_of(spark, [(i, 1, int(i > 3)) for i in range(8)])
